@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millpulse.functions.coercion import two_decimals
 from millpulse.functions.rules import MART_ANOMALY_TEMPERATURE
 
 PAYLOAD = ("timestamp", "machine_id", "temperature", "vibration")
@@ -29,8 +30,8 @@ def dashboard_rows(latest: DataFrame) -> DataFrame:
     return latest.select(
         "machine_id",
         F.when(F.col("temperature") >= MART_ANOMALY_TEMPERATURE, "hot").otherwise("ok").alias("temperature_class"),
-        F.format_string("%.2f", F.col("temperature")).alias("temperature_text"),
-        F.format_string("%.2f", F.col("vibration")).alias("vibration_text"),
+        two_decimals(F.col("temperature")).alias("temperature_text"),
+        two_decimals(F.col("vibration")).alias("vibration_text"),
         "timestamp",
     ).orderBy("machine_id")
 

@@ -1,7 +1,8 @@
 """Every operator as a query over the supplied tables.
 
 Floating results are rounded to six decimals here, at the output only, so that two engines that add
-numbers in a different order agree.
+numbers in a different order agree. A billionth is added first, so that a value half way between two
+roundings goes the same way in both.
 """
 
 from __future__ import annotations
@@ -30,26 +31,28 @@ QUERIES: dict[str, Query] = {}
 # Parameters of the queries; the events cover January 2024.
 AS_OF = datetime(2024, 1, 31)
 RANGE_START, RANGE_END = datetime(2024, 1, 10), datetime(2024, 1, 20)
-TREND_MACHINE = "M-0011"
-DENSE_TREND_MACHINE = "D-001"
+TREND_MACHINE = "D-001"
 BACKFILL_STATUS, BACKFILL_TS = "IDLE", datetime(2024, 2, 1)
 UPSERT_SINCE = datetime(2024, 1, 15)
 WATERMARK_DELAY = "2 hours"
 
 
-def query(fn: Query) -> Query:
-    def rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = fn(spark, sf_dir)
-        return df.select(*[_portable(df, f) for f in df.schema.fields])
+def query(name: str) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        def rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+            df = fn(spark, sf_dir)
+            return df.select(*[_portable(df, f) for f in df.schema.fields])
 
-    QUERIES[fn.__name__] = rounded
-    return fn
+        QUERIES[name] = rounded
+        return fn
+
+    return register
 
 
 def _portable(df: DataFrame, field: T.StructField):
     if isinstance(field.dataType, T.DoubleType):
         # Adding zero turns a negative zero into a plain one.
-        return (F.round(df[field.name], 6) + F.lit(0.0)).alias(field.name)
+        return (F.round(df[field.name] + F.lit(1e-9), 6) + F.lit(0.0)).alias(field.name)
     if isinstance(field.dataType, T.DecimalType):
         return df[field.name].cast("long").alias(field.name)
     return df[field.name]
@@ -108,150 +111,150 @@ def _accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- staging and marts ------------------------------------------------------------------------
 
-@query
-def stg_sensor_data_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("stg_sensor_data")
+def _stg_sensor_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sensor(spark, sf_dir)
 
 
-@query
-def stg_machine_status_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("stg_machine_status")
+def _stg_machine_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _status(spark, sf_dir)
 
 
-@query
-def stg_work_orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("stg_work_orders")
+def _stg_work_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stg_work_orders(fixtures.work_orders_raw(spark, sf_dir))
 
 
-@query
-def latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("latest_status")
+def _latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.latest_status(_status(spark, sf_dir))
 
 
-@query
-def machine_health_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("machine_health_hourly")
+def _machine_health_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _health(spark, sf_dir)
 
 
-@query
-def machine_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("machine_baselines")
+def _machine_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hl.machine_baselines(_health(spark, sf_dir))
 
 
-@query
-def rolling_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("rolling_features")
+def _rolling_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hl.rolling_features(_health(spark, sf_dir))
 
 
-@query
-def machine_risk_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("machine_risk_hourly")
+def _machine_risk_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _risk(spark, sf_dir)
 
 
-@query
-def machine_risk_hourly_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("machine_risk_hourly_dense")
+def _machine_risk_hourly_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     sensor = stg_sensor_data(fixtures.sensor_dense(spark, sf_dir))
     return hl.machine_risk_hourly(hl.machine_health_hourly(sensor, _status(spark, sf_dir)))
 
 
-@query
-def work_orders_status_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("work_orders_status")
+def _work_orders_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return work_orders_status(stg_work_orders(fixtures.work_orders_raw(spark, sf_dir)))
 
 
-@query
-def key_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("key_coverage")
+def _key_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.key_coverage(_sensor(spark, sf_dir), _status(spark, sf_dir))
 
 
-@query
-def backfill_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("backfill_status")
+def _backfill_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.backfill_status(_sensor(spark, sf_dir), _status(spark, sf_dir), BACKFILL_STATUS, BACKFILL_TS)
 
 
 # ---- exploratory tables -----------------------------------------------------------------------
 
-@query
-def recent_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("recent_sensor")
+def _recent_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ex.recent_sensor(fixtures.sensor_data_raw(spark, sf_dir), AS_OF)
 
 
-@query
-def enrich_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("enrich_sensor")
+def _enrich_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _enriched(spark, sf_dir)
 
 
-@query
-def hourly_features_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("hourly_features_filled")
+def _hourly_features_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ex.hourly_features_filled(_enriched(spark, sf_dir))
 
 
-@query
-def eda_rolling_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("eda_rolling_features")
+def _eda_rolling_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features(_enriched(spark, sf_dir))
 
 
-@query
-def eda_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("eda_baselines")
+def _eda_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ex.eda_baselines(ex.hourly_features_filled(_enriched(spark, sf_dir)))
 
 
-@query
-def sustained_breach_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("sustained_breaches")
+def _sustained_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _breaches(_enriched(spark, sf_dir))
 
 
-@query
-def sustained_breach_runs_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("sustained_breaches_dense")
+def _sustained_breaches_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _breaches(_enriched_dense(spark, sf_dir))
 
 
-@query
-def risk_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("risk_ranking")
+def _risk_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ex.risk_ranking(_features(_enriched(spark, sf_dir)))
 
 
-@query
-def top_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("top_machine")
+def _top_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ex.top_machine(ex.risk_ranking(_features(_enriched(spark, sf_dir))))
 
 
-@query
-def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("correlation_matrix")
+def _correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ex.correlation_matrix(ex.hourly_features_filled(_enriched(spark, sf_dir)))
 
 
-@query
-def scatter_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("scatter_data")
+def _scatter_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ex.scatter_data(ex.hourly_features_filled(_enriched(spark, sf_dir)))
 
 
-@query
-def threshold_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("threshold_trend")
+def _threshold_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = ex.hourly_features_filled(_enriched_dense(spark, sf_dir))
-    return ex.threshold_trend(hourly, ex.eda_baselines(hourly), DENSE_TREND_MACHINE)
+    return ex.threshold_trend(hourly, ex.eda_baselines(hourly), TREND_MACHINE)
 
 
-@query
-def eda_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("eda_summary")
+def _eda_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     enriched = _enriched(spark, sf_dir)
     return ex.eda_summary(enriched, _breaches(enriched), ex.hourly_features_filled(enriched))
 
 
-@query
-def anomalies_by_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("anomalies_by_machine")
+def _anomalies_by_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.anomalies_by_machine(_sensor(spark, sf_dir))
 
 
 # ---- load validation and upserts --------------------------------------------------------------
 
-@query
-def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("row_counts")
+def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintenance.row_counts(_raw(spark, sf_dir))
 
 
-@query
-def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("freshness")
+def _freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
     return maintenance.freshness({
         "sensor_data_raw": (raw["sensor_data_raw"], "timestamp"),
@@ -260,23 +263,23 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-@query
-def latest_sensor_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("latest_sensor_rows")
+def _latest_sensor_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintenance.latest_rows(fixtures.sensor_data_raw(spark, sf_dir), "timestamp")
 
 
-@query
-def latest_status_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("latest_status_rows")
+def _latest_status_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintenance.latest_rows(fixtures.machine_status_raw(spark, sf_dir), "last_updated")
 
 
-@query
-def latest_work_order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("latest_work_order_rows")
+def _latest_work_order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintenance.latest_rows(fixtures.work_orders_raw(spark, sf_dir), "created_at")
 
 
-@query
-def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("upsert_by_key")
+def _upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statuses known by mid January, updated by the statuses reported since."""
     history = _status(spark, sf_dir)
     since = F.lit(UPSERT_SINCE).cast("timestamp_ntz")
@@ -287,146 +290,146 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- dashboard measures -----------------------------------------------------------------------
 
-@query
-def kpi_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("kpi_availability")
+def _kpi_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.kpi_availability(_health(spark, sf_dir))
 
 
-@query
-def kpi_status_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("kpi_status_coverage")
+def _kpi_status_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.kpi_status_coverage(_health(spark, sf_dir))
 
 
-@query
-def kpi_high_risk_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("kpi_high_risk_machines")
+def _kpi_high_risk_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.kpi_high_risk_machines(_risk(spark, sf_dir))
 
 
-@query
-def kpi_avg_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("kpi_avg_risk")
+def _kpi_avg_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.kpi_avg_risk(_risk(spark, sf_dir))
 
 
-@query
-def kpi_rows_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("kpi_rows_in_range")
+def _kpi_rows_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.kpi_rows_in_range(_risk(spark, sf_dir), RANGE_START, RANGE_END)
 
 
-@query
-def kpi_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("kpi_latest")
+def _kpi_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.kpi_latest(_health(spark, sf_dir))
 
 
-@query
-def status_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("status_distribution")
+def _status_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.status_distribution(_health(spark, sf_dir))
 
 
-@query
-def orders_by_machine_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("orders_by_machine_status")
+def _orders_by_machine_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.orders_by_machine_status(work_orders_status(stg_work_orders(fixtures.work_orders_raw(spark, sf_dir))))
 
 
-@query
-def hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("hourly_trend")
+def _hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.hourly_trend(_health(spark, sf_dir))
 
 
-@query
-def risk_by_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("risk_by_machine")
+def _risk_by_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.risk_by_machine(_risk(spark, sf_dir))
 
 
-@query
-def risk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("risk_table")
+def _risk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.risk_table(_risk(spark, sf_dir))
 
 
-@query
-def dim_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("dim_hour")
+def _dim_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.dim_hour(hl.hourly_readings(_sensor(spark, sf_dir)))
 
 
-@query
-def with_dim_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("with_dim_hour")
+def _with_dim_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = hl.hourly_readings(_sensor(spark, sf_dir))
     return kpi.with_dim_hour(facts, kpi.dim_hour(_sensor(spark, sf_dir).select(hl.rules.hour_of(F.col("event_ts")).alias("hour_ts"))))
 
 
 # ---- data quality -----------------------------------------------------------------------------
 
-@query
-def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("dq_not_null")
+def _dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw work orders without a time."""
     return quality.dq_not_null(fixtures.work_orders_raw(spark, sf_dir), "created_at")
 
 
-@query
-def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("dq_unique")
+def _dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw orders that occur more than once."""
     return quality.dq_unique(fixtures.work_orders_raw(spark, sf_dir), "order_id")
 
 
-@query
-def dq_unique_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("dq_unique_health")
+def _dq_unique_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Machine-hours that occur more than once because a machine matched several status rows."""
     return quality.dq_unique(_health(spark, sf_dir), "hour_ts", "machine_id")
 
 
-@query
-def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("dq_accepted_values")
+def _dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw statuses outside the tidy list."""
     return quality.dq_accepted_values(fixtures.machine_status_raw(spark, sf_dir), "status", ["RUNNING", "IDLE", "MAINTENANCE"])
 
 
-@query
-def dq_score_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("dq_score_range")
+def _dq_score_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.dq_range(_risk(spark, sf_dir), "machine_risk_score", 0, 100)
 
 
-@query
-def dq_not_all_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("dq_not_all_unknown")
+def _dq_not_all_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.dq_not_all_unknown(_health(spark, sf_dir))
 
 
-@query
-def run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("run_checks")
+def _run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_checks(_models(spark, sf_dir))
 
 
 # ---- messages and live view -------------------------------------------------------------------
 
-@query
-def parse_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("parse_messages")
+def _parse_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = msg.parse_messages(fixtures.messages(fixtures.table(spark, sf_dir, "events")), F.col("received_at"))
-    return parsed.select("arrival", "parse_error", "raw_message", F.col("payload").isNotNull().alias("is_object"))
+    return parsed.select("arrival", "parse_error", "raw_message", F.col("parse_error").isNull().alias("is_object"))
 
 
-@query
-def validate_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("validate_payload")
+def _validate_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _payloads(fixtures.table(spark, sf_dir, "events"))
     return rows.select("arrival", "machine_id", "timestamp", "temperature", "vibration", "is_valid")
 
 
-@query
-def latest_per_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("latest_per_machine")
+def _latest_per_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.latest_per_machine(_accepted(spark, sf_dir))
 
 
-@query
-def recent_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("recent_messages")
+def _recent_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.recent_messages(_accepted(spark, sf_dir))
 
 
-@query
-def dashboard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("dashboard_rows")
+def _dashboard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.dashboard_rows(dashboard.latest_per_machine(_accepted(spark, sf_dir)))
 
 
 # ---- streams, each run until its input is used up ---------------------------------------------
 
-@query
-def land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("land_stream")
+def _land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages landed as JSON, read back as the raw sensor table."""
     work = work_dir(spark, "land_stream")
     parsed = msg.parse_messages(fixtures.messages(fixtures.event_stream(spark, sf_dir)), F.col("received_at"))
@@ -434,18 +437,21 @@ def land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_sources.load_sensor_raw(spark, f"{work}/landed")
 
 
-@query
-def land_stream_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("land_stream_csv")
+def _land_stream_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages landed as CSV under the union of their keys."""
     work = work_dir(spark, "land_stream_csv")
     parsed = msg.parse_messages(fixtures.messages(fixtures.event_stream(spark, sf_dir)), F.col("received_at"))
     landing.land_stream(parsed, f"{work}/landed", f"{work}/checkpoint", "csv", available_now=True).awaitTermination()
     landed = spark.read.option("header", True).option("escape", '"').csv(f"{work}/landed")
-    return landed.select("machine_id", "parse_error", "raw_message", "temperature", "timestamp", "vibration")
+    return landed.select(
+        "machine_id", "parse_error", "raw_message", "timestamp",
+        F.col("temperature").try_cast("double").alias("temperature"), F.col("vibration").alias("vibration_text"),
+    )
 
 
-@query
-def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("incremental_load")
+def _incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed JSON files loaded once each into a raw table."""
     work = work_dir(spark, "incremental_load")
     readings = fixtures.sensor_data_raw(spark, sf_dir)
@@ -455,24 +461,24 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.read_loaded(spark, f"{work}/raw", schemas.SENSOR_RAW)
 
 
-@query
-def stream_latest_per_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("stream_latest_per_machine")
+def _stream_latest_per_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = work_dir(spark, "stream_latest")
     accepted = msg.split_valid(_payloads(fixtures.event_stream(spark, sf_dir)))[0]
     live.start_versions(live.stream_latest(accepted), f"{work}/table", f"{work}/checkpoint", available_now=True).awaitTermination()
     return live.read_versions(spark, f"{work}/table")
 
 
-@query
-def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("stream_counters")
+def _stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = work_dir(spark, "stream_counters")
     accepted = msg.split_valid(_payloads(fixtures.event_stream(spark, sf_dir)))[0]
     live.start_versions(live.stream_counts(accepted), f"{work}/table", f"{work}/checkpoint", available_now=True).awaitTermination()
     return dashboard.message_counters(live.read_versions(spark, f"{work}/table"))
 
 
-@query
-def stream_health_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("stream_health_hourly")
+def _stream_health_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours closed by the watermark."""
     work = work_dir(spark, "stream_health")
     readings = stg_sensor_data(fixtures.sensor_rows(fixtures.event_stream(spark, sf_dir)))
@@ -484,8 +490,8 @@ def stream_health_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(hours.schema).parquet(f"{work}/table")
 
 
-@query
-def refresh_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("refresh_marts")
+def _refresh_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Risk kept up to date from a stream of readings."""
     work = work_dir(spark, "refresh_marts")
     readings = stg_sensor_data(fixtures.sensor_rows(fixtures.event_stream(spark, sf_dir)))

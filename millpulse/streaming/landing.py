@@ -11,6 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 SENSOR_FIELDS = ("timestamp", "machine_id", "temperature", "vibration")
 ERROR_FIELDS = ("raw_message", "parse_error", "ingested_at")
 FLUSH_SECONDS = 300
+# Cells are written as they are: blanks kept, quotes doubled, nothing for NULL.
+CSV_WRITE_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 DAY_PARTS = {"year": "yyyy", "month": "MM", "day": "dd"}
 
 
@@ -56,36 +63,40 @@ def union_writer(path: str, fmt: str) -> Callable[[DataFrame, int], None]:
     """A batch writer whose columns are the sorted union of the batch's keys."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        error = F.create_map(*[
-            part for name in ERROR_FIELDS for part in (F.lit(name), F.to_variant_object(F.array(name)))
-        ])
-        # A one-element array carries each error text into a variant.
-        error = F.transform_values(error, lambda _, v: F.variant_get(v, "$[0]", "variant"))
-        record = F.when(F.col("payload").isNotNull(), F.col("payload").cast("map<string,variant>")).otherwise(error)
-        records = batch.select(record.alias("record"), *DAY_PARTS).persist()
+        records = batch.select(record_map().alias("record"), *DAY_PARTS).persist()
         try:
-            # The header of the files: key names only, never rows.
-            keys = [row.key for row in records.select(F.explode(F.map_keys("record")).alias("key")).distinct().sort("key").collect()]
+            # Only key names reach the driver: they become the header of the files.
+            found = records.select(F.explode(F.map_keys("record")).alias("key")).distinct().collect()
+            keys = sorted(row.key for row in found)
             if not keys:
                 return
-            cell = csv_text if fmt == "csv" else (lambda value: value)
+            cell = csv_text if fmt == "csv" else lambda value: value
             columns = [cell(F.col("record")[key]).alias(key) for key in keys]
-            days = {f"_{name}": F.col(name) for name in DAY_PARTS}
-            rows = records.withColumns(days).select(*columns, *days) if set(keys) & set(DAY_PARTS) else records.select(*columns, *DAY_PARTS)
-            folders = list(days) if set(keys) & set(DAY_PARTS) else list(DAY_PARTS)
-            rows.write.mode("append").format(fmt).option("header", True).partitionBy(*folders).save(path)
+            records.select(*columns, *DAY_PARTS).write.mode("append").format(fmt).options(**CSV_WRITE_OPTIONS).partitionBy(
+                *DAY_PARTS
+            ).save(path)
         finally:
             records.unpersist()
 
     return write
 
 
+def record_map() -> Column:
+    """The fields of a message, or of its error record, as a map."""
+    error = F.to_json(F.struct(*ERROR_FIELDS))
+    return F.coalesce(
+        F.when(F.col("parse_error").isNull(), F.col("payload").try_cast("map<string,variant>")),
+        F.try_parse_json(error).try_cast("map<string,variant>"),
+    )
+
+
 def csv_text(value: Column) -> Column:
     """A CSV cell: nothing for null, True/False for booleans, JSON for nested values."""
     kind = F.schema_of_variant(value)
     return (
         F.when(kind == "VOID", F.lit(None).cast("string"))
         .when(kind == "BOOLEAN", F.initcap(F.try_variant_get(value, "$", "string")))
+        .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(value, "$", "double").cast("string"))
         .when(kind.rlike("^(OBJECT|ARRAY)"), F.to_json(value))
         .otherwise(F.try_variant_get(value, "$", "string"))
     )

@@ -27,24 +27,24 @@ def batch_limits(max_records: int = 10_000, max_delay_seconds: int = 300) -> dic
 
 
 def parse_messages(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
-    """Add `payload`; a body that is no JSON object is kept as an error record instead.
+    """Add the parsed `payload`; a body that is no JSON object is kept as an error record.
 
     Error records carry `raw_message`, `parse_error` and `ingested_at`.
     """
     when = F.current_timestamp() if ingested_at is None else ingested_at
     text = F.make_valid_utf8(F.col("body").cast("string"))
-    parsed = messages.withColumn("raw_message", text).withColumn("payload", F.try_parse_json("raw_message"))
-    error = (
-        F.when(F.col("payload").isNull(), "invalid_json")
-        .when(~F.schema_of_variant("payload").startswith("OBJECT"), "non_object_json")
-    )
     bad = F.col("parse_error").isNotNull()
     return (
-        parsed.withColumn("parse_error", error)
+        messages.withColumn("raw_message", text)
+        .drop("body")
+        .withColumn("payload", F.try_parse_json("raw_message"))
+        .withColumn(
+            "parse_error",
+            F.when(F.col("payload").isNull(), "invalid_json")
+            .when(~F.schema_of_variant("payload").startswith("OBJECT"), "non_object_json"),
+        )
         .withColumn("ingested_at", F.when(bad, F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")))
         .withColumn("raw_message", F.when(bad, F.col("raw_message")))
-        .withColumn("payload", F.when(~bad, F.col("payload")))
-        .drop("body")
     )
 
 
@@ -81,5 +81,12 @@ def validate_payload(parsed: DataFrame, received_at: Column | None = None) -> Da
 
 
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) rows."""
-    return validated.filter("is_valid"), validated.filter("not is_valid")
+    """(accepted, rejected) rows.
+
+    The rows are kept by a generator, not a filter: a filter would be pushed below the projections
+    and parse every body a second time.
+    """
+    def keep(condition: Column) -> DataFrame:
+        return validated.select(F.inline(F.when(condition, F.array(F.struct("*")))))
+
+    return keep(F.col("is_valid")), keep(~F.col("is_valid"))
