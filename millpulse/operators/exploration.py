@@ -50,8 +50,12 @@ def hourly_features_filled(enriched: DataFrame) -> DataFrame:
     )
     by_hour = Window.partitionBy("machine_id").orderBy("hour_ts")
     last_empty = F.coalesce(F.lead("hour_ts").over(by_hour) - F.expr("INTERVAL 1 HOUR"), F.col("hour_ts"))
-    filled = observed.withColumn("_until", last_empty).withColumn(
-        "_hour", F.explode(F.sequence(F.col("hour_ts"), F.col("_until"), F.expr("INTERVAL 1 HOUR")))
+    # Days first, then hours, so that a stray year builds no very long array.
+    filled = (
+        observed.withColumn("_until", last_empty)
+        .withColumn("_day", F.explode(F.sequence(F.col("hour_ts"), F.col("_until"), F.expr("INTERVAL 1 DAY"))))
+        .withColumn("_day_end", F.least(F.col("_day") + F.expr("INTERVAL 23 HOURS"), F.col("_until")))
+        .withColumn("_hour", F.explode(F.sequence(F.col("_day"), F.col("_day_end"), F.expr("INTERVAL 1 HOUR"))))
     )
     seen = F.col("_hour") == F.col("hour_ts")
     rate = F.coalesce(F.try_divide("anomaly_events", "total_events"), F.lit(0.0))

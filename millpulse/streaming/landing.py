@@ -70,11 +70,19 @@ def union_writer(path: str, fmt: str) -> Callable[[DataFrame, int], None]:
             keys = sorted(row.key for row in found)
             if not keys:
                 return
+            # Keys that differ only by case are different columns.
+            batch.sparkSession.conf.set("spark.sql.caseSensitive", "true")
             cell = csv_text if fmt == "csv" else lambda value: value
             columns = [cell(F.col("record")[key]).alias(key) for key in keys]
-            records.select(*columns, *DAY_PARTS).write.mode("append").format(fmt).options(**CSV_WRITE_OPTIONS).partitionBy(
-                *DAY_PARTS
-            ).save(path)
+            if not set(keys) & set(DAY_PARTS):
+                rows = records.select(*columns, *DAY_PARTS)
+                rows.write.mode("append").format(fmt).options(**CSV_WRITE_OPTIONS).partitionBy(*DAY_PARTS).save(path)
+                return
+            # A key is named like a folder level, so each landing day (one, as a rule) is written by its path.
+            for day in records.select(*DAY_PARTS).distinct().collect():
+                of_day = records.filter(F.struct(*DAY_PARTS) == F.struct(*[F.lit(part) for part in day]))
+                folder = "/".join(f"{name}={part}" for name, part in zip(DAY_PARTS, day))
+                of_day.select(*columns).write.mode("append").format(fmt).options(**CSV_WRITE_OPTIONS).save(f"{path}/{folder}")
         finally:
             records.unpersist()
 

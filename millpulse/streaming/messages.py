@@ -37,7 +37,10 @@ def parse_messages(messages: DataFrame, ingested_at: Column | None = None) -> Da
     return (
         messages.withColumn("raw_message", text)
         .drop("body")
-        .withColumn("payload", F.try_parse_json("raw_message"))
+        .withColumn("_whole", parse_whole(F.col("raw_message")))
+        .withColumn("payload", F.try_variant_get("_whole", "$[0]", "variant"))
+        .withColumn("payload", F.when(F.try_variant_get("_whole", "$[1]", "long") == F.xxhash64("raw_message"), F.col("payload")))
+        .drop("_whole")
         .withColumn(
             "parse_error",
             F.when(F.col("payload").isNull(), "invalid_json")
@@ -48,6 +51,15 @@ def parse_messages(messages: DataFrame, ingested_at: Column | None = None) -> Da
     )
 
 
+def parse_whole(text: Column) -> Column:
+    """The text and its own hash as a two-element JSON array, NULL when that is no JSON.
+
+    The parser stops after the first complete value. With the hash behind the text, anything that
+    follows the value in the text shows up as a missing or different second element.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]")))
+
+
 def validate_payload(parsed: DataFrame, received_at: Column | None = None) -> DataFrame:
     """Add the four typed sensor fields and `is_valid`.
 
