@@ -26,14 +26,14 @@ def recent_messages(messages: DataFrame, n: int = 100, arrival: str = "arrival")
 
 
 def dashboard_rows(latest: DataFrame) -> DataFrame:
-    """Display rows sorted by machine: fixed two decimals and a class for hot machines."""
+    """Display rows in language order of the machine: fixed two decimals and a class for hot machines."""
     return latest.select(
         "machine_id",
         F.when(F.col("temperature") >= MART_ANOMALY_TEMPERATURE, "hot").otherwise("ok").alias("temperature_class"),
         two_decimals(F.col("temperature")).alias("temperature_text"),
         two_decimals(F.col("vibration")).alias("vibration_text"),
         "timestamp",
-    ).orderBy("machine_id")
+    ).orderBy(F.collate("machine_id", "UNICODE"), "machine_id")
 
 
 def message_counters(per_machine: DataFrame) -> DataFrame:

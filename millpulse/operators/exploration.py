@@ -109,20 +109,21 @@ def eda_baselines(hourly: DataFrame) -> DataFrame:
 def risk_ranking(hourly: DataFrame, baselines: DataFrame | None = None) -> DataFrame:
     """The latest hour of each machine with its score, worst first.
 
-    Without given baselines they are computed as window aggregates over the same rows, so the
-    hourly features are read once.
+    Without given baselines they are window aggregates over the same partitioning as the rolling
+    features, so the hourly rows are read and sorted once.
     """
+    machine = Window.partitionBy("machine_id")
+    rows = hourly.withColumn("_next", F.lead("hour_ts").over(machine.orderBy("hour_ts")))
     if baselines is None:
-        machine = Window.partitionBy("machine_id")
         quantile = F.lit(rules.BASELINE_QUANTILE)
-        hourly = _with_thresholds(
-            hourly.withColumn("machine_temp_p95", F.percentile("avg_temperature", quantile).over(machine))
-            .withColumn("machine_vib_p95", F.percentile("avg_vibration", quantile).over(machine))
+        rows = rows.withColumn("machine_temp_p95", F.percentile("avg_temperature", quantile).over(machine)).withColumn(
+            "machine_vib_p95", F.percentile("avg_vibration", quantile).over(machine)
         )
-    latest = Window.partitionBy("machine_id").orderBy(F.col("hour_ts").desc())
-    newest = hourly.withColumn("_rank", F.row_number().over(latest)).filter("_rank = 1").drop("_rank")
-    if baselines is not None:
-        newest = newest.join(baselines, "machine_id", "left")
+    newest = rows.filter(F.col("_next").isNull()).drop("_next")
+    # A global sort first samples its input; without this small shuffle the sample would compute
+    # the features a second time.
+    newest = newest.repartition("machine_id", "hour_ts")
+    newest = _with_thresholds(newest) if baselines is None else newest.join(baselines, "machine_id", "left")
     return (
         newest.withColumn("temp_threshold_breach", rules.points_if(F.col("avg_temperature") > F.col("temp_threshold_baseline")))
         .withColumn("vib_threshold_breach", rules.points_if(F.col("avg_vibration") > F.col("vib_threshold_baseline")))

@@ -83,6 +83,7 @@ def risk_by_machine(risk: DataFrame) -> DataFrame:
     """The highest score each machine reached, worst first."""
     return (
         risk.groupBy("machine_id").agg(F.max("machine_risk_score").alias("machine_risk_score"))
+        .repartition("machine_id", "machine_risk_score")  # the sort samples this, not the risk rows
         .orderBy(F.col("machine_risk_score").desc(), "machine_id")
     )
 

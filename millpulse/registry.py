@@ -19,10 +19,11 @@ from millpulse.operators import dashboard, exploration as ex, health as hl, kpi,
 from millpulse.operators.breaches import sustained_breaches
 from millpulse.operators.orders import work_orders_status
 from millpulse.operators.staging import stg_machine_status, stg_sensor_data, stg_work_orders
-from millpulse.plans.marts import build_models
+from millpulse.plans.exploration import run_exploration
+from millpulse.plans.marts import build_models, write_marts
 from millpulse.session import work_dir
 from millpulse.sources import incremental, raw as raw_sources
-from millpulse.sources.tables import save_table
+from millpulse.sources.tables import CSV_WRITE_OPTIONS, extract_table_to_csv, save_table
 from millpulse.streaming import landing, live, messages as msg
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,8 +52,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
 def _portable(df: DataFrame, field: T.StructField):
     if isinstance(field.dataType, T.DoubleType):
-        # Adding zero turns a negative zero into a plain one.
-        return (F.round(df[field.name] + F.lit(1e-9), 6) + F.lit(0.0)).alias(field.name)
+        return (F.floor((df[field.name] + 1e-9) * 1e6 + 0.5) / 1e6).alias(field.name)
     if isinstance(field.dataType, T.DecimalType):
         return df[field.name].cast("long").alias(field.name)
     return df[field.name]
@@ -278,6 +278,36 @@ def _latest_work_order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintenance.latest_rows(fixtures.work_orders_raw(spark, sf_dir), "created_at")
 
 
+@query("load_work_orders_raw")
+def _load_work_orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Work orders extracted to CSV and loaded back by position."""
+    work = work_dir(spark, "work_orders")
+    columns = schemas.WORK_ORDERS_RAW.fieldNames()
+    extract_table_to_csv(fixtures.work_orders_raw(spark, sf_dir), "work_orders", columns, work, "20240131")
+    return raw_sources.load_work_orders_raw(spark, work)
+
+
+@query("load_machine_status_raw")
+def _load_machine_status_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = work_dir(spark, "machine_status")
+    columns = schemas.MACHINE_STATUS_RAW.fieldNames()
+    extract_table_to_csv(fixtures.machine_status_raw(spark, sf_dir), "machine_status", columns, work, "20240131")
+    return raw_sources.load_machine_status_raw(spark, work)
+
+
+@query("stored_marts")
+def _stored_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The risk mart computed from stored hourly readings and health."""
+    return write_marts(_raw(spark, sf_dir), work_dir(spark, "marts"))["machine_risk_hourly"]
+
+
+@query("stored_exploration")
+def _stored_exploration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking of the last days, computed from stored hourly features."""
+    work = work_dir(spark, "exploration")
+    return run_exploration(fixtures.sensor_data_raw(spark, sf_dir), AS_OF, f"{work}/tables", f"{work}/out")["ranking"]
+
+
 @query("upsert_by_key")
 def _upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statuses known by mid January, updated by the statuses reported since."""
@@ -411,6 +441,12 @@ def _validate_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("arrival", "machine_id", "timestamp", "temperature", "vibration", "is_valid")
 
 
+@query("rejected_payloads")
+def _rejected_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejected = msg.split_valid(_payloads(fixtures.table(spark, sf_dir, "events")))[1]
+    return rejected.select("arrival", "machine_id", "temperature", "vibration", "parse_error")
+
+
 @query("latest_per_machine")
 def _latest_per_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.latest_per_machine(_accepted(spark, sf_dir))
@@ -455,7 +491,8 @@ def _incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed JSON files loaded once each into a raw table."""
     work = work_dir(spark, "incremental_load")
     readings = fixtures.sensor_data_raw(spark, sf_dir)
-    landing.with_landing_day(readings, F.col("timestamp")).write.partitionBy(*landing.DAY_PARTS).json(f"{work}/landed")
+    days = landing.with_landing_day(readings, F.col("timestamp")).write.partitionBy(*landing.DAY_PARTS)
+    days.option("timestampNTZFormat", CSV_WRITE_OPTIONS["timestampNTZFormat"]).json(f"{work}/landed")
     files = f"{work}/landed/{raw_sources.LANDED_SENSOR_FILES}"
     incremental.incremental_load(spark, files, schemas.SENSOR_RAW, f"{work}/raw", f"{work}/checkpoint")
     return incremental.read_loaded(spark, f"{work}/raw", schemas.SENSOR_RAW)

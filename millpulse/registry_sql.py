@@ -20,8 +20,8 @@ K = "json_extract_string(props, '$.k')::int"
 
 
 def r6(value: str) -> str:
-    """Six decimals, decided as in the Spark registry; the added zero drops a negative zero."""
-    return f"round(({value})::double + 1e-9::double, 6) + 0.0::double"
+    """Six decimals, decided as in the Spark registry."""
+    return f"floor((({value})::double + 1e-9::double) * 1e6::double + 0.5::double)::bigint / 1e6::double"
 
 
 def rounded(*columns: str) -> str:
@@ -290,6 +290,9 @@ ORACLE["sustained_breaches_dense"] = statement(f"select {RUN_LIST} from b_dense_
 ORACLE["risk_ranking"] = statement(f"""
 select {FILLED_LIST}, {rounded(*EDA_FEATURES, *EDA_THRESHOLDS)}, temp_threshold_breach, vib_threshold_breach,
        machine_risk_score, machine_risk_level from b_ranking""")
+ORACLE["stored_exploration"] = ORACLE["risk_ranking"].replace(
+    "from b_sensor_raw\n)", "from b_sensor_raw where timestamp >= timestamp '2024-01-31' - interval 7 days\n)", 1
+)
 ORACLE["top_machine"] = statement("""
 select machine_id, machine_risk_score, machine_risk_level from b_ranking
 order by machine_risk_score desc, avg_temperature desc nulls last, machine_id limit 1""")
@@ -333,6 +336,9 @@ ORACLE["latest_status_rows"] = statement(
 ORACLE["latest_work_order_rows"] = statement("""
 select * from b_orders_raw order by created_at desc nulls first, order_id nulls last, machine_id nulls last,
   product_name nulls last, target_quantity nulls last, order_status nulls last limit 10""")
+ORACLE["load_work_orders_raw"] = statement("select * from b_orders_raw")
+ORACLE["load_machine_status_raw"] = statement("select * from b_status_raw")
+ORACLE["stored_marts"] = ORACLE["machine_risk_hourly"]
 BLOCKS["b_before"] = LATEST_STATUS.format("where status_ts < timestamp '2024-01-15'")
 BLOCKS["b_after"] = LATEST_STATUS.format("where status_ts >= timestamp '2024-01-15'")
 ORACLE["upsert_by_key"] = statement("""
@@ -474,6 +480,9 @@ ORACLE["parse_messages"] = statement("""
 select arrival, parse_error, case when parse_error is not null then body end as raw_message, parse_error is null as is_object
 from b_parsed""")
 ORACLE["validate_payload"] = statement(f"select {PAYLOAD_LIST}, is_valid from b_validated")
+ORACLE["rejected_payloads"] = statement(f"""
+select v.arrival, machine_id, {rounded('temperature', 'vibration')}, parse_error
+from b_validated v join b_parsed p on v.arrival = p.arrival where not is_valid""")
 ORACLE["latest_per_machine"] = statement(f"select {PAYLOAD_LIST} from b_live")
 ORACLE["recent_messages"] = statement(
     f"select {PAYLOAD_LIST} from b_validated where is_valid order by arrival desc limit 100"
@@ -506,8 +515,7 @@ select parse_error, case when parse_error is not null then body end as raw_messa
        case json_extract_string(o, '$.vibration') when 'true' then 'True' else json_extract_string(o, '$.vibration') end as vibration_text
 from (select *, case when parse_error is null then j end as o from b_parsed)""")
 ORACLE["incremental_load"] = statement(f"""
-select date_trunc('millisecond', timestamp)::timestamp as timestamp, machine_id, {rounded('temperature', 'vibration')}
-from b_sensor_raw""")
+select timestamp, machine_id, {rounded('temperature', 'vibration')} from b_sensor_raw""")
 ORACLE["stream_latest_per_machine"] = ORACLE["latest_per_machine"]
 ORACLE["stream_counters"] = statement("""
 select count(*) as total_received, count(*) as total_published, count(distinct machine_id) as machine_count

@@ -9,6 +9,16 @@ from pyspark.sql import functions as F
 
 from millpulse import schemas
 
+# Headed CSV with cells as they are: blanks kept, quotes doubled, times to the microsecond.
+CSV_WRITE_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def read_jdbc(spark: SparkSession, table: str, options: Mapping[str, str]) -> DataFrame:
     """A database table; give partitionColumn, bounds and numPartitions to read it in parallel."""
@@ -22,7 +32,7 @@ def extract_table_to_csv(source: DataFrame, name: str, columns: Sequence[str], o
     that remembers files does not read the same rows again.
     """
     path = f"{out}/{name}_{run}.csv"
-    source.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    source.select(*columns).write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
     return path
 
 
@@ -48,7 +58,7 @@ def register_models(models: Mapping[str, DataFrame]) -> None:
 def write_artifacts(results: Mapping[str, DataFrame], out: str) -> None:
     """Write result tables as headed CSV."""
     for name, df in results.items():
-        df.write.mode("overwrite").option("header", True).csv(f"{out}/{name}.csv")
+        df.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(f"{out}/{name}.csv")
 
 
 def save_table(df: DataFrame, path: str, day_of: str | None = None) -> DataFrame:

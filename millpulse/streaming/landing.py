@@ -8,16 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millpulse.sources.tables import CSV_WRITE_OPTIONS
+
 SENSOR_FIELDS = ("timestamp", "machine_id", "temperature", "vibration")
 ERROR_FIELDS = ("raw_message", "parse_error", "ingested_at")
 FLUSH_SECONDS = 300
-# Cells are written as they are: blanks kept, quotes doubled, nothing for NULL.
-CSV_WRITE_OPTIONS = {
-    "header": "true",
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-}
 DAY_PARTS = {"year": "yyyy", "month": "MM", "day": "dd"}
 
 
