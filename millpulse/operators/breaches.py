@@ -29,7 +29,8 @@ def sustained_breaches(
     """
     thresholds = baselines.select("machine_id", "temp_threshold_baseline", F.lit(True).alias("known"))
     flagged = salted_join(
-        enriched.select("machine_id", "event_ts", "temperature"), thresholds, "machine_id", ["event_ts"], "left", salts
+        enriched.select("machine_id", "event_ts", "temperature"),
+        thresholds, "machine_id", ["event_ts", "temperature"], "left", salts,
     ).withColumn(
         "threshold",
         F.when(F.col("known"), F.col("temp_threshold_baseline")).otherwise(F.lit(rules.MIN_TEMPERATURE_THRESHOLD)),
