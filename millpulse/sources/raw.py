@@ -14,8 +14,11 @@ from millpulse.functions.rules import not_nan
 CORRUPT = "_corrupt_record"
 LANDED_SENSOR_FILES = "year=*/month=*/day=*/*.json"
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-# Positional columns behind one header line, optional double quotes.
-CSV_OPTIONS = JSON_OPTIONS | {"header": "true", "enforceSchema": "true", "quote": '"', "escape": '"'}
+# Positional columns behind one header line, optional double quotes. Every column is parsed, or a
+# row with too few cells would count as sound in a query that needs only its first cells.
+CSV_OPTIONS = JSON_OPTIONS | {
+    "header": "true", "enforceSchema": "true", "quote": '"', "escape": '"', "columnPruning": "false",
+}
 
 
 def text_schema(schema: T.StructType) -> T.StructType:
@@ -39,8 +42,13 @@ def typed_columns(schema: T.StructType) -> list[Column]:
 
 
 def _load(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Readable records with typed columns; unreadable records are skipped."""
-    return df.filter(F.col(CORRUPT).isNull()).select(*typed_columns(schema))
+    """Readable records with typed columns; unreadable records are skipped.
+
+    The condition also mentions a data column, because Spark refuses a file query, such as a plain
+    count, that would read nothing but the column of unreadable records.
+    """
+    any_field = F.coalesce(F.col(schema.fieldNames()[0]), F.lit(""))
+    return df.filter(F.concat(F.col(CORRUPT), any_field).isNull()).select(*typed_columns(schema))
 
 
 def load_sensor_raw(spark: SparkSession, path: str, landed_since: date | None = None) -> DataFrame:

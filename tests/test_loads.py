@@ -36,6 +36,7 @@ def test_sensor_files_are_read_tolerantly(spark, work):
     first = (datetime(2024, 3, 1, 0, 0, 0, 250000), "M-1", 80.5, 1.5)
     assert ordered(loaded) == sorted([first, (None, "M-2", None, None), (None, None, None, None), first], key=repr)
     assert rows(raw.load_sensor_raw(spark, work, landed_since=date(2024, 3, 2))) == [first]
+    assert loaded.count() == 4 and loaded.filter("machine_id = 'M-1'").count() == 2
 
 
 def test_csv_exports_are_read_by_position(spark, work):
@@ -48,6 +49,8 @@ def test_csv_exports_are_read_by_position(spark, work):
         ("WO-1", "M-1", 'Widget, "big"', Decimal(13), "OPEN", at(0)), ("WO-2", "M-2", "W", None, "OPEN", None),
     ]
     assert rows(raw.load_machine_status_raw(spark, work)) == [("M-1", "IDLE", at(0))]
+    assert raw.load_work_orders_raw(spark, work).count() == 2
+    assert rows(raw.load_work_orders_raw(spark, work), "created_at") == [(at(0),), (None,)]
 
 
 def test_each_file_is_loaded_once_and_rejects_are_counted(spark, work):
