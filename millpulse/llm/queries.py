@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpulse.llm import packing, preference, quality, sharding
+from millpulse.llm import packing, preference, quality, sharding, toxicity
 from millpulse.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,13 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.format_preferences(turns, preference.with_replaced_answers(turns))
 
 
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
