@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpulse.llm import packing, preference, quality, sharding, toxicity
+from millpulse.llm import bpe, packing, preference, quality, sharding, toxicity
 from millpulse.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
