@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpulse.llm import ann, bpe, html_extract, packing, preference, quality, sharding, toxicity
+from millpulse.llm import ann, bpe, html_extract, jaccard, packing, preference, quality, sharding, toxicity
 from millpulse.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,11 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+@query
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
