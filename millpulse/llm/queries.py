@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpulse.llm import ann, bpe, html_extract, jaccard, packing, preference, quality, sharding, toxicity
+from millpulse.llm import ann, bpe, html_extract, jaccard, lm, packing, preference, quality, sharding, toxicity
 from millpulse.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
