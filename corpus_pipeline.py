@@ -1,31 +1,57 @@
 """The corpus pipeline: toxic documents go, low quality goes, one document of each near-duplicate group stays, and the
-rest is packed into sequences."""
+rest is packed into sequences.
+
+Each stage takes what its predecessor kept and, but for the last, returns the columns of documents. NULL texts count as
+empty; an empty table passes through every stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millpulse.llm import packing, quality
+from millpulse.llm import jaccard, packing, quality, toxicity
 from millpulse.llm.text import table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity models do not predict to be toxic; they learn from the labels of these documents."""
+    scored = toxicity.score(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return scored.where("predicted = 0").select(docs.columns)
+
+
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the current policy of the quality rules keeps."""
     return quality.apply_policy(quality.ledger(docs)).where("kept").select(docs.columns)
 
 
+def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate group; rows that repeat an id count once.
+
+    Rows without an id belong to no group and stay.
+    """
+    grouped = jaccard.near_duplicates(docs.select("doc_id", "text"))
+    stay = grouped.where("doc_id = component_id").select("doc_id")
+    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(docs.columns)
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each remaining document goes."""
     return packing.pack(docs)
 
 
-STAGES = [("quality rules", keep_good_quality), ("best-fit packing", pack_sequences)]
+STAGES = [
+    ("toxicity", drop_toxic), ("quality rules", keep_good_quality), ("n-gram Jaccard join", keep_one_per_group),
+    ("best-fit packing", pack_sequences),
+]
 
-# Toxicity and packing have no SQL form; the whole is tested stage by stage.
+# Neither the toxicity models nor the packing can be stated in SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; the rows of the packing."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
