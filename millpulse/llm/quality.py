@@ -20,11 +20,6 @@ WINDOW = 3
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 
-MEASURES = (
-    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_upper",
-    "n_marked_words",
-)
-
 
 def _repeated_starts(sorted_grams: Column) -> Column:
     """Where windows that occur twice or more begin, in order, from the windows sorted with their positions."""
@@ -67,18 +62,21 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     letters = F.regexp_replace("_solid", r"\P{L}", "")
     staged = staged.withColumn("_letters", letters)
-    out = staged.withColumns({
-        "n_words": F.size("_words").cast("long"),
-        "word_chars": F.length("_solid").cast("long"),
-        "n_symbols": (F.length("_solid") - F.length(F.translate("_solid", SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "n_repeat_words": covered.cast("long"),
-        "n_lines": F.size("_lines").cast("long"),
-        "n_letters": F.length("_letters").cast("long"),
-        "n_upper": F.length(F.regexp_replace("_letters", r"\P{Lu}", "")).cast("long"),
-        "n_marked_words": F.size(F.filter("_words", lambda w: w.rlike(r"[#*$%&|<>!]{2,}$"))).cast("long"),
-    })
-    return out.drop("_words", "_lines", "_solid", "_grams", "_starts", "_letters")
+    measures = {
+        "n_words": F.size("_words"),
+        "word_chars": F.length("_solid"),
+        "n_symbols": F.length("_solid") - F.length(F.translate("_solid", SYMBOLS, "")),
+        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
+        "n_repeat_words": covered,
+        "n_lines": F.size("_lines"),
+        "n_letters": F.length("_letters"),
+        "n_upper": F.length(F.regexp_replace("_letters", r"\P{Lu}", "")),
+        "n_marked_words": F.size(F.filter("_words", lambda w: w.rlike(r"[#*$%&|<>!]{2,}$"))),
+    }
+    # Generated columns stop a filter on the verdict from being pushed down, where it would measure again inside lambdas.
+    row = F.struct(*[value.cast("long").alias(name) for name, value in measures.items()])
+    own = [c for c in docs.columns if c not in measures]
+    return staged.select(*own, F.inline(F.array(row)))
 
 
 @dataclass(frozen=True)
