@@ -28,6 +28,10 @@ def machine_num(machine_id: Column) -> Column:
     return F.regexp_substr(F.upper(machine_id), F.lit("[0-9]+")).try_cast("decimal(38,0)")
 
 
+# Fixed value: the characters that count as blank around a text.
+BLANK = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
+
+
 def strip_whitespace(text: Column) -> Column:
-    """Trim every kind of white space, not only spaces."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Trim every kind of white space, not only the ASCII ones."""
+    return F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")

@@ -31,6 +31,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def accept_repeated_keys(spark: SparkSession) -> SparkSession:
+    """Let JSON objects repeat a key; the last value counts. Otherwise such a text would be no JSON at all."""
+    if spark.conf.get("spark.sql.variant.allowDuplicateKeys") != "true":
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return spark
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run below the cluster's checkpoint folder.
 

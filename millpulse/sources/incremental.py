@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from millpulse import schemas
 from millpulse.sources.raw import CORRUPT, CSV_OPTIONS, JSON_OPTIONS, text_schema, typed_columns
 
 
@@ -21,15 +22,21 @@ def incremental_load(
 ) -> StreamingQuery:
     """Append new files to `target` and stop when there are none left.
 
-    The checkpoint remembers loaded files, and the file sink commits each batch once. Unreadable
-    records go to their own partition of the target in the same pass, so they can be counted.
+    The checkpoint remembers loaded files, and the file sink commits each batch once. Unreadable JSON
+    records go to their own partition of the target in the same pass, so they can be counted. Every
+    CSV row is readable, see `CSV_OPTIONS`.
     """
-    reader = spark.readStream.schema(text_schema(schema)).format(fmt)
-    reader = reader.options(**(JSON_OPTIONS if fmt == "json" else CSV_OPTIONS))
+    reader = spark.readStream.format(fmt)
+    if fmt == "json":
+        reader = reader.schema(text_schema(schema)).options(**JSON_OPTIONS)
+        rejected = F.col(CORRUPT)
+    else:
+        reader = reader.schema(schemas.as_text(schema)).options(**CSV_OPTIONS)
+        rejected = F.lit(None).cast("string")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    state = F.when(F.col(CORRUPT).isNull(), "loaded").otherwise("rejected")
-    rows = reader.load(files).select(*typed_columns(schema), F.col(CORRUPT).alias("rejected_text"), state.alias("load_state"))
+    state = F.when(rejected.isNull(), "loaded").otherwise("rejected")
+    rows = reader.load(files).select(*typed_columns(schema), rejected.alias("rejected_text"), state.alias("load_state"))
     query = (
         rows.writeStream.format("parquet")
         .partitionBy("load_state")

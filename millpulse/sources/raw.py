@@ -12,12 +12,13 @@ from millpulse import schemas
 from millpulse.functions.rules import not_nan
 
 CORRUPT = "_corrupt_record"
-LANDED_SENSOR_FILES = "year=*/month=*/day=*/*.json"
+LANDED_SENSOR_FILES = "year=*/month=*/day=*/*.{json,txt}"  # JSON lines come from the text sink
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-# Positional columns behind one header line, optional double quotes. Every column is parsed, or a
-# row with too few cells would count as sound in a query that needs only its first cells.
-CSV_OPTIONS = JSON_OPTIONS | {
-    "header": "true", "enforceSchema": "true", "quote": '"', "escape": '"', "columnPruning": "false",
+# Positional columns behind one header line, optional double quotes. A quoted cell may hold line breaks, so one
+# file is read by one task; exports are cut into files of bounded size. A row with too few or too many cells is
+# kept: what is missing is NULL, what is too much is ignored.
+CSV_OPTIONS = {
+    "mode": "PERMISSIVE", "header": "true", "enforceSchema": "true", "quote": '"', "escape": '"', "multiLine": "true",
 }
 
 
@@ -82,4 +83,5 @@ def load_machine_status_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _load_csv(spark: SparkSession, files: str, schema: T.StructType) -> DataFrame:
-    return _load(spark.read.schema(text_schema(schema)).options(**CSV_OPTIONS).csv(files), schema)
+    rows = spark.read.schema(schemas.as_text(schema)).options(**CSV_OPTIONS).csv(files)
+    return rows.select(*typed_columns(schema))

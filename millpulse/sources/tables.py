@@ -25,6 +25,9 @@ def read_jdbc(spark: SparkSession, table: str, options: Mapping[str, str]) -> Da
     return spark.read.format("jdbc").options(**options).option("dbtable", table).load()
 
 
+EXPORT_RECORDS = 500_000  # rows of one exported file; a file is loaded by one task
+
+
 def extract_table_to_csv(source: DataFrame, name: str, columns: Sequence[str], out: str, run: str) -> str:
     """Write the named columns as headed CSV under a name that is unique per run.
 
@@ -32,7 +35,8 @@ def extract_table_to_csv(source: DataFrame, name: str, columns: Sequence[str], o
     that remembers files does not read the same rows again.
     """
     path = f"{out}/{name}_{run}.csv"
-    source.select(*columns).write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
+    rows = source.select(*columns).write.mode("overwrite").option("maxRecordsPerFile", EXPORT_RECORDS)
+    rows.options(**CSV_WRITE_OPTIONS).csv(path)
     return path
 
 
@@ -64,11 +68,12 @@ def write_artifacts(results: Mapping[str, DataFrame], out: str) -> None:
 def save_table(df: DataFrame, path: str, day_of: str | None = None) -> DataFrame:
     """Write a table once and return it as read back, so later steps start from the stored rows.
 
-    With `day_of` the rows are stored by the day of that column for pruning.
+    With `day_of` the rows are stored by the day of that column for pruning. They are rebalanced by day first, so a
+    day is one file, or a few when it is large, and not one per task.
     """
     writer = df
     if day_of is not None:
-        writer = df.withColumn("day", F.to_date(day_of))
+        writer = df.withColumn("day", F.to_date(day_of)).hint("rebalance", "day")
     out = writer.write.mode("overwrite")
     (out.partitionBy("day") if day_of is not None else out).parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -27,26 +27,26 @@ def land_stream(
     path: str,
     checkpoint: str,
     fmt: str = "json",
-    fields: Sequence[str] | None = SENSOR_FIELDS,
+    fields: Sequence[str] | None = None,
     by: Column | None = None,
     flush_seconds: int = FLUSH_SECONDS,
     available_now: bool = False,
 ) -> StreamingQuery:
     """Start landing `parsed` messages (see `parse_messages`).
 
-    With named `fields` the JSON file sink is used: each batch is committed exactly once. With
-    `fields=None`, or for CSV, each batch writes the union of the keys it holds; a batch that is
-    retried after a failure may then appear twice. The size of a batch is set at the source, see
-    `batch_limits`.
+    JSON keeps whole records, or only the named `fields`: each message, or its error record, is one line of
+    text, and the file sink commits each batch exactly once. CSV writes each batch under the union of its keys;
+    a batch that is retried after a failure may then appear twice. The size of a batch is set at the source,
+    see `batch_limits`.
     """
     if fmt not in ("json", "csv"):
         raise ValueError("fmt must be 'json' or 'csv'")
     if flush_seconds <= 0:
         raise ValueError("flush_seconds must be positive")
     rows = with_landing_day(parsed, by)
-    if fmt == "json" and fields is not None:
-        known = [F.try_variant_get("payload", f"$.{name}", "variant").alias(name) for name in fields]
-        sink = rows.select(*known, *ERROR_FIELDS, *DAY_PARTS).writeStream.format("json").partitionBy(*DAY_PARTS).option("path", path)
+    if fmt == "json":
+        line = record_json(fields).alias("value")
+        sink = rows.select(line, *DAY_PARTS).writeStream.format("text").partitionBy(*DAY_PARTS).option("path", path)
     else:
         sink = rows.select("payload", *ERROR_FIELDS, *DAY_PARTS).writeStream.foreachBatch(union_writer(path, fmt))
     sink = sink.option("checkpointLocation", checkpoint).outputMode("append")
@@ -54,6 +54,14 @@ def land_stream(
     return sink.start()
 
 
+def record_json(fields: Sequence[str] | None = None) -> Column:
+    """The message as JSON text with all its keys, or the named ones it has; else its error record."""
+    record = F.to_json("payload")
+    if fields is not None:
+        record = F.to_json(F.struct(*[F.try_variant_get("payload", f"$.{name}", "variant").alias(name) for name in fields]))
+    return F.when(F.col("parse_error").isNull(), record).otherwise(F.to_json(F.struct(*ERROR_FIELDS)))
+
+
 def union_writer(path: str, fmt: str) -> Callable[[DataFrame, int], None]:
     """A batch writer whose columns are the sorted union of the batch's keys."""
 

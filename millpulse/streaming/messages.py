@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpulse.functions.coercion import finite, iso_timestamp, number_from_variant
+from millpulse.functions.coercion import finite, known_time, number_from_variant
 from millpulse.functions.ids import strip_whitespace
+from millpulse.session import accept_repeated_keys
 
 
 def read_messages(spark: SparkSession, fmt: str, options: Mapping[str, str], path: str | None = None) -> DataFrame:
@@ -29,8 +30,9 @@ def batch_limits(max_records: int = 10_000, max_delay_seconds: int = 300) -> dic
 def parse_messages(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Add the parsed `payload`; a body that is no JSON object is kept as an error record.
 
-    Error records carry `raw_message`, `parse_error` and `ingested_at`.
+    Error records carry `raw_message`, `parse_error` and `ingested_at`. Of a repeated key the last value counts.
     """
+    accept_repeated_keys(messages.sparkSession)
     when = F.current_timestamp() if ingested_at is None else ingested_at
     text = F.make_valid_utf8(F.col("body").cast("string"))
     bad = F.col("parse_error").isNotNull()
@@ -64,31 +66,31 @@ def validate_payload(parsed: DataFrame, received_at: Column | None = None) -> Da
     """Add the four typed sensor fields and `is_valid`.
 
     The machine id must be non-blank text and both numbers must be readable. A timestamp is kept as
-    given when it is ISO text, otherwise the time of receipt takes its place.
+    given when it names a time, otherwise the time of receipt takes its place.
     """
     when = F.current_timestamp() if received_at is None else received_at
 
-    def field(name: str, data_type: str) -> Column:
-        return F.try_variant_get(F.col("payload"), f"$.{name}", data_type)
+    def text_of(value: str) -> Column:
+        return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
-    def text_field(name: str) -> Column:
-        return F.when(F.schema_of_variant(field(name, "variant")) == "STRING", field(name, "string"))
-
-    machine = F.nullif(strip_whitespace(text_field("machine_id")), F.lit(""))
-    given = text_field("timestamp")
+    fields = ("machine_id", "timestamp", "temperature", "vibration")
+    # Each field is taken out of the payload once; what reads it refers to the column.
+    taken = parsed.withColumns({f"_{name}_given": F.try_variant_get("payload", f"$.{name}", "variant") for name in fields})
+    machine = F.nullif(strip_whitespace(text_of("_machine_id_given")), F.lit(""))
+    given = text_of("_timestamp_given")
     now = F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     return (
-        parsed.withColumn("machine_id", machine)
-        .withColumn("_temperature", number_from_variant(field("temperature", "variant")))
-        .withColumn("_vibration", number_from_variant(field("vibration", "variant")))
-        .withColumn("timestamp", F.when(iso_timestamp(given).isNotNull(), given).otherwise(now))
+        taken.withColumn("machine_id", machine)
+        .withColumn("_temperature", number_from_variant(F.col("_temperature_given")))
+        .withColumn("_vibration", number_from_variant(F.col("_vibration_given")))
+        .withColumn("timestamp", F.when(known_time(given), given).otherwise(now))
         .withColumn("temperature", finite(F.col("_temperature")))
         .withColumn("vibration", finite(F.col("_vibration")))
         .withColumn(
             "is_valid",
             F.col("machine_id").isNotNull() & F.col("_temperature").isNotNull() & F.col("_vibration").isNotNull(),
         )
-        .drop("_temperature", "_vibration")
+        .drop("_temperature", "_vibration", *[f"_{name}_given" for name in fields])
     )
 
 

@@ -42,15 +42,17 @@ def test_sensor_files_are_read_tolerantly(spark, work):
 def test_csv_exports_are_read_by_position(spark, work):
     put(
         f"{work}/work_orders_1.csv",
-        'id,any,names,here,a,b\nWO-1,M-1,"Widget, ""big""",12.7,OPEN,2024-03-01 00:00:00\nWO-2,M-2,W,many,OPEN,bad\nWO-3,short\n',
+        'id,any,names,here,a,b\nWO-1,M-1,"Widget, ""big""",12.7,OPEN,2024-03-01 00:00:00\nWO-2,M-2,W,many,OPEN,bad\nWO-3,short\n'
+        'WO-4,M-4,"two\nlines",1,OPEN,,one,too,many\n',
     )
     put(f"{work}/machine_status_1.csv", "a,b,c\nM-1,IDLE,2024-03-01T00:00:00Z\n")
     assert rows(raw.load_work_orders_raw(spark, work)) == [
         ("WO-1", "M-1", 'Widget, "big"', Decimal(13), "OPEN", at(0)), ("WO-2", "M-2", "W", None, "OPEN", None),
+        ("WO-3", "short", None, None, None, None), ("WO-4", "M-4", "two\nlines", Decimal(1), "OPEN", None),
     ]
     assert rows(raw.load_machine_status_raw(spark, work)) == [("M-1", "IDLE", at(0))]
-    assert raw.load_work_orders_raw(spark, work).count() == 2
-    assert rows(raw.load_work_orders_raw(spark, work), "created_at") == [(at(0),), (None,)]
+    assert raw.load_work_orders_raw(spark, work).count() == 4
+    assert rows(raw.load_work_orders_raw(spark, work), "created_at") == [(at(0),), (None,), (None,), (None,)]
 
 
 def test_each_file_is_loaded_once_and_rejects_are_counted(spark, work):

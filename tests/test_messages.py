@@ -36,6 +36,8 @@ COERCIONS = [
     ("null", 0.0), ("12.5", 12.5), ('"12.5"', 12.5), ('" 12 "', 12.0), ('"1e3"', 1000.0), ('""', 0.0), ('"  "', 0.0),
     ("true", 1.0), ("false", 0.0), ('"0x1A"', 26.0), ('"0b11"', 3.0), ('"0o17"', 15.0), ('"-.5"', -0.5), ('"5."', 5.0),
     ("1e3", 1000.0), ("123456789012", 123456789012.0),
+    ('"0x1234567890abcdef"', float(0x1234567890ABCDEF)), ("[5]", 5.0), ("[]", 0.0), ('["7"]', 7.0), ("[null]", 0.0),
+    ('"\u00a03\u2003"', 3.0),
 ]
 
 
@@ -60,6 +62,7 @@ def test_infinity_is_accepted_but_stored_as_null(spark):
         '"machine_id": "A", "temperature": "1d", "vibration": 1', '"machine_id": "A", "temperature": "NaN", "vibration": 1',
         '"machine_id": 5, "temperature": 1, "vibration": 1', '"machine_id": " \\t", "temperature": 1, "vibration": 1',
         '"temperature": 1, "vibration": 1', '"machine_id": "A", "temperature": "- 5", "vibration": 1',
+        '"machine_id": "\\u00a0", "temperature": 1, "vibration": 1', '"machine_id": "A", "temperature": [true], "vibration": 1',
     ],
 )
 def test_rejected_payloads(spark, fields):
@@ -72,6 +75,23 @@ def test_timestamps_stay_verbatim_or_become_the_time_of_receipt(spark):
     texts = [f'{{"machine_id": "A", "temperature": 1, "vibration": 1, "timestamp": {g}}}' for g in given]
     got = [r[0] for r in rows(msg.validate_payload(msg.parse_messages(bodies(spark, texts)), F.lit(at(0))).orderBy("arrival"), "timestamp")]
     assert got == ["2024-03-01T07:00:00+07:00", "2024-03-01"] + ["2024-03-01T00:00:00.000Z"] * 4
+    common = ["2024-01-01 10:00:00", "Jan 1, 2024 10:00", "2024-01-01T10:00:00+0700", "1/2/2024", "Jan 32, 2024"]
+    texts = [f'{{"machine_id": "A", "temperature": 1, "vibration": 1, "timestamp": "{g}"}}' for g in common]
+    got = [r[0] for r in rows(msg.validate_payload(msg.parse_messages(bodies(spark, texts)), F.lit(at(0))).orderBy("arrival"), "timestamp")]
+    assert got == common[:4] + ["2024-03-01T00:00:00.000Z"]
+
+
+def test_the_last_of_a_repeated_key_counts(spark):
+    texts = ['{"machine_id": "A", "machine_id": "B", "temperature": 1, "vibration": 1}']
+    assert rows(msg.validate_payload(msg.parse_messages(bodies(spark, texts))), "machine_id", "is_valid") == [("B", True)]
+
+
+def test_landing_keeps_keys_beyond_the_four(spark, work, tmp_path):
+    (tmp_path / "in").mkdir()
+    write_lines(f"{work}/in", "a", ['{"machine_id": "A", "temperature": 1, "vibration": 2, "alarm": {"code": [7]}}'])
+    land(spark, work, "json")
+    lines = [json.loads(line) for f in glob.glob(f"{work}/out/*/*/*/*.txt") for line in open(f, encoding="utf-8")]
+    assert lines == [{"machine_id": "A", "temperature": 1, "vibration": 2, "alarm": {"code": [7]}}]
 
 
 def message_stream(spark, folder):
@@ -101,8 +121,8 @@ def test_json_landing_appends_once_and_loads(spark, work, tmp_path):
         [(at(0), "A", 80.5, 1.0), (at(1), "B", 81.0, None), (None, None, None, None)], key=repr
     )
     now = datetime.now(timezone.utc)
-    assert glob.glob(f"{work}/out/year={now:%Y}/month={now:%m}/day=*/*.json")
-    lines = [json.loads(line) for f in glob.glob(f"{work}/out/*/*/*/*.json") for line in open(f, encoding="utf-8")]
+    assert glob.glob(f"{work}/out/year={now:%Y}/month={now:%m}/day=*/*.txt")
+    lines = [json.loads(line) for f in glob.glob(f"{work}/out/*/*/*/*.txt") for line in open(f, encoding="utf-8")]
     error = next(r for r in lines if "parse_error" in r)
     assert error.keys() == {"raw_message", "parse_error", "ingested_at"} and error["raw_message"] == "{"
 
@@ -111,7 +131,7 @@ def test_landing_any_keys(spark, work, tmp_path):
     (tmp_path / "in").mkdir()
     write_lines(f"{work}/in", "a", ['{"b": 1, "B": 2, "a": {"x": [1, 2]}, "day": "d"}', '{"c": null}', "5"])
     land(spark, work, "json", fields=None)
-    lines = [json.loads(line) for f in glob.glob(f"{work}/out/*/*/*/*.json") for line in open(f, encoding="utf-8")]
+    lines = [json.loads(line) for f in glob.glob(f"{work}/out/*/*/*/*.txt") for line in open(f, encoding="utf-8")]
     got = sorted((r for r in lines if "parse_error" not in r), key=str)
     assert {"b": 1, "B": 2, "a": {"x": [1, 2]}, "day": "d"} in got and any("b" not in r for r in got) and len(lines) == 3
 
