@@ -39,7 +39,7 @@ WIDTH = 5
 PERCENT = 75
 LONG = 64  # members from which an inverted list counts as long
 CHUNK = 2_000  # members of a long list in one row
-MAX_BROADCAST_IDS = 500_000  # 8 MB of ids; beyond it documents are joined by a shuffle
+MAX_BROADCAST_IDS = 500_000  # at most 20 MB of ids and prints; beyond it documents are joined by a shuffle
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -286,22 +286,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets(docs).write.parquet(f"{folder}/sets")
     found = spark.read.parquet(f"{folder}/sets")
     indexed = found.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    nodes = indexed.groupBy("print").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    postings = nodes.select("node", "n", F.explode("prefix").alias("hash"))
-    one = F.struct("node", "n")
-    mixed = F.xxhash64("node")
-    lists = postings.groupBy("hash").agg(
-        F.count("*").alias("members"), F.min(one).alias("l0"), F.max(one).alias("l1"),
-        F.min(F.struct(mixed.alias("h"), "node", "n")).alias("l2"), F.max(F.struct(mixed.alias("h"), "node", "n")).alias("l3"),
-    ).where("members > 1")
+    nodes = indexed.groupBy("print").agg(F.min("doc_id").alias("node"))
+    nodes.write.parquet(f"{folder}/nodes")
+    nodes = spark.read.parquet(f"{folder}/nodes")
+    first_copies = F.broadcast(nodes) if nodes.count() <= MAX_BROADCAST_IDS else nodes
+    firsts = indexed.withColumnRenamed("doc_id", "node").join(first_copies, ["node", "print"], "left_semi")
+    # Lists of one member are most of the index; counts alone decide which lists are worth more columns.
+    postings = firsts.select("node", "n", F.explode("prefix").alias("hash"))
+    counts = postings.groupBy("hash").agg(F.count("*").alias("members")).where("members > 1")
+    postings.join(counts, "hash").write.parquet(f"{folder}/shared")
+    shared = spark.read.parquet(f"{folder}/shared")
+    one, mixed = F.struct("node", "n"), F.struct(F.xxhash64("node").alias("h"), "node", "n")
+    lists = shared.groupBy("hash").agg(
+        F.min(one).alias("l0"), F.max(one).alias("l1"), F.min(mixed).alias("l2"), F.max(mixed).alias("l3")
+    )
     leaders = F.array_distinct(F.array(
         F.col("l0"), F.col("l1"), F.struct(F.col("l2.node"), F.col("l2.n")), F.struct(F.col("l3.node"), F.col("l3.n"))
     ))
-    shared = postings.join(lists.select("hash", "members", leaders.alias("leaders")), "hash")
-    shared.write.parquet(f"{folder}/shared")
-    shared = spark.read.parquet(f"{folder}/shared")
 
-    proposed = _proposed(shared)
+    proposed = _proposed(shared.join(lists.select("hash", leaders.alias("leaders")), "hash"))
     proposed.write.parquet(f"{folder}/proposed")
     ranked = Window.partitionBy("a").orderBy(F.desc("c"), "b")
     proposed = spark.read.parquet(f"{folder}/proposed").withColumn("turn", F.row_number().over(ranked))
