@@ -126,7 +126,10 @@ def build_graph(centroids: np.ndarray, degree: int = DEGREE, seed: int = 7) -> C
     # A ring over all centroids makes every one reachable.
     ring = np.stack([(np.arange(n) + 1) % n, (np.arange(n) - 1) % n], 1)
     entries = np.unique(np.linspace(0, n - 1, min(n, 8)).astype(int))
-    return CentroidGraph(centroids, np.concatenate([near, far, ring], 1), entries)
+    links = np.sort(np.concatenate([near, far, ring], 1), axis=1)
+    # A link that is there twice becomes one to the centroid itself, which is known when its links are read.
+    again = np.concatenate([np.zeros((n, 1), bool), links[:, 1:] == links[:, :-1]], 1)
+    return CentroidGraph(centroids, np.where(again, np.arange(n)[:, None], links), entries)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -282,9 +285,8 @@ def search(vectors: DataFrame, k: int = 20, query_modulus: int = 20) -> DataFram
         })
 
     queries = asked_groups.select("query_rep", "vector").mapInArrow(probe, "list int, part int, query_rep long, vector array<double>")
-    n_parts = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in chunks.items() for x in kv if kv[1] > 1]), F.col("list")), F.lit(1)) \
-        if any(n > 1 for n in chunks.values()) else F.lit(1)
-    placed = postings.withColumn("part", F.pmod(F.xxhash64("rep"), n_parts).cast("int"))
+    table = spark.createDataFrame([(c, n) for c, n in chunks.items()], "list int, parts int")  # one row per list
+    placed = postings.join(F.broadcast(table), "list").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).drop("parts")
     near = queries.groupBy("list", "part").cogroup(placed.groupBy("list", "part")).applyInArrow(
         compare, "query_rep long, rep long, score double"
     )
