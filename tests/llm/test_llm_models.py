@@ -194,7 +194,7 @@ def test_very_deep_pages_are_read(spark):
 # ---- toxicity ---------------------------------------------------------------------------------
 
 def toxic_corpus(spark, n=600):
-    draw, rng = vocabulary(7, 3_000), random.Random(8)
+    draw, rng = vocabulary(7, 3_000, "words"), random.Random(8)
     rows, labels = [], []
     for i in range(n):
         ws, toxic = draw(rng.choice([20, 60, 300])), i % 5 == 0
@@ -305,7 +305,7 @@ def test_probabilities_of_a_context_sum_to_one(spark):
 def test_each_stage_keeps_what_it_should(spark, tmp_path):
     docs, labels = toxic_corpus(spark, 300)
     docs = docs.withColumnRenamed("score", "source")
-    extra = [(1_000 + i, "copy " + " ".join(f"q{j}" for j in range(100)), "s") for i in range(3)] + [(2_000, "too short", "s"), (None, None, "s")]
+    extra = [(1_000 + i, "copy " + " ".join(f"quote{j}" for j in range(100)), "s") for i in range(3)] + [(2_000, "too short", "s"), (None, None, "s")]
     docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
