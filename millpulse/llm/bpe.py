@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from millpulse.llm.ship import ship, unpack
+from millpulse.llm.ship import Memo, ship, unpack
 
 CACHED_TOKENS = 300_000
 KEYS_PER_BUCKET = 2
@@ -98,7 +98,7 @@ class Codec:
         self.whole = whole or PerfectHash(tokens)
         self.ranks = {token: i for i, token in enumerate(tokens)}
         self.split = regex.compile(pattern).findall
-        self.cache: dict[str, bytes] = {}
+        self.memo = Memo(self._packed, CACHED_TOKENS)
 
     def __reduce__(self):
         return Codec, (self.tokens, self.pattern, self.whole)
@@ -143,17 +143,8 @@ class Codec:
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers; none for NULL or an empty text."""
-        pretokens = self.split(text or "")
-        cache = self.cache
-        if len(cache) > CACHED_TOKENS:
-            cache.clear()
-        try:
-            return b"".join(map(cache.__getitem__, pretokens))
-        except KeyError:
-            for pretoken in pretokens:
-                if pretoken not in cache:
-                    cache[pretoken] = self._packed(pretoken)
-            return b"".join(map(cache.__getitem__, pretokens))
+        self.memo.trim()
+        return b"".join(map(self.memo.__getitem__, self.split(text or "")))
 
     def decode(self, packed: bytes) -> bytes:
         """The bytes that ids stand for; an id outside the vocabulary is an error."""

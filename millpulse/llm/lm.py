@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millpulse.llm.ship import ship, unpack
+from millpulse.llm.ship import Memo, ship, unpack
 from millpulse.llm.text import crc_remainder
 from millpulse.session import work_dir
 
@@ -32,6 +32,7 @@ CLASSES = 32
 PLACES = 32
 HEAD_WORDS = 200_000  # words whose count every task knows
 SUFFIXES = 4_096
+SUFFIX_BYTES = 3
 ROW_BITS = 14
 STEP = 0.15
 BATCH_TOKENS = 8_192
@@ -52,7 +53,7 @@ def tokens(text: bytes | None) -> list[bytes]:
 @dataclass
 class Model:
     counts: dict[bytes, int]
-    class_of_suffix: dict[str, int]
+    class_of_suffix: dict[bytes, int]
     n_tokens: int
     n_words: int
     ids: dict[bytes, int] = field(default_factory=dict)
@@ -63,38 +64,37 @@ class Model:
     place_bias: np.ndarray | None = None
     class_weights: np.ndarray | None = None
     place_weights: np.ndarray | None = None
-    cache: dict[bytes, tuple[int, int, int]] = field(default_factory=dict)
+    memo: Memo | None = None
 
     def word_class(self, word: bytes) -> int:
-        """Class 0 is the end; others go by the last two characters."""
+        """Class 0 is the end; others go by their last bytes."""
         if not word:
             return 0
-        suffix = word.decode("utf-8", "replace")[-2:]
+        suffix = word[-SUFFIX_BYTES:]
         known = self.class_of_suffix.get(suffix)
-        return 1 + zlib.crc32(suffix.encode()) % (CLASSES - 1) if known is None else known
+        return 1 + zlib.crc32(suffix) % (CLASSES - 1) if known is None else known
 
     def coded(self, word: bytes) -> tuple[int, int, int]:
         """(id as a context, class, place) of a word; words outside the head share an id per class."""
         cls = self.word_class(word)
         return self.ids.get(word, len(self.ids) + cls), cls, self.place_of.get(word, 0)
 
+    def _packed(self, word: bytes) -> int:
+        number, cls, place = self.coded(word)
+        return number << 16 | cls << 8 | place
+
     def encode(self, texts: list[list[bytes]]) -> np.ndarray:
         """Rows id, class, place of all tokens of some texts, each text after three tokens that stand for its start."""
-        cache = self.cache
-        if len(cache) > FLUSH_WORDS:
-            cache.clear()
-        start = (len(self.ids) + CLASSES, 0, 0)
+        if self.memo is None:
+            self.memo = Memo(self._packed, FLUSH_WORDS)
+        self.memo.trim()
+        start = [len(self.ids) + CLASSES << 16] * 3
         out = []
         for words in texts:
-            out += (start, start, start)
-            try:
-                out += list(map(cache.__getitem__, words))
-            except KeyError:
-                for word in words:
-                    if word not in cache:
-                        cache[word] = self.coded(word)
-                out += map(cache.__getitem__, words)
-        return np.array(out, np.int64).T
+            out += start
+            out += map(self.memo.__getitem__, words)
+        packed = np.array(out, np.int64)
+        return np.stack([packed >> 16, packed >> 8 & 0xFF, packed & 0xFF])
 
 
 def _hash(parts: list[np.ndarray], salt: int) -> np.ndarray:
@@ -112,21 +112,29 @@ def feature_rows(coded: np.ndarray, keep: np.ndarray) -> tuple[list[np.ndarray],
     c1, c2, c3 = classes[keep - 1], classes[keep - 2], classes[keep - 3]
     target = classes[keep]
     by_class = [_hash([w1], 1), _hash([w1, w2], 2), _hash([w2], 3), _hash([c1, c2, c3], 4)]
-    by_place = [_hash([w1, target], 5), _hash([c1, c2, target], 6)]
+    by_place = [_hash([w1, target], 5)]
     return by_class, by_place
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
+    """Probabilities, in place. Logits are near log-probabilities, so a cap far above them is all that exp needs."""
+    np.minimum(logits, 40.0, out=logits)
     np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
+    logits *= (1.0 / (logits @ np.ones(logits.shape[1], logits.dtype)))[:, None]
     return logits
 
 
+def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The probability of one outcome of each row."""
+    np.minimum(logits, 40.0, out=logits)
+    np.exp(logits, out=logits)
+    return logits[np.arange(len(at)), at] / (logits @ np.ones(logits.shape[1], logits.dtype))
+
+
 def _logits(bias: np.ndarray, weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    out = weights[rows[0]]
+    out = weights.take(rows[0], axis=0)
     for r in rows[1:]:
-        out += weights[r]
+        out += weights.take(r, axis=0)
     out += bias
     return out
 
@@ -159,11 +167,13 @@ def _descend(weights: np.ndarray, power: np.ndarray, used: np.ndarray, rows: np.
     order = np.argsort(rows.astype(np.uint16), kind="stable")
     ordered = rows[order]
     starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    total = np.add.reduceat(gradient[order], starts, axis=0)
+    total = np.add.reduceat(gradient.take(order, axis=0), starts, axis=0)
     touched = ordered[starts]
     used[touched] += np.diff(np.append(starts, len(rows)))
-    power[touched] += (total * total).mean(1)
-    weights[touched] -= (STEP / np.sqrt(power[touched]))[:, None] * total
+    grown = power[touched] + np.einsum("ij,ij->i", total, total) / total.shape[1]
+    power[touched] = grown
+    total *= (STEP / np.sqrt(grown))[:, None]
+    weights[touched] -= total
 
 
 def _token_batches(model: Model, texts: Iterator[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, list[list[bytes]]]]:
@@ -213,7 +223,9 @@ def count_words(train: DataFrame) -> DataFrame:
 
 
 def _suffix(word: Column) -> Column:
-    return F.when(F.length(word) <= 2, word).otherwise(F.substring(word, -2, 2))
+    """The last bytes of a word, as hexadecimal text."""
+    raw = word.cast("binary")
+    return F.hex(F.when(F.octet_length(raw) <= SUFFIX_BYTES, raw).otherwise(F.substring(raw, -SUFFIX_BYTES, SUFFIX_BYTES)))
 
 
 def prepare(counts: DataFrame) -> Model:
@@ -226,7 +238,7 @@ def prepare(counts: DataFrame) -> Model:
     class_of_suffix = {}
     for row in suffixes.orderBy(F.desc("c"), "suffix").limit(SUFFIXES).collect():
         cls = min(range(1, CLASSES), key=lambda k: (loads[k], k))
-        class_of_suffix[row["suffix"]] = cls
+        class_of_suffix[bytes.fromhex(row["suffix"])] = cls
         loads[cls] += row["c"]
     head = counts.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toArrow()
     names = head["word"].cast(pa.binary()).to_pylist()
@@ -241,9 +253,9 @@ def prepare(counts: DataFrame) -> Model:
             model.place_of[word] = taken[cls]
             totals[cls, taken[cls]] = c
             taken[cls] += 1
-    table = spark.createDataFrame([(s, c) for s, c in class_of_suffix.items()], "suffix string, known int")
+    table = spark.createDataFrame([(s.hex().upper(), c) for s, c in class_of_suffix.items()], "suffix string, known int")
     cls = F.when(F.col("word") == "", 0).otherwise(
-        F.coalesce("known", F.pmod(F.crc32(F.col("suffix").cast("binary")), F.lit(CLASSES - 1)).cast("int") + 1)
+        F.coalesce("known", F.pmod(F.crc32(F.unhex("suffix")), F.lit(CLASSES - 1)).cast("int") + 1)
     )
     by_class = counts.withColumn("suffix", _suffix(F.col("word"))).join(F.broadcast(table), "suffix", "left").groupBy(cls.alias("cls")).agg(
         F.sum("c").alias("n"), F.sum((F.col("c") == 1).cast("long")).alias("once")
@@ -334,9 +346,9 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
                 for at in range(0, len(keep), BATCH_TOKENS):
                     some = keep[at:at + BATCH_TOKENS]
                     by_class, by_place = feature_rows(coded, some)
-                    target, place, row = coded[1][some], coded[2][some], np.arange(len(some))
-                    of_class = _softmax(_logits(held.class_bias, held.class_weights, by_class))[row, target]
-                    of_place = _softmax(_logits(held.place_bias[target], held.place_weights, by_place))[row, place]
+                    target, place = coded[1][some], coded[2][some]
+                    of_class = _chosen(_logits(held.class_bias, held.class_weights, by_class), target)
+                    of_place = _chosen(_logits(held.place_bias[target], held.place_weights, by_place), place)
                     log_p[at:at + len(some)] = np.log10(np.maximum(of_class, 1e-12).astype(float) * np.maximum(of_place, 1e-12))
                 ids = coded[0][keep]
                 inside = ids < n_head
@@ -383,7 +395,6 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Data
     count_words(learned).write.parquet(f"{folder}/counts")
     counts = spark.read.parquet(f"{folder}/counts")
     model = train(learned, prepare(counts))
-    model.cache = {}
     numbered = rows.withColumn("_row", F.monotonically_increasing_id())
     keys = numbered.select("_row", "doc_id", (remainder == held_out).alias("held_out"))
     _scored(numbered, model).write.parquet(f"{folder}/scored")

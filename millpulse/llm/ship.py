@@ -3,11 +3,28 @@
 from __future__ import annotations
 
 import pickle
+from collections.abc import Callable
 
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import SparkSession
 
 
+class Memo(dict):
+    """Values made once per key; `trim` forgets all of them beyond a limit, so that memory stays bounded."""
+
+    def __init__(self, make: Callable, limit: int):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
+
+    def trim(self) -> None:
+        if len(self) > self.limit:
+            self.clear()
+
+
 def ship(spark: SparkSession, model: object) -> Broadcast:
     return spark.sparkContext.broadcast({"pickled": cloudpickle.dumps(model)})
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 import string
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millpulse.llm.ship import ship, unpack
+from millpulse.llm.ship import Memo, ship, unpack
 from millpulse.llm.text import crc_remainder, lower_ascii, words
 
 HELD_OUT_MODULUS, HELD_OUT_REMAINDER = 3, 1
@@ -48,7 +48,7 @@ class Model:
     pair_keys: np.ndarray
     pair_ratios: np.ndarray
     weights: np.ndarray | None = None
-    cache: dict[str, int] = field(default_factory=dict)
+    memo: Memo | None = None
 
     def code(self, word: str) -> int:
         """The longest known expression of a word; 0 when even its shortest beginning is unknown."""
@@ -63,16 +63,10 @@ class Model:
 
     def word_ratios(self, text: str | None) -> np.ndarray:
         tokens = _split(text)
-        cache = self.cache
-        if len(cache) > CACHED_WORDS:
-            cache.clear()
-        try:
-            codes = np.fromiter(map(cache.__getitem__, tokens), np.int64, len(tokens))
-        except KeyError:
-            for token in tokens:
-                if token not in cache:
-                    cache[token] = self.code(token)
-            codes = np.fromiter(map(cache.__getitem__, tokens), np.int64, len(tokens))
+        if self.memo is None:
+            self.memo = Memo(self.code, CACHED_WORDS)
+        self.memo.trim()
+        codes = np.fromiter(map(self.memo.__getitem__, tokens), np.int64, len(tokens))
         ratios = self.ratios[codes]
         ids = self.word_ids[codes]
         if len(self.pair_keys) and len(ids) > 1:
@@ -162,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Mode
         features.append(model.features(row["text"]))
         truth.append(row["toxic"])
     model.weights = _logistic(np.array(features).reshape(-1, 3), np.array(truth, float))
-    model.cache = {}
+    model.memo = None
     by_word.unpersist()
     sample.unpersist()
     return model
