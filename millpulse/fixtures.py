@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from millpulse.session import use_utc
 
 
+ALARMS_SINCE = "2024-01-15"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -18,6 +21,23 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
+def event_files(spark: SparkSession, sf_dir: str, folder: str, n: int = 3) -> DataFrame:
+    """The events, in order of time, as a stream of `n` files that come in one batch each."""
+    events = table(spark, sf_dir, "events")
+    events.repartitionByRange(n, "ts").write.parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def status_shared_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statuses of several lines that share machine numbers, so that one machine matches many of them."""
+    user, kind = F.col("user_id"), F.col("event_type")
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("L"), F.char((F.lit(65) + F.col("event_id") % 4).cast("int")), F.lit("-"), _text(user)).alias("machine_id"),
+        F.when(kind == "error", " maintenance").when(kind == "view", "Idle").otherwise("RUNNING").alias("status"),
+        F.col("ts").alias("last_updated"),
+    )
+
+
 def _text(number: Column) -> Column:
     return number.cast("string")
 
@@ -109,8 +129,10 @@ def messages(events: DataFrame) -> DataFrame:
         return F.concat(F.lit('{"machine_id": '), machine_json, tail, F.lit("}"))
 
     quoted = F.concat(F.lit('"'), machine, F.lit('"'))
+    # From a day on, sound messages carry a key that no table knows.
+    alarm = F.when(F.col("ts") >= ALARMS_SINCE, F.concat(F.lit(', "alarm": "a'), _text(_k()), F.lit('"'))).otherwise("")
     full = F.concat(
-        F.lit(', "timestamp": "'), stamp, F.lit('", "temperature": '), temperature, F.lit(', "vibration": '), vibration
+        F.lit(', "timestamp": "'), stamp, F.lit('", "temperature": '), temperature, F.lit(', "vibration": '), vibration, alarm
     )
     text_and_no_time = F.concat(F.lit(', "temperature": " '), temperature, F.lit(' ", "vibration": true'))
     null_vibration = F.concat(

@@ -36,10 +36,17 @@ def dashboard_rows(latest: DataFrame) -> DataFrame:
     ).orderBy(F.collate("machine_id", "UNICODE"), "machine_id")
 
 
-def message_counters(per_machine: DataFrame) -> DataFrame:
-    """Totals over (machine_id, received, published) counts."""
-    return per_machine.agg(
+def message_counters(per_machine: DataFrame, published: DataFrame) -> DataFrame:
+    """Totals over (machine_id, received, rejected) counts, and the rows of `published`.
+
+    A message is received once it is accepted, and published once the sink has committed it; between the two, or when
+    the sink fails, the totals differ. Machines with accepted messages are counted.
+    """
+    totals = per_machine.agg(
         F.coalesce(F.sum("received"), F.lit(0)).alias("total_received"),
-        F.coalesce(F.sum("published"), F.lit(0)).alias("total_published"),
-        F.count(F.lit(1)).alias("machine_count"),
+        F.coalesce(F.sum("rejected"), F.lit(0)).alias("total_rejected"),
+        F.count_if(F.col("received") > 0).alias("machine_count"),
     )
+    # Two one-row aggregates, folded into one row.
+    both = totals.unionByName(published.agg(F.count(F.lit(1)).alias("total_published")), allowMissingColumns=True)
+    return both.agg(*[F.max(name).alias(name) for name in ("total_received", "total_rejected", "total_published", "machine_count")])

@@ -169,7 +169,8 @@ def scatter_data(hourly: DataFrame, fraction: float | None = None, seed: int = 0
 
 
 def threshold_trend(hourly: DataFrame, baselines: DataFrame, machine_id: str) -> DataFrame:
-    """One machine's hourly temperature beside its threshold, in time order."""
+    """One machine's hourly temperature beside its threshold, in time order; an error for an unknown machine."""
+    require_machine(hourly, machine_id)
     series = hourly.filter(F.col("machine_id") == machine_id).select("hour_ts", "machine_id", "avg_temperature")
     thresholds = baselines.filter(F.col("machine_id") == machine_id).select(
         "machine_id", F.col("temp_threshold_baseline").alias("known_threshold"), F.lit(True).alias("known")

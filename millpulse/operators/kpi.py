@@ -101,28 +101,36 @@ def anomalies_by_machine(sensor: DataFrame) -> DataFrame:
 def dim_hour(facts: DataFrame, hour_column: str = "hour_ts") -> DataFrame:
     """Every hour from the first to the last of the facts, with its date parts."""
     hour = F.col("hour_ts")
-    # Days first, then hours, so that a stray year builds no very long array.
-    days = facts.agg(F.min(hour_column).alias("first"), F.max(hour_column).alias("last")).withColumn(
-        "day", F.explode(F.sequence(rules.day_of(F.col("first")), F.col("last"), F.expr("INTERVAL 1 DAY")))
-    )
+    # Years are spread over the tasks before days and hours are made, so that a stray year neither builds a very
+    # long array nor leaves the calendar to one task.
+    ends = facts.agg(F.min(hour_column).alias("first"), F.max(hour_column).alias("last"))
+    years = ends.select("*", F.explode(F.sequence(F.year("first"), F.year("last"))).alias("_year")).repartition("_year")
+    start = F.make_timestamp_ntz("_year", F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    end = F.make_timestamp_ntz("_year", F.lit(12), F.lit(31), F.lit(23), F.lit(0), F.lit(0))
+    day_range = F.sequence(F.greatest(rules.day_of(F.col("first")), start), F.least("last", end), F.expr("INTERVAL 1 DAY"))
+    days = years.withColumn("day", F.explode(day_range))
     hours = days.withColumn(
         "hour_ts", F.explode(F.sequence(F.col("day"), F.col("day") + F.expr("INTERVAL 23 HOURS"), F.expr("INTERVAL 1 HOUR")))
     ).filter(hour.between(F.col("first"), F.col("last")))
-    return hours.select(
-        "hour_ts",
+    return hours.select("hour_ts", *_hour_parts(hour))
+
+
+def _hour_parts(hour: Column) -> list[Column]:
+    return [
         hour.cast("date").alias("hour_date"),
         F.year(hour).alias("year"),
         F.month(hour).alias("month"),
         F.dayofmonth(hour).alias("day"),
         F.hour(hour).alias("hour_of_day"),
         (F.weekday(hour) + 1).alias("iso_weekday"),
-    )
+    ]
 
 
-def with_dim_hour(facts: DataFrame, dim: DataFrame) -> DataFrame:
-    """Facts joined to the shared hour dimension.
+def with_dim_hour(facts: DataFrame) -> DataFrame:
+    """Facts with the columns of the hour dimension.
 
-    No broadcast is forced: a calendar of a few years is small, and adaptive execution broadcasts it
-    once its size is known.
+    The date parts are functions of the hour, so they are computed in place and nothing is joined. Facts without an
+    hour match no hour of the dimension and drop out.
     """
-    return facts.join(dim, "hour_ts")
+    hour = F.col("hour_ts")
+    return facts.where(hour.isNotNull()).select("*", *_hour_parts(hour))

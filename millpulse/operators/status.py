@@ -66,17 +66,29 @@ def status_matches(machines: DataFrame, latest: DataFrame) -> DataFrame:
     )
 
 
+COPIES_PER_STEP = 1_000
+
+
+def with_status_weight(hourly: DataFrame, latest: DataFrame) -> DataFrame:
+    """Add `current_status` ('UNKNOWN' without a match) and `copies`, how many status rows stand behind it."""
+    return hourly.join(status_matches(hourly, latest), "machine_id", "left").select(
+        *hourly.columns,
+        F.coalesce("status", F.lit("UNKNOWN")).alias("current_status"),
+        F.coalesce("copies", F.lit(1)).cast("long").alias("copies"),
+    )
+
+
+def expand_copies(weighted: DataFrame) -> DataFrame:
+    """One row per copy. Steps and copies within a step are exploded one after the other, so no array grows with the count."""
+    last = F.col("copies") - 1
+    steps = weighted.withColumn("_step", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / COPIES_PER_STEP))))
+    in_step = F.least(F.lit(COPIES_PER_STEP), F.col("copies") - F.col("_step") * COPIES_PER_STEP)
+    return steps.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), in_step))).drop("copies", "_step", "_copy")
+
+
 def attach_current_status(hourly: DataFrame, latest: DataFrame) -> DataFrame:
     """Add `current_status`, one output row per matching status row, 'UNKNOWN' without a match."""
-    matches = status_matches(hourly, latest)
-    return (
-        hourly.join(matches, "machine_id", "left")
-        .withColumn(
-            "current_status",
-            F.explode(F.array_repeat(F.coalesce("status", F.lit("UNKNOWN")), F.coalesce(F.col("copies").cast("int"), F.lit(1)))),
-        )
-        .drop("status", "copies")
-    )
+    return expand_copies(with_status_weight(hourly, latest))
 
 
 def unmatched_machines(sensor: DataFrame, status: DataFrame) -> DataFrame:

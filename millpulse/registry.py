@@ -20,10 +20,11 @@ from millpulse.operators.breaches import sustained_breaches
 from millpulse.operators.orders import work_orders_status
 from millpulse.operators.staging import stg_machine_status, stg_sensor_data, stg_work_orders
 from millpulse.plans.exploration import run_exploration
+from millpulse.plans.ingest import IngestPaths, run_ingest
 from millpulse.plans.marts import build_models, write_marts
 from millpulse.session import work_dir
 from millpulse.sources import incremental, raw as raw_sources
-from millpulse.sources.tables import CSV_WRITE_OPTIONS, extract_table_to_csv, save_table
+from millpulse.sources.tables import CSV_WRITE_OPTIONS, extract_table_to_csv, register_models, save_table
 from millpulse.streaming import landing, live, messages as msg
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +137,27 @@ def _machine_health_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _health(spark, sf_dir)
 
 
+def _health_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = stg_machine_status(fixtures.status_shared_numbers(spark, sf_dir))
+    return hl.machine_health_hourly(_sensor(spark, sf_dir), status)
+
+
+@query("machine_health_hourly_fanout")
+def _machine_health_hourly_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Machines that match the statuses of several others with the same number."""
+    return _health_fanout(spark, sf_dir)
+
+
+@query("machine_risk_hourly_fanout")
+def _machine_risk_hourly_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hl.machine_risk_hourly(_health_fanout(spark, sf_dir))
+
+
+@query("dq_unique_health_fanout")
+def _dq_unique_health_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.dq_unique(_health_fanout(spark, sf_dir), "hour_ts", "machine_id")
+
+
 @query("machine_baselines")
 def _machine_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hl.machine_baselines(_health(spark, sf_dir))
@@ -295,6 +317,53 @@ def _load_machine_status_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_sources.load_machine_status_raw(spark, work)
 
 
+def _two_cycles(spark: SparkSession, sf_dir: str, name: str) -> dict[str, DataFrame]:
+    """Two load cycles: the plant tables are exported and loaded twice, each landed sensor file once."""
+    work = work_dir(spark, name)
+    sources = {"work_orders": fixtures.work_orders_raw(spark, sf_dir), "machine_status": fixtures.machine_status_raw(spark, sf_dir)}
+    paths = IngestPaths(f"{work}/landed", f"{work}/exports", f"{work}/raw", f"{work}/checkpoints")
+    readings = fixtures.sensor_data_raw(spark, sf_dir)
+    halves = (F.dayofmonth("timestamp") <= 15, F.dayofmonth("timestamp") > 15)
+    for run, half in zip(("20240115T00", "20240131T00"), halves):
+        days = landing.with_landing_day(readings.where(half), F.col("timestamp")).write.mode("append").partitionBy(*landing.DAY_PARTS)
+        days.option("timestampNTZFormat", CSV_WRITE_OPTIONS["timestampNTZFormat"]).json(paths.landed_sensor)
+        loaded = run_ingest(spark, sources, paths, run)
+    return loaded
+
+
+@query("ingest_cycles")
+def _ingest_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and the newest time of each raw table after two load cycles."""
+    loaded = _two_cycles(spark, sf_dir, "ingest_cycles")
+    parts = [
+        loaded[name].agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"), F.count_distinct("machine_id").alias("machines"),
+            F.max(column).alias("newest"),
+        )
+        for name, column in (("sensor_data_raw", "timestamp"), ("work_orders_raw", "created_at"), ("machine_status_raw", "last_updated"))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("models_through_views")
+def _models_through_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the registered views of the models."""
+    register_models(_models(spark, sf_dir))
+    return spark.sql("""
+        select machine_id, machine_risk_level, count(*) as risk_rows, sum(h.anomaly_events) as anomaly_events
+        from machine_risk_hourly r join machine_health_hourly h using (hour_ts, machine_id)
+        group by machine_id, machine_risk_level""")
+
+
+@query("written_artifacts")
+def _written_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking of the last days as the exploratory run has written it to CSV."""
+    work = work_dir(spark, "artifacts")
+    ranking = run_exploration(fixtures.sensor_data_raw(spark, sf_dir), AS_OF, f"{work}/tables", f"{work}/out")["ranking"]
+    written = spark.read.option("header", True).option("escape", '"').csv(f"{work}/out/machine_risk_ranking.csv")
+    return written.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ranking.schema.fields])
+
+
 @query("stored_marts")
 def _stored_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The risk mart computed from stored hourly readings and health."""
@@ -382,8 +451,7 @@ def _dim_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("with_dim_hour")
 def _with_dim_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = hl.hourly_readings(_sensor(spark, sf_dir))
-    return kpi.with_dim_hour(facts, kpi.dim_hour(_sensor(spark, sf_dir).select(hl.rules.hour_of(F.col("event_ts")).alias("hour_ts"))))
+    return kpi.with_dim_hour(hl.hourly_readings(_sensor(spark, sf_dir)))
 
 
 # ---- data quality -----------------------------------------------------------------------------
@@ -473,15 +541,28 @@ def _land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_sources.load_sensor_raw(spark, f"{work}/landed")
 
 
+@query("landed_records")
+def _landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole records landed in several batches, below the folder of the day they were received."""
+    work = work_dir(spark, "landed_records")
+    events = fixtures.event_files(spark, sf_dir, f"{work}/events")
+    parsed = msg.parse_messages(fixtures.messages(events), F.col("received_at"))
+    landing.land_stream(parsed, f"{work}/landed", f"{work}/checkpoint", by=F.col("received_at"), available_now=True).awaitTermination()
+    landed = spark.read.text(f"{work}/landed")
+    field = lambda name: F.get_json_object("value", f"$.{name}").alias(name)
+    return landed.select("year", "month", "day", field("machine_id"), field("alarm"), field("parse_error"), field("raw_message"))
+
+
 @query("land_stream_csv")
 def _land_stream_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages landed as CSV under the union of their keys."""
+    """Messages landed as CSV in several batches, each under the union of its keys."""
     work = work_dir(spark, "land_stream_csv")
-    parsed = msg.parse_messages(fixtures.messages(fixtures.event_stream(spark, sf_dir)), F.col("received_at"))
+    events = fixtures.event_files(spark, sf_dir, f"{work}/events")
+    parsed = msg.parse_messages(fixtures.messages(events), F.col("received_at"))
     landing.land_stream(parsed, f"{work}/landed", f"{work}/checkpoint", "csv", available_now=True).awaitTermination()
-    landed = spark.read.option("header", True).option("escape", '"').csv(f"{work}/landed")
+    landed = raw_sources.load_landed_csv(spark, f"{work}/landed")
     return landed.select(
-        "machine_id", "parse_error", "raw_message", "timestamp",
+        "machine_id", "parse_error", "raw_message", "timestamp", "alarm",
         F.col("temperature").try_cast("double").alias("temperature"), F.col("vibration").alias("vibration_text"),
     )
 
@@ -508,10 +589,13 @@ def _stream_latest_per_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_counters")
 def _stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages received and rejected, and those that the landing has committed."""
     work = work_dir(spark, "stream_counters")
-    accepted = msg.split_valid(_payloads(fixtures.event_stream(spark, sf_dir)))[0]
-    live.start_versions(live.stream_counts(accepted), f"{work}/table", f"{work}/checkpoint", available_now=True).awaitTermination()
-    return dashboard.message_counters(live.read_versions(spark, f"{work}/table"))
+    validated = _payloads(fixtures.event_stream(spark, sf_dir))
+    live.start_versions(live.stream_counts(validated), f"{work}/table", f"{work}/checkpoint", available_now=True).awaitTermination()
+    accepted = msg.split_valid(validated)[0]
+    landing.land_stream(accepted, f"{work}/landed", f"{work}/landing", available_now=True).awaitTermination()
+    return dashboard.message_counters(live.read_versions(spark, f"{work}/table"), spark.read.text(f"{work}/landed"))
 
 
 @query("stream_health_hourly")

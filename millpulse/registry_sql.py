@@ -157,6 +157,19 @@ select date_trunc('day', coalesce(created_at, timestamp '1970-01-01'))::timestam
        sum(coalesce(target_quantity, 0))::bigint as target_quantity_sum
 from b_orders where machine_id is not null group by all"""
 
+# Statuses of several lines that share machine numbers.
+BLOCKS["b_fan_raw"] = """
+select 'L' || chr((65 + event_id % 4)::int) || '-' || user_id::varchar as machine_id,
+       case event_type when 'error' then ' maintenance' when 'view' then 'Idle' else 'RUNNING' end as status,
+       ts as last_updated
+from events"""
+BLOCKS["b_fan_status"] = BLOCKS["b_status"].replace("b_status_raw", "b_fan_raw")
+BLOCKS["b_fan_latest"] = BLOCKS["b_latest"].replace("b_status", "b_fan_status")
+BLOCKS["b_fan_health"] = BLOCKS["b_health"].replace("b_latest", "b_fan_latest")
+BLOCKS["b_fan_rolling"] = ROLLING.format("b_fan_health")
+BLOCKS["b_fan_baseline"] = BASELINE.format("b_fan_health")
+BLOCKS["b_fan_risk"] = RISK.format("b_fan_rolling", "b_fan_baseline")
+
 FEATURES = ("rolling_mean_temp_3h", "rolling_std_temp_3h", "rolling_mean_vibration_3h", "rolling_std_vibration_3h",
             "temp_rate_of_change", "vibration_rate_of_change", "anomaly_rate_3h")
 THRESHOLDS = ("machine_temp_p95", "machine_vibration_p95", "temp_threshold_baseline", "vibration_threshold_baseline")
@@ -171,6 +184,8 @@ ORACLE["stg_machine_status"] = statement("select * from b_status")
 ORACLE["stg_work_orders"] = statement("select * from b_orders")
 ORACLE["latest_status"] = statement("select machine_key, machine_num::bigint as machine_num, status from b_latest")
 ORACLE["machine_health_hourly"] = statement(f"select {HEALTH_HEAD} from b_health")
+ORACLE["machine_health_hourly_fanout"] = statement(f"select {HEALTH_HEAD} from b_fan_health")
+ORACLE["machine_risk_hourly_fanout"] = statement(f"select {RISK_LIST} from b_fan_risk")
 ORACLE["machine_baselines"] = statement(
     f"select machine_id, {rounded('machine_temp_p95', 'machine_vibration_p95')} from b_baseline"
 )
@@ -396,6 +411,9 @@ ORACLE["dq_unique"] = statement(
 ORACLE["dq_unique_health"] = statement(
     "select hour_ts, machine_id, count(*) as n_records from b_health group by all having count(*) > 1"
 )
+ORACLE["dq_unique_health_fanout"] = statement(
+    "select hour_ts, machine_id, count(*) as n_records from b_fan_health group by all having count(*) > 1"
+)
 ORACLE["dq_accepted_values"] = statement("""
 select status as value_field, count(*) as n_records from b_status_raw
 where status not in ('RUNNING', 'IDLE', 'MAINTENANCE') group by status""")
@@ -435,7 +453,8 @@ ORACLE["run_checks"] = statement(" union all ".join([
 STAMP = "strftime({0}, '%Y-%m-%dT%H:%M:%S.%g') || 'Z'"
 QUOTED = f"""('"' || {MACHINE} || '"')"""
 TEMPERATURE, VIBRATION = "(70 + value / 4)::varchar", f"(0.2::double + {K} / 40.0::double)::varchar"
-FULL = f"""', "timestamp": "' || {STAMP.format('ts')} || '", "temperature": ' || {TEMPERATURE} || ', "vibration": ' || {VIBRATION} || '}}'"""
+FULL = f"""', "timestamp": "' || {STAMP.format('ts')} || '", "temperature": ' || {TEMPERATURE} || ', "vibration": ' || {VIBRATION}
+    || case when ts >= '2024-01-15' then ', "alarm": "a' || {K} || '"' else '' end || '}}'"""
 BLOCKS["b_messages"] = f"""
 select event_id as arrival, ts as received_at,
   case event_type
@@ -510,17 +529,33 @@ from (
   from (select case when parse_error is null then j end as o from b_parsed))""")
 ORACLE["land_stream_csv"] = statement(f"""
 select parse_error, case when parse_error is not null then body end as raw_message, json_extract_string(o, '$.machine_id') as machine_id,
-       json_extract_string(o, '$.timestamp') as timestamp,
+       json_extract_string(o, '$.timestamp') as timestamp, json_extract_string(o, '$.alarm') as alarm,
        {r6("try_cast(trim(json_extract_string(o, '$.temperature')) as double)")} as temperature,
        case json_extract_string(o, '$.vibration') when 'true' then 'True' else json_extract_string(o, '$.vibration') end as vibration_text
 from (select *, case when parse_error is null then j end as o from b_parsed)""")
+ORACLE["landed_records"] = statement("""
+select year(received_at)::int as year, month(received_at)::int as month, day(received_at)::int as day,
+       json_extract_string(o, '$.machine_id') as machine_id, json_extract_string(o, '$.alarm') as alarm, parse_error,
+       case when parse_error is not null then body end as raw_message
+from (select *, case when parse_error is null then j end as o from b_parsed)""")
 ORACLE["incremental_load"] = statement(f"""
 select timestamp, machine_id, {rounded('temperature', 'vibration')} from b_sensor_raw""")
 ORACLE["stream_latest_per_machine"] = ORACLE["latest_per_machine"]
 ORACLE["stream_counters"] = statement("""
-select count(*) as total_received, count(*) as total_published, count(distinct machine_id) as machine_count
-from b_validated where is_valid""")
+select count(*) filter (is_valid) as total_received, count(*) filter (not is_valid) as total_rejected,
+       count(*) filter (is_valid) as total_published, count(distinct machine_id) filter (is_valid) as machine_count
+from b_validated""")
 ORACLE["stream_health_hourly"] = statement(f"""
 select hour_ts, machine_id, {rounded('avg_temperature', 'avg_vibration')}, anomaly_events, total_events from b_hourly
 where hour_ts + interval 1 hour <= (select max(event_ts) from b_sensor) - interval 2 hours""")
+ORACLE["ingest_cycles"] = statement("""
+select 'sensor_data_raw' as table_name, count(*) as row_count, count(distinct machine_id) as machines, max(timestamp) as newest from b_sensor_raw
+union all
+select 'work_orders_raw', 2 * count(*), count(distinct machine_id), max(created_at) from b_orders_raw
+union all
+select 'machine_status_raw', 2 * count(*), count(distinct machine_id), max(last_updated) from b_status_raw""")
+ORACLE["models_through_views"] = statement("""
+select machine_id, machine_risk_level, count(*) as risk_rows, sum(h.anomaly_events)::bigint as anomaly_events
+from b_risk r join b_health h using (hour_ts, machine_id) group by machine_id, machine_risk_level""")
+ORACLE["written_artifacts"] = ORACLE["stored_exploration"]
 ORACLE["refresh_marts"] = ORACLE["machine_risk_hourly"]

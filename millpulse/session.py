@@ -31,6 +31,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> SparkSession:
+    """Loads turn offsets into times through the session's zone, so any other zone would store other hours."""
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        raise ValueError("set spark.sql.session.timeZone to UTC before loading")
+    return spark
+
+
 def accept_repeated_keys(spark: SparkSession) -> SparkSession:
     """Let JSON objects repeat a key; the last value counts. Otherwise such a text would be no JSON at all."""
     if spark.conf.get("spark.sql.variant.allowDuplicateKeys") != "true":

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millpulse import schemas
+from millpulse.session import require_utc
 from millpulse.sources.raw import CORRUPT, CSV_OPTIONS, JSON_OPTIONS, text_schema, typed_columns
 
 
@@ -26,7 +27,7 @@ def incremental_load(
     records go to their own partition of the target in the same pass, so they can be counted. Every
     CSV row is readable, see `CSV_OPTIONS`.
     """
-    reader = spark.readStream.format(fmt)
+    reader = require_utc(spark).readStream.format(fmt)
     if fmt == "json":
         reader = reader.schema(text_schema(schema)).options(**JSON_OPTIONS)
         rejected = F.col(CORRUPT)

@@ -13,6 +13,7 @@ from millpulse.sources.tables import CSV_WRITE_OPTIONS
 SENSOR_FIELDS = ("timestamp", "machine_id", "temperature", "vibration")
 ERROR_FIELDS = ("raw_message", "parse_error", "ingested_at")
 FLUSH_SECONDS = 300
+MAX_COLUMNS = 2_000  # of one batch of CSV files
 DAY_PARTS = {"year": "yyyy", "month": "MM", "day": "dd"}
 
 
@@ -66,15 +67,19 @@ def union_writer(path: str, fmt: str) -> Callable[[DataFrame, int], None]:
     """A batch writer whose columns are the sorted union of the batch's keys."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        case_sensitive = conf.get("spark.sql.caseSensitive")
         records = batch.select(record_map().alias("record"), *DAY_PARTS).persist()
         try:
-            # Only key names reach the driver: they become the header of the files.
-            found = records.select(F.explode(F.map_keys("record")).alias("key")).distinct().collect()
+            # Key names become the header of the files; messages that use ids as keys would make it endless.
+            found = records.select(F.explode(F.map_keys("record")).alias("key")).distinct().limit(MAX_COLUMNS + 1).collect()
+            if len(found) > MAX_COLUMNS:
+                raise ValueError(f"a batch has more than {MAX_COLUMNS} different keys; land it as JSON")
             keys = sorted(row.key for row in found)
             if not keys:
                 return
             # Keys that differ only by case are different columns.
-            batch.sparkSession.conf.set("spark.sql.caseSensitive", "true")
+            conf.set("spark.sql.caseSensitive", "true")
             cell = csv_text if fmt == "csv" else lambda value: value
             columns = [cell(F.col("record")[key]).alias(key) for key in keys]
             if not set(keys) & set(DAY_PARTS):
@@ -87,6 +92,7 @@ def union_writer(path: str, fmt: str) -> Callable[[DataFrame, int], None]:
                 folder = "/".join(f"{name}={part}" for name, part in zip(DAY_PARTS, day))
                 of_day.select(*columns).write.mode("append").format(fmt).options(**CSV_WRITE_OPTIONS).save(f"{path}/{folder}")
         finally:
+            conf.set("spark.sql.caseSensitive", case_sensitive)
             records.unpersist()
 
     return write

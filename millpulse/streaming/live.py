@@ -41,10 +41,10 @@ def stream_latest(payloads: DataFrame, arrival: str = "arrival") -> DataFrame:
     return payloads.groupBy("machine_id").agg(F.max_by(payload, F.col(arrival)).alias("last")).select("machine_id", "last.*")
 
 
-def stream_counts(payloads: DataFrame) -> DataFrame:
-    """Accepted messages per machine; a stored batch has also been published."""
-    return payloads.groupBy("machine_id").agg(
-        F.count(F.lit(1)).alias("received"), F.count(F.lit(1)).alias("published")
+def stream_counts(validated: DataFrame) -> DataFrame:
+    """Received (accepted) and rejected messages per machine id; rejected ones may have none."""
+    return validated.groupBy("machine_id").agg(
+        F.count_if("is_valid").alias("received"), F.count_if(~F.col("is_valid")).alias("rejected")
     )
 
 

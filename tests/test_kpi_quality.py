@@ -49,7 +49,7 @@ def test_hour_dimension(spark):
     dim = kpi.dim_hour(facts)
     assert [r[0] for r in rows(dim.orderBy("hour_ts"), "hour_ts")] == [at(hours=h) for h in range(50)]
     assert rows(dim.orderBy("hour_ts").limit(1)) == [(START, START.date(), 2024, 3, 1, 0, 5)]
-    assert kpi.with_dim_hour(facts, dim).count() == 2
+    assert kpi.with_dim_hour(facts).count() == 2
 
 
 def orders(spark):

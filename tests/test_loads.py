@@ -55,6 +55,15 @@ def test_csv_exports_are_read_by_position(spark, work):
     assert rows(raw.load_work_orders_raw(spark, work), "created_at") == [(at(0),), (None,), (None,), (None,)]
 
 
+def test_loads_refuse_a_session_in_another_zone(spark, work):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Bangkok")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            raw.load_machine_status_raw(spark, work)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_each_file_is_loaded_once_and_rejects_are_counted(spark, work):
     def load():
         incremental.incremental_load(

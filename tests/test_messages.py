@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from frames import at, ordered, rows
 from millpulse.operators import dashboard
-from millpulse.sources.raw import load_sensor_raw
+from millpulse.sources.raw import load_landed_csv, load_sensor_raw
 from millpulse.streaming import landing, live
 from millpulse.streaming import messages as msg
 
@@ -171,16 +171,35 @@ def test_counters_and_latest_over_several_batches(spark, work, tmp_path):
 
     def run():
         stream = message_stream(spark, f"{work}/in").withColumn("arrival", F.get_json_object("body", "$.temperature").cast("long"))
-        accepted = msg.split_valid(msg.validate_payload(msg.parse_messages(stream)))[0]
-        for name, table in (("latest", live.stream_latest(accepted)), ("counts", live.stream_counts(accepted))):
+        validated = msg.validate_payload(msg.parse_messages(stream))
+        accepted = msg.split_valid(validated)[0]
+        for name, table in (("latest", live.stream_latest(accepted)), ("counts", live.stream_counts(validated))):
             live.start_versions(table, f"{work}/{name}", f"{work}/{name}-checkpoint", available_now=True).awaitTermination()
         return (
             ordered(live.read_versions(spark, f"{work}/latest"), "machine_id", "temperature"),
-            rows(dashboard.message_counters(live.read_versions(spark, f"{work}/counts"))),
+            rows(dashboard.message_counters(live.read_versions(spark, f"{work}/counts"), published)),
         )
 
+    published = spark.range(2)  # a sink that has committed two messages so far
     write_lines(f"{work}/in", "a", [body("A", 1), body("B", 5), "{", body("", 9)])
     write_lines(f"{work}/in", "b", [body("A", 3)])
-    assert run() == ([("A", 3.0), ("B", 5.0)], [(3, 3, 2)])
+    assert run() == ([("A", 3.0), ("B", 5.0)], [(3, 2, 2, 2)])
     write_lines(f"{work}/in", "c", [body("A", 2), body("C", 1)])
-    assert run() == ([("A", 3.0), ("B", 5.0), ("C", 1.0)], [(5, 5, 3)])
+    assert run() == ([("A", 3.0), ("B", 5.0), ("C", 1.0)], [(5, 2, 2, 3)])
+
+
+def test_landed_csv_is_read_by_each_files_header(spark, work, tmp_path):
+    (tmp_path / "in").mkdir()
+    write_lines(f"{work}/in", "a", ['{"b": "1", "a": "two\\nlines"}'])
+    land(spark, work, "csv")
+    write_lines(f"{work}/in", "b", ['{"a": "x", "c": "y"}'])
+    land(spark, work, "csv")
+    assert ordered(load_landed_csv(spark, f"{work}/out"), "a", "b", "c") == sorted([("two\nlines", "1", None), ("x", None, "y")], key=repr)
+
+
+def test_endless_keys_fail_loudly(spark, work, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "MAX_COLUMNS", 3)
+    (tmp_path / "in").mkdir()
+    write_lines(f"{work}/in", "a", ['{"a": 1, "b": 1, "c": 1, "d": 1}'])
+    with pytest.raises(Exception, match="more than 3 different keys"):
+        land(spark, work, "csv")
