@@ -34,12 +34,30 @@ def write_marts(raw: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
 
     Health and risk both start from the stored hourly readings instead of the raw rows.
     """
+    return _write_marts(
+        stg_sensor_data(raw["sensor_data_raw"]), stg_machine_status(raw["machine_status_raw"]),
+        stg_work_orders(raw["work_orders_raw"]), out,
+    )
+
+
+def store_models(raw: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
+    """All models, for steps that read them several times.
+
+    The cleaned statuses, the orders left by the de-duplication and the marts are stored; the cleaned readings stay a
+    view over the raw rows, which are so read once for the marts and once more by whoever asks for them.
+    """
     sensor = stg_sensor_data(raw["sensor_data_raw"])
-    status = stg_machine_status(raw["machine_status_raw"])
+    status = save_table(stg_machine_status(raw["machine_status_raw"]), f"{out}/stg_machine_status")
+    orders = save_table(stg_work_orders(raw["work_orders_raw"]), f"{out}/stg_work_orders")
+    staged = {"stg_sensor_data": sensor, "stg_machine_status": status, "stg_work_orders": orders}
+    return staged | _write_marts(sensor, status, orders, out)
+
+
+def _write_marts(sensor: DataFrame, status: DataFrame, orders: DataFrame, out: str) -> dict[str, DataFrame]:
     hourly = save_table(hourly_readings(sensor), f"{out}/hourly_readings")
     health = save_table(
         attach_current_status(hourly, latest_status(status)).select(HEALTH_COLUMNS), f"{out}/machine_health_hourly", "hour_ts"
     ).drop("day")
     risk = save_table(machine_risk_hourly(health), f"{out}/machine_risk_hourly", "hour_ts").drop("day")
-    orders = save_table(work_orders_status(stg_work_orders(raw["work_orders_raw"])), f"{out}/work_orders_status")
-    return {"machine_health_hourly": health, "machine_risk_hourly": risk, "work_orders_status": orders}
+    daily = save_table(work_orders_status(orders), f"{out}/work_orders_status")
+    return {"machine_health_hourly": health, "machine_risk_hourly": risk, "work_orders_status": daily}

@@ -21,7 +21,7 @@ from millpulse.operators.orders import work_orders_status
 from millpulse.operators.staging import stg_machine_status, stg_sensor_data, stg_work_orders
 from millpulse.plans.exploration import run_exploration
 from millpulse.plans.ingest import IngestPaths, run_ingest
-from millpulse.plans.marts import build_models, write_marts
+from millpulse.plans.marts import build_models, store_models, write_marts
 from millpulse.session import work_dir
 from millpulse.sources import incremental, raw as raw_sources
 from millpulse.sources.tables import CSV_WRITE_OPTIONS, extract_table_to_csv, register_models, save_table
@@ -492,7 +492,8 @@ def _dq_not_all_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("run_checks")
 def _run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.run_checks(_models(spark, sf_dir))
+    """The rules over stored models."""
+    return quality.run_checks(store_models(_raw(spark, sf_dir), work_dir(spark, "run_checks")))
 
 
 # ---- messages and live view -------------------------------------------------------------------
@@ -613,12 +614,12 @@ def _stream_health_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("refresh_marts")
 def _refresh_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Risk kept up to date from a stream of readings."""
+    """Risk kept up to date from a stream of readings that come in several batches."""
     work = work_dir(spark, "refresh_marts")
-    readings = stg_sensor_data(fixtures.sensor_rows(fixtures.event_stream(spark, sf_dir)))
+    readings = stg_sensor_data(fixtures.sensor_rows(fixtures.event_files(spark, sf_dir, f"{work}/events", 5)))
     status = save_table(_status(spark, sf_dir), f"{work}/status")
     (
-        readings.writeStream.foreachBatch(live.mart_refresher(work, status)).option("checkpointLocation", f"{work}/checkpoint")
+        readings.writeStream.foreachBatch(live.mart_refresher(work, status, every=2)).option("checkpointLocation", f"{work}/checkpoint")
         .trigger(availableNow=True).start().awaitTermination()
     )
-    return live.read_risk(spark, work)
+    return live.read_risk(spark, work, every=2)

@@ -10,29 +10,34 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millpulse.functions import rules
 from millpulse.operators.health import HEALTH_COLUMNS, machine_risk_hourly
-from millpulse.operators.status import attach_current_status, latest_status
+from millpulse.operators.status import attach_current_status, latest_status, status_matches
+from millpulse.streaming import state
 
 
-def write_version(path: str) -> Callable[[DataFrame, int], None]:
-    """Store each batch in its own folder; a retried batch replaces its folder."""
+def write_version(path: str, key: str = "machine_id", every: int = state.SNAPSHOT_EVERY) -> Callable[[DataFrame, int], None]:
+    """Store each batch in its own folder, and the newest rows per key in a snapshot now and then."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        state.store_batch(batch, path, batch_id)
+        state.fold(batch.sparkSession, path, batch_id, lambda rows: _newest_rows(rows, key), every)
 
     return write
 
 
+def _newest_rows(rows: DataFrame, key: str) -> DataFrame:
+    newest = Window.partitionBy(key).orderBy(F.col("batch_id").desc())
+    return rows.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
+
+
 def start_versions(rows: DataFrame, path: str, checkpoint: str, available_now: bool = False, every: str = "10 seconds") -> StreamingQuery:
     """Run a keyed aggregation in update mode: every batch stores the keys it changed."""
     writer = rows.writeStream.outputMode("update").foreachBatch(write_version(path)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)).start()
 
 
-def read_versions(spark: SparkSession, path: str, key: str = "machine_id") -> DataFrame:
+def read_versions(spark: SparkSession, path: str, key: str = "machine_id", every: int = state.SNAPSHOT_EVERY) -> DataFrame:
     """The newest stored row per key."""
-    newest = Window.partitionBy(key).orderBy(F.col("batch_id").desc())
-    rows = spark.read.parquet(path)
-    return rows.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank", "batch_id")
+    return _newest_rows(state.read_state(spark, path, state.latest_batch(spark, path), every), key).drop("batch_id")
 
 
 def stream_latest(payloads: DataFrame, arrival: str = "arrival") -> DataFrame:
@@ -81,28 +86,52 @@ def merge_partials(partials: DataFrame) -> DataFrame:
     )
 
 
-def mart_refresher(path: str, status: DataFrame) -> Callable[[DataFrame, int], None]:
-    """A batch function that recomputes risk for the machines in the batch.
+def mart_refresher(path: str, status: DataFrame, every: int = state.SNAPSHOT_EVERY) -> Callable[[DataFrame, int], None]:
+    """A batch function that recomputes risk for the machines in the batch, and for those whose status has changed.
 
     Rolling features look back over a machine's history, which a stream cannot do by itself. The
-    history kept for that is hourly sums per batch, not raw readings.
+    history kept for that is hourly sums, not raw readings: the sums of each batch, added up into a
+    snapshot after every `every` batches, so a batch reads a bounded number of folders.
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        own = f"{path}/partials/batch_id={batch_id}"
-        hourly_partials(batch).write.mode("overwrite").parquet(own)
-        touched = spark.read.parquet(own).select("machine_id").distinct()
-        history = spark.read.parquet(f"{path}/partials").filter(F.col("batch_id") <= batch_id)
+        partials, matches, risk = f"{path}/partials", f"{path}/statuses", f"{path}/risk"
+        state.store_batch(hourly_partials(batch), partials, batch_id)
+        history = state.read_state(spark, partials, batch_id, every)
+        # Which statuses each known machine matches now; a machine is touched by readings or by a change of these.
+        latest = latest_status(status)
+        known = history.select("machine_id").distinct()
+        now = status_matches(known, latest).groupBy("machine_id").agg(
+            F.xxhash64(F.sort_array(F.collect_list(F.struct("status", "copies")))).alias("print")
+        )
+        state.store_batch(now, matches, batch_id)
+        touched = spark.read.parquet(f"{partials}/batches/batch_id={batch_id}").select("machine_id").distinct()
+        if batch_id > 0:
+            before = spark.read.parquet(f"{matches}/batches/batch_id={batch_id - 1}").withColumnRenamed("print", "before")
+            stored = spark.read.parquet(f"{matches}/batches/batch_id={batch_id}")
+            changed = stored.join(before, "machine_id", "full").where(~F.col("print").eqNullSafe(F.col("before")))
+            touched = touched.unionByName(changed.select("machine_id")).distinct()
         hourly = merge_partials(history.join(touched, "machine_id", "left_semi"))
-        health = attach_current_status(hourly, latest_status(status)).select(HEALTH_COLUMNS)
-        machine_risk_hourly(health).write.mode("overwrite").parquet(f"{path}/risk/batch_id={batch_id}")
+        health = attach_current_status(hourly, latest).select(HEALTH_COLUMNS)
+        state.store_batch(machine_risk_hourly(health), risk, batch_id)
+        state.fold(spark, partials, batch_id, _add_partials, every)
+        state.fold(spark, risk, batch_id, _newest_risk, every)
 
     return refresh
 
 
-def read_risk(spark: SparkSession, path: str) -> DataFrame:
-    """Risk rows of each machine from the last batch that touched it."""
-    rows = spark.read.parquet(f"{path}/risk")
+def _add_partials(history: DataFrame) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in history.columns if c not in ("hour_ts", "machine_id", "batch_id")]
+    return history.groupBy("hour_ts", "machine_id").agg(*sums, F.max("batch_id").alias("batch_id"))
+
+
+def _newest_risk(rows: DataFrame) -> DataFrame:
     newest = rows.groupBy("machine_id").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(newest, ["machine_id", "batch_id"], "left_semi").drop("batch_id")
+    return rows.join(newest, ["machine_id", "batch_id"], "left_semi")
+
+
+def read_risk(spark: SparkSession, path: str, every: int = state.SNAPSHOT_EVERY) -> DataFrame:
+    """Risk rows of each machine from the last batch that touched it."""
+    risk = f"{path}/risk"
+    return _newest_risk(state.read_state(spark, risk, state.latest_batch(spark, risk), every)).drop("batch_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from frames import at, ordered, rows, sensor, status
 from millpulse.operators import health as hl
-from millpulse.streaming import live
+from millpulse.streaming import live, state
 
 
 def random_readings(seed, n=300):
@@ -52,11 +52,12 @@ def test_late_rows_of_closed_hours_are_dropped(spark, work):
     assert run() == [(at(0), 1), (at(600), 1)]
 
 
-def test_refreshed_marts_equal_the_batch_result(spark, work):
+@pytest.mark.parametrize("every", [2, 50])
+def test_refreshed_marts_equal_the_batch_result(spark, work, every):
     readings = random_readings(1)
     put_batches(spark, f"{work}/in", readings, 4)
     history = status(spark, [("M-1", "RUNNING", 0), ("M2", "IDLE", 0)])
-    refresh = live.mart_refresher(work, history)
+    refresh = live.mart_refresher(work, history, every)
     batches = []
 
     def counted(batch, batch_id):
@@ -75,7 +76,28 @@ def test_refreshed_marts_equal_the_batch_result(spark, work):
         exact = df.select("hour_ts", "machine_id", "current_status", "total_events", "anomaly_events", "machine_risk_score", "machine_risk_level")
         return ordered(exact)
 
-    got = live.read_risk(spark, work)
+    got = live.read_risk(spark, work, every)
     assert comparable(got) == comparable(batch)
     means = [sorted(r[0] for r in rows(df, "rolling_mean_temp_3h")) for df in (got, batch)]
     assert means[0] == pytest.approx(means[1])
+
+
+def test_a_status_change_is_seen_without_new_readings(spark, work):
+    calm = sensor(spark, [(0, "M-1", 80.0, 1.0), (0, "M-2", 80.0, 1.0)])
+    live.mart_refresher(work, status(spark, [("M-1", "IDLE", 0)]), 2)(calm, 0)
+    changed = status(spark, [("M-1", "IDLE", 0), ("M-1", "RUNNING", 5), ("M-2", "IDLE", 5)])
+    live.mart_refresher(work, changed, 2)(sensor(spark, [(60, "M-3", 80.0, 1.0)]), 1)
+    assert ordered(live.read_risk(spark, work, 2), "machine_id", "current_status") == [("M-1", "RUNNING"), ("M-2", "IDLE"), ("M-3", "UNKNOWN")]
+
+
+def test_folders_read_do_not_grow_with_batches(spark, work):
+    every = 3
+    for batch_id in range(10):
+        rows_of = spark.createDataFrame([("A", batch_id), (f"M{batch_id}", 0)], "machine_id string, n int")
+        for _ in range(2 if batch_id in (2, 5) else 1):  # a retried last batch of a round writes the same snapshot
+            live.write_version(f"{work}/v", every=every)(rows_of, batch_id)
+        state_rows = state.read_state(spark, f"{work}/v", batch_id, every)
+        folders = {f.rsplit("/", 2)[1] for f in state_rows.inputFiles()}
+        assert len(folders) <= every + 1
+        newest = {r.machine_id: r.n for r in live.read_versions(spark, f"{work}/v", every=every).collect()}
+        assert newest == {"A": batch_id} | {f"M{i}": 0 for i in range(batch_id + 1)}
