@@ -7,8 +7,9 @@ Let T(n) = ceil(0.75 n): linked documents share at least T shingles. Sorted by h
 a pair all lie among the first n - T(n) + k(n) of either set, so only these prefixes are indexed, and a pair must share
 at least k of the smaller document there. The search goes in two steps.
 
-* Each inverted list proposes a few of its members as leaders. A document that shares enough lists with a leader is
-  compared with it. Groups of near copies so become components with one comparison per member, never all pairs.
+* Each inverted list proposes a few of its members as leaders, and in a second turn a few of its largest component. A
+  document that shares enough lists with a leader is compared with it. Groups of near copies so become components with
+  a few comparisons per member, never all pairs.
 * What is left are pairs of different components. Lists whose members are all of one component are dropped. Every
   document fetches its remaining lists, heap-merges the short ones, probes the long ones by binary search (DivideSkip),
   and keeps the documents that reach the required count; exact sets then decide. A list longer than LONG is fetched only
@@ -37,6 +38,8 @@ from millpulse.session import work_dir
 
 WIDTH = 5
 PERCENT = 75
+LEADERS = 4  # members of each list that the others are compared with first
+LATE_LEADERS = 6  # of the largest component, for those not joined by then
 LONG = 64  # members from which an inverted list counts as long
 CHUNK = 2_000  # members of a long list in one row
 MAX_BROADCAST_IDS = 500_000  # at most 20 MB of ids and prints; beyond it documents are joined by a shuffle
@@ -106,6 +109,26 @@ def shared_in_prefix(n: int) -> int:
     return min(required(n), 2 + n // 16)
 
 
+def prefix_length(n: int) -> int:
+    return n - required(n) + shared_in_prefix(n)
+
+
+def needed(n: int, m: int) -> int:
+    """How many shingles two sets of n and m that link must share inside their prefixes.
+
+    The shared shingles that are missing in the prefixes lie behind the end of the prefix that ends first, so they are at
+    most as many as that set has left there.
+    """
+    overlap = -(-PERCENT * (n + m) // (100 + PERCENT))
+    return max(shared_in_prefix(min(n, m)), overlap - max(n - prefix_length(n), m - prefix_length(m)))
+
+
+def _needed(n: Column, m: Column) -> Column:
+    overlap = F.ceil((n + m) * PERCENT / (100 + PERCENT)).cast("int")
+    left = lambda x: _required(x) - _shared_in_prefix(x)
+    return F.greatest(_shared_in_prefix(F.least(n, m)), overlap - F.greatest(left(n), left(m)))
+
+
 def _required(n: Column) -> Column:
     return F.ceil(n * PERCENT / 100).cast("int")
 
@@ -126,7 +149,7 @@ def sets(docs: DataFrame) -> DataFrame:
                 found = shingle_set(text.as_py(), powers)
                 n.append(len(found))
                 prints.append(xxhash.xxh3_128_digest(found.tobytes()))
-                prefixes.append(found[:len(found) - required(len(found)) + shared_in_prefix(len(found))])
+                prefixes.append(found[:prefix_length(len(found))])
             lengths = np.concatenate(([0], np.cumsum([len(p) for p in prefixes], dtype=np.int64)))
             values = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([
@@ -205,25 +228,48 @@ def t_occurrence(lists: list[list[int]], needed: int) -> dict[int, int]:
     return found
 
 
-def _proposed(shared: DataFrame) -> DataFrame:
-    """(a, b, c): each node with the leaders it shares enough lists with, c of them."""
-    leaders = shared.select("node", "n", F.explode("leaders").alias("leader")).where(F.col("leader.node") != F.col("node"))
+def _proposed(rows: DataFrame) -> DataFrame:
+    """(a, b, c): each node of `rows` (node, n, leaders per list) with the leaders it shares enough lists with, c of them."""
+    leaders = rows.select("node", "n", F.explode("leaders").alias("leader")).where(F.col("leader.node") != F.col("node"))
     counted = leaders.groupBy(F.col("node").alias("a"), F.col("leader.node").alias("b")).agg(
         F.count("*").alias("c"), F.first("n").alias("n"), F.first("leader.n").alias("m")
     )
-    enough = F.col("c") >= _shared_in_prefix(F.least("n", "m"))
-    return counted.where(enough & _close_sizes(F.col("n"), F.col("m")))
+    return counted.where(_close_sizes(F.col("n"), F.col("m")) & (F.col("c") >= _needed(F.col("n"), F.col("m")))).select("a", "b", "c")
 
 
-def _remaining(shared: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
-    """Pairs (a, b) of different components that reach the required count in their prefixes, by T-occurrence search."""
-    spark = shared.sparkSession
+def _leaders(rows: DataFrame, salts: range, eligible: Column | None = None) -> DataFrame:
+    """(hash, leaders): of each list the members with the smallest hash of their id, one for each salt."""
+    def least(salt: int) -> Column:
+        member = F.struct(F.xxhash64("node", F.lit(salt)).alias("h"), "node", "n")
+        return F.min(member if eligible is None else F.when(eligible, member)).alias(f"l{salt}")
+
+    chosen = F.array_distinct(F.array(*[F.struct(F.col(f"l{s}.node"), F.col(f"l{s}.n")) for s in salts]))
+    return rows.groupBy("hash").agg(*[least(s) for s in salts]).select("hash", chosen.alias("leaders"))
+
+
+def _open_rows(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of lists whose members are of several components, with the component (`group`) of each member and the
+    largest one of the list (`most`). Components are in order of size, then name."""
     labels = labels.join(labels.groupBy("component").agg(F.count("*").alias("size")), "component")
-    rows = shared.select("node", "n", "hash", "members").join(labels, "node", "left")
+    rows = shared.join(labels, "node", "left")
     rows = rows.withColumn("group", F.struct(F.coalesce("size", F.lit(1)).alias("size"), F.coalesce("component", "node").alias("component")))
     rows = rows.drop("component", "size")
-    open_lists = rows.groupBy("hash").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least <> most")
-    rows = rows.join(open_lists.select("hash", "most"), "hash")
+    lists = rows.groupBy("hash").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least <> most")
+    return rows.join(lists.select("hash", "most"), "hash")
+
+
+def _proposed_again(shared: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
+    """Pairs of documents that no leader has joined with other leaders, from the largest component of each list."""
+    _open_rows(shared, labels).write.parquet(f"{folder}-rows")
+    rows = shared.sparkSession.read.parquet(f"{folder}-rows")
+    leaders = _leaders(rows, range(LEADERS, LEADERS + LATE_LEADERS), F.col("group") == F.col("most"))
+    return _proposed(rows.where("group <> most").join(leaders, "hash")).select("a", "b")
+
+
+def _remaining(shared: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
+    """Pairs (a, b) of different components that reach the required count in their prefixes, by T-occurrence search."""
+    spark = shared.sparkSession
+    rows = _open_rows(shared, labels)
     # Documents whose long lists alone might hold all shared shingles of a pair.
     is_long = F.col("members") > LONG
     by_node = rows.groupBy("node").agg(
@@ -258,10 +304,11 @@ def _remaining(shared: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
                 least = shared_in_prefix(required(row["n"]))
                 lists = [sorted(x["node"] for x in members) for members in row["lists"]]
                 for other, count in t_occurrence(lists, max(1, least - unfetched)).items():
-                    if count + unfetched >= shared_in_prefix(min(row["n"], sizes[other])):
+                    wanted = needed(row["n"], sizes[other])
+                    if count + unfetched >= wanted:
                         out[0].append(row["node"])
                         out[1].append(other)
-                        out[2].append(0 if row["heavy"] else shared_in_prefix(min(row["n"], sizes[other])) - count)
+                        out[2].append(0 if row["heavy"] else wanted - count)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32())], names=["a", "b", "missing"]
             )
@@ -296,15 +343,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     counts = postings.groupBy("hash").agg(F.count("*").alias("members")).where("members > 1")
     postings.join(counts, "hash").write.parquet(f"{folder}/shared")
     shared = spark.read.parquet(f"{folder}/shared")
-    one, mixed = F.struct("node", "n"), F.struct(F.xxhash64("node").alias("h"), "node", "n")
-    lists = shared.groupBy("hash").agg(
-        F.min(one).alias("l0"), F.max(one).alias("l1"), F.min(mixed).alias("l2"), F.max(mixed).alias("l3")
-    )
-    leaders = F.array_distinct(F.array(
-        F.col("l0"), F.col("l1"), F.struct(F.col("l2.node"), F.col("l2.n")), F.struct(F.col("l3.node"), F.col("l3.n"))
-    ))
-
-    proposed = _proposed(shared.join(lists.select("hash", leaders.alias("leaders")), "hash"))
+    proposed = _proposed(shared.join(_leaders(shared, range(LEADERS)), "hash"))
     proposed.write.parquet(f"{folder}/proposed")
     ranked = Window.partitionBy("a").orderBy(F.desc("c"), "b")
     proposed = spark.read.parquet(f"{folder}/proposed").withColumn("turn", F.row_number().over(ranked))
@@ -313,6 +352,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = proposed.where("turn > 1").join(linked, "a", "left_anti").select("a", "b")
     links = first.unionByName(verified(docs, rest, f"{folder}/second"))
     labels = connected(links)
+    links = links.unionByName(verified(docs, _proposed_again(shared, labels, f"{folder}/again"), f"{folder}/later"))
+    labels = connected(links)
     found_late = verified(docs, _remaining(shared, labels, f"{folder}/open"), f"{folder}/third")
     labels = connected(links.unionByName(found_late)).withColumnRenamed("component", "component_id")
 
