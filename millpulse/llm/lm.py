@@ -19,8 +19,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millpulse.llm.ship import Memo, ship, unpack
 from millpulse.llm.text import crc_remainder
@@ -339,7 +340,7 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
         log_base, log_rest = held.facts
         n_head = len(held.ids)
         for batch in batches:
-            texts = [tokens(x.as_py()) for x in batch.column(1).cast(pa.binary())]
+            texts = [tokens(x.as_py()) for x in batch.column(3).cast(pa.binary())]
             n_tokens, base, score, n_head_tokens, tails = [], [], [], [], []
             for coded, keep, group in _token_batches(held, iter(texts)):
                 log_p = np.empty(len(keep))
@@ -371,13 +372,18 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
                     times = Counter(words[i] for i in outside)
                     tails.append([{"word": w.decode(), "cls": held.word_class(w), "times": n} for w, n in times.items()])
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(n_head_tokens, pa.int64()), pa.array(base, pa.float64()),
+                *batch.columns[:3], pa.array(n_tokens, pa.int64()), pa.array(n_head_tokens, pa.int64()), pa.array(base, pa.float64()),
                 pa.array(score, pa.float64()),
                 pa.array(tails, pa.list_(pa.struct([("word", pa.string()), ("cls", pa.int32()), ("times", pa.int32())]))),
-            ], names=["_row", "n_tokens", "n_head", "base_part", "score_part", "tail"])
-
-    schema = "_row long, n_tokens long, n_head long, base_part double, score_part double, tail array<struct<word:string,cls:int,times:int>>"
-    out = docs.select("_row", "text").mapInArrow(run, schema)
+            ], names=["_row", "doc_id", "held_out", "n_tokens", "n_head", "base_part", "score_part", "tail"])
+
+    rows = docs.select("_row", "doc_id", "held_out", "text")
+    tail = T.StructType([T.StructField("word", T.StringType()), T.StructField("cls", T.IntegerType()), T.StructField("times", T.IntegerType())])
+    schema = T.StructType([
+        *rows.schema.fields[:3], T.StructField("n_tokens", T.LongType()), T.StructField("n_head", T.LongType()),
+        T.StructField("base_part", T.DoubleType()), T.StructField("score_part", T.DoubleType()), T.StructField("tail", T.ArrayType(tail)),
+    ])
+    out = rows.mapInArrow(run, schema)
     return out.withColumn("base_part", F.col("base_part") - F.col("n_tokens") * math.log10(base_total))
 
 
@@ -395,8 +401,7 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Data
     count_words(learned).write.parquet(f"{folder}/counts")
     counts = spark.read.parquet(f"{folder}/counts")
     model = train(learned, prepare(counts))
-    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
-    keys = numbered.select("_row", "doc_id", (remainder == held_out).alias("held_out"))
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("held_out", remainder == held_out)
     _scored(numbered, model).write.parquet(f"{folder}/scored")
     scored = spark.read.parquet(f"{folder}/scored")
     table = spark.createDataFrame(
@@ -411,7 +416,7 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Data
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("tail_known"),
     )
     zero = F.lit(0)
-    out = keys.join(scored.drop("tail"), "_row").join(sums, "_row", "left")
+    out = scored.drop("tail").join(sums, "_row", "left")
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_head") + F.coalesce("tail_known", zero)).cast("long").alias("n_known"),
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),
