@@ -16,6 +16,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -341,7 +342,8 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
         n_head = len(held.ids)
         for batch in batches:
             texts = [tokens(x.as_py()) for x in batch.column(3).cast(pa.binary())]
-            n_tokens, base, score, n_head_tokens, tails = [], [], [], [], []
+            n_tokens, base, score, n_head_tokens = [], [], [], []
+            tail_words, tail_times, tail_ends = [], [], [0]
             for coded, keep, group in _token_batches(held, iter(texts)):
                 log_p = np.empty(len(keep))
                 for at in range(0, len(keep), BATCH_TOKENS):
@@ -364,17 +366,22 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
                 head_tokens = np.add.reduceat(inside.astype(int), starts)
                 n_head_tokens += head_tokens.tolist()
                 n_tokens += lengths.tolist()
-                for words, start, n_in in zip(group, starts, head_tokens):
-                    if n_in == len(words):
-                        tails.append([])
-                        continue
-                    outside = np.flatnonzero(~inside[start:start + len(words)])
-                    times = Counter(words[i] for i in outside)
-                    tails.append([{"word": w.decode(), "cls": held.word_class(w), "times": n} for w, n in times.items()])
+                outside = ~inside
+                for words, start, n_in in zip(group, starts.tolist(), head_tokens.tolist()):
+                    if n_in < len(words):
+                        times = Counter(compress(words, outside[start:start + len(words)].tolist()))
+                        tail_words += times
+                        tail_times += times.values()
+                    tail_ends.append(len(tail_words))
+            tail = pa.StructArray.from_arrays([
+                pa.array(tail_words, pa.binary()).cast(pa.string()), pa.array(map(held.word_class, tail_words), pa.int32()),
+                pa.array(tail_times, pa.int32()),
+            ], names=["word", "cls", "times"])
+            tails = pa.ListArray.from_arrays(pa.array(tail_ends, pa.int32()), tail)
             yield pa.RecordBatch.from_arrays([
                 *batch.columns[:3], pa.array(n_tokens, pa.int64()), pa.array(n_head_tokens, pa.int64()), pa.array(base, pa.float64()),
                 pa.array(score, pa.float64()),
-                pa.array(tails, pa.list_(pa.struct([("word", pa.string()), ("cls", pa.int32()), ("times", pa.int32())]))),
+                tails,
             ], names=["_row", "doc_id", "held_out", "n_tokens", "n_head", "base_part", "score_part", "tail"])
 
     rows = docs.select("_row", "doc_id", "held_out", "text")
