@@ -31,7 +31,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millpulse.llm.components import connected
 from millpulse.session import work_dir

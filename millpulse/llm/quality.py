@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millpulse.llm.text import WORD_GAP_CHARS, lower_ascii, words
+from millpulse.llm.text import WORD_GAP_CHARS, words
 
 # Fixed values of the measurements.
 SYMBOLS = "#*$%&|<>"

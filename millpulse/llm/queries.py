@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millpulse.llm import ann, bpe, html_extract, jaccard, lm, packing, preference, quality, sharding, toxicity
 from millpulse.llm.text import table
