@@ -287,22 +287,24 @@ def _remaining(shared: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
     # Smaller components ask larger ones; the largest of a list asks nobody.
     asking = rows.where("group <> most").select("hash", "node", "n", "n_long", "heavy", "group")
     fetched = asking.join(lists, "hash").withColumn(
-        "list",
-        F.transform(
-            F.filter("list", lambda x: (x.group > F.col("group")) & _close_sizes(x.n, F.col("n"))), lambda x: F.struct(x.node, x.n)
-        ),
+        "list", F.filter("list", lambda x: (x.group > F.col("group")) & _close_sizes(x.n, F.col("n")))
     ).where(F.size("list") > 0)
-    fetched = fetched.groupBy("node", "n", "n_long", "heavy").agg(F.collect_list("list").alias("lists"))
+    # Nodes and sizes side by side, so that a task reads plain arrays.
+    columns = F.struct(F.col("list.node").alias("nodes"), F.col("list.n").alias("sizes"))
+    fetched = fetched.groupBy("node", "n", "n_long", "heavy").agg(F.collect_list(columns).alias("lists"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
             for row in batch.to_pylist():
-                sizes = {x["node"]: x["n"] for members in row["lists"] for x in members}
                 unfetched = 0 if row["heavy"] else row["n_long"]
                 least = shared_in_prefix(required(row["n"]))
-                lists = [sorted(x["node"] for x in members) for members in row["lists"]]
-                for other, count in t_occurrence(lists, max(1, least - unfetched)).items():
+                found = t_occurrence([sorted(x["nodes"]) for x in row["lists"]], max(1, least - unfetched))
+                sizes = {}
+                if found:
+                    for x in row["lists"]:
+                        sizes.update(zip(x["nodes"], x["sizes"]))
+                for other, count in found.items():
                     wanted = needed(row["n"], sizes[other])
                     if count + unfetched >= wanted:
                         out[0].append(row["node"])
