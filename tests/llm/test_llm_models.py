@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +74,32 @@ def test_search_reaches_recall_and_handles_odd_vectors(spark):
     assert [i for _, i, _ in got[3_020]] == want[3_020]
 
 
+def test_search_reaches_recall_over_many_lists_of_weakly_clustered_vectors(spark):
+    rng = np.random.default_rng(11)
+    n, dims = 100_000, 64
+    block = 0.5 * rng.normal(size=(10, dims))[rng.integers(0, 10, n)] + rng.normal(size=(n, dims))
+    block /= np.linalg.norm(block, axis=1, keepdims=True)
+    table = pa.table({
+        "vec_id": np.arange(n), "embedding": pa.ListArray.from_arrays(np.arange(0, n * dims + 1, dims, dtype=np.int32), pa.array(block.ravel())),
+    })
+    got = {}
+    for r in ann.search(spark.createDataFrame(table), query_modulus=200).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    asked = np.arange(0, n, 200)
+    scores = block[asked] @ block.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    want = np.argpartition(-scores, 20, axis=1)[:, :20]
+    assert sum(len(got[q] & set(w)) for q, w in zip(asked.tolist(), want.tolist())) / want.size >= 0.9
+
+
+def test_boundary_vectors_join_several_lists_also_where_they_hardly_cluster():
+    points = np.random.default_rng(6).normal(size=(4_000, 32))
+    index = ann.Index(None, 32, float(np.linalg.norm(points, axis=1).max()))
+    index.graph = ann.build_graph(ann.balanced_centroids(index.lifted(points, False), 40))
+    index.spacing = ann.spacing(index.graph.centroids)
+    assert np.mean([len(chosen) for _, chosen in index.lists(points[:500])]) > 1.5
+
+
 def test_search_of_few_and_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [-1.0, 0.0])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in ann.search(few).orderBy("rank").collect()] == [(0, 1, 1, 0.5), (0, 2, 2, -1.0)]
