@@ -13,8 +13,9 @@ at least k of the smaller document there. The search goes in two steps.
 * What is left are pairs of different components. Lists whose members are all of one component are dropped. Every
   document fetches its remaining lists, heap-merges the short ones, probes the long ones by binary search (DivideSkip),
   and keeps the documents that reach the required count; exact sets then decide. A list longer than LONG is fetched only
-  by documents with so many long lists that all k shared shingles of a pair may lie in them; for the other documents at
-  least one shared list is short.
+  by documents with so many long lists that all k shared shingles of a pair may lie in them, and holds only those; if
+  either document of a pair is another one, at least one shared list is short, and what the short lists leave open is
+  looked up among the long lists of both.
 
 No pair is dropped and no list is cut: both steps together find every link between different components.
 """
@@ -24,7 +25,7 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import compress, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -265,6 +266,26 @@ def _proposed_again(shared: DataFrame, labels: DataFrame, folder: str) -> DataFr
     return _proposed(rows.where("group <> most").join(leaders, "hash")).select("a", "b")
 
 
+def counted(row: dict) -> Iterator[tuple[int, int, int, int]]:
+    """(other, wanted, count, open lists) of the members of the lists of one document (node, n, n_long, heavy, lists).
+
+    Long lists are complete only between two heavy documents. For any other pair the short lists are counted, and the
+    long lists of the asker stay open.
+    """
+    least = shared_in_prefix(required(row["n"]))
+    sizes, heavy = {}, set()
+    for x in row["lists"]:
+        sizes.update(zip(x["nodes"], x["sizes"]))
+        heavy.update(compress(x["nodes"], x["heavy"]))
+    if row["heavy"]:
+        both = [sorted(compress(x["nodes"], x["heavy"])) for x in row["lists"]]
+        for other, count in t_occurrence([x for x in both if x], max(1, least)).items():
+            yield other, needed(row["n"], sizes[other]), count, 0
+    short = [sorted(y for y in x["nodes"] if not (row["heavy"] and y in heavy)) for x in row["lists"] if not x["long"]]
+    for other, count in t_occurrence([x for x in short if x], max(1, least - row["n_long"])).items():
+        yield other, needed(row["n"], sizes[other]), count, row["n_long"]
+
+
 def _remaining(shared: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
     """Pairs (a, b) of different components that reach the required count in their prefixes, by T-occurrence search."""
     spark = shared.sparkSession
@@ -281,35 +302,30 @@ def _remaining(shared: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
     rows = rows.join(by_node.select("node", "n_long", "heavy"), "node").where(~is_long | F.col("heavy"))
     rows.write.parquet(f"{folder}-rows")
     rows = spark.read.parquet(f"{folder}-rows")
-    member = F.struct("node", "n", "group")
+    member = F.struct("node", "n", "group", "heavy")
     part = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / CHUNK))
     lists = rows.groupBy("hash", part.alias("part")).agg(F.collect_list(member).alias("list"))
     # Smaller components ask larger ones; the largest of a list asks nobody.
-    asking = rows.where("group <> most").select("hash", "node", "n", "n_long", "heavy", "group")
+    asking = rows.where("group <> most").select("hash", "members", "node", "n", "n_long", "heavy", "group")
     fetched = asking.join(lists, "hash").withColumn(
         "list", F.filter("list", lambda x: (x.group > F.col("group")) & _close_sizes(x.n, F.col("n")))
     ).where(F.size("list") > 0)
     # Nodes and sizes side by side, so that a task reads plain arrays.
-    columns = F.struct(F.col("list.node").alias("nodes"), F.col("list.n").alias("sizes"))
+    columns = F.struct(
+        F.col("list.node").alias("nodes"), F.col("list.n").alias("sizes"), F.col("list.heavy").alias("heavy"),
+        (F.col("members") > LONG).alias("long"),
+    )
     fetched = fetched.groupBy("node", "n", "n_long", "heavy").agg(F.collect_list(columns).alias("lists"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
             for row in batch.to_pylist():
-                unfetched = 0 if row["heavy"] else row["n_long"]
-                least = shared_in_prefix(required(row["n"]))
-                found = t_occurrence([sorted(x["nodes"]) for x in row["lists"]], max(1, least - unfetched))
-                sizes = {}
-                if found:
-                    for x in row["lists"]:
-                        sizes.update(zip(x["nodes"], x["sizes"]))
-                for other, count in found.items():
-                    wanted = needed(row["n"], sizes[other])
-                    if count + unfetched >= wanted:
+                for other, wanted, count, open_lists in counted(row):
+                    if count + open_lists >= wanted:
                         out[0].append(row["node"])
                         out[1].append(other)
-                        out[2].append(0 if row["heavy"] else wanted - count)
+                        out[2].append(wanted - count if open_lists else 0)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32())], names=["a", "b", "missing"]
             )

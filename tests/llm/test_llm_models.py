@@ -157,6 +157,33 @@ def test_near_duplicates_match_all_pairs(spark):
     check_duplicates(spark, texts)
 
 
+def test_pairs_of_few_and_many_long_lists_are_counted_whole(spark, work):
+    # a holds two long lists and is fetched with them, b holds one and is not.
+    one, other = {"L1", "L2", "s1", "s2"}, {"L1", "s1", "s2", "x"}
+    assert jaccard.prefix_length(8) == 4 and jaccard.needed(8, 8) == 3
+    rng = random.Random(8)
+    prefixes = [one, other, {"x", "y"}] + [{"L1", f"f{i}"} for i in range(70)] + [{"L2", f"g{i}"} for i in range(70)]
+    names = ["L1", "L2", *(f"m{i}" for i in range(12))]
+    prefixes += [set(rng.sample(names, 4)) for _ in range(60)]
+    members = Counter(x for p in prefixes for x in p)
+    assert members["L1"] > jaccard.LONG and members["L2"] > jaccard.LONG
+    rows = [(i, 8, zlib.crc32(x.encode()), members[x]) for i, p in enumerate(prefixes) for x in p if members[x] > 1]
+    shared = spark.createDataFrame(rows, "node long, n int, hash long, members long")
+    labels = spark.createDataFrame([], "node long, component long")
+    got = {(r.a, r.b) for r in jaccard._remaining(shared, labels, f"{work}/open").collect()}
+    assert got == {(i, j) for j in range(len(prefixes)) for i in range(j) if len(prefixes[i] & prefixes[j]) >= 3}
+
+
+def test_short_documents_around_a_common_passage(spark):
+    draw, rng = vocabulary(12, 40), random.Random(13)
+    passage = draw(14)
+    texts = []
+    for _ in range(260):
+        at = rng.randrange(6)
+        texts.append(" ".join(draw(rng.randrange(3)) + passage[at:at + rng.choice([6, 8])] + draw(rng.randrange(1, 4))))
+    check_duplicates(spark, texts)
+
+
 def test_a_group_of_near_copies_without_a_centre(spark):
     draw, rng = vocabulary(3, 50_000), random.Random(4)
     base, texts = draw(130), []
