@@ -1,8 +1,8 @@
 """Main text of web pages by consensus of each host's pages.
 
-Every container of a page is scored by the text it holds itself. Containers are named by a generalised path of tags and
-classes, and the pages of a host vote for paths; the host's winning path is then extracted again from each of its pages,
-and a page without it falls back to its own best container.
+Every container of a page is scored by the text it holds itself. From the best one the page climbs to the nearest
+container that holds the whole article, and votes for its generalised path of tags and classes; the host's winning path is
+then extracted again from each of its pages, and a page without text there falls back to its own container.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from millpulse.operators.joins import salted_join
 
+NEARLY_ALL = 0.8  # of its parent's text; a container outside any article that holds less is not the whole article
 MAX_BROADCAST_HOSTS = 200_000  # beyond this many hosts their paths are joined by a shuffle
 
 # HTML elements by how they are read.
@@ -163,41 +164,60 @@ def blocks(node: Node) -> list[str]:
     return out
 
 
-def container_scores(root: Node) -> dict[str, float]:
-    """Score of each container path of a page: the characters in its own paragraphs and headings, plus half of what the
-    containers right below it hold, less the text of links; articles count more, boilerplate nothing."""
-    scores: dict[str, float] = {}
-
-    def visit(node: Node) -> tuple[float, float]:
-        """(text outside nested containers, text inside them), with a stack of its own to bear deep pages."""
-        done: list[tuple[float, float]] = []
-        stack: list[tuple[Node, bool, int]] = [(node, False, 0)]
-        while stack:
-            item, seen, kept = stack.pop()
-            if not seen:
-                inner = [c for c in item.children if isinstance(c, Node) and not c.skipped]
-                stack.append((item, True, len(inner)))
-                stack.extend((c, False, 0) for c in reversed(inner))
-                continue
-            below = done[len(done) - kept:]
-            del done[len(done) - kept:]
-            own = float(sum(len(c.strip()) for c in item.children if isinstance(c, str)))
-            own += sum(b[0] for b in below)
-            nested = sum(b[1] for b in below)
-            if item.tag == "a":
-                own = 0.0
-            if item.tag in CONTAINERS:
-                weight = 1.5 if item.tag in ("article", "main") or ARTICLE_HINT.search(item.label) else 1.0
-                value = weight * own + 0.5 * nested
-                if value > 0:
-                    path = item.path()
-                    scores[path] = scores.get(path, 0.0) + value
-                own, nested = 0.0, own + nested
-            done.append((own, nested))
-        return done[0]
-
-    visit(root)
-    return scores
+def _is_article(node: Node) -> bool:
+    return node.tag in ("article", "main") or bool(node.tag in CONTAINERS and node.tag != "body" and ARTICLE_HINT.search(node.label))
+
+
+def main_container(root: Node) -> Node | None:
+    """The nearest container that holds the whole article of a page; None without text in containers.
+
+    A container's score is the characters in its own paragraphs and headings, plus half of what the containers below it
+    hold, less the text of links; articles count more, boilerplate nothing. From the best one the way goes up to the
+    article around it, and on while a parent holds clearly more text or the only main heading.
+    """
+    best: tuple[float, Node] | None = None
+    good: dict[int, tuple[float, int]] = {}  # by container: characters outside links and boilerplate, main headings
+    # With a stack of its own to bear deep pages; `done` holds (own text, text in containers, main headings).
+    done: list[tuple[float, float, int]] = []
+    stack: list[tuple[Node, bool, int]] = [(root, False, 0)]
+    while stack:
+        item, seen, kept = stack.pop()
+        if not seen:
+            inner = [c for c in item.children if isinstance(c, Node) and not c.skipped]
+            stack.append((item, True, len(inner)))
+            stack.extend((c, False, 0) for c in reversed(inner))
+            continue
+        below = done[len(done) - kept:]
+        del done[len(done) - kept:]
+        own = float(sum(len(c.strip()) for c in item.children if isinstance(c, str)))
+        own += sum(b[0] for b in below)
+        nested = sum(b[1] for b in below)
+        heads = sum(b[2] for b in below) + (item.tag == "h1")
+        if item.tag == "a":
+            own = 0.0
+        if item.tag in CONTAINERS:
+            weight = 1.5 if item.tag in ("article", "main") or ARTICLE_HINT.search(item.label) else 1.0
+            value = weight * own + 0.5 * nested
+            if value > 0 and (best is None or value > best[0]):
+                best = value, item
+            good[id(item)] = own + nested, heads
+            own, nested = 0.0, own + nested
+        done.append((own, nested, heads))
+    if best is None:
+        return None
+    around = [best[1]]
+    while around[-1].parent is not None:
+        around.append(around[-1].parent)
+    around = [node for node in around if id(node) in good]
+    articles = [i for i, node in enumerate(around) if node.tag == "article"]
+    hinted = [i for i, node in enumerate(around) if _is_article(node)]
+    top = articles[-1] if articles else hinted[0] if hinted else 0
+    chosen = around[0]
+    for i, node in enumerate(around[1:], 1):
+        (held, heads), (text, all_heads) = good[id(chosen)], good[id(node)]
+        if text > held and (i <= top or held < NEARLY_ALL * text or (all_heads and not heads)):
+            chosen = node
+    return chosen
 
 
 def extract_path(root: Node, path: str | None) -> str | None:
@@ -216,8 +236,9 @@ def extract_path(root: Node, path: str | None) -> str | None:
     return None if found is None else "\n".join(found)
 
 
-def best_path(scores: dict[str, float]) -> str | None:
-    return min(scores, key=lambda p: (-scores[p], p)) if scores else None
+def best_path(root: Node) -> str | None:
+    chosen = main_container(root)
+    return None if chosen is None else chosen.path()
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -226,24 +247,15 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """(host, path, votes): each page gives every one of its containers its share of the page's best score."""
+    """(host, path, votes): each page votes for the container of its article."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, paths, shares = [], [], []
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
-                scores = container_scores(parse(page.as_py()))
-                top = max(scores.values(), default=0.0)
-                for path, value in scores.items():
-                    hosts.append(host)
-                    paths.append(path)
-                    shares.append(round(1000 * value / top))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(shares, pa.int64())], names=["host", "path", "share"]
-            )
+            paths = [best_path(parse(page.as_py())) for page in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.string())], names=["host", "path"])
 
-    rows = pages.select("host", "html").mapInArrow(run, "host string, path string, share long")
-    return rows.groupBy("host", "path").agg(F.sum("share").alias("votes"))
+    rows = pages.select("host", "html").mapInArrow(run, "host string, path string").where("path is not null")
+    return rows.groupBy("host", "path").agg(F.count("*").alias("votes"))
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
@@ -274,8 +286,8 @@ def extract(pages: DataFrame) -> DataFrame:
             for page, path in zip(batch.column(2), batch.column(3).to_pylist()):
                 root = parse(page.as_py())
                 text = extract_path(root, path)
-                if text is None:
-                    text = extract_path(root, best_path(container_scores(root))) or ""
+                if not text:
+                    text = extract_path(root, best_path(root)) or ""
                 texts.append(text)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.names

@@ -239,6 +239,24 @@ def test_pages_follow_their_host(spark):
     assert got[9] == "short"
 
 
+def page_texts(spark, pages):
+    rows = [(i, f"http://{i}.example/" if host is None else host, page) for i, (host, page) in enumerate(pages)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text.split("\n") for r in sorted(got, key=lambda r: r.page_id)]
+
+
+def test_divided_articles_are_read_whole(spark):
+    a, b, c = ("first " * 10).strip(), ("second " * 60).strip(), ("third " * 40).strip()
+    plain = f"<body><nav>menu</nav><article><h1>Head</h1><p>{a}</p><section><p>{b}</p></section><section><p>{c}</p></section></article></body>"
+    named = f"<body><section id=intro><p>{b}</p></section><section id=notes><p>{c}</p></section></body>"
+    outer = f"<body><div><h1>Head</h1><div class=x><p>{b}</p></div></div><div class=links><a href=x>{c}</a></div></body>"
+    full = "<body><div class=story><p>some words</p></div></body>"
+    hollow = f"<body><div class=story></div><div class=late><p>{a}</p></div></body>"
+    host = "http://one.example/"
+    got = page_texts(spark, [(None, plain), (None, named), (None, outer), (host, full), (host, full), (host, hollow)])
+    assert got == [["Head", a, b, c], [b, c], ["Head", b], ["some words"], ["some words"], [a]]
+
+
 def test_very_deep_pages_are_read(spark):
     deep = "<div>" * 5_000 + "<p>bottom</p>"
     rows = spark.createDataFrame([(1, "http://d.example", deep)], "page_id long, url string, html string")
