@@ -26,11 +26,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript template iframe svg math xmp".split())
 SKIPPED = frozenset(
     "nav footer aside form button select menu dialog head script style textarea title noscript template iframe svg math "
-    "canvas audio video object figcaption xmp".split()
+    "canvas audio video object xmp".split()
 )
 CONTAINERS = frozenset("body main article section div td".split())
 BLOCKS = frozenset(
-    "address article aside blockquote body dd details div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr "
+    "address article aside blockquote body dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
     "html li main nav ol p pre section summary table tbody td tfoot th thead tr ul caption center".split()
 )
 CLOSES_P = BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "body", "html"}
@@ -38,12 +38,18 @@ CLOSED_BY_SAME = {
     "li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"),
     "td": ("tr",), "th": ("tr",), "option": ("select",),
 }
+# A class, id or role is boilerplate as a whole token, or before a word that only says what kind of box it is.
 BOILERPLATE = re.compile(
-    r"(?:^|[-_ ])(?:ads?|advert\w*|banner|breadcrumbs?|byline|comments?|cookies?|consent|disqus|footer|foot|header|legal|login|"
+    r"(?:^| )(?:(?:site|global)[-_])?(?:ads?|advert\w*|banner|breadcrumbs?|byline|comments?|cookies?|consent|disqus|footer|foot|header|legal|login|"
     r"masthead|menu|modal|nav\w*|newsletter|notice|pagination|pager|popup|promo\w*|related|recommend\w*|reply|replies|respond|"
-    r"search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|tags?|toolbar|widget)(?:$|[-_ ])",
+    r"search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|tags?|toolbar|widget)"
+    r"(?:[-_](?:area|bar|block|bottom|box|buttons?|container|inner|left|links?|list|menu|right|section|top|wrap\w*|#))*(?:$| )",
     re.I,
 )
+COMMENTS = re.compile(r"(?:^| )(?:comments?|disqus|reply|replies|respond)(?:$|[-_ ])", re.I)
+# What these name is boilerplate around an article, but in it only if it is mostly links.
+IN_ARTICLE = re.compile(r"(?:^| )(?:foot|footer|header|legal|notice|related|reply|replies|tags?)(?:$|[-_ ])", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 figure figcaption".split())
 ARTICLE_HINT = re.compile(r"(?:^|[-_ ])(?:article|body|content|entry|main|post|story|text)(?:$|[-_ ])", re.I)
 
 TOKEN = re.compile(
@@ -54,10 +60,11 @@ HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
 class Node:
-    __slots__ = ("tag", "label", "children", "parent")
+    __slots__ = ("tag", "label", "children", "parent", "skipped")
 
     def __init__(self, tag: str, label: str, parent: Node | None):
         self.tag, self.label, self.parent, self.children = tag, label, parent, []
+        self.skipped = tag in SKIPPED  # `mark` adds elements that are boilerplate by their label
 
     def path(self) -> str:
         """Tags and generalised classes from the root: numbers become #."""
@@ -67,10 +74,6 @@ class Node:
             node = node.parent
         return ">".join(reversed(names))
 
-    @property
-    def skipped(self) -> bool:
-        return self.tag in SKIPPED or bool(self.label and BOILERPLATE.search(self.label) and self.tag not in ("body", "html", "article", "main"))
-
 
 def _label(attributes: str) -> str:
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
@@ -119,9 +122,64 @@ def parse(page: str | None) -> Node:
             at = close.end() if close else end
         elif tag not in VOID and not m[3].rstrip().endswith("/"):
             node = child
+    mark(root)
     return root
 
 
+def mark(root: Node) -> None:
+    """Skips elements that are boilerplate by their label.
+
+    One that holds most of the page's text outside links is a wrapper and stays, unless it holds the comments; so do all
+    if nothing else has text. Headings and figures in an article stay, and notes in it that are not mostly links.
+    """
+    labelled: list[tuple[Node, bool, int, int, bool]] = []  # (node, in an article, text outside links, in links, main heading)
+    done: list[tuple[int, int, bool]] = []
+    stack: list[tuple[Node, bool, bool, bool, int]] = [(root, False, False, False, 0)]
+    while stack:
+        item, seen, linked, within, kept = stack.pop()
+        if not seen:
+            linked, inside = linked or item.tag == "a", within or _is_article(item)
+            inner = [c for c in item.children if isinstance(c, Node) and not c.skipped]
+            stack.append((item, True, linked, within, len(inner)))
+            stack.extend((c, False, linked, inside, 0) for c in inner)
+            continue
+        below = done[len(done) - kept:]
+        del done[len(done) - kept:]
+        own = sum(len(c.strip()) for c in item.children if isinstance(c, str))
+        plain = sum(b[0] for b in below) + (0 if linked else own)
+        links = sum(b[1] for b in below) + (own if linked else 0)
+        head = item.tag in ("h1", "main") or any(b[2] for b in below)
+        done.append((plain, links, head))
+        if item.label and item.tag not in ("body", "html", "article", "main") and BOILERPLATE.search(item.label):
+            labelled.append((item, within, plain, links, head))
+    whole = done[0][0]
+    chosen = []
+    for node, within, plain, links, head in labelled:
+        spared = 2 * plain > whole and (head or not COMMENTS.search(node.label))
+        if within:
+            spared = spared or node.tag in HEADINGS or (IN_ARTICLE.search(node.label) and plain > links)
+        if not spared:
+            chosen.append(node)
+            node.skipped = True
+    if chosen and not _has_text(root):
+        for node in chosen:
+            node.skipped = False
+
+
+def _has_text(root: Node) -> bool:
+    stack: list[tuple[Node, bool]] = [(root, False)]
+    while stack:
+        node, linked = stack.pop()
+        linked = linked or node.tag == "a"
+        for child in node.children:
+            if isinstance(child, str):
+                if not linked and child.strip():
+                    return True
+            elif not child.skipped:
+                stack.append((child, linked))
+    return False
+
+
 def _close(node: Node, tags: tuple[str, ...], limits: tuple[str, ...]) -> Node:
     up = node
     while up.tag and up.tag not in limits:

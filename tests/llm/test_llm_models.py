@@ -257,6 +257,20 @@ def test_divided_articles_are_read_whole(spark):
     assert got == [["Head", a, b, c], [b, c], ["Head", b], ["some words"], ["some words"], [a]]
 
 
+def test_labels_skip_boilerplate_but_no_wrapper_and_no_heading(spark):
+    a, b = ("first " * 30).strip(), ("second " * 20).strip()
+    page = "<body><div class='%s'><p>" + a + "</p></div><div class='comments'><p>says</p></div></body>"
+    parts = (
+        f"<body><article><h2 class='section-header'>Head</h2><h3 class=header>Sub</h3><p>{a}</p><figure><figcaption>Shown</figcaption></figure>"
+        "<p class='foot-note'>Note</p><p class=legal>Law</p><div class=related><a href=x>another story</a></div><div class=share>Tell</div>"
+        "<div class='comments-list'><p>says</p></div></article><div class='site-footer'>end</div></body>"
+    )
+    comments = f"<body><div class=post><p>{b}</p></div><div id=comments><p>{a} {a}</p></div></body>"
+    wrapped = f"<body><div class=widget><h1>Head</h1><p>{a}</p></div></body>"
+    got = page_texts(spark, [(None, page % "content has-sidebar"), (None, page % "page no-header"), (None, parts), (None, comments), (None, wrapped)])
+    assert got == [[a], [a], ["Head", "Sub", a, "Shown", "Note", "Law"], [b], ["Head", a]]
+
+
 def test_very_deep_pages_are_read(spark):
     deep = "<div>" * 5_000 + "<p>bottom</p>"
     rows = spark.createDataFrame([(1, "http://d.example", deep)], "page_id long, url string, html string")
