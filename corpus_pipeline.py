@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from millpulse.llm import jaccard, packing, quality, toxicity
 from millpulse.llm.text import table
+from millpulse.session import work_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +52,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; the rows of the packing."""
+    """All stages over documents; the rows of the packing. Every stage but the last is written and read again."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    folder = work_dir(spark, "pipeline")
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+        docs = spark.read.parquet(f"{folder}/{i}")
+    return STAGES[-1][1](spark, docs, sf_dir)

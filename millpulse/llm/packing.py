@@ -17,6 +17,7 @@ from millpulse.llm.text import words
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 BIN_OVERHEAD = 64  # what a sequence costs besides its length
 BLOCK_ITEMS = 20_000
+COPIES = 1_000  # copies of one row numbered at a time
 SCHEMA = "doc_id long, piece int, start long, n_tokens int, bin_id string, capacity int, offset int"
 
 
@@ -81,9 +82,17 @@ def token_count(text: str = "text") -> Column:
 
 
 def pieces(docs: DataFrame, n_tokens: Column, largest: int) -> DataFrame:
-    """One row per piece of each document; every row of `docs` has at least one piece."""
+    """One row per piece of each document; every row of `docs` has at least one piece.
+
+    `_row` tells rows of one id apart, by their length and a number among rows of that length. Such rows are alike to the
+    packing, so they are counted and numbered; nothing depends on the order in which rows are read.
+    """
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.greatest(n_tokens, F.lit(1)).cast("long").alias("_n"))
-    sized = sized.withColumn("_row", F.monotonically_increasing_id())
+    sized = sized.groupBy("doc_id", "_n").agg(F.count("*").alias("_copies"))
+    sized = sized.withColumn("_turn", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / COPIES))))
+    first = F.col("_turn") * COPIES
+    sized = sized.withColumn("_copy", F.explode(F.sequence(first, F.least(first + COPIES, F.col("_copies")) - 1)))
+    sized = sized.withColumn("_row", F.concat_ws("-", "_n", "_copy"))
     cut = F.transform(
         F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / largest)),
         lambda k: F.struct(
@@ -101,7 +110,8 @@ def pack(
 
     `docs` needs a doc_id; by default the tokens of its text are counted. Documents with NULL ids or repeated rows are
     placed like any other. Only lengths are shuffled. A block holds about `block_items` pieces, chosen by a hash of the
-    piece and its reading position, so copies and long documents spread over the blocks.
+    id, the length, the number among copies and the piece, so copies and long documents spread over the blocks and a task
+    that runs again makes the same blocks.
     """
     capacities = tuple(sorted(set(capacities)))
     largest = capacities[-1]
@@ -113,7 +123,7 @@ def pack(
     )
     open_pieces = rows.where(F.col("n_tokens") < largest)
     n_blocks = max(1, -(-docs.count() // block_items))
-    blocked = open_pieces.withColumn("block", F.pmod(F.xxhash64("_row", "piece"), F.lit(n_blocks)))
+    blocked = open_pieces.withColumn("block", F.pmod(F.xxhash64("doc_id", "_row", "piece"), F.lit(n_blocks)))
 
     def pack_group(block: pa.Table) -> pa.Table:
         block = block.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("_row", "ascending")])

@@ -411,6 +411,21 @@ def test_each_stage_keeps_what_it_should(spark, tmp_path):
     assert set(ids[4]) == set(ids[3]) and corpus_pipeline.run(spark, str(tmp_path)).count() == kept[4].count()
 
 
+def test_the_pipeline_writes_each_stage_but_the_last(spark, tmp_path, monkeypatch):
+    read = []
+
+    def stage(spark, docs, sf_dir):
+        read.append(len(docs.inputFiles()))
+        return docs.where(F.rand(1) >= 0).orderBy("doc_id").limit(5)
+
+    brute.documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(str(i), stage) for i in range(3)])
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 5 and len(read) == 3
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("GlobalLimit") == 1
+
+
 def test_the_pipeline_bears_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")

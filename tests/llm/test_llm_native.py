@@ -170,6 +170,13 @@ def test_best_fit_takes_the_tightest_bin():
     assert (bins, offsets, used) == ([0, 1, 0, 1, 1], [0, 0, 60, 50, 85], [100, 90])
 
 
+def test_packing_does_not_depend_on_the_reading_order(spark):
+    rows = [(i % 40 if i % 9 else None, "w " * (i * 37 % 300)) for i in range(400)]
+    orders = [spark.createDataFrame(r, "doc_id long, text string").repartition(n) for r, n in ((rows, 1), (rows[::-1], 7))]
+    first, second = (sorted(map(str, packing.pack(docs, capacities=(64, 256), block_items=50).collect())) for docs in orders)
+    assert first == second and len({x for x in first}) == len(first)
+
+
 def test_every_token_is_packed_once(spark):
     docs = brute.documents(spark).unionByName(brute.documents(spark, ["n", "r r", "r r"], [None, 77, 77]))
     rows = packing.pack(docs, capacities=(64, 256), block_items=5).collect()
