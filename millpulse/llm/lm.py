@@ -114,7 +114,7 @@ def feature_rows(coded: np.ndarray, keep: np.ndarray) -> tuple[list[np.ndarray],
     c1, c2, c3 = classes[keep - 1], classes[keep - 2], classes[keep - 3]
     target = classes[keep]
     by_class = [_hash([w1], 1), _hash([w1, w2], 2), _hash([w2], 3), _hash([c1, c2, c3], 4)]
-    by_place = [_hash([w1, target], 5)]
+    by_place = [_hash([w1, target], 5), _hash([c1, c2, target], 6), _hash([w1, w2, target], 7), _hash([w2, target], 8)]
     return by_class, by_place
 
 

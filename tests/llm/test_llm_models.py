@@ -358,6 +358,20 @@ def test_scores_follow_the_base_and_learn_order(spark, monkeypatch):
     assert held and sum(r.score for r in held) > 0.8 * sum(r.base_score for r in held)
 
 
+def test_words_inside_a_class_depend_on_more_than_the_last_word(spark):
+    # The last word is the same; only the word before it tells which of two words of one class follows.
+    rng = random.Random(21)
+    texts = [" ".join(f"{x} mid {x}yyyy" for x in rng.choices(["aa", "bb"], k=30)) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = lm.train(docs, lm.prepare(lm.count_words(docs)))
+    assert model.word_class(b"aayyyy") == model.word_class(b"bbyyyy")
+    for first, word in ((b"aa", b"aayyyy"), (b"bb", b"bbyyyy")):
+        coded, keep = lm._coded(model, [[first, b"mid", word]])
+        _, rows = lm.feature_rows(coded, keep[-1:])
+        _, cls, place = model.coded(word)
+        assert lm._softmax(lm._logits(model.place_bias[[cls]], model.place_weights, rows))[0, place] > 0.8
+
+
 def test_lm_of_odd_rows_and_of_nothing(spark):
     check_lm(spark, list(enumerate(brute.ODD_TEXTS)))
     check_lm(spark, [(0, "never learned from"), (10, None)] if zlib.crc32(b"0") % 10 == 0 else [(0, "few words")])
