@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millpulse.llm import ann, bpe, html_extract, jaccard, lm, packing, preference, quality, sharding, toxicity
+from millpulse.llm import (
+    ann, bisector, bpe, html_extract, jaccard, lm, negatives, packing, preference, quality, sharding, toxicity, warc,
+)
 from millpulse.llm.text import table
+from millpulse.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,6 +84,27 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisector.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row is relabelled first; every hundredth is an anchor."""
+    rows = table(spark, sf_dir, "embeddings")
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", relabelled), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "archives")
+    run = warc.write_archives(warc.as_records(table(spark, sf_dir, "pages")), folder)
+    records = warc.resolve_revisits(warc.read_archives(spark, folder, run))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 ORACLE["op4_quality_rules"] = r"""
 with body as (
     select row_number() over () as r, doc_id, coalesce(text, '') as t from documents
@@ -156,3 +181,77 @@ select pair_id, part, turn, role, rendered,
        length(rendered)::int as loss_end
 from rendered
 """
+
+
+def _clustering_sql(clusters: int = 40, dims: int = 64, rounds: int = 5) -> str:
+    """Each round assigns by the distance itself: all centroids are compared, in doubles that hold these numbers exactly."""
+    steps = [f"""
+points as materialized (
+    select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as p
+    from embeddings
+    where len(embedding) = {dims} and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = {dims}
+), c0 as materialized (
+    select (row_number() over (order by sha256('2:' || coalesce(vec_id::varchar, '')), p) - 1)::int as c, p as m
+    from points order by c limit {clusters}
+)"""]
+    for n in range(rounds + 1):
+        steps.append(f"""
+a{n} as materialized (
+    select r, any_value(vec_id) as vec_id, min({{'d': list_dot_product(p, p) - 2 * list_dot_product(p, m) + list_dot_product(m, m), 'c': c}}) as best
+    from points cross join c{n} group by r
+)""")
+        if n < rounds:
+            steps.append(f"""
+s{n} as (
+    select c, i, floor(sum(x) / count(*)) as v
+    from (select best.c as c, generate_subscripts(p, 1) as i, unnest(p) as x from a{n} join points using (r)) group by c, i
+), c{n + 1} as materialized (
+    select c, coalesce(moved, m) as m
+    from c{n} left join (select c, list(v order by i) as moved from s{n} group by c) using (c)
+)""")
+    return "with " + ",".join(steps) + f"""
+select a.vec_id, a.best.c as cluster, a.best.d::bigint as distance,
+       sum(a.best.d) over (partition by a.best.c)::bigint as cluster_inertia, sum(a.best.d) over ()::bigint as inertia,
+       sha256(array_to_string(list_transform(k.m, lambda x: x::bigint), ',')) as centroid_sha256
+from a{rounds} a join c{rounds} k on k.c = a.best.c
+"""
+
+
+ORACLE["op11_centroid_clustering"] = _clustering_sql()
+
+ORACLE["op12_hard_negatives"] = """
+with rows as materialized (
+    select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)) as p
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+), scored as materialized (
+    select a.r as a, a.vec_id as anchor_id, b.r, b.vec_id, a.label = b.label as same, list_dot_product(a.p, b.p)::bigint as score
+    from rows a join rows b on a.vec_id % 100 = 0 and a.r <> b.r and len(a.p) = len(b.p)
+), positives as (
+    select a, anchor_id, r, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by a order by score desc, vec_id, r) <= 5
+), inside as (
+    select p.a, p.r, p.anchor_id, p.positive_id, p.positive_score, n.vec_id as negative_id, n.score as negative_score,
+           row_number() over (partition by p.a, p.r order by n.score desc, n.vec_id, n.r) as rank
+    from positives p join scored n on n.a = p.a and not n.same
+     and 30 * p.positive_score <= 100 * n.score and 100 * n.score <= 90 * p.positive_score
+)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from inside where rank <= 10
+"""
+
+ORACLE["op13_warc"] = """
+with records as (
+    select row_number() over () as r, page_id, encode(coalesce(html, '')) as payload from pages
+), first_of as (
+    select *, row_number() over (partition by payload order by page_id nulls last, r) as n,
+           first_value(page_id) over (partition by payload order by page_id nulls last, r) as original, sha1(payload) as h
+    from records
+)
+select page_id, octet_length(payload)::bigint as payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + (((('0x' || substr(h, (1 + (i // 4) * 5)::bigint, 5))::bigint) >> (15 - 5 * (i % 4))::int) & 31)::bigint, 1)), '') as payload_digest,
+       case when n = 1 then 'response' else 'revisit' end as record_type, case when n > 1 then original end as refers_to
+from first_of
+"""
