@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,14 +53,15 @@ def machine_baselines(hourly: DataFrame, accuracy: int | None = None) -> DataFra
     )
 
 
-def rolling_features(health: DataFrame) -> DataFrame:
-    """Three-row rolling means, population deviations and anomaly rate, and the change per row."""
+def rolling_features(health: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Three-row rolling means, population deviations and anomaly rate, and the change per row; `keep` names further columns."""
     # Rows of one hour differ only in status when a machine matches several status rows.
     by_hour = Window.partitionBy("machine_id").orderBy("hour_ts", "current_status")
     last3 = by_hour.rowsBetween(-2, 0)
     temperature, vibration = F.col("avg_temperature"), F.col("avg_vibration")
     return health.select(
         *HEALTH_COLUMNS,
+        *keep,
         F.avg(temperature).over(last3).alias("rolling_mean_temp_3h"),
         F.coalesce(F.stddev_pop(temperature).over(last3), F.lit(0.0)).alias("rolling_std_temp_3h"),
         F.avg(vibration).over(last3).alias("rolling_mean_vibration_3h"),
@@ -79,10 +82,17 @@ def machine_risk_hourly(health: DataFrame) -> DataFrame:
     """
     machine = Window.partitionBy("machine_id")
     quantile = F.lit(rules.BASELINE_QUANTILE)
-    scored = (
+    return score_risk(
         rolling_features(health)
         .withColumn("machine_temp_p95", F.percentile("avg_temperature", quantile).over(machine))
         .withColumn("machine_vibration_p95", F.percentile("avg_vibration", quantile).over(machine))
+    )
+
+
+def score_risk(featured: DataFrame) -> DataFrame:
+    """Thresholds, breaches, score and level from rolling features and the machine's 95th percentiles."""
+    scored = (
+        featured
         .withColumn("temp_threshold_baseline", rules.threshold_expr(F.col("machine_temp_p95"), rules.MIN_TEMPERATURE_THRESHOLD))
         .withColumn("vibration_threshold_baseline", rules.threshold_expr(F.col("machine_vibration_p95"), rules.MIN_VIBRATION_THRESHOLD))
         .withColumn("temp_threshold_breach", rules.points_if(F.col("avg_temperature") > F.col("temp_threshold_baseline")))

@@ -25,7 +25,7 @@ from millpulse.plans.marts import build_models, store_models, write_marts
 from millpulse.session import work_dir
 from millpulse.sources import incremental, raw as raw_sources
 from millpulse.sources.tables import CSV_WRITE_OPTIONS, extract_table_to_csv, register_models, save_table
-from millpulse.streaming import landing, live, messages as msg
+from millpulse.streaming import landing, live, messages as msg, risk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -619,7 +619,7 @@ def _refresh_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = stg_sensor_data(fixtures.sensor_rows(fixtures.event_files(spark, sf_dir, f"{work}/events", 5)))
     status = save_table(_status(spark, sf_dir), f"{work}/status")
     (
-        readings.writeStream.foreachBatch(live.mart_refresher(work, status, every=2)).option("checkpointLocation", f"{work}/checkpoint")
+        readings.writeStream.foreachBatch(risk.mart_refresher(work, status, every=2, buckets=8)).option("checkpointLocation", f"{work}/checkpoint")
         .trigger(availableNow=True).start().awaitTermination()
     )
-    return live.read_risk(spark, work, every=2)
+    return risk.read_risk(spark, work)

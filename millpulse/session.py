@@ -16,6 +16,8 @@ def build_session(app_name: str = "millpulse", master: str | None = None, **conf
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Streams run the same plans batch after batch; the default of 100 compiled classes is less than one batch needs.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     if master:
         builder = builder.master(master)

@@ -1,4 +1,4 @@
-"""Continuously updated tables: latest reading and counts per machine, hourly health, risk."""
+"""Continuously updated tables: latest reading and counts per machine, hourly health."""
 
 from __future__ import annotations
 
@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millpulse.functions import rules
-from millpulse.operators.health import HEALTH_COLUMNS, machine_risk_hourly
-from millpulse.operators.status import attach_current_status, latest_status, status_matches
 from millpulse.streaming import state
 
 
@@ -65,73 +63,3 @@ def stream_health_hourly(readings: DataFrame, delay: str = "1 hour") -> DataFram
         F.col("hour.start").cast("timestamp_ntz").alias("hour_ts"),
         "machine_id", "avg_temperature", "avg_vibration", "anomaly_events", "total_events",
     )
-
-
-def hourly_partials(readings: DataFrame) -> DataFrame:
-    """Sums and counts per machine and hour that can be added up across batches."""
-    return readings.groupBy(rules.hour_of(F.col("event_ts")).alias("hour_ts"), "machine_id").agg(
-        F.sum("temperature").alias("temperature_sum"), F.count("temperature").alias("temperature_n"),
-        F.sum("vibration").alias("vibration_sum"), F.count("vibration").alias("vibration_n"),
-        F.sum(rules.anomaly_expr(F.col("temperature"), F.col("vibration"))).alias("anomaly_events"),
-        F.count(F.lit(1)).alias("total_events"),
-    )
-
-
-def merge_partials(partials: DataFrame) -> DataFrame:
-    return partials.groupBy("hour_ts", "machine_id").agg(
-        F.try_divide(F.sum("temperature_sum"), F.sum("temperature_n")).alias("avg_temperature"),
-        F.try_divide(F.sum("vibration_sum"), F.sum("vibration_n")).alias("avg_vibration"),
-        F.sum("anomaly_events").alias("anomaly_events"),
-        F.sum("total_events").alias("total_events"),
-    )
-
-
-def mart_refresher(path: str, status: DataFrame, every: int = state.SNAPSHOT_EVERY) -> Callable[[DataFrame, int], None]:
-    """A batch function that recomputes risk for the machines in the batch, and for those whose status has changed.
-
-    Rolling features look back over a machine's history, which a stream cannot do by itself. The
-    history kept for that is hourly sums, not raw readings: the sums of each batch, added up into a
-    snapshot after every `every` batches, so a batch reads a bounded number of folders.
-    """
-
-    def refresh(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        partials, matches, risk = f"{path}/partials", f"{path}/statuses", f"{path}/risk"
-        state.store_batch(hourly_partials(batch), partials, batch_id)
-        history = state.read_state(spark, partials, batch_id, every)
-        # Which statuses each known machine matches now; a machine is touched by readings or by a change of these.
-        latest = latest_status(status)
-        known = history.select("machine_id").distinct()
-        now = status_matches(known, latest).groupBy("machine_id").agg(
-            F.xxhash64(F.sort_array(F.collect_list(F.struct("status", "copies")))).alias("print")
-        )
-        state.store_batch(now, matches, batch_id)
-        touched = spark.read.parquet(f"{partials}/batches/batch_id={batch_id}").select("machine_id").distinct()
-        if batch_id > 0:
-            before = spark.read.parquet(f"{matches}/batches/batch_id={batch_id - 1}").withColumnRenamed("print", "before")
-            stored = spark.read.parquet(f"{matches}/batches/batch_id={batch_id}")
-            changed = stored.join(before, "machine_id", "full").where(~F.col("print").eqNullSafe(F.col("before")))
-            touched = touched.unionByName(changed.select("machine_id")).distinct()
-        hourly = merge_partials(history.join(touched, "machine_id", "left_semi"))
-        health = attach_current_status(hourly, latest).select(HEALTH_COLUMNS)
-        state.store_batch(machine_risk_hourly(health), risk, batch_id)
-        state.fold(spark, partials, batch_id, _add_partials, every)
-        state.fold(spark, risk, batch_id, _newest_risk, every)
-
-    return refresh
-
-
-def _add_partials(history: DataFrame) -> DataFrame:
-    sums = [F.sum(c).alias(c) for c in history.columns if c not in ("hour_ts", "machine_id", "batch_id")]
-    return history.groupBy("hour_ts", "machine_id").agg(*sums, F.max("batch_id").alias("batch_id"))
-
-
-def _newest_risk(rows: DataFrame) -> DataFrame:
-    newest = rows.groupBy("machine_id").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(newest, ["machine_id", "batch_id"], "left_semi")
-
-
-def read_risk(spark: SparkSession, path: str, every: int = state.SNAPSHOT_EVERY) -> DataFrame:
-    """Risk rows of each machine from the last batch that touched it."""
-    risk = f"{path}/risk"
-    return _newest_risk(state.read_state(spark, risk, state.latest_batch(spark, risk), every)).drop("batch_id")
