@@ -28,6 +28,23 @@ def event_files(spark: SparkSession, sf_dir: str, folder: str, n: int = 3) -> Da
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
+BATCH_DAYS = (4, 5, 12, 20, 31)  # last day of January of each batch
+STRAGGLERS = 16  # one event in so many comes a batch late
+
+
+def event_batches(spark: SparkSession, sf_dir: str, folder: str, late: bool = False) -> DataFrame:
+    """The events as a stream of files of uneven size, one batch each, in order of time or with stragglers."""
+    events = table(spark, sf_dir, "events")
+    batch = F.lit(0)
+    for last_day in BATCH_DAYS[:-1]:
+        batch = batch + (F.dayofmonth("ts") > last_day).cast("int")
+    if late:
+        batch = F.least(F.lit(len(BATCH_DAYS) - 1), batch + (F.col("event_id") % STRAGGLERS == 0).cast("int"))
+    for n in range(len(BATCH_DAYS)):  # one after the other: a file stream goes by the age of files
+        events.where(batch == n).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def status_shared_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statuses of several lines that share machine numbers, so that one machine matches many of them."""
     user, kind = F.col("user_id"), F.col("event_type")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millpulse.functions.coercion import two_decimals
@@ -12,8 +12,8 @@ PAYLOAD = ("timestamp", "machine_id", "temperature", "vibration")
 
 
 def latest_per_machine(messages: DataFrame, arrival: str = "arrival") -> DataFrame:
-    """The message that arrived last for each machine, whatever its own timestamp says."""
-    last = Window.partitionBy("machine_id").orderBy(F.col(arrival).desc())
+    """The message that arrived last for each machine, whatever its own timestamp says; ties go to the smaller content."""
+    last = Window.partitionBy("machine_id").orderBy(F.col(arrival).desc(), *_by_content("machine_id"))
     return (
         messages.select(*PAYLOAD, arrival).withColumn("_rank", F.row_number().over(last))
         .filter("_rank = 1").drop("_rank")
@@ -21,8 +21,12 @@ def latest_per_machine(messages: DataFrame, arrival: str = "arrival") -> DataFra
 
 
 def recent_messages(messages: DataFrame, n: int = 100, arrival: str = "arrival") -> DataFrame:
-    """The n messages that arrived last, newest first."""
-    return messages.select(*PAYLOAD, arrival).orderBy(F.col(arrival).desc()).limit(n)
+    """The n messages that arrived last, newest first; of messages that arrived together the smaller content comes first."""
+    return messages.select(*PAYLOAD, arrival).orderBy(F.col(arrival).desc(), *_by_content()).limit(n)
+
+
+def _by_content(*but: str) -> list[Column]:
+    return [F.col(name).asc_nulls_last() for name in PAYLOAD if name not in but]
 
 
 def dashboard_rows(latest: DataFrame) -> DataFrame:

@@ -8,14 +8,14 @@ roundings goes the same way in both.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millpulse import fixtures, schemas
-from millpulse.operators import dashboard, exploration as ex, health as hl, kpi, maintenance, quality, status as st
+from millpulse.operators import dashboard, exploration as ex, health as hl, kpi, maintenance, quality, sketches, status as st
 from millpulse.operators.breaches import sustained_breaches
 from millpulse.operators.orders import work_orders_status
 from millpulse.operators.staging import stg_machine_status, stg_sensor_data, stg_work_orders
@@ -24,8 +24,10 @@ from millpulse.plans.ingest import IngestPaths, run_ingest
 from millpulse.plans.marts import build_models, store_models, write_marts
 from millpulse.session import work_dir
 from millpulse.sources import incremental, raw as raw_sources
-from millpulse.sources.tables import CSV_WRITE_OPTIONS, extract_table_to_csv, register_models, save_table
-from millpulse.streaming import landing, live, messages as msg, risk
+from millpulse.sources.keyed import read_table, upsert_table
+from millpulse.sources.landed_csv import load_landed_csv
+from millpulse.sources.tables import CSV_WRITE_OPTIONS, create_tables, extract_table_to_csv, register_models, save_table, with_default_now
+from millpulse.streaming import admission, kept, landing, live, messages as msg, risk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +39,12 @@ TREND_MACHINE = "D-001"
 BACKFILL_STATUS, BACKFILL_TS = "IDLE", datetime(2024, 2, 1)
 UPSERT_SINCE = datetime(2024, 1, 15)
 WATERMARK_DELAY = "2 hours"
+LATE_AFTER = timedelta(hours=36)
+SILENT_AFTER = timedelta(days=3)
+FLUSH_RECORDS, FLUSH_AFTER = 400, timedelta(hours=12)
+LEDGER_CYCLES = (10, 20, 31)  # last day of January of each load cycle
+APPROX_ACCURACY, APPROX_ERROR = 1_000_000, 0.01
+ORDER_STATUSES = ["OPEN", "IN_PROGRESS"]
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -317,6 +325,18 @@ def _load_machine_status_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_sources.load_machine_status_raw(spark, work)
 
 
+@query("load_split_csv")
+def _load_split_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Work orders in one file, product names with quotes and line breaks, read by several tasks."""
+    work = work_dir(spark, "split_csv")
+    orders = fixtures.work_orders_raw(spark, sf_dir)
+    broken = F.concat(F.col("product_name"), F.lit('\n"and", '), F.col("machine_id"), F.lit("\n"))
+    orders = orders.withColumn("product_name", F.when(F.col("target_quantity") % 5 == 0, broken).otherwise(F.col("product_name")))
+    columns = schemas.WORK_ORDERS_RAW.fieldNames()
+    orders.select(*columns).coalesce(1).write.options(**CSV_WRITE_OPTIONS).csv(f"{work}/work_orders_all.csv")
+    return raw_sources.load_work_orders_raw(spark, work)
+
+
 def _two_cycles(spark: SparkSession, sf_dir: str, name: str) -> dict[str, DataFrame]:
     """Two load cycles: the plant tables are exported and loaded twice, each landed sensor file once."""
     work = work_dir(spark, name)
@@ -387,6 +407,101 @@ def _upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintenance.upsert_by_key(before, after, ["machine_key"])
 
 
+@query("upsert_table")
+def _upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same statuses in a stored table, of which an upsert rewrites only the buckets it touches."""
+    path = work_dir(spark, "upsert_table")
+    history = _status(spark, sf_dir)
+    since = F.lit(UPSERT_SINCE).cast("timestamp_ntz")
+    for part in (F.col("status_ts") < since, F.col("status_ts") >= since):
+        upsert_table(path, st.latest_status(history.filter(part)), ["machine_key"], buckets=8)
+    return read_table(spark, path)
+
+
+@query("default_now")
+def _default_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a time get the present one when they are added to a created table."""
+    root = work_dir(spark, "default_now")
+    create_tables(spark, root)
+    rows = with_default_now(fixtures.work_orders_raw(spark, sf_dir), "work_orders")
+    rows.write.mode("append").parquet(f"{root}/work_orders_raw")
+    present = F.col("created_at") > F.lit(RANGE_START).cast("timestamp_ntz")
+    stored = spark.read.schema(schemas.WORK_ORDERS_RAW).parquet(f"{root}/work_orders_raw")
+    return stored.groupBy("order_status").agg(
+        F.count(F.lit(1)).alias("order_rows"), F.count("created_at").alias("timed_rows"), F.count_if(present).alias("defaulted_rows")
+    )
+
+
+# ---- summaries that add up --------------------------------------------------------------------
+
+def _loads(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Dense readings as two loads."""
+    readings = stg_sensor_data(fixtures.sensor_dense(spark, sf_dir))
+    since = F.lit(UPSERT_SINCE).cast("timestamp_ntz")
+    return [readings.where(F.col("event_ts") < since), readings.where(F.col("event_ts") >= since)]
+
+
+@query("sketch_quantiles")
+def _sketch_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """95th percentiles per machine from the stored sketches of two loads, held against the ranks in all readings."""
+    path = work_dir(spark, "sketch_quantiles")
+    loads = _loads(spark, sf_dir)
+    for load in loads:
+        sketches.machine_day_sketches(load).write.mode("append").parquet(path)
+    found = sketches.merged_quantiles(spark.read.parquet(path), "machine_id")
+    ranked = loads[0].unionByName(loads[1]).join(found, "machine_id").groupBy("machine_id").agg(
+        *[F.max(f"{m}_n").alias(f"{m}_n") for m in sketches.MEASURES],
+        *[F.count_if(F.col(m) <= F.col(f"{m}_quantile")).alias(f"_{m}_to") for m in sketches.MEASURES],
+        *[F.count_if(F.col(m) < F.col(f"{m}_quantile")).alias(f"_{m}_below") for m in sketches.MEASURES],
+    )
+    # Readings that share the found value fill a range of ranks. Three times the stated error is never exceeded in practice.
+    allowed = 3 * sketches.rank_error()
+
+    def inside(m: str):
+        share = lambda c: F.col(c) / F.col(f"{m}_n")
+        return (share(f"_{m}_to") >= 0.95 - allowed) & (share(f"_{m}_below") <= 0.95 + allowed)
+
+    return ranked.select("machine_id", *[f"{m}_n" for m in sketches.MEASURES], *[inside(m).alias(f"{m}_within") for m in sketches.MEASURES])
+
+
+@query("sketch_machines")
+def _sketch_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Machines that have reported, per half of the month, from stored daily sketches, beside the exact count."""
+    path = work_dir(spark, "sketch_machines")
+    readings = _sensor(spark, sf_dir)
+    half = lambda c: (F.dayofmonth(c) > 15).alias("second_half")
+    for part in (F.dayofmonth("event_ts") % 2 == 0, F.dayofmonth("event_ts") % 2 == 1):
+        sketches.day_machine_sketches(readings.where(part)).write.mode("append").parquet(path)
+    found = sketches.merged_machines(spark.read.parquet(path).withColumn("second_half", half("day")), "second_half")
+    exact = readings.groupBy(half("event_ts")).agg(F.count_distinct("machine_id").alias("exact_machines"))
+    off = F.abs(F.col("machines") / F.col("exact_machines") - 1)
+    return found.join(exact, "second_half").select("second_half", "exact_machines", (off <= 4 * sketches.distinct_error()).alias("within"))
+
+
+@query("machine_baselines_approx")
+def _machine_baselines_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Baselines that are observed values."""
+    return hl.machine_baselines(hl.hourly_readings(_sensor(spark, sf_dir)), APPROX_ACCURACY)
+
+
+@query("kpi_high_risk_machines_approx")
+def _kpi_high_risk_machines_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the estimate lies within four times its standard error, beside the exact count."""
+    risky = _risk(spark, sf_dir)
+    estimate = kpi.kpi_high_risk_machines(risky, APPROX_ERROR).withColumnRenamed("high_risk_machines", "estimate")
+    both = kpi.kpi_high_risk_machines(risky).unionByName(estimate, allowMissingColumns=True)
+    both = both.agg(*[F.max(name).alias(name) for name in ("high_risk_machines", "estimate")])
+    off = F.abs(F.col("estimate") - F.col("high_risk_machines"))
+    return both.select("high_risk_machines", (off <= 4 * APPROX_ERROR * F.col("high_risk_machines") + 1).alias("within"))
+
+
+@query("orders_pivot")
+def _orders_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order counts by machine, a column per status."""
+    orders = work_orders_status(stg_work_orders(fixtures.work_orders_raw(spark, sf_dir)))
+    return kpi.orders_by_machine_status(orders, ORDER_STATUSES)
+
+
 # ---- dashboard measures -----------------------------------------------------------------------
 
 @query("kpi_availability")
@@ -561,7 +676,7 @@ def _land_stream_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fixtures.event_files(spark, sf_dir, f"{work}/events")
     parsed = msg.parse_messages(fixtures.messages(events), F.col("received_at"))
     landing.land_stream(parsed, f"{work}/landed", f"{work}/checkpoint", "csv", available_now=True).awaitTermination()
-    landed = raw_sources.load_landed_csv(spark, f"{work}/landed")
+    landed = load_landed_csv(spark, f"{work}/landed")
     return landed.select(
         "machine_id", "parse_error", "raw_message", "timestamp", "alarm",
         F.col("temperature").try_cast("double").alias("temperature"), F.col("vibration").alias("vibration_text"),
@@ -623,3 +738,96 @@ def _refresh_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .trigger(availableNow=True).start().awaitTermination()
     )
     return risk.read_risk(spark, work)
+
+
+def _run(stream: DataFrame, keep: Callable[[DataFrame, int], None], work: str) -> None:
+    """Feed a stream to a batch function until the input is used up."""
+    stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+
+@query("read_messages")
+def _read_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message bodies read from a stream of text files."""
+    work = work_dir(spark, "read_messages")
+    fixtures.messages(fixtures.table(spark, sf_dir, "events")).select(F.col("body").cast("string")).write.text(f"{work}/queue")
+    stream = msg.read_messages(spark, "text", {"maxFilesPerTrigger": "4"}, f"{work}/queue")
+    parsed = msg.parse_messages(stream, F.lit("2024-02-01").cast("timestamp")).select("raw_message", "parse_error")
+    parsed.writeStream.format("parquet").option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start(f"{work}/read").awaitTermination()
+    return spark.read.schema(parsed.schema).parquet(f"{work}/read").groupBy("raw_message", "parse_error").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query("land_csv_retried")
+def _land_csv_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV batches that are all landed twice, as by a retry, count once."""
+    work = work_dir(spark, "land_csv_retried")
+    parsed = msg.parse_messages(fixtures.messages(fixtures.event_files(spark, sf_dir, f"{work}/events")), F.col("received_at"))
+    write = landing.union_writer(f"{work}/landed", landing.stream_name(f"{work}/checkpoint"))
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        write(batch, batch_id)
+
+    _run(landing.with_landing_day(parsed, F.col("received_at")).select("payload", *landing.ERROR_FIELDS, *landing.DAY_PARTS), twice, work)
+    return load_landed_csv(spark, f"{work}/landed").groupBy("machine_id", "timestamp", "parse_error").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query("load_ledger")
+def _load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of the files of three load cycles, one file a day, some with broken lines."""
+    work = work_dir(spark, "load_ledger")
+    lines = fixtures.messages(fixtures.table(spark, sf_dir, "events")).select("arrival", "received_at", F.col("body").cast("string").alias("value"))
+    first_day = 1
+    for last_day in LEDGER_CYCLES:
+        cycle = landing.with_landing_day(lines, F.col("received_at")).where(F.dayofmonth("received_at").between(first_day, last_day))
+        ordered = cycle.repartition("day").sortWithinPartitions("day", "arrival").drop("arrival", "received_at")
+        ordered.write.mode("append").partitionBy(*landing.DAY_PARTS).text(f"{work}/landed")
+        incremental.incremental_load(
+            spark, f"{work}/landed/{raw_sources.LANDED_SENSOR_FILES}", schemas.SENSOR_RAW, f"{work}/raw", f"{work}/checkpoint", max_files=7
+        )
+        first_day = last_day + 1
+    day = F.regexp_extract("source_file", "day=([0-9]+)", 1).cast("int")
+    return incremental.read_ledger(spark, f"{work}/raw").select(day.alias("day"), "rows_loaded", "rows_rejected", "first_error")
+
+
+@query("stream_recent_messages")
+def _stream_recent_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of `recent_messages`, kept over several batches."""
+    work = work_dir(spark, "stream_recent")
+    accepted = msg.split_valid(_payloads(fixtures.event_batches(spark, sf_dir, f"{work}/events", late=True)))[0]
+    _run(accepted, kept.recent_keeper(f"{work}/table"), work)
+    return kept.read_recent(spark, f"{work}/table")
+
+
+@query("stream_latest_expiring")
+def _stream_latest_expiring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest message of machines that have not been silent for long."""
+    work = work_dir(spark, "stream_latest_expiring")
+    events = fixtures.event_batches(spark, sf_dir, f"{work}/events", late=True)
+    accepted = msg.split_valid(_payloads(events))[0]
+    _run(accepted, kept.latest_keeper(f"{work}/table", F.col("received_at"), SILENT_AFTER, buckets=8, every=2), work)
+    return kept.read_latest(spark, f"{work}/table").drop("seen_at")
+
+
+@query("stream_late_readings")
+def _stream_late_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed hours, open hours and late readings per hour and machine: together all readings."""
+    work = work_dir(spark, "stream_late")
+    readings = stg_sensor_data(fixtures.sensor_rows(fixtures.event_batches(spark, sf_dir, f"{work}/events", late=True)))
+    _run(readings, kept.hours_keeper(f"{work}/table", LATE_AFTER), work)
+    late = hl.hourly_readings(kept.read_late(spark, f"{work}/table"))
+    parts = {"closed": kept.read_closed_hours(spark, f"{work}/table"), "open": kept.read_open_hours(spark, f"{work}/table"), "late": late}
+    rows = [rows.withColumn("kind", F.lit(kind)) for kind, rows in parts.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query("admitted_batches")
+def _admitted_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches by size or age from a stream of files that follows neither."""
+    work = work_dir(spark, "admitted")
+    schema = "event_id bigint, ts timestamp_ntz"
+    events = fixtures.event_batches(spark, sf_dir, f"{work}/events").select("event_id", "ts")
+    admit = admission.admit(f"{work}/table", schema, "ts", ["ts", "event_id"], FLUSH_RECORDS, FLUSH_AFTER.total_seconds())
+    _run(events, admit, work)
+    return admission.read_flushed(spark, f"{work}/table", schema).groupBy("flush", "reason").agg(
+        F.count(F.lit(1)).alias("records"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.sum("event_id").alias("event_ids"),
+    )

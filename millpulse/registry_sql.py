@@ -559,3 +559,92 @@ select machine_id, machine_risk_level, count(*) as risk_rows, sum(h.anomaly_even
 from b_risk r join b_health h using (hour_ts, machine_id) group by machine_id, machine_risk_level""")
 ORACLE["written_artifacts"] = ORACLE["stored_exploration"]
 ORACLE["refresh_marts"] = ORACLE["machine_risk_hourly"]
+
+# ---- kept tables and summaries ----------------------------------------------------------------
+
+BATCH_DAYS = (4, 5, 12, 20, 31)
+
+
+def _batch(late: bool) -> str:
+    on_time = " + ".join(f"(day(ts) > {d})::int" for d in BATCH_DAYS[:-1])
+    return f"least({len(BATCH_DAYS) - 1}, {on_time} + (event_id % 16 = 0)::int)" if late else on_time
+
+
+ORACLE["load_split_csv"] = statement("""
+select order_id, machine_id, case when target_quantity % 5 = 0 then product_name || chr(10) || '"and", ' || machine_id || chr(10)
+                                  else product_name end as product_name, target_quantity, order_status, created_at
+from b_orders_raw""")
+ORACLE["upsert_table"] = ORACLE["upsert_by_key"]
+ORACLE["default_now"] = statement("""
+select order_status, count(*) as order_rows, count(*) as timed_rows, count(*) filter (created_at is null) as defaulted_rows
+from b_orders_raw group by order_status""")
+ORACLE["sketch_quantiles"] = statement("""
+select machine_id, count(temperature) as temperature_n, count(vibration) as vibration_n, true as temperature_within, true as vibration_within
+from b_dense group by machine_id""")
+ORACLE["sketch_machines"] = statement("""
+select day(event_ts) > 15 as second_half, count(distinct machine_id) as exact_machines, true as within from b_sensor group by 1""")
+ORACLE["machine_baselines_approx"] = statement(f"""
+select machine_id, {r6("quantile_disc(avg_temperature, 0.95)")} as machine_temp_p95, {r6("quantile_disc(avg_vibration, 0.95)")} as machine_vibration_p95
+from b_hourly group by machine_id""")
+ORACLE["kpi_high_risk_machines_approx"] = statement("""
+select count(distinct machine_id) filter (machine_risk_level = 'HIGH') as high_risk_machines, true as within from b_risk""")
+ORACLE["orders_pivot"] = statement("""
+select machine_id, coalesce(sum(order_count) filter (order_status = 'OPEN'), 0)::bigint as "OPEN",
+       coalesce(sum(order_count) filter (order_status = 'IN_PROGRESS'), 0)::bigint as "IN_PROGRESS"
+from b_work_orders group by machine_id""")
+ORACLE["read_messages"] = statement("""
+select case when parse_error is not null then body end as raw_message, parse_error, count(*) as messages from b_parsed group by all""")
+ORACLE["land_csv_retried"] = statement("""
+select json_extract_string(o, '$.machine_id') as machine_id, json_extract_string(o, '$.timestamp') as timestamp, parse_error, count(*) as messages
+from (select *, case when parse_error is null then j end as o from b_parsed) group by all""")
+ORACLE["load_ledger"] = statement("""
+select day(received_at)::int as day, count(*) filter (parse_error is null) as rows_loaded,
+       count(*) filter (parse_error is not null) as rows_rejected,
+       arg_min(left(body, 200), arrival) filter (parse_error is not null) as first_error
+from b_parsed group by 1""")
+ORACLE["stream_recent_messages"] = ORACLE["recent_messages"]
+ORACLE["stream_latest_expiring"] = statement(f"""
+select {PAYLOAD_LIST} from b_live join (select event_id, ts from events) on event_id = arrival
+where ts >= (select max(ts) from events join b_validated on event_id = arrival where is_valid) - interval 3 days""")
+BLOCKS["b_placed"] = f"""
+select e.event_id, e.ts, {_batch(late=True)} as batch, date_trunc('hour', e.ts)::timestamp as hour_ts, temperature, vibration,
+       nullif(regexp_replace(upper(trim(r.machine_id)), '[^A-Z0-9-]', '', 'g'), '') as machine_id
+from events e join b_sensor_raw r on r.arrival = e.event_id"""
+BLOCKS["b_marks"] = """
+select b.batch, max(p.ts) - interval 36 hours as watermark
+from (select distinct batch from b_placed) b join b_placed p on p.batch < b.batch group by b.batch"""
+ORACLE["stream_late_readings"] = statement(f"""
+select hour_ts, machine_id, kind, {rounded('avg_temperature', 'avg_vibration')}, anomaly_events, total_events
+from (
+  select hour_ts, machine_id, case when hour_ts + interval 1 hour <= m.watermark then 'late'
+                                   when hour_ts + interval 1 hour <= (select max(ts) from events) - interval 36 hours then 'closed' else 'open' end as kind,
+         avg(temperature) as avg_temperature, avg(vibration) as avg_vibration,
+         sum(case when temperature > 90 or vibration > 2.0 then 1 else 0 end)::bigint as anomaly_events, count(*) as total_events
+  from b_placed left join b_marks m using (batch) where machine_id is not null and ts is not null group by all)""")
+
+
+def _admitted(records: int = 400, hours: int = 12) -> str:
+    """Batch by batch: how many rows have been flushed, then what the batch flushes."""
+    steps = [f"""
+ordered as (
+    select event_id, ts, row_number() over (order by ts, event_id) as n, {_batch(late=False)} as batch from events
+), s0 as (select 0::bigint as done, 0::bigint as flushes, 0::bigint as full_to, false as aged)"""]
+    for n in range(len(BATCH_DAYS)):
+        steps.append(f"""
+t{n} as (select count(*) as upto, max(ts) as now from ordered where batch <= {n}
+), u{n} as (select done, flushes, upto, now, done + (upto - done) // {records} * {records} as full_to from s{n}, t{n}
+), s{n + 1} as (
+    select case when aged then upto else full_to end as done, flushes + (full_to - done) // {records} + aged::int as flushes, full_to, aged,
+           done as was, flushes as first_flush
+    from (select *, upto > full_to and now - (select ts from ordered where n = full_to + 1) >= interval {hours} hours as aged from u{n})
+)""")
+    out = " union all ".join(f"""
+select first_flush + least((n - was - 1) // {records}, (full_to - was) // {records}) as flush,
+       case when n > full_to then 'age' else 'records' end as reason, ts, event_id
+from ordered, s{n + 1} where n > was and n <= done""" for n in range(len(BATCH_DAYS)))
+    return "with " + ",".join(steps) + f"""
+select flush::bigint as flush, reason, count(*) as records, min(ts) as first_ts, max(ts) as last_ts, sum(event_id)::bigint as event_ids
+from ({out}) group by flush, reason"""
+
+
+ORACLE["admitted_batches"] = _admitted()

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import csv
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,14 +11,14 @@ from pyspark.sql import types as T
 from millpulse import schemas
 from millpulse.functions.rules import not_nan
 from millpulse.session import require_utc
+from millpulse.sources.split_csv import read_split_csv
 
 CORRUPT = "_corrupt_record"
 LANDED_SENSOR_FILES = "year=*/month=*/day=*/*.{json,txt}"  # JSON lines come from the text sink
-LANDED_CSV_FILES = "year=*/month=*/day=*/*.csv"
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-# Positional columns behind one header line, optional double quotes. A quoted cell may hold line breaks, so one
-# file is read by one task; exports are cut into files of bounded size. A row with too few or too many cells is
-# kept: what is missing is NULL, what is too much is ignored.
+# Positional columns behind one header line, optional double quotes. A quoted cell may hold line breaks, so the CSV
+# reader takes one file in one task; `split_csv` reads a file by many. A row with too few or too many cells is kept:
+# what is missing is NULL, what is too much is ignored.
 CSV_OPTIONS = {
     "mode": "PERMISSIVE", "header": "true", "enforceSchema": "true", "quote": '"', "escape": '"', "multiLine": "true",
 }
@@ -76,42 +74,16 @@ def _day_fields() -> list[T.StructField]:
     return [T.StructField(name, T.IntegerType()) for name in ("year", "month", "day")]
 
 
-def load_work_orders_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Work-order CSV exports by column position."""
-    return _load_csv(spark, f"{path}/work_orders_*.csv", schemas.WORK_ORDERS_RAW)
+def load_work_orders_raw(spark: SparkSession, path: str, trust_quotes: bool = False) -> DataFrame:
+    """Work-order CSV exports by column position; see `read_split_csv`."""
+    return _load_csv(spark, f"{path}/work_orders_*.csv", schemas.WORK_ORDERS_RAW, trust_quotes)
 
 
-def load_machine_status_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Machine-status CSV exports by column position."""
-    return _load_csv(spark, f"{path}/machine_status_*.csv", schemas.MACHINE_STATUS_RAW)
+def load_machine_status_raw(spark: SparkSession, path: str, trust_quotes: bool = False) -> DataFrame:
+    """Machine-status CSV exports by column position; see `read_split_csv`."""
+    return _load_csv(spark, f"{path}/machine_status_*.csv", schemas.MACHINE_STATUS_RAW, trust_quotes)
 
 
-def _load_csv(spark: SparkSession, files: str, schema: T.StructType) -> DataFrame:
-    rows = require_utc(spark).read.schema(schemas.as_text(schema)).options(**CSV_OPTIONS).csv(files)
+def _load_csv(spark: SparkSession, files: str, schema: T.StructType, trust_quotes: bool) -> DataFrame:
+    rows = read_split_csv(require_utc(spark), files, schemas.as_text(schema), CSV_OPTIONS, trust_quotes)
     return rows.select(*typed_columns(schema))
-
-
-MAX_HEADERS = 1_000
-
-
-def load_landed_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Landed CSV files, whose headers differ from batch to batch, as text columns matched by name.
-
-    A column that a file lacks is NULL. Files are read together with all others of the same header; the distinct
-    headers, with their file names, reach the driver, and more than MAX_HEADERS of them are an error.
-    """
-    lines = spark.read.text(f"{path}/{LANDED_CSV_FILES}").select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
-    )
-    first_lines = lines.where("start = 0").groupBy("file").agg(F.first("value").alias("header"))
-    groups = first_lines.groupBy("header").agg(F.collect_list("file").alias("files")).limit(MAX_HEADERS + 1).collect()
-    if len(groups) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} different headers below {path}")
-    tables = []
-    for group in sorted(groups, key=lambda g: g["header"]):
-        names = next(csv.reader([group["header"]]))
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-        tables.append(spark.read.schema(schema).options(**CSV_OPTIONS).csv(group["files"]))
-    if not tables:
-        return spark.createDataFrame([], T.StructType([]))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)

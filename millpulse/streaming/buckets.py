@@ -24,10 +24,10 @@ MERGE_EVERY = 20  # folders of a bucket
 
 @dataclass(frozen=True)
 class Kept:
-    """A kept table: its columns, the column that decides the bucket, and what is left of all its rows."""
+    """A kept table: its columns, the key columns that decide the bucket, and what is left of all its rows."""
 
     schema: str
-    key: str
+    key: str | tuple[str, ...]
     merge: Callable[[DataFrame], DataFrame]
 
 
@@ -57,10 +57,10 @@ class BucketStore:
         self.buckets, self.facts = held["buckets"], held["facts"]
         self.folders: dict[str, dict[str, list[int]]] = {name: dict(held["folders"].get(name, {})) for name in tables}
 
-    def bucket(self, key: str | Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+    def bucket(self, key: str | tuple[str, ...]) -> Column:
+        return F.pmod(F.xxhash64(*([key] if isinstance(key, str) else key)), F.lit(self.buckets)).cast("int")
 
-    def touched(self, rows: DataFrame, key: str) -> list[int]:
+    def touched(self, rows: DataFrame, key: str | tuple[str, ...]) -> list[int]:
         """The buckets that rows fall into; at most as many numbers as there are buckets."""
         return sorted(r[0] for r in rows.select(self.bucket(key)).distinct().collect())
 
@@ -75,13 +75,16 @@ class BucketStore:
         rows = reader.parquet(*paths).drop("bucket") if paths else self.spark.createDataFrame([], schema)
         return kept.merge(rows).drop("batch")
 
-    def put(self, table: str, rows: DataFrame, buckets: Iterable[int] | None = None) -> None:
-        """Add the rows of this batch. Name the `buckets` that they may fall into, so that full ones can be merged."""
+    def put(self, table: str, rows: DataFrame, buckets: Iterable[int] = (), replace: bool = False) -> None:
+        """Add the rows of this batch. Name the `buckets` that they may fall into, so that full ones can be merged.
+
+        With `replace` the rows are all that these buckets hold from now on.
+        """
         kept, own = self.tables[table], self.folders[table]
         columns = T.StructType.fromDDL(kept.schema).fieldNames()
         added = rows.select(*columns)
-        full = [b for b in (buckets or []) if len(own.get(str(b), [])) >= self.every]
-        if full:
+        full = [b for b in buckets if replace or len(own.get(str(b), [])) >= self.every]
+        if full and not replace:
             is_full = self.bucket(kept.key).isin(full)
             old, new = self.read(table, full).withColumn("batch", F.lit(0)), added.where(is_full).withColumn("batch", F.lit(1))
             added = added.where(~is_full).unionByName(kept.merge(old.unionByName(new)).select(*columns))
@@ -89,11 +92,23 @@ class BucketStore:
         # Rows of a bucket meet before they are written, so it gets one file, or a few when it is large.
         dealt = added.withColumn("bucket", self.bucket(kept.key)).hint("rebalance", "bucket")
         dealt.write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        for b in full:
+            own.pop(str(b), None)
         for name in storage.children(self.spark, folder):
             if name.startswith("bucket="):
                 bucket = name.removeprefix("bucket=")
-                before = [] if int(bucket) in full else own.get(bucket, [])
-                own[bucket] = [*before, self.batch_id]
+                own[bucket] = [*own.get(bucket, []), self.batch_id]
+
+    def append(self, output: str, rows: DataFrame) -> None:
+        """Add rows to an output that only grows, in the folder of this batch."""
+        rows.write.mode("overwrite").parquet(f"{self.path}/{output}/batch={self.batch_id}")
+
+    def appended(self, output: str, schema: str) -> DataFrame:
+        """The rows of an output from every batch that counts, with the `batch`."""
+        full = T.StructType.fromDDL(f"{schema}, batch long")
+        if not self.manifests or not storage.children(self.spark, f"{self.path}/{output}"):
+            return self.spark.createDataFrame([], full)
+        return self.spark.read.schema(full).parquet(f"{self.path}/{output}").where(F.col("batch") <= self.manifests[-1])
 
     def commit(self, **facts: object) -> None:
         """Make this batch count, with small facts to remember, and remove what no longer does."""

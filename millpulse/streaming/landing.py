@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millpulse.sources.tables import CSV_WRITE_OPTIONS
+from millpulse.sources import landed_csv
 
 SENSOR_FIELDS = ("timestamp", "machine_id", "temperature", "vibration")
 ERROR_FIELDS = ("raw_message", "parse_error", "ingested_at")
@@ -36,8 +37,8 @@ def land_stream(
     """Start landing `parsed` messages (see `parse_messages`).
 
     JSON keeps whole records, or only the named `fields`: each message, or its error record, is one line of
-    text, and the file sink commits each batch exactly once. CSV writes each batch under the union of its keys;
-    a batch that is retried after a failure may then appear twice. The size of a batch is set at the source,
+    text, and the file sink commits each batch exactly once. CSV writes each batch under the union of its keys
+    and commits it exactly once too; read it with `load_landed_csv`. The size of a batch is set at the source,
     see `batch_limits`.
     """
     if fmt not in ("json", "csv"):
@@ -49,12 +50,17 @@ def land_stream(
         line = record_json(fields).alias("value")
         sink = rows.select(line, *DAY_PARTS).writeStream.format("text").partitionBy(*DAY_PARTS).option("path", path)
     else:
-        sink = rows.select("payload", *ERROR_FIELDS, *DAY_PARTS).writeStream.foreachBatch(union_writer(path, fmt))
+        sink = rows.select("payload", *ERROR_FIELDS, *DAY_PARTS).writeStream.foreachBatch(union_writer(path, stream_name(checkpoint)))
     sink = sink.option("checkpointLocation", checkpoint).outputMode("append")
     sink = sink.trigger(availableNow=True) if available_now else sink.trigger(processingTime=f"{flush_seconds} seconds")
     return sink.start()
 
 
+def stream_name(checkpoint: str) -> str:
+    """A stream is told apart from others by its checkpoint: a stream that starts over there counts its batches on."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
 def record_json(fields: Sequence[str] | None = None) -> Column:
     """The message as JSON text with all its keys, or the named ones it has; else its error record."""
     record = F.to_json("payload")
@@ -63,13 +69,15 @@ def record_json(fields: Sequence[str] | None = None) -> Column:
     return F.when(F.col("parse_error").isNull(), record).otherwise(F.to_json(F.struct(*ERROR_FIELDS)))
 
 
-def union_writer(path: str, fmt: str) -> Callable[[DataFrame, int], None]:
-    """A batch writer whose columns are the sorted union of the batch's keys."""
+def union_writer(path: str, stream: str) -> Callable[[DataFrame, int], None]:
+    """A batch writer whose columns are the sorted union of the batch's keys; `stream` tells streams into one folder apart."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # In a stream this is the query's own copy of the session.
         conf = batch.sparkSession.conf
         case_sensitive = conf.get("spark.sql.caseSensitive")
-        records = batch.select(record_map().alias("record"), *DAY_PARTS).persist()
+        day = F.concat_ws("/", *[F.concat(F.lit(f"{part}="), F.col(part)) for part in DAY_PARTS])
+        records = batch.select(record_map().alias("record"), day.alias("day")).persist()
         try:
             # Key names become the header of the files; messages that use ids as keys would make it endless.
             found = records.select(F.explode(F.map_keys("record")).alias("key")).distinct().limit(MAX_COLUMNS + 1).collect()
@@ -80,17 +88,7 @@ def union_writer(path: str, fmt: str) -> Callable[[DataFrame, int], None]:
                 return
             # Keys that differ only by case are different columns.
             conf.set("spark.sql.caseSensitive", "true")
-            cell = csv_text if fmt == "csv" else lambda value: value
-            columns = [cell(F.col("record")[key]).alias(key) for key in keys]
-            if not set(keys) & set(DAY_PARTS):
-                rows = records.select(*columns, *DAY_PARTS)
-                rows.write.mode("append").format(fmt).options(**CSV_WRITE_OPTIONS).partitionBy(*DAY_PARTS).save(path)
-                return
-            # A key is named like a folder level, so each landing day (one, as a rule) is written by its path.
-            for day in records.select(*DAY_PARTS).distinct().collect():
-                of_day = records.filter(F.struct(*DAY_PARTS) == F.struct(*[F.lit(part) for part in day]))
-                folder = "/".join(f"{name}={part}" for name, part in zip(DAY_PARTS, day))
-                of_day.select(*columns).write.mode("append").format(fmt).options(**CSV_WRITE_OPTIONS).save(f"{path}/{folder}")
+            landed_csv.write_batch(records, path, f"{stream}-{batch_id}", keys, lambda key: csv_text(F.col("record")[key]))
         finally:
             conf.set("spark.sql.caseSensitive", case_sensitive)
             records.unpersist()

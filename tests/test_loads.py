@@ -14,7 +14,7 @@ from millpulse.operators import maintenance
 from millpulse.plans.exploration import run_exploration
 from millpulse.plans.ingest import IngestPaths, run_ingest
 from millpulse.plans.marts import build_models, write_marts
-from millpulse.sources import incremental, raw, tables
+from millpulse.sources import incremental, raw, split_csv, storage, tables
 
 
 def put(path, text):
@@ -55,6 +55,38 @@ def test_csv_exports_are_read_by_position(spark, work):
     assert rows(raw.load_work_orders_raw(spark, work), "created_at") == [(at(0),), (None,), (None,), (None,)]
 
 
+QUOTED = ["plain", 'a "quoted" word', "two\nlines", "three\r\nlines\n", "comma, and \"\n\" break", "", '"', '\n"\n', "x" * 300]
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_one_file_is_read_by_many_tasks(spark, work, ending):
+    schema = schemas.as_text(schemas.MACHINE_STATUS_RAW)
+
+    def cell(text):
+        return '"' + text.replace('"', '""') + '"' if any(c in text for c in '",\r\n') or not text else text
+
+    lines = [f'id,"sta{ending}tus",x'] + [",".join((f"M-{n}", cell(QUOTED[n * 7 % len(QUOTED)] if n > 300 else f"s{n}"), f"t{n}")) for n in range(1_500)]
+    lines[40:40] = ["", "M,short", "M,a,b,surplus"]
+    put(f"{work}/one/machine_status_1.csv", ending.join(lines) + (ending if ending == "\n" else ""))
+    put(f"{work}/one/machine_status_2.csv", "")
+    put(f"{work}/one/machine_status_3.csv", f"id,b,c{ending}")
+    files = f"{work}/one/machine_status_*.csv"
+    want = ordered(spark.read.schema(schema).options(**raw.CSV_OPTIONS).csv(files))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert split_csv._lines(spark, files).rdd.getNumPartitions() > 10
+        got = split_csv.read_split_csv(spark, files, schema, raw.CSV_OPTIONS)
+        assert len(want) == 1_502 and ordered(got) == want
+        # Quotes inside a cell without quotes around it: that file is read in one task, the others are not.
+        put(f"{work}/one/machine_status_4.csv", 'id,b,c\nM,5" pipe,x\nM,6" pipe,y\nM,"q",z\n')
+        want = ordered(spark.read.schema(schema).options(**raw.CSV_OPTIONS).csv(files))
+        assert ordered(split_csv.read_split_csv(spark, files, schema, raw.CSV_OPTIONS)) == want and len(want) == 1_505
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_loads_refuse_a_session_in_another_zone(spark, work):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Bangkok")
     try:
@@ -75,7 +107,45 @@ def test_each_file_is_loaded_once_and_rejects_are_counted(spark, work):
     assert load() == ["A"]
     put(f"{work}/in/year=2024/month=03/day=01/b.json", '{"machine_id": "B"}\n')
     assert load() == ["A", "B"] and load() == ["A", "B"]
-    assert rows(incremental.read_rejected(spark, f"{work}/raw", schemas.SENSOR_RAW)) == [("{broken",)]
+    assert rows(incremental.read_rejected(spark, f"{work}/raw", schemas.SENSOR_RAW), "rejected_text") == [("{broken",)]
+
+
+def ledger(spark, target):
+    return sorted((os.path.basename(r[0]), *r[1:]) for r in rows(incremental.read_ledger(spark, target), "source_file", "rows_loaded", "rows_rejected", "first_error"))
+
+
+def test_the_ledger_keeps_what_became_of_each_file_over_cycles(spark, work):
+    def load(fmt="json", name="sensor", schema=schemas.SENSOR_RAW, files=raw.LANDED_SENSOR_FILES, **options):
+        incremental.incremental_load(spark, f"{work}/in/{files}", schema, f"{work}/{name}", f"{work}/{name}-checkpoint", fmt, **options)
+        return ledger(spark, f"{work}/{name}")
+
+    day = f"{work}/in/year=2024/month=03/day=01"
+    put(f"{day}/a.json", '{"machine_id": "A"}\n{broken\n{also broken\n{"machine_id": "B"}\n')
+    put(f"{day}/b.json", '{"machine_id": "C"}\n')
+    first = [("a.json", 2, 2, "{broken"), ("b.json", 1, 0, None)]
+    assert load() == first
+    put(f"{day}/c.json", "x" * 500 + "\n")
+    assert load() == [*first, ("c.json", 0, 1, "x" * incremental.ERROR_CHARS)] == load()
+    put(f"{work}/in/machine_status_1.csv", 'a,b,c\nM-1,IDLE,2024-03-01T00:00:00Z\nM-2,short\nM-3,"two\nlines",,surplus\nM-4,IDLE,bad time\n')
+    csv = {"fmt": "csv", "schema": schemas.MACHINE_STATUS_RAW, "files": "machine_status_*.csv"}
+    assert load(name="tolerant", **csv) == [("machine_status_1.csv", 4, 0, None)]
+    assert load(name="strict", reject_ragged=True, **csv) == [("machine_status_1.csv", 2, 2, "M-2,short")]
+    assert sorted(rows(incremental.read_loaded(spark, f"{work}/strict", schemas.MACHINE_STATUS_RAW), "machine_id")) == [("M-1",), ("M-4",)]
+
+
+def test_a_load_batch_that_fails_before_its_commit_counts_once(spark, work, monkeypatch):
+    put(f"{work}/in/year=2024/month=03/day=01/a.json", '{"machine_id": "A"}\n{broken\n')
+
+    def load():
+        incremental.incremental_load(spark, f"{work}/in/{raw.LANDED_SENSOR_FILES}", schemas.SENSOR_RAW, f"{work}/raw", f"{work}/checkpoint")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(storage, "write_json", lambda *_: 1 / 0)
+        with pytest.raises(Exception, match="ZeroDivision"):
+            load()
+    assert incremental.read_loaded(spark, f"{work}/raw", schemas.SENSOR_RAW).count() == 0
+    load()
+    assert incremental.read_loaded(spark, f"{work}/raw", schemas.SENSOR_RAW).count() == 1 and ledger(spark, f"{work}/raw") == [("a.json", 1, 1, "{broken")]
 
 
 def plant(spark):

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from frames import at, ordered, rows
 from millpulse.operators import dashboard
-from millpulse.sources.raw import load_landed_csv, load_sensor_raw
+from millpulse.sources import storage
+from millpulse.sources.landed_csv import load_landed_csv
+from millpulse.sources.raw import load_sensor_raw
 from millpulse.streaming import landing, live
 from millpulse.streaming import messages as msg
 
@@ -140,7 +142,7 @@ def test_csv_header_is_the_sorted_union_of_keys(spark, work, tmp_path):
     (tmp_path / "in").mkdir()
     write_lines(f"{work}/in", "a", ['{"b": 1.0, "a": " x,\\"y\\" "}', '{"c": true, "a": null}'])
     land(spark, work, "csv")
-    files = [open(f, encoding="utf-8").read().splitlines() for f in glob.glob(f"{work}/out/*/*/*/*.csv")]
+    files = [open(f, encoding="utf-8").read().splitlines() for f in glob.glob(f"{work}/out/year=*/*/*/*/*/*.csv")]
     assert {f[0] for f in files} == {"a,b,c"}
     assert sorted(line for f in files for line in f[1:]) == ['" x,""y"" ",1.0,', ",,True"]
 
@@ -203,3 +205,33 @@ def test_endless_keys_fail_loudly(spark, work, tmp_path, monkeypatch):
     write_lines(f"{work}/in", "a", ['{"a": 1, "b": 1, "c": 1, "d": 1}'])
     with pytest.raises(Exception, match="more than 3 different keys"):
         land(spark, work, "csv")
+
+
+def test_a_csv_batch_that_fails_half_way_lands_once(spark, work, monkeypatch):
+    parsed = msg.parse_messages(spark.createDataFrame([(b'{"a": 1}',), (b'{"b": 2, "year": "y", "batch": "x"}',), (b"{",)], "body binary"))
+    batch = landing.with_landing_day(parsed)
+    writer = landing.union_writer(f"{work}/out", "s")
+    real = storage.write_json
+
+    def fail(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(storage, "write_json", fail)
+    with pytest.raises(OSError):
+        writer(batch, 0)
+    assert load_landed_csv(spark, f"{work}/out").count() == 0  # the rows are there, but do not count
+    monkeypatch.setattr(storage, "write_json", real)
+    for _ in range(2):  # retried, and repeated once more
+        writer(batch, 0)
+        assert ordered(load_landed_csv(spark, f"{work}/out"), "a", "b", "year", "batch", "raw_message") == sorted(
+            [("1", None, None, None, None), (None, "2", "y", "x", None), (None, None, None, None, "{")], key=repr
+        )
+    # A first try on another day leaves a folder that the commit does not name.
+    other = landing.with_landing_day(parsed, F.lit("2020-01-01").cast("timestamp"))
+    monkeypatch.setattr(storage, "write_json", fail)
+    with pytest.raises(OSError):
+        writer(other, 1)
+    monkeypatch.setattr(storage, "write_json", real)
+    writer(batch, 1)
+    landing.union_writer(f"{work}/out", "t")(batch, 0)  # another stream into the same folder
+    assert load_landed_csv(spark, f"{work}/out").count() == 9
