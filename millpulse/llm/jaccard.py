@@ -17,6 +17,10 @@ at least k of the smaller document there. The search goes in two steps.
   either document of a pair is another one, at least one shared list is short, and what the short lists leave open is
   looked up among the long lists of both.
 
+Candidates are thinned before whole sets are compared. Each document has a bitmap of its set, one bit for each class of its
+shingles; a bit that only one of two documents has stands for at least one shingle that the other lacks. A pair with
+more such bits than a linked pair has shingles apart cannot link, which is exact, and only the bitmaps move for it.
+
 No pair is dropped and no list is cut: both steps together find every link between different components.
 """
 
@@ -25,7 +29,9 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 from itertools import compress, groupby
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +48,8 @@ LEADERS = 4  # members of each list that the others are compared with first
 LATE_LEADERS = 6  # of the largest component, for those not joined by then
 LONG = 64  # members from which an inverted list counts as long
 CHUNK = 2_000  # members of a long list in one row
+BITS = 512  # of a document's bitmap
+MAX_BROADCAST_BITMAPS = 150_000  # at most 20 MB; beyond it candidates are joined by a shuffle
 MAX_BROADCAST_IDS = 500_000  # at most 20 MB of ids and prints; beyond it documents are joined by a shuffle
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -137,27 +145,37 @@ def _shared_in_prefix(n: Column) -> Column:
     return F.least(_required(n), F.floor(n / 16).cast("int") + 2)
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """Which of the BITS classes of shingles the set has, as 64-bit integers."""
+    held = np.zeros(BITS, np.uint8)
+    held[shingles & (BITS - 1)] = 1
+    return np.packbits(held).view(np.int64)
+
+
 def sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n, print (a 128-bit hash of the set) and prefix of each row's shingle set."""
+    """doc_id, n, print (a 128-bit hash of the set), bitmap and prefix of each row's shingle set."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            n, prints, prefixes = [], [], []
+            n, prints, bitmaps, prefixes = [], [], [np.zeros(0, np.int64)], []
             for text in batch.column(1):
                 found = shingle_set(text.as_py(), powers)
                 n.append(len(found))
                 prints.append(xxhash.xxh3_128_digest(found.tobytes()))
+                bitmaps.append(bitmap(found))
                 prefixes.append(found[:prefix_length(len(found))])
             lengths = np.concatenate(([0], np.cumsum([len(p) for p in prefixes], dtype=np.int64)))
             values = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
+            words = np.arange(len(n) + 1, dtype=np.int32) * (BITS // 64)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(n, pa.int32()), pa.array(prints, pa.binary()),
+                pa.ListArray.from_arrays(pa.array(words), pa.array(np.concatenate(bitmaps))),
                 pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(values)),
-            ], names=["doc_id", "n", "print", "prefix"])
+            ], names=["doc_id", "n", "print", "bits", "prefix"])
 
-    return rows.mapInArrow(run, "doc_id long, n int, print binary, prefix array<long>")
+    return rows.mapInArrow(run, "doc_id long, n int, print binary, bits array<long>, prefix array<long>")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -197,6 +215,26 @@ def verified(docs: DataFrame, pairs: DataFrame, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}-links")
 
 
+def may_link(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) whose bitmaps leave open that they link; `marks` is (node, n, bits) of every document.
+
+    An id with several texts has several bitmaps, and a pair stays if any two of them leave it open.
+    """
+    marks = marks.select("node", F.struct("n", "bits").alias("mark"))
+    if marks.count() <= MAX_BROADCAST_BITMAPS:
+        marks = F.broadcast(marks)
+    both = pairs.join(marks.select(F.col("node").alias("a"), F.col("mark").alias("_of_a")), "a")
+    both = both.join(marks.select(F.col("node").alias("b"), F.col("mark").alias("_of_b")), "b")
+
+    def only_in(one: str, other: str) -> Column:
+        apart = [F.bit_count(F.col(one)["bits"][i].bitwiseAND(F.bitwise_not(F.col(other)["bits"][i]))) for i in range(BITS // 64)]
+        return reduce(add, apart)
+
+    n, m = F.col("_of_a.n"), F.col("_of_b.n")
+    overlap = F.ceil((n + m) * PERCENT / (100 + PERCENT))
+    return both.where((only_in("_of_a", "_of_b") <= n - overlap) & (only_in("_of_b", "_of_a") <= m - overlap)).select(*pairs.columns)
+
+
 def _close_sizes(n: Column, m: Column) -> Column:
     return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m))
 
@@ -266,27 +304,47 @@ def _proposed_again(shared: DataFrame, labels: DataFrame, folder: str) -> DataFr
     return _proposed(rows.where("group <> most").join(leaders, "hash")).select("a", "b")
 
 
-def counted(row: dict) -> Iterator[tuple[int, int, int, int]]:
-    """(other, wanted, count, open lists) of the members of the lists of one document (node, n, n_long, heavy, lists).
+Lists = list[tuple[list[int], list[int], list[bool], bool]]
+
+
+def counted(n: int, n_long: int, heavy: bool, lists: Lists) -> Iterator[tuple[int, int, int, int]]:
+    """(other, wanted, count, open lists) of the members of the lists (nodes, sizes, heavy, long) of one document.
 
     Long lists are complete only between two heavy documents. For any other pair the short lists are counted, and the
     long lists of the asker stay open.
     """
-    least = shared_in_prefix(required(row["n"]))
-    sizes, heavy = {}, set()
-    for x in row["lists"]:
-        sizes.update(zip(x["nodes"], x["sizes"]))
-        heavy.update(compress(x["nodes"], x["heavy"]))
-    if row["heavy"]:
-        both = [sorted(compress(x["nodes"], x["heavy"])) for x in row["lists"]]
+    least = shared_in_prefix(required(n))
+    sizes, heavies = {}, set()
+    for nodes, their_sizes, are_heavy, _ in lists:
+        sizes.update(zip(nodes, their_sizes))
+        if heavy:
+            heavies.update(compress(nodes, are_heavy))
+    if heavy:
+        both = [sorted(compress(nodes, are_heavy)) for nodes, _, are_heavy, _ in lists]
         for other, count in t_occurrence([x for x in both if x], max(1, least)).items():
-            yield other, needed(row["n"], sizes[other]), count, 0
-    short = [sorted(y for y in x["nodes"] if not (row["heavy"] and y in heavy)) for x in row["lists"] if not x["long"]]
-    for other, count in t_occurrence([x for x in short if x], max(1, least - row["n_long"])).items():
-        yield other, needed(row["n"], sizes[other]), count, row["n_long"]
-
-
-def _remaining(shared: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
+            yield other, needed(n, sizes[other]), count, 0
+    short = [sorted(y for y in nodes if y not in heavies) for nodes, _, _, is_long in lists if not is_long]
+    for other, count in t_occurrence([x for x in short if x], max(1, least - n_long)).items():
+        yield other, needed(n, sizes[other]), count, n_long
+
+
+def _askers(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, bool, Lists]]:
+    """(node, n, n_long, heavy, lists) of each row; members are taken out of the flat arrays of the batch."""
+    node, n, n_long, heavy = (batch.column(c).to_pylist() for c in ("node", "n", "n_long", "heavy"))
+    of_row = batch.column("lists")
+    found = of_row.flatten()
+    nodes, sizes, are_heavy, is_long = (found.field(i) for i in range(4))
+    bounds = [0, *np.cumsum(nodes.value_lengths().to_numpy(zero_copy_only=False)).tolist()]
+    nodes, sizes, are_heavy = (x.flatten().to_numpy(zero_copy_only=False) for x in (nodes, sizes, are_heavy))
+    is_long, at = is_long.to_pylist(), 0
+    for i, k in enumerate(of_row.value_lengths().to_pylist()):
+        spans = [slice(bounds[j], bounds[j + 1]) for j in range(at, at + k)]
+        lists = [(nodes[x].tolist(), sizes[x].tolist(), are_heavy[x].tolist(), is_long[j]) for j, x in enumerate(spans, at)]
+        yield node[i], n[i], n_long[i], heavy[i], lists
+        at += k
+
+
+def _remaining(shared: DataFrame, labels: DataFrame, marks: DataFrame, folder: str) -> DataFrame:
     """Pairs (a, b) of different components that reach the required count in their prefixes, by T-occurrence search."""
     spark = shared.sparkSession
     rows = _open_rows(shared, labels)
@@ -320,22 +378,24 @@ def _remaining(shared: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
-            for row in batch.to_pylist():
-                for other, wanted, count, open_lists in counted(row):
+            for node, n, n_long, heavy, lists in _askers(batch):
+                for other, wanted, count, open_lists in counted(n, n_long, heavy, lists):
                     if count + open_lists >= wanted:
-                        out[0].append(row["node"])
+                        out[0].append(node)
                         out[1].append(other)
                         out[2].append(wanted - count if open_lists else 0)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32())], names=["a", "b", "missing"]
             )
 
-    near = fetched.mapInArrow(run, "a long, b long, missing int")
+    may_link(fetched.mapInArrow(run, "a long, b long, missing int"), marks).write.parquet(f"{folder}-near")
+    near = spark.read.parquet(f"{folder}-near")
     # What the short lists left open, the long lists of both documents must hold.
     of_a = by_node.select(F.col("node").alias("a"), F.col("long_lists").alias("long_a"))
     of_b = by_node.select(F.col("node").alias("b"), F.col("long_lists").alias("long_b"))
-    near = near.join(of_a, "a").join(of_b, "b")
-    return near.where((F.col("missing") <= 0) | (F.size(F.array_intersect("long_a", "long_b")) >= F.col("missing"))).select("a", "b").distinct()
+    looked_up = near.where("missing > 0").join(of_a, "a").join(of_b, "b")
+    found = looked_up.where(F.size(F.array_intersect("long_a", "long_b")) >= F.col("missing"))
+    return near.where("missing <= 0").select("a", "b").unionByName(found.select("a", "b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -343,7 +403,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     A NULL text has no shingles. Rows without shingles link with nothing and are their own component; rows with a NULL
     doc_id link with nothing either and have no component. Repeated rows share a component. If one id has several
-    texts, each row has the component of its own text.
+    texts, they are one document, which has the links of each of them.
     """
     spark = docs.sparkSession
     folder = work_dir(spark, "jaccard")
@@ -369,9 +429,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = proposed.where("turn > 1").join(linked, "a", "left_anti").select("a", "b")
     links = first.unionByName(verified(docs, rest, f"{folder}/second"))
     labels = connected(links)
-    links = links.unionByName(verified(docs, _proposed_again(shared, labels, f"{folder}/again"), f"{folder}/later"))
+    marks = firsts.select("node", "n", "bits")
+    again = may_link(_proposed_again(shared, labels, f"{folder}/again"), marks)
+    links = links.unionByName(verified(docs, again, f"{folder}/later"))
     labels = connected(links)
-    found_late = verified(docs, _remaining(shared, labels, f"{folder}/open"), f"{folder}/third")
+    found_late = verified(docs, _remaining(shared, labels, marks, f"{folder}/open"), f"{folder}/third")
     labels = connected(links.unionByName(found_late)).withColumnRenamed("component", "component_id")
 
     named = nodes.select("print", "node").join(labels, "node", "left").select(

@@ -451,3 +451,22 @@ def test_every_operator_is_registered(name):
     import __spark_entry__
 
     assert len([q for q in __spark_entry__.queries() if q.startswith(name)]) == 1
+
+
+def test_bitmaps_drop_no_pair_that_links(spark):
+    rng = random.Random(12)
+    sets, pairs = [], []
+    for n in (1, 3, 8, 40, 200, 1_500):
+        for share in (0.0, 0.5, 0.75, 0.84, 0.86, 0.9, 1.0):
+            for _ in range(6):
+                one = {rng.randrange(-2**63, 2**63) for _ in range(n)}
+                kept = set(rng.sample(sorted(one), round(share * n)))
+                other = kept | {rng.randrange(-2**63, 2**63) for _ in range(round((1 - share) * n * rng.uniform(0.2, 1)))}
+                if other:
+                    pairs.append((len(sets), len(sets) + 1))
+                    sets += [one, other]
+    rows = [(i, len(s), jaccard.bitmap(np.array(sorted(s), np.int64)).tolist()) for i, s in enumerate(sets)]
+    marks = spark.createDataFrame(rows, "node long, n int, bits array<long>")
+    left = {tuple(r) for r in jaccard.may_link(spark.createDataFrame(pairs, "a long, b long"), marks).collect()}
+    link = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert link <= left and 0 < len(link) and len(left) < 0.8 * len(pairs)
