@@ -307,11 +307,16 @@ def _proposed_again(shared: DataFrame, labels: DataFrame, folder: str) -> DataFr
 Lists = list[tuple[list[int], list[int], list[bool], bool]]
 
 
+def left_out(least: int) -> int:
+    """How many of its longest lists a heavy document need not fetch: two of the shared ones are still among the others."""
+    return max(0, least - 2)
+
+
 def counted(n: int, n_long: int, heavy: bool, lists: Lists) -> Iterator[tuple[int, int, int, int]]:
     """(other, wanted, count, open lists) of the members of the lists (nodes, sizes, heavy, long) of one document.
 
-    Long lists are complete only between two heavy documents. For any other pair the short lists are counted, and the
-    long lists of the asker stay open.
+    Long lists are complete only between two heavy documents, but for the longest that a heavy one leaves out, which are
+    counted as shared. For any other pair the short lists are counted, and the long lists of the asker stay open.
     """
     least = shared_in_prefix(required(n))
     sizes, heavies = {}, set()
@@ -321,8 +326,8 @@ def counted(n: int, n_long: int, heavy: bool, lists: Lists) -> Iterator[tuple[in
             heavies.update(compress(nodes, are_heavy))
     if heavy:
         both = [sorted(compress(nodes, are_heavy)) for nodes, _, are_heavy, _ in lists]
-        for other, count in t_occurrence([x for x in both if x], max(1, least)).items():
-            yield other, needed(n, sizes[other]), count, 0
+        for other, count in t_occurrence([x for x in both if x], max(1, least - left_out(least))).items():
+            yield other, needed(n, sizes[other]), count + left_out(least), 0
     short = [sorted(y for y in nodes if y not in heavies) for nodes, _, _, is_long in lists if not is_long]
     for other, count in t_occurrence([x for x in short if x], max(1, least - n_long)).items():
         yield other, needed(n, sizes[other]), count, n_long
@@ -352,9 +357,13 @@ def _remaining(shared: DataFrame, labels: DataFrame, marks: DataFrame, folder: s
     is_long = F.col("members") > LONG
     by_node = rows.groupBy("node").agg(
         F.sum(is_long.cast("int")).alias("n_long"), F.first("n").alias("_n"),
-        F.sort_array(F.collect_list(F.when(is_long, F.col("hash")))).alias("long_lists"),
+        F.sort_array(F.collect_list(F.when(is_long, F.struct("members", "hash"))), asc=False).alias("_long"),
+    )
+    least = _shared_in_prefix(_required(F.col("_n")))
+    by_node = by_node.withColumn("heavy", F.col("n_long") >= least).select(
+        "node", "n_long", "heavy", F.sort_array("_long.hash").alias("long_lists"),
+        F.when(F.col("heavy"), F.slice("_long.hash", 1, F.greatest(least - 2, F.lit(0)))).alias("left_out"),
     )
-    by_node = by_node.withColumn("heavy", F.col("n_long") >= _shared_in_prefix(_required(F.col("_n")))).drop("_n")
     by_node.write.parquet(f"{folder}-nodes")
     by_node = spark.read.parquet(f"{folder}-nodes")
     rows = rows.join(by_node.select("node", "n_long", "heavy"), "node").where(~is_long | F.col("heavy"))
@@ -365,6 +374,7 @@ def _remaining(shared: DataFrame, labels: DataFrame, marks: DataFrame, folder: s
     lists = rows.groupBy("hash", part.alias("part")).agg(F.collect_list(member).alias("list"))
     # Smaller components ask larger ones; the largest of a list asks nobody.
     asking = rows.where("group <> most").select("hash", "members", "node", "n", "n_long", "heavy", "group")
+    asking = asking.join(by_node.where("heavy").select("node", F.explode("left_out").alias("hash")), ["node", "hash"], "left_anti")
     fetched = asking.join(lists, "hash").withColumn(
         "list", F.filter("list", lambda x: (x.group > F.col("group")) & _close_sizes(x.n, F.col("n")))
     ).where(F.size("list") > 0)

@@ -170,10 +170,24 @@ def test_pairs_of_few_and_many_long_lists_are_counted_whole(spark, work):
     rows = [(i, 8, zlib.crc32(x.encode()), members[x]) for i, p in enumerate(prefixes) for x in p if members[x] > 1]
     shared = spark.createDataFrame(rows, "node long, n int, hash long, members long")
     labels = spark.createDataFrame([], "node long, component long")
-    got = {(r.a, r.b) for r in jaccard._remaining(shared, labels, f"{work}/open").collect()}
+    # Bitmaps that rule nothing out, so that the counts alone decide.
+    marks = spark.createDataFrame([(i, 8, [0] * (jaccard.BITS // 64)) for i in range(len(prefixes))], "node long, n int, bits array<long>")
+    got = {(r.a, r.b) for r in jaccard._remaining(shared, labels, marks, f"{work}/open").collect()}
     assert got == {(i, j) for j in range(len(prefixes)) for i in range(j) if len(prefixes[i] & prefixes[j]) >= 3}
 
 
+def test_long_lists_that_are_left_out_lose_no_pair(spark):
+    draw, rng = vocabulary(21, 50_000), random.Random(22)
+    base, texts = draw(260), []
+    for _ in range(200):  # all alike, few of them enough to link; every list of the base is long
+        copy = list(base)
+        for at in rng.sample(range(0, 260, 5), rng.choice([5, 6, 7, 9])):
+            copy[at] = draw(1)[0]
+        texts.append(" ".join(copy))
+    assert jaccard.left_out(jaccard.shared_in_prefix(jaccard.required(256))) > 8
+    check_duplicates(spark, texts, rng.sample(range(10_000), len(texts)))
+
+
 def test_short_documents_around_a_common_passage(spark):
     draw, rng = vocabulary(12, 40), random.Random(13)
     passage = draw(14)
