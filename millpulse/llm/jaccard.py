@@ -3,9 +3,11 @@
 A document is its set of five-word shingles, as 64-bit hashes. Two documents link when the Jaccard similarity of their
 sets is 0.75 or more; documents of equal sets are one node from the start.
 
-Let T(n) = ceil(0.75 n): linked documents share at least T shingles. Sorted by hash, the first k shared shingles of such
-a pair all lie among the first n - T(n) + k(n) of either set, so only these prefixes are indexed, and a pair must share
-at least k of the smaller document there. The search goes in two steps.
+Let T(n) = ceil(0.75 n): linked documents share at least T shingles. In any one order of all shingles, the first k shared
+shingles of such a pair all lie among the first n - T(n) + k(n) of either set, so only these prefixes are indexed, and a pair
+must share at least k of the smaller document there. The order is that of the hashes, but with frequent shingles last, so that
+documents that have little but frequent shingles in common hardly share any of their prefixes. Which ones count as frequent is
+read off a sample; it changes what is compared, never what is found. The search goes in two steps.
 
 * Each inverted list proposes a few of its members as leaders, and in a second turn a few of its largest component. A
   document that shares enough lists with a leader is compared with it. Groups of near copies so become components with
@@ -40,6 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millpulse.llm.components import connected
+from millpulse.llm.ship import ship, unpack
 from millpulse.session import work_dir
 
 WIDTH = 5
@@ -48,6 +51,9 @@ LEADERS = 4  # members of each list that the others are compared with first
 LATE_LEADERS = 6  # of the largest component, for those not joined by then
 LONG = 64  # members from which an inverted list counts as long
 CHUNK = 2_000  # members of a long list in one row
+SAMPLE = 64  # one document in so many tells which shingles are frequent
+FREQUENT_FROM = 4  # sampled documents
+MAX_FREQUENT = 100_000  # shingles that are broadcast, the most frequent ones: 0.8 MB
 BITS = 512  # of a document's bitmap
 MAX_BROADCAST_BITMAPS = 150_000  # at most 20 MB; beyond it candidates are joined by a shuffle
 MAX_BROADCAST_IDS = 500_000  # at most 20 MB of ids and prints; beyond it documents are joined by a shuffle
@@ -152,12 +158,38 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(held).view(np.int64)
 
 
+def frequent_shingles(docs: DataFrame) -> np.ndarray:
+    """Shingles of several sampled documents, the most frequent MAX_FREQUENT of them at most, sorted."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
+        for batch in batches:
+            for text in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text.as_py(), powers))], names=["shingle"])
+
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(run, "shingle long")
+    counts = sample.groupBy("shingle").agg(F.count("*").alias("c")).where(F.col("c") >= FREQUENT_FROM)
+    found = counts.orderBy(F.desc("c"), "shingle").limit(MAX_FREQUENT).select("shingle").collect()
+    return np.sort(np.array([row.shingle for row in found], np.int64))
+
+
+def prefix(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The first shingles of a sorted set in the common order: by value, frequent ones last."""
+    size = prefix_length(len(shingles))
+    if not len(frequent):
+        return shingles[:size]
+    place = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
+    late = frequent[place] == shingles
+    first = shingles[~late]
+    return first[:size] if len(first) >= size else np.concatenate((first, shingles[late]))[:size]
+
+
 def sets(docs: DataFrame) -> DataFrame:
     """doc_id, n, print (a 128-bit hash of the set), bitmap and prefix of each row's shingle set."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    shipped = ship(docs.sparkSession, frequent_shingles(rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
+        powers, frequent = Powers(), unpack(shipped)
         for batch in batches:
             n, prints, bitmaps, prefixes = [], [], [np.zeros(0, np.int64)], []
             for text in batch.column(1):
@@ -165,7 +197,7 @@ def sets(docs: DataFrame) -> DataFrame:
                 n.append(len(found))
                 prints.append(xxhash.xxh3_128_digest(found.tobytes()))
                 bitmaps.append(bitmap(found))
-                prefixes.append(found[:prefix_length(len(found))])
+                prefixes.append(prefix(found, frequent))
             lengths = np.concatenate(([0], np.cumsum([len(p) for p in prefixes], dtype=np.int64)))
             values = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             words = np.arange(len(n) + 1, dtype=np.int32) * (BITS // 64)

@@ -176,7 +176,18 @@ def test_pairs_of_few_and_many_long_lists_are_counted_whole(spark, work):
     assert got == {(i, j) for j in range(len(prefixes)) for i in range(j) if len(prefixes[i] & prefixes[j]) >= 3}
 
 
-def test_long_lists_that_are_left_out_lose_no_pair(spark):
+def test_frequent_shingles_come_last_in_prefixes():
+    frequent = np.array([3, 4, 90], np.int64)
+    shingles = np.array(sorted({3, 90, *range(10, 30)}), np.int64)
+    assert jaccard.prefix(shingles, frequent).tolist() == list(range(10, 10 + jaccard.prefix_length(22)))
+    few = np.array([3, 4, 7, 90], np.int64)
+    assert jaccard.prefix(few, frequent).tolist() == [7, 3, 4, 90][:jaccard.prefix_length(4)]
+    assert jaccard.prefix(shingles, frequent[:0]).tolist() == shingles[:jaccard.prefix_length(22)].tolist()
+
+
+@pytest.mark.parametrize("sample", [1, 3, 64])
+def test_long_lists_that_are_left_out_lose_no_pair(spark, monkeypatch, sample):
+    monkeypatch.setattr(jaccard, "SAMPLE", sample)
     draw, rng = vocabulary(21, 50_000), random.Random(22)
     base, texts = draw(260), []
     for _ in range(200):  # all alike, few of them enough to link; every list of the base is long
