@@ -27,13 +27,15 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group; rows that repeat an id count once.
+    """The document with the smallest id of each near-duplicate group; of rows that repeat an id the smallest content stays.
 
-    Rows without an id belong to no group and stay.
+    A text comes before no text. Rows without an id belong to no group and stay.
     """
     grouped = jaccard.near_duplicates(docs.select("doc_id", "text"))
     stay = grouped.where("doc_id = component_id").select("doc_id")
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    content = F.struct(F.col("text").isNull().alias("_no_text"), "text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    kept = docs.join(stay, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(content).alias("_content"))
+    kept = kept.select("doc_id", *[F.col("_content")[c].alias(c) for c in docs.columns if c != "doc_id"])
     return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(docs.columns)
 
 
