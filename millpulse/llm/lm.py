@@ -1,12 +1,15 @@
 """Language-model scores from a hashed maximum-entropy model.
 
-The probability of a token is that of its class times that of its place in the class. Both are softmaxes over features
-of the tokens before it, hashed into tables of fixed size: the last word, the last two, the word before the last (a
-skip), and the classes of the last three. Frequent words have a place of their own; all other words of a class share
-one, and divide it by their counts, with a share for words never seen in training.
+The softmax is factored by classes: words are put into classes by the words beside them, classes into classes, and so
+on, at most FAN to each. The probability of a word is the product of the probabilities of the choices on its path. Each
+choice is a softmax over features of the tokens before it, hashed with the class into one table per feature: the last
+word, the last two, the word before the last (a skip), and the last word with the third last (a skip).
 
-Counts cover every training token. Training is one pass of gradient steps over all of them: each task improves a copy of
-the weights on its own rows, and the copies are averaged in Spark, row by row, weighted by how often a row was used.
+Frequent words have a place of their own. The others share places by their last bytes, and divide a place by their counts,
+with a share for words never seen in training.
+
+Counts and contexts cover every training token. Training is one pass of gradient steps over all of them: each task improves
+a copy of the weights on its own rows, and the copies are averaged in Spark, row by row, weighted by how often a row was used.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,18 +32,21 @@ from millpulse.llm.text import crc_remainder
 from millpulse.session import work_dir
 
 FOLDS, HELD_OUT = 10, 0
-# Sizes of the model. They are the same for every corpus, so what is broadcast is bounded.
-CLASSES = 32
-PLACES = 32
-HEAD_WORDS = 200_000  # words whose count every task knows
-SUFFIXES = 4_096
-SUFFIX_BYTES = 3
-ROW_BITS = 14
-STEP = 0.15
-BATCH_TOKENS = 8_192
+# Sizes of the model. They grow with the corpus up to these bounds, so what is broadcast is bounded.
+HEAD_WORDS = 200_000  # words whose count every task knows, and that are told apart as contexts
+LEAVES = 1 << 16  # words with a place of their own
+TAILS = 64  # places that all other words share
+TAIL_BYTES = 2
+FAN = 8
+FEATURES = 4
+MAX_ROW_BITS = 18
+SIDES = 32  # kinds of neighbours told apart on each side of a word when classes are formed
+STEP = 0.5
+BATCH_TOKENS = 1 << 15
 FLUSH_WORDS = 200_000
 END = b""  # the end token; no word is empty
-BLOCK_ROWS = 1_024  # rows of a weight table averaged together
+BLOCK_ROWS = 4_096  # rows of a weight table averaged together
+LEAF_BITS = 20
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -55,89 +61,100 @@ def tokens(text: bytes | None) -> list[bytes]:
 @dataclass
 class Model:
     counts: dict[bytes, int]
-    class_of_suffix: dict[bytes, int]
     n_tokens: int
     n_words: int
+    n_own: int  # the first words of `counts` have leaves of their own, before the shared ones
     ids: dict[bytes, int] = field(default_factory=dict)
-    place_of: dict[bytes, int] = field(default_factory=dict)
-    rest_tokens: np.ndarray | None = None  # training tokens of each class without a place of their own
-    unseen: np.ndarray | None = None  # share of the common place that words never seen have
-    class_bias: np.ndarray | None = None
-    place_bias: np.ndarray | None = None
-    class_weights: np.ndarray | None = None
-    place_weights: np.ndarray | None = None
+    rest_tokens: np.ndarray | None = None  # training tokens of each shared leaf
+    unseen: np.ndarray | None = None  # share of it that words never seen have
+    # The path of leaf i is choices[first[i]:first[i] + depth[i]]; a choice is class * FAN + place.
+    choices: np.ndarray | None = None
+    first: np.ndarray | None = None
+    depth: np.ndarray | None = None
+    bias: np.ndarray | None = None  # by class and place, log probabilities without context
+    row_bits: int = 0
+    weights: np.ndarray | None = None  # None: all zero
     memo: Memo | None = None
 
-    def word_class(self, word: bytes) -> int:
-        """Class 0 is the end; others go by their last bytes."""
-        if not word:
-            return 0
-        suffix = word[-SUFFIX_BYTES:]
-        known = self.class_of_suffix.get(suffix)
-        return 1 + zlib.crc32(suffix) % (CLASSES - 1) if known is None else known
+    def tail(self, word: bytes) -> int:
+        return zlib.crc32(word[-TAIL_BYTES:]) % TAILS
 
-    def coded(self, word: bytes) -> tuple[int, int, int]:
-        """(id as a context, class, place) of a word; words outside the head share an id per class."""
-        cls = self.word_class(word)
-        return self.ids.get(word, len(self.ids) + cls), cls, self.place_of.get(word, 0)
+    def leaf(self, word: bytes) -> int:
+        at = self.ids.get(word, self.n_own)
+        return at if at < self.n_own else self.n_own + self.tail(word)
 
     def _packed(self, word: bytes) -> int:
-        number, cls, place = self.coded(word)
-        return number << 16 | cls << 8 | place
+        """Its id as a context, and its leaf; words outside the head share an id per shared leaf."""
+        at = self.ids.get(word)
+        return (len(self.ids) + self.tail(word) if at is None else at) << LEAF_BITS | self.leaf(word)
 
     def encode(self, texts: list[list[bytes]]) -> np.ndarray:
-        """Rows id, class, place of all tokens of some texts, each text after three tokens that stand for its start."""
+        """Rows id and leaf of all tokens of some texts, each text after three tokens that stand for its start."""
         if self.memo is None:
             self.memo = Memo(self._packed, FLUSH_WORDS)
         self.memo.trim()
-        start = [len(self.ids) + CLASSES << 16] * 3
+        start = [len(self.ids) + TAILS << LEAF_BITS] * 3
         out = []
         for words in texts:
             out += start
             out += map(self.memo.__getitem__, words)
         packed = np.array(out, np.int64)
-        return np.stack([packed >> 16, packed >> 8 & 0xFF, packed & 0xFF])
-
-
-def _hash(parts: list[np.ndarray], salt: int) -> np.ndarray:
-    x = np.full(len(parts[0]), salt * 0x51ED270B + 1, np.uint64)
-    for i, part in enumerate(parts):
-        x = (x ^ part.astype(np.uint64)) * _MIX[i % len(_MIX)]
-        x ^= x >> np.uint64(29)
-    return ((x * _MIX[0]) >> np.uint64(64 - ROW_BITS)).astype(np.int64)
-
-
-def feature_rows(coded: np.ndarray, keep: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Rows of the class table and of the place table that each kept token uses."""
-    ids, classes = coded[0], coded[1]
-    w1, w2 = ids[keep - 1], ids[keep - 2]
-    c1, c2, c3 = classes[keep - 1], classes[keep - 2], classes[keep - 3]
-    target = classes[keep]
-    by_class = [_hash([w1], 1), _hash([w1, w2], 2), _hash([w2], 3), _hash([c1, c2, c3], 4)]
-    by_place = [_hash([w1, target], 5), _hash([c1, c2, target], 6), _hash([w1, w2, target], 7), _hash([w2, target], 8)]
-    return by_class, by_place
-
-
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    """Probabilities, in place. Logits are near log-probabilities, so a cap far above them is all that exp needs."""
-    np.minimum(logits, 40.0, out=logits)
-    np.exp(logits, out=logits)
-    logits *= (1.0 / (logits @ np.ones(logits.shape[1], logits.dtype)))[:, None]
-    return logits
-
+        return np.stack([packed >> LEAF_BITS, packed & (1 << LEAF_BITS) - 1])
 
-def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The probability of one outcome of each row."""
-    np.minimum(logits, 40.0, out=logits)
-    np.exp(logits, out=logits)
-    return logits[np.arange(len(at)), at] / (logits @ np.ones(logits.shape[1], logits.dtype))
 
-
-def _logits(bias: np.ndarray, weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    out = weights.take(rows[0], axis=0)
-    for r in rows[1:]:
-        out += weights.take(r, axis=0)
-    out += bias
+@dataclass
+class Steps:
+    """All choices on the paths of some tokens."""
+
+    token: np.ndarray  # which token
+    starts: np.ndarray  # where the choices of each token begin
+    cls: np.ndarray
+    place: np.ndarray
+    rows: list[np.ndarray]  # the row of each feature's table, all tables in one
+
+
+def contexts(ids: np.ndarray, keep: np.ndarray) -> list[np.ndarray]:
+    """One hash per feature of the tokens before each kept one."""
+    w1, w2, w3 = ((ids[keep - back].astype(np.uint64) + np.uint64(1)) * _MIX[back - 1] for back in (1, 2, 3))
+    return [w1, (w1 ^ w2) * _MIX[3], w2 * _MIX[3], (w1 ^ w3) * _MIX[1]]
+
+
+def steps(model: Model, coded: np.ndarray, keep: np.ndarray) -> Steps:
+    leaf = coded[1][keep]
+    depth = model.depth[leaf]
+    starts = np.cumsum(depth) - depth
+    token = np.repeat(np.arange(len(keep)), depth)
+    choice = model.choices[np.arange(len(token)) + (model.first[leaf] - starts)[token]]
+    cls = choice // FAN
+    salt = (cls.astype(np.uint64) + np.uint64(1)) * _MIX[2]
+    rows = []
+    for number, context in enumerate(contexts(coded[0], keep)):
+        x = context[token] ^ salt
+        x ^= x >> np.uint64(31)
+        x *= _MIX[0]
+        rows.append((x >> np.uint64(64 - model.row_bits)).astype(np.int64) + (number << model.row_bits))
+    return Steps(token, starts, cls, choice % FAN, rows)
+
+
+def _powers(model: Model, weights: np.ndarray, some: Steps) -> tuple[np.ndarray, np.ndarray]:
+    """Unnormalised probabilities of all places at each choice, and their sums. Logits are near log-probabilities, so a
+    cap far above them is all that exp needs."""
+    out = model.bias.take(some.cls, axis=0)
+    for rows in some.rows:
+        out += weights.take(rows, axis=0)
+    np.minimum(out, 40.0, out=out)
+    np.exp(out, out=out)
+    return out, out @ np.ones(FAN, out.dtype)
+
+
+def log_probabilities(model: Model, coded: np.ndarray, keep: np.ndarray) -> np.ndarray:
+    """log10 of the probability of the leaf of each kept token."""
+    out = np.empty(len(keep))
+    for at in range(0, len(keep), BATCH_TOKENS):
+        some = steps(model, coded, keep[at:at + BATCH_TOKENS])
+        powers, total = _powers(model, model.weights, some)
+        chosen = powers[np.arange(len(total)), some.place] / total
+        out[at:at + BATCH_TOKENS] = np.add.reduceat(np.log10(np.maximum(chosen, 1e-12).astype(float)), some.starts)
     return out
 
 
@@ -146,36 +163,29 @@ class Trainer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.class_weights, self.place_weights = model.class_weights.copy(), model.place_weights.copy()
-        rows = 1 << ROW_BITS
-        self.class_power, self.place_power = np.full(rows, 1e-3, np.float32), np.full(rows, 1e-3, np.float32)
-        self.class_used, self.place_used = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+        n = FEATURES << model.row_bits
+        self.weights = np.zeros((n, FAN), np.float32)
+        self.power = np.full(n, 1e-3, np.float32)
+        self.used = np.zeros(n, np.int32)
 
     def step(self, coded: np.ndarray, keep: np.ndarray) -> None:
-        by_class, by_place = feature_rows(coded, keep)
-        target, place = coded[1][keep], coded[2][keep]
-        at = np.arange(len(keep))
-        p = _softmax(_logits(self.model.class_bias, self.class_weights, by_class))
-        p[at, target] -= 1
-        for rows in by_class:
-            _descend(self.class_weights, self.class_power, self.class_used, rows, p)
-        p = _softmax(_logits(self.model.place_bias[target], self.place_weights, by_place))
-        p[at, place] -= 1
-        for rows in by_place:
-            _descend(self.place_weights, self.place_power, self.place_used, rows, p)
-
-
-def _descend(weights: np.ndarray, power: np.ndarray, used: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
-    order = np.argsort(rows.astype(np.uint16), kind="stable")
-    ordered = rows[order]
-    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    total = np.add.reduceat(gradient.take(order, axis=0), starts, axis=0)
-    touched = ordered[starts]
-    used[touched] += np.diff(np.append(starts, len(rows)))
-    grown = power[touched] + np.einsum("ij,ij->i", total, total) / total.shape[1]
-    power[touched] = grown
-    total *= (STEP / np.sqrt(grown))[:, None]
-    weights[touched] -= total
+        some = steps(self.model, coded, keep)
+        gradient, total = _powers(self.model, self.weights, some)
+        gradient *= (1.0 / total)[:, None]
+        gradient[np.arange(len(total)), some.place] -= 1
+        number = np.arange(len(total))
+        bits = max(1, int(len(total)).bit_length())
+        for rows in some.rows:
+            ordered = np.sort(rows << bits | number)  # sorting whole numbers is faster than sorting positions
+            order, ordered = ordered & (1 << bits) - 1, ordered >> bits
+            starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+            touched = ordered[starts]
+            pull = np.add.reduceat(gradient.take(order, axis=0), starts, axis=0)
+            self.used[touched] += np.diff(np.append(starts, len(ordered))).astype(np.int32)
+            grown = self.power[touched] + np.einsum("ij,ij->i", pull, pull)
+            self.power[touched] = grown
+            pull *= (STEP / np.sqrt(grown))[:, None]
+            self.weights[touched] -= pull
 
 
 def _token_batches(model: Model, texts: Iterator[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, list[list[bytes]]]]:
@@ -224,120 +234,195 @@ def count_words(train: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _suffix(word: Column) -> Column:
-    """The last bytes of a word, as hexadecimal text."""
-    raw = word.cast("binary")
-    return F.hex(F.when(F.octet_length(raw) <= SUFFIX_BYTES, raw).otherwise(F.substring(raw, -SUFFIX_BYTES, SUFFIX_BYTES)))
-
-
 def prepare(counts: DataFrame) -> Model:
-    """The untrained model: classes, places and biases from the counts. Only tables of fixed size reach the driver."""
-    spark = counts.sparkSession
+    """Words, places and shares from the counts. Only tables of bounded size reach the driver."""
     facts = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    words = counts.where("word <> ''")
-    suffixes = words.groupBy(_suffix(F.col("word")).alias("suffix")).agg(F.sum("c").alias("c"))
-    loads = [0] * CLASSES
-    class_of_suffix = {}
-    for row in suffixes.orderBy(F.desc("c"), "suffix").limit(SUFFIXES).collect():
-        cls = min(range(1, CLASSES), key=lambda k: (loads[k], k))
-        class_of_suffix[bytes.fromhex(row["suffix"])] = cls
-        loads[cls] += row["c"]
     head = counts.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toArrow()
-    names = head["word"].cast(pa.binary()).to_pylist()
-    model = Model(dict(zip(names, head["c"].to_pylist())), class_of_suffix, facts["n"], facts["v"])
-    model.ids = {word: i for i, word in enumerate(names)}
-    # The head is in order of counts, so the first words of a class take its places.
-    taken = [1] * CLASSES
-    totals = np.zeros((CLASSES, PLACES))
-    for word, c in model.counts.items():
-        cls = model.word_class(word)
-        if taken[cls] < PLACES:
-            model.place_of[word] = taken[cls]
-            totals[cls, taken[cls]] = c
-            taken[cls] += 1
-    table = spark.createDataFrame([(s.hex().upper(), c) for s, c in class_of_suffix.items()], "suffix string, known int")
-    cls = F.when(F.col("word") == "", 0).otherwise(
-        F.coalesce("known", F.pmod(F.crc32(F.unhex("suffix")), F.lit(CLASSES - 1)).cast("int") + 1)
-    )
-    by_class = counts.withColumn("suffix", _suffix(F.col("word"))).join(F.broadcast(table), "suffix", "left").groupBy(cls.alias("cls")).agg(
+    names, times = head["word"].cast(pa.binary()).to_pylist(), head["c"].to_pylist()
+    # The head is in order of counts, so its first words take the leaves; words seen once share theirs with unseen ones.
+    n_own = sum(c > 1 for c in times[:LEAVES])
+    model = Model(dict(zip(names, times)), facts["n"], facts["v"], n_own, {word: i for i, word in enumerate(names)})
+    others = counts
+    if n_own:
+        last, name = times[n_own - 1], F.lit(names[n_own - 1].decode("utf-8", "replace"))
+        others = counts.where((F.col("c") < last) | ((F.col("c") == last) & (F.col("word") > name)))
+    raw = F.col("word").cast("binary")
+    ending = F.when(F.octet_length(raw) <= TAIL_BYTES, raw).otherwise(F.substring(raw, -TAIL_BYTES, TAIL_BYTES))
+    shared = others.groupBy(F.pmod(F.crc32(ending), F.lit(TAILS)).cast("int").alias("tail")).agg(
         F.sum("c").alias("n"), F.sum((F.col("c") == 1).cast("long")).alias("once")
-    ).collect()  # one row per class
-    n_class, once = np.zeros(CLASSES), np.zeros(CLASSES)
-    for row in by_class:
-        n_class[row["cls"]], once[row["cls"]] = row["n"], row["once"]
-    model.rest_tokens = np.maximum(n_class - totals.sum(1), 0.0)
+    ).collect()  # one row per shared leaf
+    model.rest_tokens, once = np.zeros(TAILS), np.zeros(TAILS)
+    for row in shared:
+        model.rest_tokens[row["tail"]], once[row["tail"]] = row["n"], row["once"]
     model.unseen = np.where(model.rest_tokens > 0, np.minimum(0.9, (once + 0.5) / (model.rest_tokens + 1)), 1.0)
-    totals[:, 0] = model.rest_tokens
-    model.class_bias = np.log((n_class + 0.5) / (n_class.sum() + 0.5 * CLASSES)).astype(np.float32)
-    places = np.where((np.arange(PLACES) < np.array(taken)[:, None]), totals + 0.5, 1e-30)
-    model.place_bias = np.log(places / places.sum(1, keepdims=True)).astype(np.float32)
-    rows = 1 << ROW_BITS
-    model.class_weights = np.zeros((rows, CLASSES), np.float32)
-    model.place_weights = np.zeros((rows, PLACES), np.float32)
+    model.row_bits = min(MAX_ROW_BITS, max(10, model.n_tokens.bit_length() - 2))
     return model
 
 
-def train(rows: DataFrame, model: Model) -> Model:
-    """One pass of gradient steps over all `rows` (text), and the mean of the tasks' weights."""
+def _side(ids: np.ndarray) -> np.ndarray:
+    """The kind of a neighbour: frequent words are their own, the others are spread by hash."""
+    half = SIDES // 2
+    return np.where(ids < half, ids, half + (ids * 2654435761 % (1 << 32) >> 20) % half)
+
+
+def neighbours(rows: DataFrame, model: Model) -> np.ndarray:
+    """By leaf: how often each kind of neighbour stands before and after its words, over all `rows` (text)."""
     shipped = ship(rows.sparkSession, model)
-    n_blocks = (1 << ROW_BITS) // BLOCK_ROWS
+    n_leaves, width = model.n_own + TAILS, 2 * SIDES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(unpack(shipped))
-        seen = False
+        held = unpack(shipped)
+        counts = np.zeros(n_leaves * width, np.int32)
         texts = (tokens(x.as_py()) for batch in batches for x in batch.column(0).cast(pa.binary()))
-        for coded, keep, _ in _token_batches(trainer.model, texts):
-            seen = True
-            for at in range(0, len(keep), BATCH_TOKENS):
-                trainer.step(coded, keep[at:at + BATCH_TOKENS])
-        if not seen:
-            return
-        for part, weights, used in ((0, trainer.class_weights, trainer.class_used), (1, trainer.place_weights, trainer.place_used)):
-            for block in range(n_blocks):
-                at = slice(block * BLOCK_ROWS, (block + 1) * BLOCK_ROWS)
+        for coded, keep, _ in _token_batches(held, texts):
+            ids, leaves = coded
+            kinds = _side(ids)
+            before = leaves[keep] * width + kinds[keep - 1]
+            inner = keep[1:][np.diff(keep) == 1]
+            after = leaves[inner - 1] * width + SIDES + kinds[inner]
+            at, times = np.unique(np.concatenate([before, after]), return_counts=True)
+            counts[at] += times.astype(np.int32)
+        for block, at in enumerate(range(0, len(counts), BLOCK_ROWS * width)):
+            part = counts[at:at + BLOCK_ROWS * width]
+            some = np.flatnonzero(part)
+            if len(some):
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([part * n_blocks + block], pa.int32()), pa.array([(weights[at] * used[at, None]).astype(np.float32).tobytes()]),
-                    pa.array([used[at].tobytes()]), pa.array([zlib.crc32(bytes(used[at])) % 64], pa.int32()),
-                ], names=["block", "weighted", "used", "fan"])
+                    pa.array([block], pa.int32()), pa.array([some.astype(np.int32).tobytes()]), pa.array([part[some].tobytes()]),
+                    pa.array([zlib.crc32(some.tobytes()) % 64], pa.int32()),
+                ], names=["block", "at", "n", "fan"])
 
     def add(copies: pa.Table) -> pa.Table:
-        weighted = used = None
-        for w, u in zip(copies["weighted"], copies["used"]):
-            w, u = np.frombuffer(w.as_py(), np.float32), np.frombuffer(u.as_py(), np.int64)
-            weighted, used = (w.astype(np.float64), u.copy()) if weighted is None else (weighted + w, used + u)
+        total = np.zeros(BLOCK_ROWS * width, np.int64)
+        for at, n in zip(copies["at"], copies["n"]):
+            total[np.frombuffer(at.as_py(), np.int32)] += np.frombuffer(n.as_py(), np.int32)
+        total = np.minimum(total, (1 << 31) - 1).astype(np.int32)
+        some = np.flatnonzero(total)
+        return pa.table({"block": copies["block"].slice(0, 1), "at": [some.astype(np.int32).tobytes()], "n": [total[some].tobytes()]})
+
+    parts = rows.select("text").mapInArrow(run, "block int, at binary, n binary, fan int")
+    some = parts.groupBy("block", "fan").applyInArrow(add, "block int, at binary, n binary")
+    out = np.zeros(n_leaves * width, np.float32)
+    for row in some.groupBy("block").applyInArrow(add, "block int, at binary, n binary").collect():  # bounded by LEAVES
+        out[row["block"] * BLOCK_ROWS * width + np.frombuffer(row["at"], np.int32)] = np.frombuffer(row["n"], np.int32)
+    return out.reshape(n_leaves, width)
+
+
+def _halves(some: np.ndarray, points: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two parts of about equal mass, cut across the direction in which the points differ most."""
+    own, weight = points[some], mass[some]
+    own = own - np.average(own, axis=0, weights=weight)
+    scaled = own * np.sqrt(weight)[:, None]
+    spread = scaled.T @ scaled
+    direction = 1 + 0.01 * np.arange(len(spread))
+    for _ in range(12):
+        direction = spread @ direction
+        length = np.linalg.norm(direction)
+        if not length:
+            break
+        direction /= length
+    ordered = some[np.lexsort((some, own @ direction))]
+    filled = np.cumsum(mass[ordered])
+    cut = int(np.abs(filled - filled[-1] / 2)[:-1].argmin()) + 1
+    return ordered[:cut], ordered[cut:]
+
+
+def form_classes(model: Model, sides: np.ndarray) -> None:
+    """Classes of leaves with like neighbours, their paths, and the probabilities of the choices without context."""
+    counts = np.array(list(model.counts.values())[:model.n_own], float)
+    mass = np.concatenate([counts, model.rest_tokens + 0.5])
+    usual = 8 * sides.sum(0) / max(1.0, float(sides.sum()))
+    points = np.sqrt((sides + usual) / (sides.sum(1, keepdims=True) + max(1.0, float(usual.sum()))))
+    paths: list[list[int]] = [[] for _ in mass]
+    bias = []
+    waiting = [np.arange(len(mass))]
+    while waiting:
+        some = waiting.pop()
+        parts = [some]
+        if len(some) <= FAN:
+            parts = [some[i:i + 1] for i in range(len(some))]
+        while len(parts) < min(FAN, len(some)):
+            at = max((i for i, p in enumerate(parts) if len(p) > 1), key=lambda i: mass[parts[i]].sum())
+            parts[at:at + 1] = _halves(parts[at], points, mass)
+        row = np.full(FAN, -30.0)
+        for place, part in enumerate(parts):
+            row[place] = math.log(mass[part].sum() / mass[some].sum())
+            for leaf in part.tolist():
+                paths[leaf].append(len(bias) * FAN + place)
+            if len(part) > 1:
+                waiting.append(part)
+        bias.append(row)
+    model.bias = np.array(bias, np.float32)
+    model.depth = np.array([len(p) for p in paths])
+    model.first = np.cumsum(model.depth) - model.depth
+    model.choices = np.array([c for p in paths for c in p])
+
+
+def train(rows: DataFrame, model: Model) -> Model:
+    """Classes, one pass of gradient steps over all `rows` (text), and the mean of the tasks' weights."""
+    form_classes(model, neighbours(rows, model))
+    model.memo = None
+    shipped = ship(rows.sparkSession, model)
+    n = FEATURES << model.row_bits
+    block_rows = min(BLOCK_ROWS, n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = unpack(shipped)
+        trainer = None
+        texts = (tokens(x.as_py()) for batch in batches for x in batch.column(0).cast(pa.binary()))
+        for coded, keep, _ in _token_batches(held, texts):
+            trainer = trainer or Trainer(held)
+            for at in range(0, len(keep), BATCH_TOKENS):
+                trainer.step(coded, keep[at:at + BATCH_TOKENS])
+        for block in range(n // block_rows if trainer else 0):
+            at = slice(block * block_rows, (block + 1) * block_rows)
+            some = np.flatnonzero(trainer.used[at])
+            used = trainer.used[at][some]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([block], pa.int32()), pa.array([some.astype(np.int32).tobytes()]),
+                pa.array([trainer.weights[at][some].astype(np.float16).tobytes()]), pa.array([used.astype(np.int64).tobytes()]),
+                pa.array([zlib.crc32(used.tobytes()) % 64], pa.int32()),
+            ], names=["block", "at", "weights", "used", "fan"])
+
+    def mean(copies: pa.Table) -> pa.Table:
+        total, used = np.zeros((block_rows, FAN)), np.zeros(block_rows, np.int64)
+        for at, w, u in zip(copies["at"], copies["weights"], copies["used"]):
+            at, u = np.frombuffer(at.as_py(), np.int32), np.frombuffer(u.as_py(), np.int64)
+            total[at] += np.frombuffer(w.as_py(), np.float16).reshape(-1, FAN) * u[:, None].astype(float)
+            used[at] += u
+        some = np.flatnonzero(used)
         return pa.table({
-            "block": copies["block"].slice(0, 1), "weighted": [weighted.astype(np.float32).tobytes()], "used": [used.tobytes()],
+            "block": copies["block"].slice(0, 1), "at": [some.astype(np.int32).tobytes()],
+            "weights": [(total[some] / used[some, None]).astype(np.float16).tobytes()], "used": [used[some].tobytes()],
         })
 
-    # Copies of a block are added in two steps, so that no task has to hold those of all tasks.
-    parts = rows.select("text").mapInArrow(run, "block int, weighted binary, used binary, fan int")
-    some = parts.groupBy("block", "fan").applyInArrow(add, "block int, weighted binary, used binary")
-    total = some.groupBy("block").applyInArrow(add, "block int, weighted binary, used binary").collect()
-    for row in total:
-        part, block = divmod(row["block"], n_blocks)
-        used = np.frombuffer(row["used"], np.int64)[:, None]
-        mean = np.frombuffer(row["weighted"], np.float32).reshape(BLOCK_ROWS, -1) / np.maximum(used, 1)
-        target = model.place_weights if part else model.class_weights
-        target[block * BLOCK_ROWS:(block + 1) * BLOCK_ROWS] = mean
+    # Copies of a block are averaged in two steps, so that no task has to hold those of all tasks.
+    parts = rows.select("text").mapInArrow(run, "block int, at binary, weights binary, used binary, fan int")
+    some = parts.groupBy("block", "fan").applyInArrow(mean, "block int, at binary, weights binary, used binary")
+    total = some.groupBy("block").applyInArrow(mean, "block int, at binary, weights binary, used binary")
+    model.weights = np.zeros((n, FAN), np.float32)
+    for row in total.select("block", "at", "weights").collect():  # at most FEATURES << MAX_ROW_BITS rows of FAN numbers
+        at = row["block"] * block_rows + np.frombuffer(row["at"], np.int32)
+        model.weights[at] = np.frombuffer(row["weights"], np.float16).reshape(-1, FAN)
     return model
 
 
 def _scored(docs: DataFrame, model: Model) -> DataFrame:
     """What a task can know of each row: n_tokens, and base and model score up to the words outside the head, which
-    come as `tail` (word, class, times)."""
+    come as `tail` (word, shared leaf, times)."""
     shipped = ship(docs.sparkSession, model)
     base_total = model.n_tokens + 0.1 * (model.n_words + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = unpack(shipped)
         if not hasattr(held, "facts"):
-            # By id of a head word: log count for the base, and its share of the common place where it has no own.
-            counts = np.array(list(held.counts.values()), float) if held.counts else np.zeros(0)
-            coded = [held.coded(w) for w in held.counts]
-            cls, place = np.array([x[1] for x in coded], int), np.array([x[2] for x in coded], int)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                rest = np.log10((1 - held.unseen[cls]) * counts / held.rest_tokens[cls]) if len(cls) else np.zeros(0)
-            held.facts = np.log10(counts + 0.1), np.where(place > 0, 0.0, rest)
+            # By id of a head word: log count for the base, and its share of its leaf.
+            counts = np.array(list(held.counts.values()), float)
+            share = np.zeros(len(counts))
+            for at, word in enumerate(held.counts):
+                if at >= held.n_own:
+                    tail = held.tail(word)
+                    share[at] = math.log10((1 - held.unseen[tail]) * counts[at] / held.rest_tokens[tail])
+            held.facts = np.log10(counts + 0.1), share
         log_base, log_rest = held.facts
         n_head = len(held.ids)
         for batch in batches:
@@ -345,14 +430,7 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
             n_tokens, base, score, n_head_tokens = [], [], [], []
             tail_words, tail_times, tail_ends = [], [], [0]
             for coded, keep, group in _token_batches(held, iter(texts)):
-                log_p = np.empty(len(keep))
-                for at in range(0, len(keep), BATCH_TOKENS):
-                    some = keep[at:at + BATCH_TOKENS]
-                    by_class, by_place = feature_rows(coded, some)
-                    target, place = coded[1][some], coded[2][some]
-                    of_class = _chosen(_logits(held.class_bias, held.class_weights, by_class), target)
-                    of_place = _chosen(_logits(held.place_bias[target], held.place_weights, by_place), place)
-                    log_p[at:at + len(some)] = np.log10(np.maximum(of_class, 1e-12).astype(float) * np.maximum(of_place, 1e-12))
+                log_p = log_probabilities(held, coded, keep)
                 ids = coded[0][keep]
                 inside = ids < n_head
                 known = np.where(inside, ids, 0)
@@ -374,7 +452,7 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
                         tail_times += times.values()
                     tail_ends.append(len(tail_words))
             tail = pa.StructArray.from_arrays([
-                pa.array(tail_words, pa.binary()).cast(pa.string()), pa.array(map(held.word_class, tail_words), pa.int32()),
+                pa.array(tail_words, pa.binary()).cast(pa.string()), pa.array(map(held.tail, tail_words), pa.int32()),
                 pa.array(tail_times, pa.int32()),
             ], names=["word", "cls", "times"])
             tails = pa.ListArray.from_arrays(pa.array(tail_ends, pa.int32()), tail)
@@ -412,7 +490,7 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Data
     _scored(numbered, model).write.parquet(f"{folder}/scored")
     scored = spark.read.parquet(f"{folder}/scored")
     table = spark.createDataFrame(
-        [(i, float(model.unseen[i]), float(model.rest_tokens[i])) for i in range(CLASSES)], "cls int, unseen double, rest double"
+        [(i, float(model.unseen[i]), float(model.rest_tokens[i])) for i in range(TAILS)], "cls int, unseen double, rest double"
     )
     tail = scored.select("_row", F.explode("tail").alias("t")).select("_row", "t.word", "t.cls", "t.times")
     tail = tail.join(counts, "word", "left").join(F.broadcast(table), "cls")

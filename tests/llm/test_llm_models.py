@@ -383,18 +383,85 @@ def test_scores_follow_the_base_and_learn_order(spark, monkeypatch):
     assert held and sum(r.score for r in held) > 0.8 * sum(r.base_score for r in held)
 
 
-def test_words_inside_a_class_depend_on_more_than_the_last_word(spark):
-    # The last word is the same; only the word before it tells which of two words of one class follows.
-    rng = random.Random(21)
-    texts = [" ".join(f"{x} mid {x}yyyy" for x in rng.choices(["aa", "bb"], k=30)) for _ in range(300)]
+def plain_probability(model, before, word):
+    """The path of a word by dictionaries and math alone, one softmax after the other."""
+    mask = (1 << 64) - 1
+    mix = [int(x) for x in lm._MIX]
+    start = len(model.ids) + lm.TAILS
+    shared = lambda w: zlib.crc32(w[-2:]) % lm.TAILS
+    ids = [start] * 3 + [model.ids.get(w, len(model.ids) + shared(w)) for w in before]
+    w1, w2, w3 = ((ids[-k] + 1) * mix[k - 1] & mask for k in (1, 2, 3))
+    features = [w1, (w1 ^ w2) * mix[3] & mask, w2 * mix[3] & mask, (w1 ^ w3) * mix[1] & mask]
+    at = model.ids.get(word, model.n_own)
+    leaf = at if at < model.n_own else model.n_own + shared(word)
+    p = 1.0
+    for choice in model.choices[model.first[leaf]:model.first[leaf] + model.depth[leaf]].tolist():
+        cls, place = divmod(choice, lm.FAN)
+        logits = model.bias[cls].astype(float)
+        for n, feature in enumerate(features):
+            x = feature ^ ((cls + 1) * mix[2] & mask)
+            x = (x ^ x >> 31) * mix[0] & mask
+            logits = logits + model.weights[(n << model.row_bits) + (x >> 64 - model.row_bits)]
+        p *= math.exp(logits[place]) / sum(map(math.exp, logits))
+    return p
+
+
+def learned(spark, texts):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    model = lm.train(docs, lm.prepare(lm.count_words(docs)))
-    assert model.word_class(b"aayyyy") == model.word_class(b"bbyyyy")
-    for first, word in ((b"aa", b"aayyyy"), (b"bb", b"bbyyyy")):
-        coded, keep = lm._coded(model, [[first, b"mid", word]])
-        _, rows = lm.feature_rows(coded, keep[-1:])
-        _, cls, place = model.coded(word)
-        assert lm._softmax(lm._logits(model.place_bias[[cls]], model.place_weights, rows))[0, place] > 0.8
+    return lm.train(docs, lm.prepare(lm.count_words(docs)))
+
+
+def probability(model, before, word):
+    coded, keep = lm._coded(model, [[*before, word]])
+    return 10 ** lm.log_probabilities(model, coded, keep[-1:])[0]
+
+
+def test_choices_depend_on_more_than_the_last_word(spark):
+    # The last word is the same; only the word before it tells which of two words follows.
+    rng = random.Random(21)
+    model = learned(spark, [" ".join(f"{x} mid {x}yyyy" for x in rng.choices(["aa", "bb"], k=30)) for _ in range(300)])
+    for first in (b"aa", b"bb"):
+        assert probability(model, [first, b"mid"], first + b"yyyy") > 0.8
+
+
+def test_every_common_word_is_reached_by_its_context(spark):
+    rng = random.Random(22)
+    pairs = [(f"x{k}", f"y{k}") for k in range(300)]
+    model = learned(spark, [" ".join(w for _ in range(40) for w in rng.choice(pairs)) for _ in range(300)])
+    likely = [probability(model, [b"y0", x.encode()], y.encode()) for x, y in pairs]
+    assert min(likely) > 0.2 and sum(likely) / len(likely) > 0.7
+
+
+def test_probabilities_equal_a_plain_softmax(spark):
+    rng = random.Random(23)
+    model = learned(spark, [" ".join(f"w{min(rng.randrange(80), rng.randrange(80))}" for _ in range(50)) + f" once{i}" for i in range(80)])
+    for _ in range(60):
+        before = [f"w{rng.randrange(90)}".encode() for _ in range(rng.randrange(5))]
+        word = rng.choice([b"", b"unseen", b"once7", f"w{rng.randrange(80)}".encode()])
+        assert math.isclose(probability(model, before, word), plain_probability(model, before, word), rel_tol=1e-3)
+
+
+def test_scores_beat_a_plain_bigram(spark):
+    # Words follow a hidden order of two words back, so a bigram sees half of it.
+    rng = random.Random(24)
+    rows = []
+    for i in range(500):
+        ws = ["s0", "s1"]
+        while len(ws) < 80:
+            ws.append(f"s{(int(ws[-1][1:]) * 7 + int(ws[-2][1:]) * 3 + rng.randrange(2)) % 40}")
+        rows.append((i, " ".join(ws)))
+    got, tokens = check_lm(spark, rows)
+    ones, twos = Counter(), Counter()
+    for i, ws in tokens.items():
+        if not got[i].held_out:
+            ones.update(["^", *ws[:-1]])
+            twos.update(zip(["^", *ws], ws))
+    kinds = len({b for _, b in twos})
+    bigram = sum(
+        math.log10((twos[pair] + 0.1) / (ones[pair[0]] + 0.1 * kinds))
+        for i, ws in tokens.items() if got[i].held_out for pair in zip(["^", *ws], ws)
+    )
+    assert sum(r.score for r in got.values() if r.held_out) > bigram
 
 
 def test_lm_of_odd_rows_and_of_nothing(spark):
@@ -404,25 +471,28 @@ def test_lm_of_odd_rows_and_of_nothing(spark):
 
 
 def test_probabilities_of_a_context_sum_to_one(spark):
-    docs = spark.createDataFrame([(i, f"a{i % 5} b{i % 7} c{i} d") for i in range(60)], "doc_id long, text string")
-    counts = lm.count_words(docs)
-    model = lm.train(docs, lm.prepare(counts))
-    table = {r.word.encode(): r.c for r in counts.collect()}
+    texts = [f"a{i % 5} b{i % 7} c{i} d" for i in range(60)]
+    model = learned(spark, texts)
+    table = Counter(w.encode() for t in texts for w in t.split()) + Counter({b"": len(texts)})
     for context in ([], [b"a1"], [b"a1", b"b2"], [b"zzz"]):
-        total = 0.0
-        by_class = Counter()
-        for word in table:
-            coded, keep = lm._coded(model, [[*context, word]])
-            rows, place_rows = lm.feature_rows(coded, keep[-1:])
-            _, cls, place = model.coded(word)
-            p = lm._softmax(lm._logits(model.class_bias, model.class_weights, rows))[0, cls]
-            q = lm._softmax(lm._logits(model.place_bias[[cls]], model.place_weights, place_rows))[0, place]
-            share = 1.0 if place else (1 - model.unseen[cls]) * table[word] / model.rest_tokens[cls]
-            total += p * q * share
-            if not place and cls not in by_class:
-                by_class[cls] = p * q * model.unseen[cls]
-        assert total + sum(by_class.values()) <= 1 + 1e-5
-        assert total + sum(by_class.values()) > 0.5
+        total, shared = 0.0, {}
+        for word, c in table.items():
+            p, leaf = probability(model, context, word), model.leaf(word)
+            if leaf < model.n_own:
+                total += p
+            else:
+                tail = leaf - model.n_own
+                total += p * (1 - model.unseen[tail]) * c / model.rest_tokens[tail]
+                shared[tail] = p * model.unseen[tail]
+        # What is left belongs to shared places without any known word.
+        assert 0.5 < total + sum(shared.values()) <= 1 + 1e-5
+        whole = sum(probability(model, context, w) for w in table if model.leaf(w) < model.n_own)
+        endings = {}
+        for k in range(4_000):
+            endings.setdefault(model.tail(f"{k:03x}"[-2:].encode()), f"?{k:03x}".encode())
+        assert len(endings) == lm.TAILS
+        whole += sum(probability(model, context, w) for w in endings.values())
+        assert math.isclose(whole, 1, rel_tol=1e-4)
 
 
 # ---- pipeline ---------------------------------------------------------------------------------
