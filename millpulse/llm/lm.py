@@ -43,6 +43,7 @@ MAX_ROW_BITS = 18
 SIDES = 32  # kinds of neighbours told apart on each side of a word when classes are formed
 STEP = 0.5
 BATCH_TOKENS = 1 << 15
+FIRST_STEP_TOKENS, STEP_GROWTH = 512, 1.2  # steps are taken over few tokens at first, later over a batch
 FLUSH_WORDS = 200_000
 END = b""  # the end token; no word is empty
 BLOCK_ROWS = 4_096  # rows of a weight table averaged together
@@ -367,12 +368,14 @@ def train(rows: DataFrame, model: Model) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = unpack(shipped)
-        trainer = None
+        trainer, size = None, FIRST_STEP_TOKENS
         texts = (tokens(x.as_py()) for batch in batches for x in batch.column(0).cast(pa.binary()))
         for coded, keep, _ in _token_batches(held, texts):
             trainer = trainer or Trainer(held)
-            for at in range(0, len(keep), BATCH_TOKENS):
-                trainer.step(coded, keep[at:at + BATCH_TOKENS])
+            at = 0
+            while at < len(keep):
+                trainer.step(coded, keep[at:at + int(size)])
+                at, size = at + int(size), min(BATCH_TOKENS, size * STEP_GROWTH)
         for block in range(n // block_rows if trainer else 0):
             at = slice(block * block_rows, (block + 1) * block_rows)
             some = np.flatnonzero(trainer.used[at])

@@ -426,8 +426,8 @@ def test_choices_depend_on_more_than_the_last_word(spark):
 
 def test_every_common_word_is_reached_by_its_context(spark):
     rng = random.Random(22)
-    pairs = [(f"x{k}", f"y{k}") for k in range(300)]
-    model = learned(spark, [" ".join(w for _ in range(40) for w in rng.choice(pairs)) for _ in range(300)])
+    pairs = [(f"x{k}", f"y{k}") for k in range(100)]
+    model = learned(spark, [" ".join(w for _ in range(40) for w in rng.choice(pairs)) for _ in range(600)])
     likely = [probability(model, [b"y0", x.encode()], y.encode()) for x, y in pairs]
     assert min(likely) > 0.2 and sum(likely) / len(likely) > 0.7
 
