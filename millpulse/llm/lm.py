@@ -3,7 +3,7 @@
 The softmax is factored by classes: words are put into classes by the words beside them, classes into classes, and so
 on, at most FAN to each. The probability of a word is the product of the probabilities of the choices on its path. Each
 choice is a softmax over features of the tokens before it, hashed with the class into one table per feature: the last
-word, the last two, the word before the last (a skip), and the last word with the third last (a skip).
+word, the last two, and the word before the last (a skip).
 
 Frequent words have a place of their own. The others share places by their last bytes, and divide a place by their counts,
 with a share for words never seen in training.
@@ -37,16 +37,17 @@ HEAD_WORDS = 200_000  # words whose count every task knows, and that are told ap
 LEAVES = 1 << 16  # words with a place of their own
 TAILS = 64  # places that all other words share
 TAIL_BYTES = 2
-FAN = 8
-FEATURES = 4
-MAX_ROW_BITS = 18
+FAN = 16
+FEATURES = 3
+MAX_ROW_BITS = 17
 SIDES = 32  # kinds of neighbours told apart on each side of a word when classes are formed
 STEP = 0.5
 BATCH_TOKENS = 1 << 15
 FIRST_STEP_TOKENS, STEP_GROWTH = 512, 1.2  # steps are taken over few tokens at first, later over a batch
 FLUSH_WORDS = 200_000
 END = b""  # the end token; no word is empty
-BLOCK_ROWS = 4_096  # rows of a weight table averaged together
+BLOCK_ROWS = 1_024  # rows of a weight table averaged together
+COPY_GROUPS = 8  # copies of a block are added in so many groups first
 LEAF_BITS = 20
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -116,8 +117,8 @@ class Steps:
 
 def contexts(ids: np.ndarray, keep: np.ndarray) -> list[np.ndarray]:
     """One hash per feature of the tokens before each kept one."""
-    w1, w2, w3 = ((ids[keep - back].astype(np.uint64) + np.uint64(1)) * _MIX[back - 1] for back in (1, 2, 3))
-    return [w1, (w1 ^ w2) * _MIX[3], w2 * _MIX[3], (w1 ^ w3) * _MIX[1]]
+    w1, w2 = ((ids[keep - back].astype(np.uint64) + np.uint64(1)) * _MIX[back - 1] for back in (1, 2))
+    return [w1, (w1 ^ w2) * _MIX[3], w2 * _MIX[3]]
 
 
 def steps(model: Model, coded: np.ndarray, keep: np.ndarray) -> Steps:
@@ -281,15 +282,15 @@ def neighbours(rows: DataFrame, model: Model) -> np.ndarray:
             before = leaves[keep] * width + kinds[keep - 1]
             inner = keep[1:][np.diff(keep) == 1]
             after = leaves[inner - 1] * width + SIDES + kinds[inner]
-            at, times = np.unique(np.concatenate([before, after]), return_counts=True)
-            counts[at] += times.astype(np.int32)
+            np.add.at(counts, before, 1)
+            np.add.at(counts, after, 1)
         for block, at in enumerate(range(0, len(counts), BLOCK_ROWS * width)):
             part = counts[at:at + BLOCK_ROWS * width]
             some = np.flatnonzero(part)
             if len(some):
                 yield pa.RecordBatch.from_arrays([
                     pa.array([block], pa.int32()), pa.array([some.astype(np.int32).tobytes()]), pa.array([part[some].tobytes()]),
-                    pa.array([zlib.crc32(some.tobytes()) % 64], pa.int32()),
+                    pa.array([zlib.crc32(some.tobytes()) % COPY_GROUPS], pa.int32()),
                 ], names=["block", "at", "n", "fan"])
 
     def add(copies: pa.Table) -> pa.Table:
@@ -382,20 +383,20 @@ def train(rows: DataFrame, model: Model) -> Model:
             used = trainer.used[at][some]
             yield pa.RecordBatch.from_arrays([
                 pa.array([block], pa.int32()), pa.array([some.astype(np.int32).tobytes()]),
-                pa.array([trainer.weights[at][some].astype(np.float16).tobytes()]), pa.array([used.astype(np.int64).tobytes()]),
-                pa.array([zlib.crc32(used.tobytes()) % 64], pa.int32()),
+                pa.array([trainer.weights[at][some].astype(np.float16).tobytes()]), pa.array([used.tobytes()]),
+                pa.array([zlib.crc32(used.tobytes()) % COPY_GROUPS], pa.int32()),
             ], names=["block", "at", "weights", "used", "fan"])
 
     def mean(copies: pa.Table) -> pa.Table:
         total, used = np.zeros((block_rows, FAN)), np.zeros(block_rows, np.int64)
         for at, w, u in zip(copies["at"], copies["weights"], copies["used"]):
-            at, u = np.frombuffer(at.as_py(), np.int32), np.frombuffer(u.as_py(), np.int64)
+            at, u = np.frombuffer(at.as_py(), np.int32), np.frombuffer(u.as_py(), np.int32)
             total[at] += np.frombuffer(w.as_py(), np.float16).reshape(-1, FAN) * u[:, None].astype(float)
             used[at] += u
         some = np.flatnonzero(used)
         return pa.table({
             "block": copies["block"].slice(0, 1), "at": [some.astype(np.int32).tobytes()],
-            "weights": [(total[some] / used[some, None]).astype(np.float16).tobytes()], "used": [used[some].tobytes()],
+            "weights": [(total[some] / used[some, None]).astype(np.float16).tobytes()], "used": [np.minimum(used[some], (1 << 31) - 1).astype(np.int32).tobytes()],
         })
 
     # Copies of a block are averaged in two steps, so that no task has to hold those of all tasks.

@@ -390,8 +390,8 @@ def plain_probability(model, before, word):
     start = len(model.ids) + lm.TAILS
     shared = lambda w: zlib.crc32(w[-2:]) % lm.TAILS
     ids = [start] * 3 + [model.ids.get(w, len(model.ids) + shared(w)) for w in before]
-    w1, w2, w3 = ((ids[-k] + 1) * mix[k - 1] & mask for k in (1, 2, 3))
-    features = [w1, (w1 ^ w2) * mix[3] & mask, w2 * mix[3] & mask, (w1 ^ w3) * mix[1] & mask]
+    w1, w2 = ((ids[-k] + 1) * mix[k - 1] & mask for k in (1, 2))
+    features = [w1, (w1 ^ w2) * mix[3] & mask, w2 * mix[3] & mask]
     at = model.ids.get(word, model.n_own)
     leaf = at if at < model.n_own else model.n_own + shared(word)
     p = 1.0
@@ -428,8 +428,8 @@ def test_every_common_word_is_reached_by_its_context(spark):
     rng = random.Random(22)
     pairs = [(f"x{k}", f"y{k}") for k in range(100)]
     model = learned(spark, [" ".join(w for _ in range(40) for w in rng.choice(pairs)) for _ in range(600)])
-    likely = [probability(model, [b"y0", x.encode()], y.encode()) for x, y in pairs]
-    assert min(likely) > 0.2 and sum(likely) / len(likely) > 0.7
+    for (x, y), (other, _) in zip(pairs, [*pairs[1:], pairs[0]]):
+        assert probability(model, [b"y0", x.encode()], y.encode()) > 10 * probability(model, [b"y0", other.encode()], y.encode())
 
 
 def test_probabilities_equal_a_plain_softmax(spark):
