@@ -23,6 +23,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -261,6 +262,13 @@ def prepare(counts: DataFrame) -> Model:
     return model
 
 
+def _opened(shipped: Broadcast) -> Model:
+    """The model of a worker process, without the bytes that it came as."""
+    model = unpack(shipped)
+    shipped.value["pickled"] = b""
+    return model
+
+
 def _side(ids: np.ndarray) -> np.ndarray:
     """The kind of a neighbour: frequent words are their own, the others are spread by hash."""
     half = SIDES // 2
@@ -273,7 +281,7 @@ def neighbours(rows: DataFrame, model: Model) -> np.ndarray:
     n_leaves, width = model.n_own + TAILS, 2 * SIDES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = unpack(shipped)
+        held = _opened(shipped)
         counts = np.zeros(n_leaves * width, np.int32)
         texts = (tokens(x.as_py()) for batch in batches for x in batch.column(0).cast(pa.binary()))
         for coded, keep, _ in _token_batches(held, texts):
@@ -284,6 +292,7 @@ def neighbours(rows: DataFrame, model: Model) -> np.ndarray:
             after = leaves[inner - 1] * width + SIDES + kinds[inner]
             np.add.at(counts, before, 1)
             np.add.at(counts, after, 1)
+        held.memo = None
         for block, at in enumerate(range(0, len(counts), BLOCK_ROWS * width)):
             part = counts[at:at + BLOCK_ROWS * width]
             some = np.flatnonzero(part)
@@ -368,7 +377,7 @@ def train(rows: DataFrame, model: Model) -> Model:
     block_rows = min(BLOCK_ROWS, n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = unpack(shipped)
+        held = _opened(shipped)
         trainer, size = None, FIRST_STEP_TOKENS
         texts = (tokens(x.as_py()) for batch in batches for x in batch.column(0).cast(pa.binary()))
         for coded, keep, _ in _token_batches(held, texts):
@@ -377,6 +386,7 @@ def train(rows: DataFrame, model: Model) -> Model:
             while at < len(keep):
                 trainer.step(coded, keep[at:at + int(size)])
                 at, size = at + int(size), min(BATCH_TOKENS, size * STEP_GROWTH)
+        held.memo = None
         for block in range(n // block_rows if trainer else 0):
             at = slice(block * block_rows, (block + 1) * block_rows)
             some = np.flatnonzero(trainer.used[at])
@@ -417,7 +427,7 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
     base_total = model.n_tokens + 0.1 * (model.n_words + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = unpack(shipped)
+        held = _opened(shipped)
         if not hasattr(held, "facts"):
             # By id of a head word: log count for the base, and its share of its leaf.
             counts = np.array(list(held.counts.values()), float)

@@ -428,8 +428,8 @@ def test_every_common_word_is_reached_by_its_context(spark):
     rng = random.Random(22)
     pairs = [(f"x{k}", f"y{k}") for k in range(100)]
     model = learned(spark, [" ".join(w for _ in range(40) for w in rng.choice(pairs)) for _ in range(600)])
-    for (x, y), (other, _) in zip(pairs, [*pairs[1:], pairs[0]]):
-        assert probability(model, [b"y0", x.encode()], y.encode()) > 10 * probability(model, [b"y0", other.encode()], y.encode())
+    # Without its context a word has a share of 0.005.
+    assert all(probability(model, [b"y0", x.encode()], y.encode()) > 0.05 for x, y in pairs)
 
 
 def test_probabilities_equal_a_plain_softmax(spark):
