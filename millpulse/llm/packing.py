@@ -1,9 +1,10 @@
 """Best-fit packing into sequences of several permitted lengths.
 
 Documents are cut into pieces of at most the largest length. Full pieces fill a sequence of their own; the rest are
-packed best-fit, largest first, inside blocks of bounded size. In each block every permitted length is tried as the
-least size to open, each bin is then downsized to the smallest length that holds its contents, and the cheapest
-outcome stands.
+packed best-fit, largest first, inside blocks of bounded size. A piece that fits no open bin opens one, of the permitted length
+that costs least per token once the pieces still waiting have filled it and it has been downsized. At the end each bin is
+downsized to the smallest length that holds its contents. Runs with one least length for all bins bound the cost: the
+cheapest outcome stands.
 """
 
 from __future__ import annotations
@@ -25,15 +26,44 @@ def bin_cost(capacity: int) -> int:
     return capacity + BIN_OVERHEAD
 
 
-def _fit(sizes: list[int], capacities: tuple[int, ...], least: int) -> tuple[list[int], list[int], list[int]]:
+def opening_size(size: int, capacities: tuple[int, ...], counts: list[int], waiting: int) -> int:
+    """The length to open for an item: that of the least cost per token when the largest waiting items that fit fill it.
+
+    `counts` holds the waiting items by size, and a set bit of `waiting` marks a size that has some. Equal costs go to the
+    smaller length.
+    """
+    best = None
+    for capacity in capacities:
+        if capacity < size:
+            continue
+        used, limit = size, capacity - size
+        while fitting := waiting & ((2 << limit) - 1):
+            other = fitting.bit_length() - 1
+            used += other * min(counts[other], (capacity - used) // other)
+            limit = min(other - 1, capacity - used)
+        cost = bin_cost(next(c for c in capacities if c >= used))
+        if best is None or cost * best[1] < best[0] * used:
+            best = cost, used, capacity
+    return best[2]
+
+
+def _fit(sizes: list[int], capacities: tuple[int, ...], least: int | None) -> tuple[list[int], list[int], list[int]]:
     """Bin and offset of each item, and the used length of each bin; items come largest first.
 
     Open bins are kept by their free space; a set bit of `spaces` marks a space that some bin has, so the tightest
-    bin is the lowest set bit from the item's size on.
+    bin is the lowest set bit from the item's size on. Without a `least` length each bin is opened at its own least cost.
     """
     free: list[list[int]] = [[] for _ in range(capacities[-1] + 1)]
     spaces, bins, offsets, used, opened = 0, [], [], [], []
+    counts, waiting = [0] * (capacities[-1] + 1), 0
+    for size in sizes if least is None else ():
+        counts[size] += 1
+        waiting |= 1 << size
     for size in sizes:
+        if least is None:
+            counts[size] -= 1
+            if not counts[size]:
+                waiting ^= 1 << size
         fitting = spaces >> size
         if fitting:
             space = size + (fitting & -fitting).bit_length() - 1
@@ -41,7 +71,10 @@ def _fit(sizes: list[int], capacities: tuple[int, ...], least: int) -> tuple[lis
             if not free[space]:
                 spaces ^= 1 << space
         else:
-            space = next(c for c in capacities if c >= size and c >= least)
+            if least is None:
+                space = opening_size(size, capacities, counts, waiting)
+            else:
+                space = next(c for c in capacities if c >= size and c >= least)
             b = len(used)
             used.append(0)
             opened.append(space)
@@ -58,12 +91,13 @@ def _fit(sizes: list[int], capacities: tuple[int, ...], least: int) -> tuple[lis
 def pack_block(sizes: list[int], capacities: tuple[int, ...] = CAPACITIES) -> tuple[list[int], list[int], list[int]]:
     """Bin, offset and final capacity of each item of one block, in the order given.
 
-    Equal costs go to the smaller opening size, equal sizes to the earlier item.
+    Items hold one token or more. Equal costs go to the bins opened at their own least cost, then to the smaller opening size;
+    equal sizes to the earlier item.
     """
     order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
     largest_first = [sizes[i] for i in order]
     best = None
-    for least in capacities:
+    for least in (None, *capacities):
         bins, offsets, used = _fit(largest_first, capacities, least)
         final = [next(c for c in capacities if c >= u) for u in used]
         cost = sum(map(bin_cost, final))

@@ -1,10 +1,12 @@
 """Toxicity from two class-conditional Kneser-Ney models.
 
-Toxic and ordinary texts each have a model of expressions: a word given the word before it, backing off to the word,
-then to ever shorter beginnings of the word. Both models discount what they have seen by the same amount and share the
-counts of distinct continuations that the discounted mass is spread by, so a rare expression is judged by what its
-beginning has been seen in. A text's score compares its length-normalised log-likelihoods under the two models, over
-the whole text and over its most telling stretch, through a logistic curve fitted on rows the counts have not seen.
+Toxic and ordinary texts each have an interpolated Kneser-Ney model of a word given the word before it. A pair's count is
+discounted, and the mass that its history gives up, by its distinct continuations, goes to the word; a word counts by the
+distinct words it follows and backs off to ever shorter beginnings of itself in the same way. How the mass of a beginning is
+shared out below it is counted over both classes, so a rare expression is judged by what its beginning has been seen in. A
+text's score compares its length-normalised log-likelihoods under the two models, over the whole text and over its most
+telling stretch, through a logistic curve fitted on rows the counts have not seen. Of an expression the log ratio counts as
+far as its split over the classes is evidence, and for the rest the ratio of what it backs off to counts: nothing is cut.
 """
 
 from __future__ import annotations
@@ -15,8 +17,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,55 +30,60 @@ from millpulse.llm.text import crc_remainder, lower_ascii, words
 HELD_OUT_MODULUS, HELD_OUT_REMAINDER = 3, 1
 # Bounds of what is learned from and of what is sent to the tasks; they do not depend on the corpus.
 MAX_LABELLED = 5_000  # labelled rows of each class, taken in the order of a hash of their id
-MAX_NODES = 300_000
-MAX_PAIRS = 100_000
-MIN_DOCS = 4  # documents an expression must occur in to be judged by itself
+MAX_WORDS = 2_500_000  # words of these rows; no further row of the class is taken once they are reached
 DISCOUNT = 0.75
-MIN_EVIDENCE = 15.0  # likelihood-ratio statistic below which an expression is judged by its beginning instead
-PREFIX_LENGTHS = (3, 4, 5, 6, 8)
+EVIDENCE = 25.0  # likelihood-ratio statistic at which an expression and what it backs off to count alike
+SHARPNESS = 4  # how fast that changes
+LEVELS = (3, 4, 5, 6, 8, None)  # lengths of beginnings, then whole words
 STRETCH = 50
 THRESHOLD = 0.7
+CLASSES = ("ordinary", "toxic")
 EDGE_CHARS = string.punctuation
 CACHED_WORDS = 300_000
 
 
 @dataclass
 class Model:
-    """Log-likelihood ratios of word beginnings ("^" + prefix), words (+ "$") and word pairs, and the logistic weights."""
+    """Log-likelihood ratios of expressions and word pairs, and the logistic weights.
 
-    nodes: dict[str, int]
+    Expressions are words and their beginnings, found by the hash of their level and text; pairs by the places of both words.
+    """
+
+    keys: np.ndarray
     ratios: np.ndarray
-    word_ids: np.ndarray
+    whole: np.ndarray
     pair_keys: np.ndarray
     pair_ratios: np.ndarray
     weights: np.ndarray | None = None
     memo: Memo | None = None
 
     def code(self, word: str) -> int:
-        """The longest known expression of a word; 0 when even its shortest beginning is unknown."""
+        """The place of the longest known expression of a word; that after the last if none is known."""
         bare = word.strip(EDGE_CHARS)
-        code = self.nodes.get(bare + "$", 0)
-        for length in reversed(PREFIX_LENGTHS):
-            if code:
-                break
-            if len(bare) >= length:
-                code = self.nodes.get("^" + bare[:length], 0)
-        return code
+        for level in reversed(range(len(LEVELS))):
+            key = _key(level, bare)
+            at = int(np.searchsorted(self.keys, key))
+            if at < len(self.keys) and self.keys[at] == key:
+                return at
+        return len(self.keys) if bare else -1
 
     def word_ratios(self, text: str | None) -> np.ndarray:
+        """The log ratio of each word that is more than punctuation, given the word before it."""
         tokens = _split(text)
         if self.memo is None:
             self.memo = Memo(self.code, CACHED_WORDS)
         self.memo.trim()
         codes = np.fromiter(map(self.memo.__getitem__, tokens), np.int64, len(tokens))
+        codes = codes[codes >= 0]
         ratios = self.ratios[codes]
-        ids = self.word_ids[codes]
-        if len(self.pair_keys) and len(ids) > 1:
-            both = np.nonzero((ids[1:] >= 0) & (ids[:-1] >= 0))[0]
-            keys = (ids[both] << 32) | ids[both + 1]
-            at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-            hit = self.pair_keys[at] == keys
-            ratios[both[hit] + 1] = self.pair_ratios[at[hit]]
+        if len(self.pair_keys):
+            # The place after the last also stands for the start of a text; unknown words are in no pair.
+            pairs = _pair_key(np.concatenate(([len(self.keys)], codes[:-1])), codes) if len(codes) else codes
+            at = np.minimum(np.searchsorted(self.pair_keys, pairs), len(self.pair_keys) - 1)
+            hit = self.pair_keys[at] == pairs
+            hit[1:] &= self.whole[codes[:-1]]
+            hit &= self.whole[codes]
+            ratios[hit] = self.pair_ratios[at[hit]]
         return ratios
 
     def features(self, text: str | None) -> tuple[float, float, float]:
@@ -94,6 +103,14 @@ class Model:
         return 1 / (1 + np.exp(-x))
 
 
+def _key(level: int, bare: str) -> int:
+    return xxhash.xxh64_intdigest(f"{level} {bare[:LEVELS[level]]}".encode()) - (1 << 63)
+
+
+def _pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return (first << 32) | second
+
+
 _GAPS = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"} | {a: a.lower() for a in string.ascii_uppercase})
 
 
@@ -102,111 +119,154 @@ def _split(text: str | None) -> list[str]:
 
 
 def _bare_words(text: str) -> Column:
-    return F.transform(words(lower_ascii(F.col(text))), lambda w: F.btrim(w, F.lit(EDGE_CHARS)))
+    bare = F.transform(words(lower_ascii(F.col(text))), lambda w: F.btrim(w, F.lit(EDGE_CHARS)))
+    return F.array_remove(bare, "")
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> DataFrame:
-    """(doc_id, text, toxic, fold) of at most `limit` labelled documents per class, none of them held out.
+def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, max_words: int = MAX_WORDS) -> DataFrame:
+    """(doc_id, text, toxic, fold) of at most `limit` labelled documents and `max_words` words per class, none held out.
 
     A document labelled more than once is toxic if any label says so; NULL ids and labels are left out. Fold 0 fits the
-    curve, the other folds are counted. Copies of a text count once. Only the ids of the sample are broadcast.
+    curve, the other folds are counted. Copies of a text count once. Only the ids of the sample are broadcast, and its lengths
+    are summed in the order of a hash of the id.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(
         (F.max("toxic") > 0).cast("int").alias("toxic")
     )
     known = known.where(crc_remainder(F.col("doc_id"), HELD_OUT_MODULUS) != HELD_OUT_REMAINDER)
     order = F.xxhash64("doc_id")
-    part = lambda toxic: known.where(F.col("toxic") == toxic).orderBy(order, "doc_id").limit(limit)
-    ids = part(1).unionByName(part(0)).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)))
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    return rows.dropDuplicates(["text", "toxic"])
-
-
-def _counts(rows: DataFrame, name: str, items: Column, toxic: Column) -> DataFrame:
+    part = lambda rows, toxic: rows.where(F.col("toxic") == toxic).orderBy(order, *rows.columns).limit(limit)
+    ids = part(known, 1).unionByName(part(known, 0))
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").withColumn("_text", F.xxhash64("text"))
+    lengths = rows.groupBy("_text", "toxic").agg(F.min("doc_id").alias("doc_id"), F.max(F.size(words(F.col("text")))).alias("n"))
+    lengths = part(lengths, 1).unionByName(part(lengths, 0))
+    so_far = Window.partitionBy("toxic").orderBy(order, "doc_id", "_text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chosen = lengths.withColumn("_sum", F.sum("n").over(so_far)).where(F.col("_sum") - F.col("n") < max_words).drop("n", "_sum")
+    rows = rows.join(F.broadcast(chosen), ["doc_id", "toxic", "_text"]).dropDuplicates(["_text", "toxic"])
+    return rows.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4))).drop("_text")
+
+
+def _counts(rows: DataFrame, name: str, items: Column) -> DataFrame:
+    """(name, ordinary, toxic): the documents of each class that an item occurs in."""
     return rows.select("toxic", F.explode(F.array_distinct(items)).alias(name)).groupBy(name).agg(
-        F.sum(toxic).alias("n_toxic"), F.sum(1 - toxic).alias("n_ordinary")
+        F.sum(1 - F.col("toxic")).alias("ordinary"), F.sum("toxic").alias("toxic")
     )
 
 
-def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
-    """Counts in Spark over the labelled sample, of which at most MAX_NODES + MAX_PAIRS rows reach the driver."""
-    toxic = F.col("toxic")
-    sample = labelled_sample(docs, labels, limit).withColumn("_words", _bare_words("text")).persist()
+def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, max_words: int = MAX_WORDS) -> Model:
+    """Counts in Spark over the labelled sample, whose distinct words and pairs of word hashes reach the driver."""
+    spark = docs.sparkSession
+    sample = labelled_sample(docs, labels, limit, max_words).withColumn("_words", _bare_words("text")).persist()
     counted = sample.where("fold <> 0")
-    by_word = _counts(counted, "word", F.col("_words"), toxic).where("word <> ''").persist()
-    beginnings = F.array(*[F.when(F.length("word") >= k, F.concat(F.lit("^"), F.substring("word", 1, k))) for k in PREFIX_LENGTHS])
-    nodes = by_word.select(
-        F.explode(F.array_compact(F.array_append(beginnings, F.concat("word", F.lit("$"))))).alias("node"), "n_toxic", "n_ordinary"
-    ).groupBy("node").agg(F.sum("n_toxic").alias("t"), F.sum("n_ordinary").alias("o"), F.count("*").alias("kinds"))
-    length = F.when(F.startswith("node", F.lit("^")), F.length("node") - 1).otherwise(0)
-    levels = nodes.groupBy(length.alias("length")).agg(F.count("*").alias("kinds"), F.sum("t").alias("t"), F.sum("o").alias("o")).collect()
-    kinds_at = {r["length"]: r["kinds"] for r in levels}
-    totals = next(({"t": r["t"], "o": r["o"]} for r in levels if r["length"] == 0), {"t": 0, "o": 0})
-    nodes = nodes.where(F.col("t") + F.col("o") >= MIN_DOCS).orderBy(F.desc(F.col("t") + F.col("o")), "node").limit(MAX_NODES)
-    found = nodes.toPandas()
-    pair = F.transform(
-        F.slice("_words", F.lit(2), F.greatest(F.size("_words") - 1, F.lit(0))), lambda w, i: F.concat(F.get("_words", i), F.lit(" "), w)
-    )
-    pairs = _counts(counted, "pair", pair, toxic).where(F.col("n_toxic") + F.col("n_ordinary") >= MIN_DOCS)
-    pairs = pairs.orderBy(F.desc(F.col("n_toxic") + F.col("n_ordinary")), "pair").limit(MAX_PAIRS).toPandas()
-    model = _build(found, pairs, totals, kinds_at)
-    held = sample.where("fold = 0").select("text", "toxic").toLocalIterator()
-    features, truth = [], []
-    for row in held:
-        features.append(model.features(row["text"]))
-        truth.append(row["toxic"])
-    model.weights = _logistic(np.array(features).reshape(-1, 3), np.array(truth, float))
+    pair = F.transform("_words", lambda w, i: F.concat(F.coalesce(F.get("_words", i - 1), F.lit("")), F.lit(" "), w))
+    pairs = _counts(counted, "pair", pair).select(
+        F.substring_index("pair", " ", 1).alias("first"), F.substring_index("pair", " ", -1).alias("word"), "ordinary", "toxic"
+    ).persist()
+    follows = pairs.groupBy("word").agg(*[F.count_if(F.col(c) > 0).alias(f"after_{c}") for c in CLASSES])
+    by_word = _counts(counted, "word", F.col("_words")).join(follows, "word")
+    hashed = pairs.select(F.xxhash64("first").alias("first"), F.xxhash64("word").alias("second"), *CLASSES)
+    model = build(by_word.withColumn("hash", F.xxhash64("word")).toArrow(), hashed.toArrow())
+    pairs.unpersist()
+    if model is None:
+        sample.unpersist()
+        empty = np.zeros(0, np.int64)
+        return Model(empty, np.zeros(1), np.zeros(1, bool), empty, np.zeros(0))
+    shipped = ship(spark, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = unpack(shipped)
+        for batch in batches:
+            found = np.array([held.features(t.as_py()) for t in batch.column(0)]).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, found.T), batch.column(1)], names=["a", "b", "c", "toxic"])
+
+    fitted = sample.where("fold = 0").select("text", "toxic").mapInArrow(run, "a double, b double, c double, toxic int").toArrow()
+    fitted = fitted.sort_by([(name, "ascending") for name in fitted.column_names])
+    held = np.column_stack([fitted[name].to_numpy().astype(float) for name in fitted.column_names])
+    model.weights = _logistic(held[:, :3], held[:, 3])
     model.memo = None
-    by_word.unpersist()
     sample.unpersist()
     return model
 
 
-def _build(found, pairs, totals: dict[str, int], kinds_at: dict[int, int]) -> Model:
-    """The ratios from the counts. `totals` are the word events of each class, `kinds_at` the distinct expressions by
-    length of the beginning (0: whole words) in both classes together."""
-    names = found["node"].tolist()
-    t, o, kinds = (found[c].to_numpy(float) for c in ("t", "o", "kinds"))
-    n_t, n_o = max(1, totals["t"]), max(1, totals["o"])
-    spread = {length: min(1.0, DISCOUNT * n / (n_t + n_o)) for length, n in kinds_at.items()}
-    place = {name: i for i, name in enumerate(names)}
-    p_t, p_o = np.zeros(len(names)), np.zeros(len(names))
-    # Shorter beginnings first, whole words last: each needs its parent's probability.
-    for i in sorted(range(len(names)), key=lambda i: (names[i][0] != "^", len(names[i]))):
-        name = names[i]
-        whole = name[0] != "^"
-        bare = name[:-1] if whole else name[1:]
-        longest = len(bare) if whole else len(bare) - 1
-        parents = (place.get("^" + bare[:k], -1) for k in reversed(PREFIX_LENGTHS) if k <= longest)
-        parent = next((x for x in parents if x >= 0), -1)
-        share = kinds[i] / (kinds[parent] if parent >= 0 else kinds_at[0])
-        below = spread[0 if whole else len(bare)] * share
-        p_t[i] = max(t[i] - DISCOUNT, 0) / n_t + below * (p_t[parent] if parent >= 0 else 1.0)
-        p_o[i] = max(o[i] - DISCOUNT, 0) / n_o + below * (p_o[parent] if parent >= 0 else 1.0)
-    ratios = np.concatenate(([0.0], np.log(p_t / p_o)))
-    telling = _evidence(t, o, n_t, n_o) >= MIN_EVIDENCE
-    word_ids = np.full(len(names) + 1, -1, np.int64)
-    id_of: dict[str, int] = {}
-    for i, name in enumerate(names):
-        if name[0] != "^":
-            word_ids[i + 1] = id_of.setdefault(name[:-1], len(id_of))
-    keys, values = [], []
-    for pair, n_toxic, n_ordinary in zip(pairs["pair"], pairs["n_toxic"], pairs["n_ordinary"]):
-        first, _, second = pair.partition(" ")
-        telling_pair = _evidence(np.array([n_toxic]), np.array([n_ordinary]), n_t, n_o)[0] >= MIN_EVIDENCE
-        if telling_pair and first in id_of and second in id_of:
-            history, word = place[first + "$"], place[second + "$"]
-            keys.append((id_of[first] << 32) | id_of[second])
-            values.append(math.log(_given(n_toxic, t[history], p_t[word]) / _given(n_ordinary, o[history], p_o[word])))
-    paired = {k >> 32 for k in keys} | {k & 0xFFFFFFFF for k in keys}
-    order = np.argsort(np.array(keys, np.int64), kind="stable")
+def probabilities(names: list[str], after: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """By level: the place of each word's expression, that of each expression in the level above, and its probability by class.
+
+    `after` holds the number of distinct words that each word follows, by class. The probabilities of a level add up to one.
+    """
+    total = after.sum(0)
+    above, above_kinds, above_p = np.zeros(len(names), np.int64), np.array([len(names)]), np.ones((1, len(total)))
+    out = []
+    for length in LEVELS:
+        place = pd.factorize(np.array([name[:length] for name in names], object))[0]
+        kinds = np.bincount(place)
+        counts = _sums(place, after)
+        up = np.empty(len(kinds), np.int64)
+        up[place] = above
+        mass = DISCOUNT * (counts > 0).sum(0) / total
+        p = np.maximum(counts - DISCOUNT, 0) / total + mass * (kinds / above_kinds[up])[:, None] * above_p[up]
+        out.append((place, up, p))
+        above, above_kinds, above_p = place, kinds, p
+    return out
+
+
+def pair_probabilities(first: np.ndarray, counts: np.ndarray, p_second: np.ndarray) -> np.ndarray:
+    """Of each pair: the second word given the first, by class. A history unseen in a class leaves the word's own probability."""
+    history = _sums(first, counts)[first]
+    continued = _sums(first, counts > 0)[first]
+    seen = np.maximum(counts - DISCOUNT, 0) + DISCOUNT * continued * p_second
+    return np.where(history > 0, seen / np.maximum(history, 1), p_second)
+
+
+def _sums(place: np.ndarray, values: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.bincount(place, v) for v in values.T])
+
+
+def build(by_word: pa.Table, pairs: pa.Table) -> Model | None:
+    """The model from the counts of words and of pairs; None unless both classes have words."""
+    by_word = by_word.sort_by("hash")
+    names, hashes = by_word["word"].to_pylist(), by_word["hash"].to_numpy()
+    in_docs, after = (np.column_stack([by_word[p + c].to_numpy().astype(float) for c in CLASSES]) for p in ("", "after_"))
+    if not len(names) or not in_docs.sum(0).all():
+        return None
+    keys, ratios, whole = [], [], []
+    above = np.zeros(1)
+    for level, (place, up, p) in enumerate(probabilities(names, after)):
+        weight = _weight(_sums(place, in_docs), in_docs.sum(0))
+        above = weight * np.log(p[:, 1] / p[:, 0]) + (1 - weight) * above[up]
+        at = np.zeros(len(up), np.int64)
+        at[place] = np.arange(len(names))
+        keys.append(np.array([_key(level, names[i]) for i in at], np.int64))
+        ratios.append(above)
+        whole.append(np.full(len(up), level == len(LEVELS) - 1))
+    order = np.argsort(np.concatenate(keys), kind="stable")
+    # Whole words are the last level, where each word has a place of its own.
+    place_of = np.empty(len(order), np.int64)
+    place_of[order] = np.arange(len(order))
+    word_at = place_of[len(order) - len(names):][place]
+    first, second = pairs["first"].to_numpy(), pairs["second"].to_numpy()
+    counts = np.column_stack([pairs[c].to_numpy().astype(float) for c in CLASSES])
+    b = np.searchsorted(hashes, second)
+    a = np.minimum(np.searchsorted(hashes, first), len(hashes) - 1)
+    start = hashes[a] != first
+    a[start] = len(names)
+    given = pair_probabilities(a, counts, p[place[b]])
+    weight = _weight(counts, in_docs.sum(0))
+    pair_ratios = weight * np.log(given[:, 1] / given[:, 0]) + (1 - weight) * above[place[b]]
+    pair_keys = _pair_key(np.append(word_at, len(order))[a], word_at[b])
+    by_key = np.argsort(pair_keys, kind="stable")
     return Model(
-        {name: i + 1 for i, name in enumerate(names) if telling[i] or word_ids[i + 1] in paired}, np.where(
-            np.concatenate(([False], telling)), ratios, 0.0), word_ids,
-        np.array(keys, np.int64)[order], np.array(values, float)[order],
+        np.concatenate(keys)[order], np.append(np.concatenate(ratios)[order], 0.0), np.append(np.concatenate(whole)[order], False),
+        pair_keys[by_key], pair_ratios[by_key].astype(np.float32),
     )
 
 
+def _weight(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """How far an expression is judged by itself: from 0 to 1 with the evidence of its split over the classes."""
+    evidence = _evidence(counts[:, 1], counts[:, 0], totals[1], totals[0])
+    power = (np.maximum(evidence, 0) / EVIDENCE) ** SHARPNESS
+    return power / (1 + power)
+
+
 def _evidence(t: np.ndarray, o: np.ndarray, n_t: int, n_o: int) -> np.ndarray:
     """How far the split of each expression over the classes is from the split of all words: G squared."""
     n = t + o
@@ -216,13 +276,6 @@ def _evidence(t: np.ndarray, o: np.ndarray, n_t: int, n_o: int) -> np.ndarray:
         return 2 * (part(t, n * share) + part(o, n * (1 - share)))
 
 
-def _given(n_pair: float, n_history: float, p_word: float) -> float:
-    """The word given the word before it: the discounted share of the history, the rest by the word alone."""
-    history = max(n_history, n_pair, 1.0)
-    seen = max(n_pair - DISCOUNT, 0) / history
-    return seen + (1 - seen) * min(1.0, p_word)
-
-
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray | None:
     """Newton's method with a small ridge; None without rows of both classes."""
     if not len(y) or y.min() == y.max():
