@@ -1,8 +1,10 @@
 """Main text of web pages by consensus of each host's pages.
 
 Every container of a page is scored by the text it holds itself. From the best one the page climbs to the nearest
-container that holds the whole article, and votes for its generalised path of tags and classes; the host's winning path is
-then extracted again from each of its pages, and a page without text there falls back to its own container.
+container that holds the whole article, and votes for its generalised path of tags and classes; containers without a class
+are told apart by their place among their like. The host's winning path is then extracted again from each page that it fits:
+one whose best container it holds, most of whose article it holds, or whose best container is one that the host's other
+pages have beside their article. Any other page is read by its own container.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import types as T
 from millpulse.operators.joins import salted_join
 
 NEARLY_ALL = 0.8  # of its parent's text; a container outside any article that holds less is not the whole article
+BESIDE_SHARE = 20  # a path that a host has beside its articles is found there on one page in so many
 MAX_BROADCAST_HOSTS = 200_000  # beyond this many hosts their paths are joined by a shuffle
 
 # HTML elements by how they are read.
@@ -29,6 +32,7 @@ SKIPPED = frozenset(
     "canvas audio video object xmp".split()
 )
 CONTAINERS = frozenset("body main article section div td".split())
+PLACED = ("div", "section", "td")
 BLOCKS = frozenset(
     "address article aside blockquote body dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
     "html li main nav ol p pre section summary table tbody td tfoot th thead tr ul caption center".split()
@@ -46,9 +50,14 @@ BOILERPLATE = re.compile(
     r"(?:[-_](?:area|bar|block|bottom|box|buttons?|container|inner|left|links?|list|menu|right|section|top|wrap\w*|#))*(?:$| )",
     re.I,
 )
-COMMENTS = re.compile(r"(?:^| )(?:comments?|disqus|reply|replies|respond)(?:$|[-_ ])", re.I)
+# Reader comments have these words in any part of a class, id or role, unless it only tells a state of the page.
+COMMENT_WORDS = frozenset("comment comments cmt cmts commentlist commentarea commenters disqus replies respond responses".split())
+STATE_WORDS = frozenset("has have no with without open closed on off enabled disabled show hide hidden allow".split())
+# In an article a titled section about such a matter is part of it.
+MATTERS = re.compile(r"(?:^| )(?:banner|legal|login|menu|nav|notice|pagination|search|shar(?:e|ing)|signup|social|tags?|toolbar|widget)(?:$|[-_ ])", re.I)
 # What these name is boilerplate around an article, but in it only if it is mostly links.
-IN_ARTICLE = re.compile(r"(?:^| )(?:foot|footer|header|legal|notice|related|reply|replies|tags?)(?:$|[-_ ])", re.I)
+IN_ARTICLE = re.compile(r"(?:^| )(?:foot|footer|header|legal|notice|related|reply|tags?)(?:$|[-_ ])", re.I)
+TITLES = frozenset("h1 h2 h3 h4 h5 h6".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 figure figcaption".split())
 ARTICLE_HINT = re.compile(r"(?:^|[-_ ])(?:article|body|content|entry|main|post|story|text)(?:$|[-_ ])", re.I)
 
@@ -60,17 +69,18 @@ HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
 class Node:
-    __slots__ = ("tag", "label", "children", "parent", "skipped")
+    __slots__ = ("tag", "label", "children", "parent", "skipped", "place")
 
     def __init__(self, tag: str, label: str, parent: Node | None):
         self.tag, self.label, self.parent, self.children = tag, label, parent, []
         self.skipped = tag in SKIPPED  # `mark` adds elements that are boilerplate by their label
+        self.place = 0  # among containers of its tag without a class below one parent; 0 if it is the only one
 
     def path(self) -> str:
-        """Tags and generalised classes from the root: numbers become #."""
+        """Tags and generalised classes, or places, from the root: numbers become #."""
         names, node = [], self
         while node is not None and node.tag:
-            names.append(f"{node.tag}.{node.label}" if node.label else node.tag)
+            names.append(f"{node.tag}.{node.label}" if node.label else f"{node.tag}[{node.place}]" if node.place else node.tag)
             node = node.parent
         return ">".join(reversed(names))
 
@@ -122,18 +132,36 @@ def parse(page: str | None) -> Node:
             at = close.end() if close else end
         elif tag not in VOID and not m[3].rstrip().endswith("/"):
             node = child
+    number(root)
     mark(root)
     return root
 
 
+def number(root: Node) -> None:
+    stack = [root]
+    while stack:
+        inner = [c for c in stack.pop().children if isinstance(c, Node)]
+        stack.extend(inner)
+        for tag in PLACED:
+            alike = [c for c in inner if c.tag == tag and not c.label]
+            for i, child in enumerate(alike if len(alike) > 1 else (), 1):
+                child.place = i
+
+
+def about_comments(label: str) -> bool:
+    return any(parts & COMMENT_WORDS and not parts & STATE_WORDS for parts in (set(re.split("[-_]", name)) for name in label.split()))
+
+
 def mark(root: Node) -> None:
     """Skips elements that are boilerplate by their label.
 
     One that holds most of the page's text outside links is a wrapper and stays, unless it holds the comments; so do all
-    if nothing else has text. Headings and figures in an article stay, and notes in it that are not mostly links.
+    if nothing else has text. Headings and figures in an article stay, and so do notes and titled sections in it that are not
+    mostly links. Reader comments go wherever they are.
     """
-    labelled: list[tuple[Node, bool, int, int, bool]] = []  # (node, in an article, text outside links, in links, main heading)
-    done: list[tuple[int, int, bool]] = []
+    # (node, in an article, text outside links, in links, main heading, title and paragraph)
+    labelled: list[tuple[Node, bool, int, int, bool, bool]] = []
+    done: list[tuple[int, int, bool, bool, bool]] = []
     stack: list[tuple[Node, bool, bool, bool, int]] = [(root, False, False, False, 0)]
     while stack:
         item, seen, linked, within, kept = stack.pop()
@@ -149,15 +177,19 @@ def mark(root: Node) -> None:
         plain = sum(b[0] for b in below) + (0 if linked else own)
         links = sum(b[1] for b in below) + (own if linked else 0)
         head = item.tag in ("h1", "main") or any(b[2] for b in below)
-        done.append((plain, links, head))
-        if item.label and item.tag not in ("body", "html", "article", "main") and BOILERPLATE.search(item.label):
-            labelled.append((item, within, plain, links, head))
+        title = item.tag in TITLES or any(b[3] for b in below)
+        prose = (item.tag == "p" and plain > links) or any(b[4] for b in below)
+        done.append((plain, links, head, title, prose))
+        if item.label and item.tag not in ("body", "html", "article", "main") and (BOILERPLATE.search(item.label) or about_comments(item.label)):
+            labelled.append((item, within, plain, links, head, title and prose))
     whole = done[0][0]
     chosen = []
-    for node, within, plain, links, head in labelled:
-        spared = 2 * plain > whole and (head or not COMMENTS.search(node.label))
-        if within:
-            spared = spared or node.tag in HEADINGS or (IN_ARTICLE.search(node.label) and plain > links)
+    for node, within, plain, links, head, titled in labelled:
+        comments = about_comments(node.label)
+        spared = 2 * plain > whole and (head or not comments)
+        if within and not comments:
+            kept = IN_ARTICLE.search(node.label) or (titled and MATTERS.search(node.label))
+            spared = spared or node.tag in HEADINGS or (kept and plain > links)
         if not spared:
             chosen.append(node)
             node.skipped = True
@@ -226,15 +258,15 @@ def _is_article(node: Node) -> bool:
     return node.tag in ("article", "main") or bool(node.tag in CONTAINERS and node.tag != "body" and ARTICLE_HINT.search(node.label))
 
 
-def main_container(root: Node) -> Node | None:
-    """The nearest container that holds the whole article of a page; None without text in containers.
+def best_container(root: Node) -> tuple[Node | None, dict[int, tuple[float, int]]]:
+    """The container of the highest score, and by container its characters outside links and boilerplate and its main headings.
 
     A container's score is the characters in its own paragraphs and headings, plus half of what the containers below it
-    hold, less the text of links; articles count more, boilerplate nothing. From the best one the way goes up to the
-    article around it, and on while a parent holds clearly more text or the only main heading.
+    hold, less the text of links; articles count more, boilerplate nothing. The page itself is a container of what is in no
+    other. None if nothing has text.
     """
     best: tuple[float, Node] | None = None
-    good: dict[int, tuple[float, int]] = {}  # by container: characters outside links and boilerplate, main headings
+    good: dict[int, tuple[float, int]] = {}
     # With a stack of its own to bear deep pages; `done` holds (own text, text in containers, main headings).
     done: list[tuple[float, float, int]] = []
     stack: list[tuple[Node, bool, int]] = [(root, False, 0)]
@@ -253,7 +285,7 @@ def main_container(root: Node) -> Node | None:
         heads = sum(b[2] for b in below) + (item.tag == "h1")
         if item.tag == "a":
             own = 0.0
-        if item.tag in CONTAINERS:
+        if item.tag in CONTAINERS or item.parent is None:
             weight = 1.5 if item.tag in ("article", "main") or ARTICLE_HINT.search(item.label) else 1.0
             value = weight * own + 0.5 * nested
             if value > 0 and (best is None or value > best[0]):
@@ -261,9 +293,16 @@ def main_container(root: Node) -> Node | None:
             good[id(item)] = own + nested, heads
             own, nested = 0.0, own + nested
         done.append((own, nested, heads))
-    if best is None:
-        return None
-    around = [best[1]]
+    return (None if best is None else best[1]), good
+
+
+def widen(best: Node, good: dict[int, tuple[float, int]]) -> Node:
+    """The nearest container that holds the whole article around the best one.
+
+    From there the way goes up to the article around it, and on while a parent holds clearly more text or the only main
+    heading.
+    """
+    around = [best]
     while around[-1].parent is not None:
         around.append(around[-1].parent)
     around = [node for node in around if id(node) in good]
@@ -278,25 +317,55 @@ def main_container(root: Node) -> Node | None:
     return chosen
 
 
-def extract_path(root: Node, path: str | None) -> str | None:
-    """The blocks of every node with the path, in page order; None if the page has no such node."""
-    wanted = (path or "").rsplit(">", 1)[-1].partition(".")[0]
-    found: list[str] | None = None
+def find(root: Node, path: str) -> list[Node]:
+    """The outermost nodes with the path, in page order."""
+    wanted = re.split(r"[.\[]", path.rsplit(">", 1)[-1], maxsplit=1)[0]
+    found: list[Node] = []
     stack: list[Node | str] = [root]
     while stack:
         node = stack.pop()
         if isinstance(node, str) or node.skipped:
             continue
         if node.tag == wanted and node.path() == path:
-            found = (found or []) + blocks(node)
-            continue
-        stack.extend(reversed(node.children))
-    return None if found is None else "\n".join(found)
+            found.append(node)
+        else:
+            stack.extend(reversed(node.children))
+    return found
 
 
-def best_path(root: Node) -> str | None:
-    chosen = main_container(root)
-    return None if chosen is None else chosen.path()
+def page_paths(root: Node) -> tuple[str | None, str | None]:
+    """The path of the container of the page's article, and that of the best container beside it."""
+    best, good = best_container(root)
+    if best is None:
+        return None, None
+    chosen = widen(best, good)
+    chosen.skipped = True
+    other = best_container(root)[0] if chosen.parent is not None else None
+    chosen.skipped = False
+    return chosen.path(), None if other is None or _inside(chosen, [other]) else other.path()
+
+
+def _inside(node: Node | None, nodes: list[Node]) -> bool:
+    while node is not None:
+        if any(node is other for other in nodes):
+            return True
+        node = node.parent
+    return False
+
+
+def page_text(root: Node, path: str | None, beside: list[str] | None) -> str:
+    """The text below the host's path if it fits the page, else below the page's own container.
+
+    `beside` holds the paths that the host has beside its articles.
+    """
+    best, good = best_container(root)
+    nodes = find(root, path) if path is not None else []
+    text = "\n".join(line for node in nodes for line in blocks(node))
+    if best is None or (text and _inside(best, nodes)):
+        return text
+    own = "\n".join(blocks(widen(best, good)))
+    fits = 2 * len(text) > len(own) or best.path() in (beside or ())
+    return text if text and fits else own
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -305,21 +374,28 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """(host, path, votes): each page votes for the container of its article."""
+    """(host, path, votes, beside): pages whose article has the path, and pages whose next best container has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths = [best_path(parse(page.as_py())) for page in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.string())], names=["host", "path"])
+            found = [(host, *page_paths(parse(page.as_py()))) for host, page in zip(batch.column(0).to_pylist(), batch.column(1))]
+            rows = [(host, own, 1) for host, own, _ in found if own is not None] + [(host, other, 0) for host, _, other in found if other is not None]
+            columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate((pa.string(), pa.string(), pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "path", "vote"])
 
-    rows = pages.select("host", "html").mapInArrow(run, "host string, path string").where("path is not null")
-    return rows.groupBy("host", "path").agg(F.count("*").alias("votes"))
+    rows = pages.select("host", "html").mapInArrow(run, "host string, path string, vote int")
+    return rows.groupBy("host", "path").agg(F.sum("vote").alias("votes"), F.sum(1 - F.col("vote")).alias("beside"))
 
 
-def winning_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): the path with most votes; the first in order of its text among equals."""
+def winning_paths(counted: DataFrame) -> DataFrame:
+    """(host, path, beside) from the votes: the path with most votes, the first in order of its text among equals, and the
+    paths that the host has beside its articles on one page in BESIDE_SHARE or more, which are no more than that."""
     order = F.struct(-F.col("votes"), F.col("path"))
-    return votes(pages).groupBy("host").agg(F.min_by("path", order).alias("path"))
+    winners = counted.where("votes > 0").groupBy("host").agg(F.min_by("path", order).alias("path"), F.sum("votes").alias("pages"))
+    others = counted.where("beside > votes").select("host", F.col("path").alias("other"), F.col("beside").alias("_n"))
+    others = others.join(winners.select("host", "pages"), "host").where(F.col("_n") * BESIDE_SHARE >= F.col("pages"))
+    others = others.groupBy("host").agg(F.sort_array(F.collect_list("other")).alias("beside"))
+    return winners.drop("pages").join(others, "host", "left")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -329,8 +405,11 @@ def extract(pages: DataFrame) -> DataFrame:
     winners, one per host, are broadcast when they are few and joined with a salt otherwise.
     """
     pages = with_host(pages.select("page_id", "url", "html"))
-    winners = winning_paths(pages).persist()
-    if winners.count() <= MAX_BROADCAST_HOSTS:
+    counted = votes(pages).persist()
+    winners = winning_paths(counted).persist()
+    n_hosts = winners.count()
+    counted.unpersist()
+    if n_hosts <= MAX_BROADCAST_HOSTS:
         joined = pages.join(F.broadcast(winners), "host", "left")
     else:
         joined = salted_join(pages, winners, "host", ["page_id", "url"])
@@ -340,15 +419,10 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for page, path in zip(batch.column(2), batch.column(3).to_pylist()):
-                root = parse(page.as_py())
-                text = extract_path(root, path)
-                if not text:
-                    text = extract_path(root, best_path(root)) or ""
-                texts.append(text)
+            rows = zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist())
+            texts = [page_text(parse(page.as_py()), path, beside) for page, path, beside in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.names
             )
 
-    return joined.select("page_id", "url", "html", "path").mapInArrow(run, schema)
+    return joined.select("page_id", "url", "html", "path", "beside").mapInArrow(run, schema)

@@ -251,7 +251,7 @@ def test_main_text_of_odd_pages(spark):
     for i in range(6):
         text = "Head & line\nFirst bold\nsecond one still " + "block " * 9 + "block"
         assert got[i] == (text, len(text))
-    assert got[10] == got[11] == ("", 0) and got[13][0] == "open <\ntag"
+    assert got[10] == got[11] == ("", 0) and got[12][0] == "plain words" and got[13][0] == "open <\ntag"
     assert got[None][0] == "Head & line\nFirst bold\nsecond one still end"
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
@@ -296,6 +296,44 @@ def test_labels_skip_boilerplate_but_no_wrapper_and_no_heading(spark):
     assert got == [[a], [a], ["Head", "Sub", a, "Shown", "Note", "Law"], [b], ["Head", a]]
 
 
+def test_containers_without_classes_are_told_apart_by_their_place(spark):
+    a = ("article " * 60).strip()
+    page = "<html><body><div><a href=x>menu</a> here</div><div><h1>Head</h1><p>%s</p></div><div><p>You may also like</p></div></body></html>"
+    host = "http://plain.example/"
+    assert page_texts(spark, [(host, page % f"{a} {i}") for i in range(4)]) == [["Head", f"{a} {i}"] for i in range(4)]
+
+
+def test_a_host_of_two_templates_loses_no_article(spark):
+    a, b = ("usual " * 50).strip(), ("other " * 80).strip()
+    host = "http://two.example/"
+    usual = f"<body><div class=main><p>{a}</p></div></body>"
+    teaser = f"<body><div class=main><p>Read this too</p></div><div class=long><p>{b}</p></div></body>"
+    assert page_texts(spark, [(host, usual)] * 5 + [(host, teaser)]) == [[a]] * 5 + [[b]]
+
+
+def test_reader_comments_go_whatever_their_label(spark):
+    a = ("article " * 40).strip()
+    says = "<p>a reader says so</p>"
+    inner = "".join(f"<div class='{name}'>{says}</div>" for name in ("user-comments", "cmt", "respond-here", "replies", "article_comments_list"))
+    page = f"<body class=has-comments><article><h1>Head</h1><p>{a}</p>{inner}<h3 class=comments-title>3 comments</h3></article></body>"
+    state = f"<body><div class='post comments-open'><p>{a}</p></div></body>"
+    assert page_texts(spark, [(None, page), (None, state)]) == [["Head", a], [a]]
+
+
+def test_a_titled_section_of_an_article_stays(spark):
+    a, b = ("article " * 40).strip(), ("finding " * 20).strip()
+    page = (
+        f"<body><article><h1>Head</h1><p>{a}</p><section class=search><h2>Search</h2><p>{b}</p></section>"
+        "<div class=share><a href=x>Tell a friend</a></div><div class=ad><h4>Buy</h4><p>now</p></div></article></body>"
+    )
+    assert page_texts(spark, [(None, page)]) == [["Head", a, "Search", b]]
+
+
+def test_text_outside_all_containers_is_read(spark):
+    pages = ["just words", "<p>one</p>two", "<h1>Head</h1><p>text</p>", "<nav>menu</nav>"]
+    assert page_texts(spark, [(None, page) for page in pages]) == [["just words"], ["one", "two"], ["Head", "text"], [""]]
+
+
 def test_very_deep_pages_are_read(spark):
     deep = "<div>" * 5_000 + "<p>bottom</p>"
     rows = spark.createDataFrame([(1, "http://d.example", deep)], "page_id long, url string, html string")
