@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import random
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,6 +171,31 @@ def test_best_fit_takes_the_tightest_bin():
     assert (bins, offsets, used) == ([0, 1, 0, 1, 1], [0, 0, 60, 50, 85], [100, 90])
 
 
+def test_each_bin_opens_at_its_own_least_cost(monkeypatch):
+    monkeypatch.setattr(packing, "BIN_OVERHEAD", 10)
+    capacities = (100, 250)
+
+    def plain(size, waiting):
+        best = []
+        for capacity in capacities:
+            left, used = sorted(waiting, reverse=True), size
+            for other in left:
+                used += other if used + other <= capacity else 0
+            if size <= capacity:
+                best.append((packing.bin_cost(min(c for c in capacities if c >= used)) / used, capacity))
+        return min(best)[1]
+
+    rng = random.Random(5)
+    for _ in range(200):
+        waiting = [rng.randrange(1, 120) for _ in range(rng.randrange(8))]
+        size = rng.randrange(1, 250)
+        counts = [waiting.count(s) for s in range(251)]
+        assert packing.opening_size(size, capacities, counts, sum(1 << s for s in set(waiting))) == plain(size, waiting)
+    # The first bin is long and full, the last item opens a short one.
+    bins, _, used = packing._fit([90, 80, 80, 60], capacities, None)
+    assert bins == [0, 0, 0, 1] and used == [250, 60]
+
+
 def test_packing_does_not_depend_on_the_reading_order(spark):
     rows = [(i % 40 if i % 9 else None, "w " * (i * 37 % 300)) for i in range(400)]
     orders = [spark.createDataFrame(r, "doc_id long, text string").repartition(n) for r, n in ((rows, 1), (rows[::-1], 7))]
