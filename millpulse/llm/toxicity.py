@@ -5,7 +5,7 @@ discounted, and the mass that its history gives up, by its distinct continuation
 distinct words it follows and backs off to ever shorter beginnings of itself in the same way. How the mass of a beginning is
 shared out below it is counted over both classes, so a rare expression is judged by what its beginning has been seen in. A
 text's score compares its length-normalised log-likelihoods under the two models, over the whole text and over its most
-telling stretch, through a logistic curve fitted on rows the counts have not seen. Of an expression the log ratio counts as
+telling stretch, through a logistic curve fitted on rows that counts of the other rows have not seen. Of an expression the log ratio counts as
 far as its split over the classes is evidence, and for the rest the ratio of what it backs off to counts: nothing is cut.
 """
 
@@ -154,19 +154,13 @@ def _counts(rows: DataFrame, name: str, items: Column) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, max_words: int = MAX_WORDS) -> Model:
-    """Counts in Spark over the labelled sample, whose distinct words and pairs of word hashes reach the driver."""
+    """Counts in Spark over the labelled sample, whose distinct words and pairs of word hashes reach the driver.
+
+    The curve is fitted on fold 0 with the counts of the others; the counts that score are those of the whole sample.
+    """
     spark = docs.sparkSession
     sample = labelled_sample(docs, labels, limit, max_words).withColumn("_words", _bare_words("text")).persist()
-    counted = sample.where("fold <> 0")
-    pair = F.transform("_words", lambda w, i: F.concat(F.coalesce(F.get("_words", i - 1), F.lit("")), F.lit(" "), w))
-    pairs = _counts(counted, "pair", pair).select(
-        F.substring_index("pair", " ", 1).alias("first"), F.substring_index("pair", " ", -1).alias("word"), "ordinary", "toxic"
-    ).persist()
-    follows = pairs.groupBy("word").agg(*[F.count_if(F.col(c) > 0).alias(f"after_{c}") for c in CLASSES])
-    by_word = _counts(counted, "word", F.col("_words")).join(follows, "word")
-    hashed = pairs.select(F.xxhash64("first").alias("first"), F.xxhash64("word").alias("second"), *CLASSES)
-    model = build(by_word.withColumn("hash", F.xxhash64("word")).toArrow(), hashed.toArrow())
-    pairs.unpersist()
+    model = counted_model(sample.where("fold <> 0"))
     if model is None:
         sample.unpersist()
         empty = np.zeros(0, np.int64)
@@ -182,12 +176,26 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, max_wor
     fitted = sample.where("fold = 0").select("text", "toxic").mapInArrow(run, "a double, b double, c double, toxic int").toArrow()
     fitted = fitted.sort_by([(name, "ascending") for name in fitted.column_names])
     held = np.column_stack([fitted[name].to_numpy().astype(float) for name in fitted.column_names])
+    model = counted_model(sample)
     model.weights = _logistic(held[:, :3], held[:, 3])
-    model.memo = None
     sample.unpersist()
     return model
 
 
+def counted_model(counted: DataFrame) -> Model | None:
+    """The model, without a curve, from all rows of (toxic, _words)."""
+    pair = F.transform("_words", lambda w, i: F.concat(F.coalesce(F.get("_words", i - 1), F.lit("")), F.lit(" "), w))
+    pairs = _counts(counted, "pair", pair).select(
+        F.substring_index("pair", " ", 1).alias("first"), F.substring_index("pair", " ", -1).alias("word"), *CLASSES
+    ).persist()
+    follows = pairs.groupBy("word").agg(*[F.count_if(F.col(c) > 0).alias(f"after_{c}") for c in CLASSES])
+    by_word = _counts(counted, "word", F.col("_words")).join(follows, "word")
+    hashed = pairs.select(F.xxhash64("first").alias("first"), F.xxhash64("word").alias("second"), *CLASSES)
+    model = build(by_word.withColumn("hash", F.xxhash64("word")).toArrow(), hashed.toArrow())
+    pairs.unpersist()
+    return model
+
+
 def probabilities(names: list[str], after: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """By level: the place of each word's expression, that of each expression in the level above, and its probability by class.
 
