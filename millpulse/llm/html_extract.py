@@ -155,13 +155,13 @@ def about_comments(label: str) -> bool:
 def mark(root: Node) -> None:
     """Skips elements that are boilerplate by their label.
 
-    One that holds most of the page's text outside links is a wrapper and stays, unless it holds the comments; so do all
-    if nothing else has text. Headings and figures in an article stay, and so do notes and titled sections in it that are not
+    One that holds most of the page's text outside links is a wrapper and stays, unless it holds the comments or an article is
+    elsewhere; so do all if nothing else has text. Headings and figures in an article stay, and so do notes and titled sections in it that are not
     mostly links. Reader comments go wherever they are.
     """
-    # (node, in an article, text outside links, in links, main heading, title and paragraph)
-    labelled: list[tuple[Node, bool, int, int, bool, bool]] = []
-    done: list[tuple[int, int, bool, bool, bool]] = []
+    # (node, in an article, text outside links, in links, main heading, title and paragraph, article)
+    labelled: list[tuple[Node, bool, int, int, bool, bool, bool]] = []
+    done: list[tuple[int, int, bool, bool, bool, bool]] = []
     stack: list[tuple[Node, bool, bool, bool, int]] = [(root, False, False, False, 0)]
     while stack:
         item, seen, linked, within, kept = stack.pop()
@@ -179,14 +179,15 @@ def mark(root: Node) -> None:
         head = item.tag in ("h1", "main") or any(b[2] for b in below)
         title = item.tag in TITLES or any(b[3] for b in below)
         prose = (item.tag == "p" and plain > links) or any(b[4] for b in below)
-        done.append((plain, links, head, title, prose))
+        article = (item.tag in ("article", "main") and plain > 0) or any(b[5] for b in below)
+        done.append((plain, links, head, title, prose, article))
         if item.label and item.tag not in ("body", "html", "article", "main") and (BOILERPLATE.search(item.label) or about_comments(item.label)):
-            labelled.append((item, within, plain, links, head, title and prose))
-    whole = done[0][0]
+            labelled.append((item, within, plain, links, head, title and prose, article))
+    whole, somewhere = done[0][0], done[0][5]
     chosen = []
-    for node, within, plain, links, head, titled in labelled:
+    for node, within, plain, links, head, titled, article in labelled:
         comments = about_comments(node.label)
-        spared = 2 * plain > whole and (head or not comments)
+        spared = 2 * plain > whole and (head or not comments) and (within or article or not somewhere)
         if within and not comments:
             kept = IN_ARTICLE.search(node.label) or (titled and MATTERS.search(node.label))
             spared = spared or node.tag in HEADINGS or (kept and plain > links)

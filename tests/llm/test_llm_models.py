@@ -329,6 +329,11 @@ def test_a_titled_section_of_an_article_stays(spark):
     assert page_texts(spark, [(None, page)]) == [["Head", a, "Search", b]]
 
 
+def test_an_advert_longer_than_its_article_goes(spark):
+    page = "<body><div class=ad>" + "buy this now " * 20 + "</div><article><h1>Head</h1><p>short</p></article></body>"
+    assert page_texts(spark, [(None, page)]) == [["Head", "short"]]
+
+
 def test_text_outside_all_containers_is_read(spark):
     pages = ["just words", "<p>one</p>two", "<h1>Head</h1><p>text</p>", "<nav>menu</nav>"]
     assert page_texts(spark, [(None, page) for page in pages]) == [["just words"], ["one", "two"], ["Head", "text"], [""]]
