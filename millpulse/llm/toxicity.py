@@ -40,6 +40,7 @@ THRESHOLD = 0.7
 CLASSES = ("ordinary", "toxic")
 EDGE_CHARS = string.punctuation
 CACHED_WORDS = 300_000
+PAIRS_AT_ONCE = 100_000  # pairs whose ratios the driver works out together
 
 
 @dataclass
@@ -176,6 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, max_wor
     fitted = sample.where("fold = 0").select("text", "toxic").mapInArrow(run, "a double, b double, c double, toxic int").toArrow()
     fitted = fitted.sort_by([(name, "ascending") for name in fitted.column_names])
     held = np.column_stack([fitted[name].to_numpy().astype(float) for name in fitted.column_names])
+    del model, run, shipped  # the driver holds one model at a time
     model = counted_model(sample)
     model.weights = _logistic(held[:, :3], held[:, 3])
     sample.unpersist()
@@ -219,8 +221,10 @@ def probabilities(names: list[str], after: np.ndarray) -> list[tuple[np.ndarray,
 
 def pair_probabilities(first: np.ndarray, counts: np.ndarray, p_second: np.ndarray) -> np.ndarray:
     """Of each pair: the second word given the first, by class. A history unseen in a class leaves the word's own probability."""
-    history = _sums(first, counts)[first]
-    continued = _sums(first, counts > 0)[first]
+    return _given(counts, _sums(first, counts)[first], _sums(first, counts > 0)[first], p_second)
+
+
+def _given(counts: np.ndarray, history: np.ndarray, continued: np.ndarray, p_second: np.ndarray) -> np.ndarray:
     seen = np.maximum(counts - DISCOUNT, 0) + DISCOUNT * continued * p_second
     return np.where(history > 0, seen / np.maximum(history, 1), p_second)
 
@@ -252,19 +256,24 @@ def build(by_word: pa.Table, pairs: pa.Table) -> Model | None:
     place_of[order] = np.arange(len(order))
     word_at = place_of[len(order) - len(names):][place]
     first, second = pairs["first"].to_numpy(), pairs["second"].to_numpy()
-    counts = np.column_stack([pairs[c].to_numpy().astype(float) for c in CLASSES])
+    counts = np.column_stack([pairs[c].to_numpy().astype(np.int32) for c in CLASSES])
     b = np.searchsorted(hashes, second)
     a = np.minimum(np.searchsorted(hashes, first), len(hashes) - 1)
     start = hashes[a] != first
     a[start] = len(names)
-    given = pair_probabilities(a, counts, p[place[b]])
-    weight = _weight(counts, in_docs.sum(0))
-    pair_ratios = weight * np.log(given[:, 1] / given[:, 0]) + (1 - weight) * above[place[b]]
+    del first, second, start
+    history, continued = _sums(a, counts), _sums(a, counts > 0)
+    pair_ratios = np.empty(len(a), np.float32)
+    for at in range(0, len(a), PAIRS_AT_ONCE):
+        part = slice(at, at + PAIRS_AT_ONCE)
+        given = _given(counts[part], history[a[part]], continued[a[part]], p[place[b[part]]])
+        weight = _weight(counts[part].astype(float), in_docs.sum(0))
+        pair_ratios[part] = weight * np.log(given[:, 1] / given[:, 0]) + (1 - weight) * above[place[b[part]]]
     pair_keys = _pair_key(np.append(word_at, len(order))[a], word_at[b])
     by_key = np.argsort(pair_keys, kind="stable")
     return Model(
         np.concatenate(keys)[order], np.append(np.concatenate(ratios)[order], 0.0), np.append(np.concatenate(whole)[order], False),
-        pair_keys[by_key], pair_ratios[by_key].astype(np.float32),
+        pair_keys[by_key], pair_ratios[by_key],
     )
 
 
