@@ -87,6 +87,28 @@ def test_one_file_is_read_by_many_tasks(spark, work, ending):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+@pytest.mark.parametrize("bits", [0, 4])
+def test_lines_of_a_large_file_are_not_shuffled_to_place_them(spark, work, monkeypatch, bits):
+    monkeypatch.setattr(split_csv, "STRETCH_BITS", bits, raising=False)
+    schema = schemas.as_text(schemas.MACHINE_STATUS_RAW)
+    cell = lambda text: '"' + text.replace('"', '""') + '"'
+    lines = ['id,"sta\ntus",x'] + [f"M-{n},{cell(QUOTED[n * 7 % len(QUOTED)]) if n % 40 < 20 else 's'},t{n}" for n in range(400)]
+    put(f"{work}/one/machine_status_1.csv", "\n".join(lines) + "\n")
+    put(f"{work}/one/machine_status_2.csv", "id,b,c\n" + "M,a,b\n" * 50 + 'M,"opened\n' + "x\n" * 1_500 + 'closed",z\nM,c,d\n')
+    files = f"{work}/one/machine_status_*.csv"
+    want = ordered(spark.read.schema(schema).options(**raw.CSV_OPTIONS).csv(files))
+    settings = {"spark.sql.files.maxPartitionBytes": "1500", "spark.sql.files.openCostInBytes": "1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        assert "SortMergeJoin" not in split_csv.csv_records(spark, files)._jdf.queryExecution().executedPlan().toString()
+        assert ordered(split_csv.read_split_csv(spark, files, schema, raw.CSV_OPTIONS, trust_quotes=True)) == want
+        assert ordered(split_csv.read_split_csv(spark, files, schema, raw.CSV_OPTIONS)) == want
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_loads_refuse_a_session_in_another_zone(spark, work):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Bangkok")
     try:
