@@ -21,10 +21,14 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
+# A file that one task writes is read by many, one or more of these each.
+ROW_GROUP_BYTES = {"parquet.block.size": str(4 << 20)}
+
+
 def event_files(spark: SparkSession, sf_dir: str, folder: str, n: int = 3) -> DataFrame:
     """The events, in order of time, as a stream of `n` files that come in one batch each."""
     events = table(spark, sf_dir, "events")
-    events.repartitionByRange(n, "ts").write.parquet(folder)
+    events.repartitionByRange(n, "ts").write.options(**ROW_GROUP_BYTES).parquet(folder)
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
@@ -41,7 +45,8 @@ def event_batches(spark: SparkSession, sf_dir: str, folder: str, late: bool = Fa
     if late:
         batch = F.least(F.lit(len(BATCH_DAYS) - 1), batch + (F.col("event_id") % STRAGGLERS == 0).cast("int"))
     for n in range(len(BATCH_DAYS)):  # one after the other: a file stream goes by the age of files
-        events.where(batch == n).coalesce(1).write.mode("append").parquet(folder)
+        # Many tasks read and filter the events; one writes the file, which makes it one batch.
+        events.where(batch == n).repartition(1).write.options(**ROW_GROUP_BYTES).mode("append").parquet(folder)
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 

@@ -4,10 +4,12 @@ import glob
 import json
 from datetime import datetime, timezone
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from frames import at, ordered, rows
+from millpulse import fixtures
 from millpulse.operators import dashboard
 from millpulse.sources import storage
 from millpulse.sources.landed_csv import load_landed_csv
@@ -199,6 +201,21 @@ def test_landed_csv_is_read_by_each_files_header(spark, work, tmp_path):
     assert ordered(load_landed_csv(spark, f"{work}/out"), "a", "b", "c") == sorted([("two\nlines", "1", None), ("x", None, "y")], key=repr)
 
 
+@pytest.mark.parametrize("maker", ["event_files", "event_batches"])
+def test_a_batch_of_events_is_one_file_that_many_tasks_read(spark, work, monkeypatch, maker):
+    monkeypatch.setattr(fixtures, "ROW_GROUP_BYTES", {"parquet.block.size": "65536"}, raising=False)
+    day = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 86).cast("timestamp_ntz")
+    events = spark.range(30_000).select(
+        F.col("id").alias("event_id"), day.alias("ts"), (F.col("id") % 90).alias("user_id"), F.lit("view").alias("event_type"),
+        F.rand(1).alias("value"), F.lit('{"k": 1}').alias("props"),
+    )
+    events.write.parquet(f"{work}/sf/events.parquet")
+    getattr(fixtures, maker)(spark, f"{work}/sf", f"{work}/files")
+    files = [pq.ParquetFile(path).metadata for path in glob.glob(f"{work}/files/*.parquet")]
+    assert len(files) == {"event_files": 3, "event_batches": 5}[maker]
+    assert sum(f.num_rows for f in files) == 30_000 and max(f.num_row_groups for f in files) > 1
+
+
 def test_endless_keys_fail_loudly(spark, work, tmp_path, monkeypatch):
     monkeypatch.setattr(landing, "MAX_COLUMNS", 3)
     (tmp_path / "in").mkdir()
