@@ -21,6 +21,7 @@ from millpulse.sources.raw import CSV_OPTIONS
 from millpulse.sources.tables import CSV_WRITE_OPTIONS
 
 MAX_HEADERS = 1_000
+FILE_RECORDS = 500_000  # rows of one landed file; cells may hold line breaks, so a file is read by one task
 _COMMIT = "batch string, header string, keys array<string>, days array<string>"
 
 
@@ -37,7 +38,7 @@ def write_batch(rows: DataFrame, path: str, batch: str, keys: list[str], cell: C
     days = sorted(row.day for row in rows.select("day").distinct().collect())  # one, as a rule
     for day in days:
         of_day = rows.where(F.col("day") == day).select(*[cell(key).alias(key) for key in keys])
-        of_day.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(f"{path}/{day}/header={header}/batch={batch}")
+        of_day.write.mode("overwrite").option("maxRecordsPerFile", FILE_RECORDS).options(**CSV_WRITE_OPTIONS).csv(f"{path}/{day}/header={header}/batch={batch}")
     commit = {"batch": batch, "header": header, "keys": keys, "days": days}
     storage.write_json(rows.sparkSession, f"{path}/commits/{batch}.json", commit)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from frames import at, ordered, rows
 from millpulse import fixtures
 from millpulse.operators import dashboard
-from millpulse.sources import storage
+from millpulse.sources import landed_csv, storage
 from millpulse.sources.landed_csv import load_landed_csv
 from millpulse.sources.raw import load_sensor_raw
 from millpulse.streaming import landing, live
@@ -201,6 +201,14 @@ def test_landed_csv_is_read_by_each_files_header(spark, work, tmp_path):
     assert ordered(load_landed_csv(spark, f"{work}/out"), "a", "b", "c") == sorted([("two\nlines", "1", None), ("x", None, "y")], key=repr)
 
 
+def test_a_large_csv_batch_is_landed_in_files_of_bounded_length(spark, work, monkeypatch):
+    monkeypatch.setattr(landed_csv, "FILE_RECORDS", 30, raising=False)
+    rows_in = spark.createDataFrame([(b'{"a": "%d\\n"}' % n,) for n in range(100)], "body binary").coalesce(1)
+    landing.union_writer(f"{work}/out", "s")(landing.with_landing_day(msg.parse_messages(rows_in)), 0)
+    assert len(glob.glob(f"{work}/out/year=*/month=*/day=*/header=*/batch=s-0/*.csv")) == 4
+    assert ordered(load_landed_csv(spark, f"{work}/out"), "a") == sorted([(f"{n}\n",) for n in range(100)], key=repr)
+
+
 @pytest.mark.parametrize("maker", ["event_files", "event_batches"])
 def test_a_batch_of_events_is_one_file_that_many_tasks_read(spark, work, monkeypatch, maker):
     monkeypatch.setattr(fixtures, "ROW_GROUP_BYTES", {"parquet.block.size": "65536"}, raising=False)
