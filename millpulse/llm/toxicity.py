@@ -40,7 +40,6 @@ THRESHOLD = 0.7
 CLASSES = ("ordinary", "toxic")
 EDGE_CHARS = string.punctuation
 CACHED_WORDS = 300_000
-PAIRS_AT_ONCE = 100_000  # pairs whose ratios the driver works out together
 
 
 @dataclass
@@ -104,6 +103,34 @@ class Model:
         return 1 / (1 + np.exp(-x))
 
 
+@dataclass
+class Words:
+    """By word, in the order of `hashes`: its place in the model, its probability by class and its log ratio; `totals` by class.
+
+    By first word of pairs, in the order of `firsts`: counts and distinct continuations by class.
+    """
+
+    hashes: np.ndarray
+    places: np.ndarray  # and, after the last, that of the start of a text
+    p: np.ndarray
+    ratios: np.ndarray
+    totals: np.ndarray
+    firsts: np.ndarray | None = None
+    history: np.ndarray | None = None
+    continued: np.ndarray | None = None
+
+    def pair_ratios(self, first: np.ndarray, second: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The keys and log ratios of pairs of word hashes, from their counts by class."""
+        b = np.searchsorted(self.hashes, second)
+        a = np.minimum(np.searchsorted(self.hashes, first), len(self.hashes) - 1)
+        a[self.hashes[a] != first] = len(self.hashes)
+        h = np.searchsorted(self.firsts, first)
+        given = _given(counts, self.history[h], self.continued[h], self.p[b])
+        weight = _weight(counts, self.totals)
+        ratios = weight * np.log(given[:, 1] / given[:, 0]) + (1 - weight) * self.ratios[b]
+        return _pair_key(self.places[a], self.places[b]), ratios.astype(np.float32)
+
+
 def _key(level: int, bare: str) -> int:
     return xxhash.xxh64_intdigest(f"{level} {bare[:LEVELS[level]]}".encode()) - (1 << 63)
 
@@ -155,7 +182,7 @@ def _counts(rows: DataFrame, name: str, items: Column) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, max_words: int = MAX_WORDS) -> Model:
-    """Counts in Spark over the labelled sample, whose distinct words and pairs of word hashes reach the driver.
+    """Counts in Spark over the labelled sample, whose distinct words and pair ratios reach the driver.
 
     The curve is fitted on fold 0 with the counts of the others; the counts that score are those of the whole sample.
     """
@@ -177,7 +204,8 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, max_wor
     fitted = sample.where("fold = 0").select("text", "toxic").mapInArrow(run, "a double, b double, c double, toxic int").toArrow()
     fitted = fitted.sort_by([(name, "ascending") for name in fitted.column_names])
     held = np.column_stack([fitted[name].to_numpy().astype(float) for name in fitted.column_names])
-    del model, run, shipped  # the driver holds one model at a time
+    shipped.destroy(blocking=True)
+    del model, run, shipped  # the driver holds one model at a time, and so do the executors
     model = counted_model(sample)
     model.weights = _logistic(held[:, :3], held[:, 3])
     sample.unpersist()
@@ -192,10 +220,37 @@ def counted_model(counted: DataFrame) -> Model | None:
     ).persist()
     follows = pairs.groupBy("word").agg(*[F.count_if(F.col(c) > 0).alias(f"after_{c}") for c in CLASSES])
     by_word = _counts(counted, "word", F.col("_words")).join(follows, "word")
-    hashed = pairs.select(F.xxhash64("first").alias("first"), F.xxhash64("word").alias("second"), *CLASSES)
-    model = build(by_word.withColumn("hash", F.xxhash64("word")).toArrow(), hashed.toArrow())
+    built = build(by_word.withColumn("hash", F.xxhash64("word")).toArrow())
+    if built is not None:
+        model, known = built
+        add_pairs(model, known, pairs.select(F.xxhash64("first").alias("first"), F.xxhash64("word").alias("second"), *CLASSES))
     pairs.unpersist()
-    return model
+    return None if built is None else model
+
+
+def add_pairs(model: Model, known: Words, pairs: DataFrame) -> None:
+    """Work out the ratios of (first, second, ordinary, toxic) in tasks, where they are; the driver gets a key and a ratio for each pair."""
+    sums = [F.sum(c).cast("double").alias(c) for c in CLASSES]
+    continued = [F.count_if(F.col(c) > 0).cast("double").alias(f"continued_{c}") for c in CLASSES]
+    histories = pairs.groupBy("first").agg(*sums, *continued).toArrow().sort_by("first")
+    known.firsts = histories["first"].to_numpy()
+    known.history, known.continued = (np.column_stack([histories[p + c].to_numpy() for c in CLASSES]) for p in ("", "continued_"))
+    del histories
+    shipped = ship(pairs.sparkSession, known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = unpack(shipped)
+        for batch in batches:
+            counts = np.column_stack([batch.column(c).to_numpy().astype(float) for c in CLASSES])
+            found = held.pair_ratios(batch.column("first").to_numpy(), batch.column("second").to_numpy(), counts)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, found)], names=["key", "ratio"])
+
+    found = pairs.mapInArrow(run, "key long, ratio float").toArrow()
+    keys, ratios = found["key"].to_numpy(), found["ratio"].to_numpy()
+    del found
+    by_key = np.argsort(keys, kind="stable")
+    model.pair_keys, model.pair_ratios = keys[by_key], ratios[by_key]
+    shipped.destroy(blocking=True)  # executors keep a copy on disk until then
 
 
 def probabilities(names: list[str], after: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -233,8 +288,8 @@ def _sums(place: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.column_stack([np.bincount(place, v) for v in values.T])
 
 
-def build(by_word: pa.Table, pairs: pa.Table) -> Model | None:
-    """The model from the counts of words and of pairs; None unless both classes have words."""
+def build(by_word: pa.Table) -> tuple[Model, Words] | None:
+    """The model without pairs and the words for the ratios of pairs; None unless both classes have words."""
     by_word = by_word.sort_by("hash")
     names, hashes = by_word["word"].to_pylist(), by_word["hash"].to_numpy()
     in_docs, after = (np.column_stack([by_word[p + c].to_numpy().astype(float) for c in CLASSES]) for p in ("", "after_"))
@@ -255,26 +310,12 @@ def build(by_word: pa.Table, pairs: pa.Table) -> Model | None:
     place_of = np.empty(len(order), np.int64)
     place_of[order] = np.arange(len(order))
     word_at = place_of[len(order) - len(names):][place]
-    first, second = pairs["first"].to_numpy(), pairs["second"].to_numpy()
-    counts = np.column_stack([pairs[c].to_numpy().astype(np.int32) for c in CLASSES])
-    b = np.searchsorted(hashes, second)
-    a = np.minimum(np.searchsorted(hashes, first), len(hashes) - 1)
-    start = hashes[a] != first
-    a[start] = len(names)
-    del first, second, start
-    history, continued = _sums(a, counts), _sums(a, counts > 0)
-    pair_ratios = np.empty(len(a), np.float32)
-    for at in range(0, len(a), PAIRS_AT_ONCE):
-        part = slice(at, at + PAIRS_AT_ONCE)
-        given = _given(counts[part], history[a[part]], continued[a[part]], p[place[b[part]]])
-        weight = _weight(counts[part].astype(float), in_docs.sum(0))
-        pair_ratios[part] = weight * np.log(given[:, 1] / given[:, 0]) + (1 - weight) * above[place[b[part]]]
-    pair_keys = _pair_key(np.append(word_at, len(order))[a], word_at[b])
-    by_key = np.argsort(pair_keys, kind="stable")
-    return Model(
+    empty = np.zeros(0, np.int64)
+    model = Model(
         np.concatenate(keys)[order], np.append(np.concatenate(ratios)[order], 0.0), np.append(np.concatenate(whole)[order], False),
-        pair_keys[by_key], pair_ratios[by_key],
+        empty, np.zeros(0, np.float32),
     )
+    return model, Words(hashes, np.append(word_at, len(order)), p[place], above[place], in_docs.sum(0))
 
 
 def _weight(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from millpulse.llm import toxicity
 
@@ -123,3 +124,16 @@ def test_the_sample_is_bounded_in_rows_and_words(spark):
     assert {r["count"] for r in count(limit=7)} == {7}
     assert {r["count"] for r in count(max_words=100)} == {10}
     assert {r["count"] for r in count(max_words=1)} == {1}
+
+
+def test_counts_of_pairs_do_not_reach_the_driver(spark, corpus, monkeypatch):
+    """Tables that reach the driver hold words, or a key and a ratio for each pair."""
+    got, real = [], DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "toArrow", lambda df: got.append(real(df)) or got[-1])
+    rows = [(i, " ".join(d), c) for c in (0, 1) for i, d in enumerate(corpus[c], 100 * c)]
+    counted = spark.createDataFrame([(t, c) for _, t, c in rows], "text string, toxic int").withColumn("_words", toxicity._bare_words("text"))
+    model = toxicity.counted_model(counted)
+    pairs = {p for d in corpus[0] + corpus[1] for p in zip([""] + d, d)}
+    assert len(model.pair_keys) == len(pairs) and (np.diff(model.pair_keys) > 0).all()
+    large = [t for t in got if t.num_rows == len(pairs)]
+    assert len(large) == 1 and large[0].nbytes <= 13 * len(pairs)
