@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from millpulse.llm.ship import Memo, ship, unpack
 from millpulse.llm.text import crc_remainder, lower_ascii, words
+from millpulse.session import work_dir
 
 HELD_OUT_MODULUS, HELD_OUT_REMAINDER = 3, 1
 # Bounds of what is learned from and of what is sent to the tasks; they do not depend on the corpus.
@@ -40,6 +41,7 @@ THRESHOLD = 0.7
 CLASSES = ("ordinary", "toxic")
 EDGE_CHARS = string.punctuation
 CACHED_WORDS = 300_000
+PIECE_PAIRS = 500_000  # pairs that come to the driver at a time
 
 
 @dataclass
@@ -229,14 +231,16 @@ def counted_model(counted: DataFrame) -> Model | None:
 
 
 def add_pairs(model: Model, known: Words, pairs: DataFrame) -> None:
-    """Work out the ratios of (first, second, ordinary, toxic) in tasks, where they are; the driver gets a key and a ratio for each pair."""
+    """Work out the ratios of (first, second, ordinary, toxic) in tasks, where they are; the driver gets a key and a ratio for each pair,
+    a range of keys after the other, so that it holds the pairs once."""
     sums = [F.sum(c).cast("double").alias(c) for c in CLASSES]
     continued = [F.count_if(F.col(c) > 0).cast("double").alias(f"continued_{c}") for c in CLASSES]
     histories = pairs.groupBy("first").agg(*sums, *continued).toArrow().sort_by("first")
     known.firsts = histories["first"].to_numpy()
     known.history, known.continued = (np.column_stack([histories[p + c].to_numpy() for c in CLASSES]) for p in ("", "continued_"))
     del histories
-    shipped = ship(pairs.sparkSession, known)
+    spark = pairs.sparkSession
+    shipped = ship(spark, known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = unpack(shipped)
@@ -245,11 +249,19 @@ def add_pairs(model: Model, known: Words, pairs: DataFrame) -> None:
             found = held.pair_ratios(batch.column("first").to_numpy(), batch.column("second").to_numpy(), counts)
             yield pa.RecordBatch.from_arrays([*map(pa.array, found)], names=["key", "ratio"])
 
-    found = pairs.mapInArrow(run, "key long, ratio float").toArrow()
-    keys, ratios = found["key"].to_numpy(), found["ratio"].to_numpy()
-    del found
-    by_key = np.argsort(keys, kind="stable")
-    model.pair_keys, model.pair_ratios = keys[by_key], ratios[by_key]
+    stored = f"{work_dir(spark, 'toxicity')}/ratios"
+    pairs.mapInArrow(run, "key long, ratio float").write.parquet(stored)
+    found = spark.read.parquet(stored)
+    n = found.count()
+    model.pair_keys, model.pair_ratios = np.empty(n, np.int64), np.empty(n, np.float32)
+    pieces, at = max(1, -(-n // PIECE_PAIRS)), 0
+    edges = [i * (len(model.keys) + 1) // pieces << 32 for i in range(pieces + 1)]
+    for low, high in zip(edges, edges[1:]):
+        piece = found.where((F.col("key") >= low) & (F.col("key") < high)).toArrow().sort_by("key")
+        span = slice(at, at := at + len(piece))
+        model.pair_keys[span], model.pair_ratios[span] = piece["key"], piece["ratio"]
+    del piece
+    pa.default_memory_pool().release_unused()
     shipped.destroy(blocking=True)  # executors keep a copy on disk until then
 
 

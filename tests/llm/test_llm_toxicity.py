@@ -1,14 +1,17 @@
 """The probabilities and ratios of the toxicity models against plain counts."""
 
 import math
+import pickle
 import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql.classic.dataframe import DataFrame
 
 from millpulse.llm import toxicity
+from millpulse.llm.ship import ship, unpack
 
 D = toxicity.DISCOUNT
 
@@ -137,3 +140,28 @@ def test_counts_of_pairs_do_not_reach_the_driver(spark, corpus, monkeypatch):
     assert len(model.pair_keys) == len(pairs) and (np.diff(model.pair_keys) > 0).all()
     large = [t for t in got if t.num_rows == len(pairs)]
     assert len(large) == 1 and large[0].nbytes <= 13 * len(pairs)
+
+
+def test_pairs_come_to_the_driver_a_range_of_keys_at_a_time(spark, corpus, monkeypatch):
+    rows = [(i, " ".join(d), c) for c in (0, 1) for i, d in enumerate(corpus[c], 100 * c)]
+    counted = spark.createDataFrame([(t, c) for _, t, c in rows], "text string, toxic int").withColumn("_words", toxicity._bare_words("text"))
+    whole = toxicity.counted_model(counted)
+    got, real = [], DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "toArrow", lambda df: got.append(real(df)) or got[-1])
+    monkeypatch.setattr(toxicity, "PIECE_PAIRS", 10)
+    model = toxicity.counted_model(counted)
+    assert (model.pair_keys == whole.pair_keys).all() and (model.pair_ratios == whole.pair_ratios).all()
+    pieces = [t.num_rows for t in got if t.column_names == ["key", "ratio"]]
+    assert sum(pieces) == len(whole.pair_keys) and max(pieces) < len(whole.pair_keys)
+
+
+def test_a_shipped_model_keeps_no_second_copy_of_its_arrays(spark):
+    shipped = ship(spark, {"table": np.arange(1_000_000)})
+
+    def run(batches):
+        for batch in batches:
+            size = len(pickle.dumps(shipped.value))
+            assert unpack(shipped)["table"][-1] == 999_999 and list(shipped.value) == ["model"]
+            yield pa.RecordBatch.from_arrays([pa.array([size])], names=["size"])
+
+    assert spark.range(1).mapInArrow(run, "size long").first()["size"] < 8_100_000
