@@ -8,7 +8,7 @@ word, the last two, and the word before the last (a skip).
 Frequent words have a place of their own. The others share places by their last bytes, and divide a place by their counts,
 with a share for words never seen in training.
 
-Counts and contexts cover every training token. Training is one pass of gradient steps over all of them: each task improves
+Every text is turned into word ids once, and these are stored. Counts and contexts cover every training token. Training is one pass of gradient steps over all of them: each task improves
 a copy of the weights on its own rows, and the copies are averaged in Spark, row by row, weighted by how often a row was used.
 """
 
@@ -19,7 +19,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import compress
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +48,8 @@ FLUSH_WORDS = 200_000
 END = b""  # the end token; no word is empty
 BLOCK_ROWS = 1_024  # rows of a weight table averaged together
 COPY_GROUPS = 8  # copies of a block are added in so many groups first
-LEAF_BITS = 20
+MIN_COPY_TOKENS, COPY_TOKENS = 1 << 20, 1 << 22  # a copy of the weights learns from at least so many tokens: with idle cores, else
+SHORT_RUN = 8  # rows of a run that are added one after the other
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -77,6 +78,7 @@ class Model:
     row_bits: int = 0
     weights: np.ndarray | None = None  # None: all zero
     memo: Memo | None = None
+    leaf_of: np.ndarray | None = None  # by id
 
     def tail(self, word: bytes) -> int:
         return zlib.crc32(word[-TAIL_BYTES:]) % TAILS
@@ -85,23 +87,30 @@ class Model:
         at = self.ids.get(word, self.n_own)
         return at if at < self.n_own else self.n_own + self.tail(word)
 
-    def _packed(self, word: bytes) -> int:
-        """Its id as a context, and its leaf; words outside the head share an id per shared leaf."""
+    def _context(self, word: bytes) -> int:
+        """Its id as a context; words outside the head share an id per shared leaf."""
         at = self.ids.get(word)
-        return (len(self.ids) + self.tail(word) if at is None else at) << LEAF_BITS | self.leaf(word)
+        return len(self.ids) + self.tail(word) if at is None else at
 
-    def encode(self, texts: list[list[bytes]]) -> np.ndarray:
-        """Rows id and leaf of all tokens of some texts, each text after three tokens that stand for its start."""
+    def encode(self, words: list[bytes]) -> np.ndarray:
         if self.memo is None:
-            self.memo = Memo(self._packed, FLUSH_WORDS)
+            self.memo = Memo(self._context, FLUSH_WORDS)
         self.memo.trim()
-        start = [len(self.ids) + TAILS << LEAF_BITS] * 3
-        out = []
-        for words in texts:
-            out += start
-            out += map(self.memo.__getitem__, words)
-        packed = np.array(out, np.int64)
-        return np.stack([packed >> LEAF_BITS, packed & (1 << LEAF_BITS) - 1])
+        return np.array([*map(self.memo.__getitem__, words)], np.int32)
+
+    def lay_out(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows id and leaf of the tokens of some texts, each text after three tokens that stand for its start; the positions
+        of the real tokens; the lengths of the texts."""
+        if self.leaf_of is None:
+            shared = [self.n_own + self.tail(word) for word in islice(self.ids, self.n_own, None)]
+            self.leaf_of = np.array([*range(self.n_own), *shared, *range(self.n_own, self.n_own + TAILS), 0])
+        lengths = np.array([len(t) for t in texts])
+        ids = np.full(lengths.sum() + 3 * len(texts), len(self.ids) + TAILS)
+        real = np.ones(len(ids), bool)
+        real[((np.cumsum(lengths + 3) - lengths - 3)[:, None] + np.arange(3)).ravel()] = False
+        keep = np.flatnonzero(real)
+        ids[keep] = np.concatenate(texts)
+        return np.stack([ids, self.leaf_of[ids]]), keep, lengths
 
 
 @dataclass
@@ -182,34 +191,49 @@ class Trainer:
             order, ordered = ordered & (1 << bits) - 1, ordered >> bits
             starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
             touched = ordered[starts]
-            pull = np.add.reduceat(gradient.take(order, axis=0), starts, axis=0)
-            self.used[touched] += np.diff(np.append(starts, len(ordered))).astype(np.int32)
+            lengths = np.diff(np.append(starts, len(ordered)))
+            pull = _run_sums(gradient, order, starts, lengths)
+            self.used[touched] += lengths.astype(np.int32)
             grown = self.power[touched] + np.einsum("ij,ij->i", pull, pull)
             self.power[touched] = grown
             pull *= (STEP / np.sqrt(grown))[:, None]
             self.weights[touched] -= pull
 
 
-def _token_batches(model: Model, texts: Iterator[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, list[list[bytes]]]]:
-    """Coded tokens, the positions of real tokens among them, and their texts, about BATCH_TOKENS at a time."""
+def _run_sums(rows: np.ndarray, order: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The sum of each run of rows[order]. Most runs are short, and `reduceat` is slow for those."""
+    out = rows.take(order[starts], axis=0)
+    short = np.flatnonzero((lengths > 1) & (lengths <= SHORT_RUN))
+    for k in range(1, SHORT_RUN):
+        short = short[lengths[short] > k]
+        out[short] += rows.take(order[starts[short] + k], axis=0)
+    long = np.flatnonzero(lengths > SHORT_RUN)
+    if len(long):
+        ends = np.cumsum(lengths[long])
+        inside = np.repeat(starts[long] - (ends - lengths[long]), lengths[long]) + np.arange(ends[-1])
+        out[long] = np.add.reduceat(rows.take(order[inside], axis=0), ends - lengths[long], axis=0)
+    return out
+
+
+def _token_batches(model: Model, texts: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Coded tokens, the positions of real tokens among them, and the lengths of their texts, about BATCH_TOKENS at a time."""
     waiting, size = [], 0
-    for words in texts:
-        waiting.append(words)
-        size += len(words)
+    for ids in texts:
+        waiting.append(ids)
+        size += len(ids)
         if size >= BATCH_TOKENS:
-            yield *_coded(model, waiting), waiting
+            yield model.lay_out(waiting)
             waiting, size = [], 0
     if waiting:
-        yield *_coded(model, waiting), waiting
+        yield model.lay_out(waiting)
 
 
 def _coded(model: Model, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    coded = model.encode(texts)
-    lengths = np.array([len(t) for t in texts])
-    starts = np.concatenate(([0], np.cumsum(lengths + 3)[:-1]))
-    keep = np.ones(coded.shape[1], bool)
-    keep[(starts[:, None] + np.arange(3)).ravel()] = False
-    return coded, np.flatnonzero(keep)
+    return model.lay_out([model.encode(words) for words in texts])[:2]
+
+
+def _ids(column: pa.Array) -> Iterator[np.ndarray]:
+    return (np.frombuffer(x.as_py(), np.int32) for x in column)
 
 
 def count_words(train: DataFrame) -> DataFrame:
@@ -261,6 +285,46 @@ def prepare(counts: DataFrame) -> Model:
     return model
 
 
+def encoded(rows: DataFrame, model: Model) -> DataFrame:
+    """`rows` with `ids` (32-bit integers, one for each token) and `tail` (word, shared leaf, times: the words outside the head)
+    in place of `text`."""
+    shipped = ship(rows.sparkSession, model)
+    kept = rows.drop("text").schema.fields
+    names = [*(f.name for f in kept), "ids", "tail"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = unpack(shipped)
+        n_head = len(held.ids)
+        for batch in batches:
+            ids, tail_words, tail_times, tail_ends = [], [], [], [0]
+            for text in batch.column(batch.num_columns - 1).cast(pa.binary()):
+                words = tokens(text.as_py())
+                found = held.encode(words)
+                ids.append(found.tobytes())
+                outside = found >= n_head
+                if outside.any():
+                    times = Counter(compress(words, outside.tolist()))
+                    tail_words += times
+                    tail_times += times.values()
+                tail_ends.append(len(tail_words))
+            tail = pa.StructArray.from_arrays([
+                pa.array(tail_words, pa.binary()).cast(pa.string()), pa.array(map(held.tail, tail_words), pa.int32()),
+                pa.array(tail_times, pa.int32()),
+            ], names=["word", "cls", "times"])
+            tails = pa.ListArray.from_arrays(pa.array(tail_ends, pa.int32()), tail)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.binary()), tails], names=names)
+
+    tail = T.StructType([T.StructField("word", T.StringType()), T.StructField("cls", T.IntegerType()), T.StructField("times", T.IntegerType())])
+    schema = T.StructType([*kept, T.StructField("ids", T.BinaryType()), T.StructField("tail", T.ArrayType(tail))])
+    return rows.select(*names[:-2], "text").mapInArrow(run, schema)
+
+
+def _by_copy(rows: DataFrame, model: Model) -> DataFrame:
+    """`ids` in as many partitions as copies of a table are worth, so that the copies do not outgrow what they are learned from."""
+    idle = min(rows.sparkSession.sparkContext.defaultParallelism, model.n_tokens // MIN_COPY_TOKENS)
+    return rows.select("ids").coalesce(max(1, idle, model.n_tokens // COPY_TOKENS))
+
+
 def _side(ids: np.ndarray) -> np.ndarray:
     """The kind of a neighbour: frequent words are their own, the others are spread by hash."""
     half = SIDES // 2
@@ -268,14 +332,14 @@ def _side(ids: np.ndarray) -> np.ndarray:
 
 
 def neighbours(rows: DataFrame, model: Model) -> np.ndarray:
-    """By leaf: how often each kind of neighbour stands before and after its words, over all `rows` (text)."""
+    """By leaf: how often each kind of neighbour stands before and after its words, over all `rows` (ids)."""
     shipped = ship(rows.sparkSession, model)
     n_leaves, width = model.n_own + TAILS, 2 * SIDES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = unpack(shipped)
         counts = np.zeros(n_leaves * width, np.int32)
-        texts = (tokens(x.as_py()) for batch in batches for x in batch.column(0).cast(pa.binary()))
+        texts = (ids for batch in batches for ids in _ids(batch.column(0)))
         for coded, keep, _ in _token_batches(held, texts):
             ids, leaves = coded
             kinds = _side(ids)
@@ -284,7 +348,6 @@ def neighbours(rows: DataFrame, model: Model) -> np.ndarray:
             after = leaves[inner - 1] * width + SIDES + kinds[inner]
             np.add.at(counts, before, 1)
             np.add.at(counts, after, 1)
-        held.memo = None
         for block, at in enumerate(range(0, len(counts), BLOCK_ROWS * width)):
             part = counts[at:at + BLOCK_ROWS * width]
             some = np.flatnonzero(part)
@@ -302,7 +365,7 @@ def neighbours(rows: DataFrame, model: Model) -> np.ndarray:
         some = np.flatnonzero(total)
         return pa.table({"block": copies["block"].slice(0, 1), "at": [some.astype(np.int32).tobytes()], "n": [total[some].tobytes()]})
 
-    parts = rows.select("text").mapInArrow(run, "block int, at binary, n binary, fan int")
+    parts = _by_copy(rows, model).mapInArrow(run, "block int, at binary, n binary, fan int")
     some = parts.groupBy("block", "fan").applyInArrow(add, "block int, at binary, n binary")
     out = np.zeros(n_leaves * width, np.float32)
     for row in some.groupBy("block").applyInArrow(add, "block int, at binary, n binary").collect():  # bounded by LEAVES
@@ -361,9 +424,10 @@ def form_classes(model: Model, sides: np.ndarray) -> None:
 
 
 def train(rows: DataFrame, model: Model) -> Model:
-    """Classes, one pass of gradient steps over all `rows` (text), and the mean of the tasks' weights."""
+    """Classes, one pass of gradient steps over all `rows` (text, or the ids it became), and the mean of the tasks' weights."""
+    if "ids" not in rows.columns:
+        rows = encoded(rows.select("text"), model)
     form_classes(model, neighbours(rows, model))
-    model.memo = None
     shipped = ship(rows.sparkSession, model)
     n = FEATURES << model.row_bits
     block_rows = min(BLOCK_ROWS, n)
@@ -371,14 +435,13 @@ def train(rows: DataFrame, model: Model) -> Model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = unpack(shipped)
         trainer, size = None, FIRST_STEP_TOKENS
-        texts = (tokens(x.as_py()) for batch in batches for x in batch.column(0).cast(pa.binary()))
+        texts = (ids for batch in batches for ids in _ids(batch.column(0)))
         for coded, keep, _ in _token_batches(held, texts):
             trainer = trainer or Trainer(held)
             at = 0
             while at < len(keep):
                 trainer.step(coded, keep[at:at + int(size)])
                 at, size = at + int(size), min(BATCH_TOKENS, size * STEP_GROWTH)
-        held.memo = None
         for block in range(n // block_rows if trainer else 0):
             at = slice(block * block_rows, (block + 1) * block_rows)
             some = np.flatnonzero(trainer.used[at])
@@ -402,7 +465,7 @@ def train(rows: DataFrame, model: Model) -> Model:
         })
 
     # Copies of a block are averaged in two steps, so that no task has to hold those of all tasks.
-    parts = rows.select("text").mapInArrow(run, "block int, at binary, weights binary, used binary, fan int")
+    parts = _by_copy(rows, model).mapInArrow(run, "block int, at binary, weights binary, used binary, fan int")
     some = parts.groupBy("block", "fan").applyInArrow(mean, "block int, at binary, weights binary, used binary")
     total = some.groupBy("block").applyInArrow(mean, "block int, at binary, weights binary, used binary")
     model.weights = np.zeros((n, FAN), np.float32)
@@ -413,8 +476,8 @@ def train(rows: DataFrame, model: Model) -> Model:
 
 
 def _scored(docs: DataFrame, model: Model) -> DataFrame:
-    """What a task can know of each row: n_tokens, and base and model score up to the words outside the head, which
-    come as `tail` (word, shared leaf, times)."""
+    """What a task can know of each encoded row: n_tokens, and base and model score up to the words outside the head, which stay
+    as `tail`."""
     shipped = ship(docs.sparkSession, model)
     base_total = model.n_tokens + 0.1 * (model.n_words + 1)
 
@@ -432,10 +495,8 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
         log_base, log_rest = held.facts
         n_head = len(held.ids)
         for batch in batches:
-            texts = [tokens(x.as_py()) for x in batch.column(3).cast(pa.binary())]
             n_tokens, base, score, n_head_tokens = [], [], [], []
-            tail_words, tail_times, tail_ends = [], [], [0]
-            for coded, keep, group in _token_batches(held, iter(texts)):
+            for coded, keep, lengths in _token_batches(held, _ids(batch.column(3))):
                 log_p = log_probabilities(held, coded, keep)
                 ids = coded[0][keep]
                 inside = ids < n_head
@@ -443,36 +504,20 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
                 of_base = np.where(inside, log_base[known], 0.0) if n_head else np.zeros(len(ids))
                 if n_head:
                     log_p += np.where(inside, log_rest[known], 0.0)
-                lengths = np.array([len(t) for t in group])
-                starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+                starts = np.cumsum(lengths) - lengths
                 base += np.add.reduceat(of_base, starts).tolist()
                 score += np.add.reduceat(log_p, starts).tolist()
-                head_tokens = np.add.reduceat(inside.astype(int), starts)
-                n_head_tokens += head_tokens.tolist()
+                n_head_tokens += np.add.reduceat(inside.astype(int), starts).tolist()
                 n_tokens += lengths.tolist()
-                outside = ~inside
-                for words, start, n_in in zip(group, starts.tolist(), head_tokens.tolist()):
-                    if n_in < len(words):
-                        times = Counter(compress(words, outside[start:start + len(words)].tolist()))
-                        tail_words += times
-                        tail_times += times.values()
-                    tail_ends.append(len(tail_words))
-            tail = pa.StructArray.from_arrays([
-                pa.array(tail_words, pa.binary()).cast(pa.string()), pa.array(map(held.tail, tail_words), pa.int32()),
-                pa.array(tail_times, pa.int32()),
-            ], names=["word", "cls", "times"])
-            tails = pa.ListArray.from_arrays(pa.array(tail_ends, pa.int32()), tail)
             yield pa.RecordBatch.from_arrays([
                 *batch.columns[:3], pa.array(n_tokens, pa.int64()), pa.array(n_head_tokens, pa.int64()), pa.array(base, pa.float64()),
-                pa.array(score, pa.float64()),
-                tails,
+                pa.array(score, pa.float64()), batch.column(4),
             ], names=["_row", "doc_id", "held_out", "n_tokens", "n_head", "base_part", "score_part", "tail"])
 
-    rows = docs.select("_row", "doc_id", "held_out", "text")
-    tail = T.StructType([T.StructField("word", T.StringType()), T.StructField("cls", T.IntegerType()), T.StructField("times", T.IntegerType())])
+    rows = docs.select("_row", "doc_id", "held_out", "ids", "tail")
     schema = T.StructType([
         *rows.schema.fields[:3], T.StructField("n_tokens", T.LongType()), T.StructField("n_head", T.LongType()),
-        T.StructField("base_part", T.DoubleType()), T.StructField("score_part", T.DoubleType()), T.StructField("tail", T.ArrayType(tail)),
+        T.StructField("base_part", T.DoubleType()), T.StructField("score_part", T.DoubleType()), rows.schema["tail"],
     ])
     out = rows.mapInArrow(run, schema)
     return out.withColumn("base_part", F.col("base_part") - F.col("n_tokens") * math.log10(base_total))
@@ -491,9 +536,12 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Data
     learned = rows.where(remainder != held_out)
     count_words(learned).write.parquet(f"{folder}/counts")
     counts = spark.read.parquet(f"{folder}/counts")
-    model = train(learned, prepare(counts))
+    model = prepare(counts)
     numbered = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("held_out", remainder == held_out)
-    _scored(numbered, model).write.parquet(f"{folder}/scored")
+    encoded(numbered, model).write.parquet(f"{folder}/encoded")
+    coded = spark.read.parquet(f"{folder}/encoded")
+    model = train(coded.where(~F.col("held_out")), model)
+    _scored(coded, model).write.parquet(f"{folder}/scored")
     scored = spark.read.parquet(f"{folder}/scored")
     table = spark.createDataFrame(
         [(i, float(model.unseen[i]), float(model.rest_tokens[i])) for i in range(TAILS)], "cls int, unseen double, rest double"

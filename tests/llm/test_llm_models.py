@@ -538,6 +538,43 @@ def test_probabilities_of_a_context_sum_to_one(spark):
         assert math.isclose(whole, 1, rel_tol=1e-4)
 
 
+def test_copies_of_the_weights_follow_the_tokens_not_the_partitions(spark):
+    texts = [f"a{i % 5} b{i % 7} c{i}" for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(40)
+    model = lm.prepare(lm.count_words(docs))
+    rows = lm.encoded(docs, model)
+    assert rows.rdd.getNumPartitions() == 40 and lm._by_copy(rows, model).rdd.getNumPartitions() == 1
+    model.n_tokens = 9 * lm.COPY_TOKENS
+    copies = lm._by_copy(rows, model)
+    assert copies.rdd.getNumPartitions() == 9 and copies.count() == len(texts)
+    model.n_tokens = 1_000 * lm.COPY_TOKENS
+    assert lm._by_copy(rows, model).rdd.getNumPartitions() == 40
+
+
+def test_texts_become_ids_and_words_outside_the_head(spark, monkeypatch):
+    monkeypatch.setattr(lm, "HEAD_WORDS", 3)
+    docs = spark.createDataFrame([(1, "A a b rare rare"), (2, None), (3, "a\tb\n other")], "doc_id long, text string")
+    model = lm.prepare(lm.count_words(docs))
+    got = {r.doc_id: r for r in lm.encoded(docs, model).collect()}
+    place = lambda w: model.ids.get(w, 3 + model.tail(w))
+    ids = {i: np.frombuffer(r.ids, np.int32).tolist() for i, r in got.items()}
+    assert ids == {1: [place(w) for w in (b"a", b"a", b"b", b"rare", b"rare", b"")], 2: [place(b"")], 3: [place(w) for w in (b"a", b"b", b"other", b"")]}
+    outside = {i: {(t.word, t.cls): t.times for t in r.tail} for i, r in got.items()}
+    expected = {1: {"b": 1, "rare": 2}, 2: {}, 3: {"b": 1, "other": 1}}
+    assert outside == {i: {(w, model.tail(w.encode())): n for w, n in x.items() if w.encode() not in model.ids} for i, x in expected.items()}
+
+
+def test_sums_of_runs_equal_plain_sums():
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(3_000, lm.FAN)).astype(np.float32)
+    for kinds in (1, 7, 400, 100_000):
+        key = rng.integers(0, kinds, len(rows))
+        order = np.argsort(key, kind="stable")
+        starts = np.flatnonzero(np.concatenate(([True], np.diff(key[order]) > 0)))
+        got = lm._run_sums(rows, order, starts, np.diff(np.append(starts, len(rows))))
+        assert np.allclose(got, np.add.reduceat(rows[order].astype(float), starts, axis=0), atol=1e-3)
+
+
 # ---- pipeline ---------------------------------------------------------------------------------
 
 def test_each_stage_keeps_what_it_should(spark, tmp_path):
