@@ -201,12 +201,14 @@ class Trainer:
 
 
 def _run_sums(rows: np.ndarray, order: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The sum of each run of rows[order]. Most runs are short, and `reduceat` is slow for those."""
+    """The sum of each run of rows[order]. Most runs are short, and `reduceat` is slow for those; the order of additions is its own."""
     out = rows.take(order[starts], axis=0)
     short = np.flatnonzero((lengths > 1) & (lengths <= SHORT_RUN))
-    for k in range(1, SHORT_RUN):
-        short = short[lengths[short] > k]
-        out[short] += rows.take(order[starts[short] + k], axis=0)
+    others = rows.take(order[starts[short] + 1], axis=0)
+    for k in range(2, SHORT_RUN):
+        more = np.flatnonzero(lengths[short] > k)
+        others[more] += rows.take(order[starts[short[more]] + k], axis=0)
+    out[short] += others
     long = np.flatnonzero(lengths > SHORT_RUN)
     if len(long):
         ends = np.cumsum(lengths[long])
