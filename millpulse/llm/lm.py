@@ -18,8 +18,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from itertools import compress, islice
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millpulse.llm.ship import Memo, ship, unpack
+from millpulse.llm.ship import batches_of, ship, unpack
 from millpulse.llm.text import crc_remainder
 from millpulse.session import work_dir
 
@@ -45,6 +44,7 @@ STEP = 0.5
 BATCH_TOKENS = 1 << 15
 FIRST_STEP_TOKENS, STEP_GROWTH = 512, 1.2  # steps are taken over few tokens at first, later over a batch
 FLUSH_WORDS = 200_000
+BATCH_ROWS = 512  # texts that Spark and a Python worker hold at a time
 END = b""  # the end token; no word is empty
 BLOCK_ROWS = 1_024  # rows of a weight table averaged together
 COPY_GROUPS = 8  # copies of a block are added in so many groups first
@@ -61,13 +61,26 @@ def tokens(text: bytes | None) -> list[bytes]:
     return found
 
 
+def shared_leaf(word: bytes) -> int:
+    return zlib.crc32(word[-TAIL_BYTES:]) % TAILS
+
+
+class Ids(dict):
+    """Ids of the head words as contexts; words outside the head share an id per shared leaf."""
+
+    def __missing__(self, word: bytes) -> int:
+        return len(self) + shared_leaf(word)
+
+
 @dataclass
 class Model:
     counts: dict[bytes, int]
     n_tokens: int
     n_words: int
     n_own: int  # the first words of `counts` have leaves of their own, before the shared ones
-    ids: dict[bytes, int] = field(default_factory=dict)
+    ids: Ids = field(default_factory=Ids)
+    n_head: int = 0
+    leaf_of: np.ndarray | None = None  # by id
     rest_tokens: np.ndarray | None = None  # training tokens of each shared leaf
     unseen: np.ndarray | None = None  # share of it that words never seen have
     # The path of leaf i is choices[first[i]:first[i] + depth[i]]; a choice is class * FAN + place.
@@ -77,35 +90,26 @@ class Model:
     bias: np.ndarray | None = None  # by class and place, log probabilities without context
     row_bits: int = 0
     weights: np.ndarray | None = None  # None: all zero
-    memo: Memo | None = None
-    leaf_of: np.ndarray | None = None  # by id
 
     def tail(self, word: bytes) -> int:
-        return zlib.crc32(word[-TAIL_BYTES:]) % TAILS
+        return shared_leaf(word)
 
     def leaf(self, word: bytes) -> int:
         at = self.ids.get(word, self.n_own)
         return at if at < self.n_own else self.n_own + self.tail(word)
 
-    def _context(self, word: bytes) -> int:
-        """Its id as a context; words outside the head share an id per shared leaf."""
-        at = self.ids.get(word)
-        return len(self.ids) + self.tail(word) if at is None else at
+    def without_words(self) -> Model:
+        """What is needed once texts are ids: no word of the head, which would be most of the memory of a worker."""
+        return replace(self, counts={}, ids=Ids())
 
     def encode(self, words: list[bytes]) -> np.ndarray:
-        if self.memo is None:
-            self.memo = Memo(self._context, FLUSH_WORDS)
-        self.memo.trim()
-        return np.array([*map(self.memo.__getitem__, words)], np.int32)
+        return np.fromiter(map(self.ids.__getitem__, words), np.int32, len(words))
 
     def lay_out(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Rows id and leaf of the tokens of some texts, each text after three tokens that stand for its start; the positions
         of the real tokens; the lengths of the texts."""
-        if self.leaf_of is None:
-            shared = [self.n_own + self.tail(word) for word in islice(self.ids, self.n_own, None)]
-            self.leaf_of = np.array([*range(self.n_own), *shared, *range(self.n_own, self.n_own + TAILS), 0])
         lengths = np.array([len(t) for t in texts])
-        ids = np.full(lengths.sum() + 3 * len(texts), len(self.ids) + TAILS)
+        ids = np.full(lengths.sum() + 3 * len(texts), self.n_head + TAILS)
         real = np.ones(len(ids), bool)
         real[((np.cumsum(lengths + 3) - lengths - 3)[:, None] + np.arange(3)).ravel()] = False
         keep = np.flatnonzero(real)
@@ -262,14 +266,33 @@ def count_words(train: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def _head(counts: DataFrame, kinds: np.ndarray, words: np.ndarray) -> pa.Table:
+    """The most frequent words, ties by word. `words` have each of the `kinds` of counts, which say where the head ends; so only
+    words at its end are put in order by Spark, and no task meets more than the head."""
+    order = np.argsort(-kinds)
+    upto = np.cumsum(words[order])
+    whole = int(np.searchsorted(upto, HEAD_WORDS, side="right"))  # kinds all of whose words belong to the head
+    some = counts
+    if whole < len(kinds):
+        last, left = int(kinds[order[whole]]), HEAD_WORDS - int(upto[whole - 1] if whole else 0)
+        some = counts.where(F.col("c") > last)
+        if left:
+            some = some.unionByName(counts.where(F.col("c") == last).orderBy("word").limit(left))
+    return some.toArrow().sort_by([("c", "descending"), ("word", "ascending")])
+
+
 def prepare(counts: DataFrame) -> Model:
-    """Words, places and shares from the counts. Only tables of bounded size reach the driver."""
-    facts = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    head = counts.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toArrow()
+    """Words, places and shares from the counts. Only tables of bounded size reach the driver; there are fewer different counts
+    than the root of twice the tokens."""
+    kinds = counts.groupBy("c").agg(F.count("*").alias("words")).toArrow()
+    kinds, words = (kinds[name].to_numpy() for name in ("c", "words"))
+    head = _head(counts, kinds, words)
     names, times = head["word"].cast(pa.binary()).to_pylist(), head["c"].to_pylist()
     # The head is in order of counts, so its first words take the leaves; words seen once share theirs with unseen ones.
     n_own = sum(c > 1 for c in times[:LEAVES])
-    model = Model(dict(zip(names, times)), facts["n"], facts["v"], n_own, {word: i for i, word in enumerate(names)})
+    model = Model(dict(zip(names, times)), int(kinds @ words), int(words.sum()), n_own, Ids(zip(names, range(len(names)))), len(names))
+    shared = [n_own + model.tail(word) for word in names[n_own:]]
+    model.leaf_of = np.array([*range(n_own), *shared, *range(n_own, n_own + TAILS), 0])
     others = counts
     if n_own:
         last, name = times[n_own - 1], F.lit(names[n_own - 1].decode("utf-8", "replace"))
@@ -290,27 +313,27 @@ def prepare(counts: DataFrame) -> Model:
 def encoded(rows: DataFrame, model: Model) -> DataFrame:
     """`rows` with `ids` (32-bit integers, one for each token) and `tail` (word, shared leaf, times: the words outside the head)
     in place of `text`."""
-    shipped = ship(rows.sparkSession, model)
+    shipped = ship(rows.sparkSession, model.ids)
     kept = rows.drop("text").schema.fields
     names = [*(f.name for f in kept), "ids", "tail"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = unpack(shipped)
-        n_head = len(held.ids)
+        n_head, id_of = len(held), held.__getitem__
         for batch in batches:
             ids, tail_words, tail_times, tail_ends = [], [], [], [0]
             for text in batch.column(batch.num_columns - 1).cast(pa.binary()):
                 words = tokens(text.as_py())
-                found = held.encode(words)
+                found = np.fromiter(map(id_of, words), np.int32, len(words))
                 ids.append(found.tobytes())
-                outside = found >= n_head
-                if outside.any():
-                    times = Counter(compress(words, outside.tolist()))
+                outside = np.flatnonzero(found >= n_head)
+                if len(outside):
+                    times = Counter([words[i] for i in outside.tolist()])
                     tail_words += times
                     tail_times += times.values()
                 tail_ends.append(len(tail_words))
             tail = pa.StructArray.from_arrays([
-                pa.array(tail_words, pa.binary()).cast(pa.string()), pa.array(map(held.tail, tail_words), pa.int32()),
+                pa.array(tail_words, pa.binary()).cast(pa.string()), pa.array(map(shared_leaf, tail_words), pa.int32()),
                 pa.array(tail_times, pa.int32()),
             ], names=["word", "cls", "times"])
             tails = pa.ListArray.from_arrays(pa.array(tail_ends, pa.int32()), tail)
@@ -335,7 +358,7 @@ def _side(ids: np.ndarray) -> np.ndarray:
 
 def neighbours(rows: DataFrame, model: Model) -> np.ndarray:
     """By leaf: how often each kind of neighbour stands before and after its words, over all `rows` (ids)."""
-    shipped = ship(rows.sparkSession, model)
+    shipped = ship(rows.sparkSession, model.without_words())
     n_leaves, width = model.n_own + TAILS, 2 * SIDES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -430,7 +453,7 @@ def train(rows: DataFrame, model: Model) -> Model:
     if "ids" not in rows.columns:
         rows = encoded(rows.select("text"), model)
     form_classes(model, neighbours(rows, model))
-    shipped = ship(rows.sparkSession, model)
+    shipped = ship(rows.sparkSession, model.without_words())
     n = FEATURES << model.row_bits
     block_rows = min(BLOCK_ROWS, n)
 
@@ -478,24 +501,19 @@ def train(rows: DataFrame, model: Model) -> Model:
 
 
 def _scored(docs: DataFrame, model: Model) -> DataFrame:
-    """What a task can know of each encoded row: n_tokens, and base and model score up to the words outside the head, which stay
-    as `tail`."""
-    shipped = ship(docs.sparkSession, model)
+    """What a task can know of each encoded row: n_tokens, and base and model score up to the words outside the head."""
     base_total = model.n_tokens + 0.1 * (model.n_words + 1)
+    # By id of a head word: log count for the base, and its share of its leaf.
+    counts = np.array(list(model.counts.values()), float)
+    share = np.zeros(len(counts))
+    for at in range(model.n_own, model.n_head):
+        tail = model.leaf_of[at] - model.n_own
+        share[at] = math.log10((1 - model.unseen[tail]) * counts[at] / model.rest_tokens[tail])
+    shipped = ship(docs.sparkSession, (model.without_words(), np.log10(counts + 0.1), share))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = unpack(shipped)
-        if not hasattr(held, "facts"):
-            # By id of a head word: log count for the base, and its share of its leaf.
-            counts = np.array(list(held.counts.values()), float)
-            share = np.zeros(len(counts))
-            for at, word in enumerate(held.counts):
-                if at >= held.n_own:
-                    tail = held.tail(word)
-                    share[at] = math.log10((1 - held.unseen[tail]) * counts[at] / held.rest_tokens[tail])
-            held.facts = np.log10(counts + 0.1), share
-        log_base, log_rest = held.facts
-        n_head = len(held.ids)
+        held, log_base, log_rest = unpack(shipped)
+        n_head = held.n_head
         for batch in batches:
             n_tokens, base, score, n_head_tokens = [], [], [], []
             for coded, keep, lengths in _token_batches(held, _ids(batch.column(3))):
@@ -513,13 +531,13 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
                 n_tokens += lengths.tolist()
             yield pa.RecordBatch.from_arrays([
                 *batch.columns[:3], pa.array(n_tokens, pa.int64()), pa.array(n_head_tokens, pa.int64()), pa.array(base, pa.float64()),
-                pa.array(score, pa.float64()), batch.column(4),
-            ], names=["_row", "doc_id", "held_out", "n_tokens", "n_head", "base_part", "score_part", "tail"])
+                pa.array(score, pa.float64()),
+            ], names=["_row", "doc_id", "held_out", "n_tokens", "n_head", "base_part", "score_part"])
 
-    rows = docs.select("_row", "doc_id", "held_out", "ids", "tail")
+    rows = docs.select("_row", "doc_id", "held_out", "ids")
     schema = T.StructType([
         *rows.schema.fields[:3], T.StructField("n_tokens", T.LongType()), T.StructField("n_head", T.LongType()),
-        T.StructField("base_part", T.DoubleType()), T.StructField("score_part", T.DoubleType()), rows.schema["tail"],
+        T.StructField("base_part", T.DoubleType()), T.StructField("score_part", T.DoubleType()),
     ])
     out = rows.mapInArrow(run, schema)
     return out.withColumn("base_part", F.col("base_part") - F.col("n_tokens") * math.log10(base_total))
@@ -536,19 +554,19 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Data
     rows = docs.select("doc_id", "text")
     remainder = crc_remainder(F.col("doc_id"), folds)
     learned = rows.where(remainder != held_out)
-    count_words(learned).write.parquet(f"{folder}/counts")
-    counts = spark.read.parquet(f"{folder}/counts")
-    model = prepare(counts)
     numbered = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("held_out", remainder == held_out)
-    encoded(numbered, model).write.parquet(f"{folder}/encoded")
-    coded = spark.read.parquet(f"{folder}/encoded")
-    model = train(coded.where(~F.col("held_out")), model)
-    _scored(coded, model).write.parquet(f"{folder}/scored")
+    with batches_of(spark, BATCH_ROWS):
+        count_words(learned).write.parquet(f"{folder}/counts")
+        counts = spark.read.parquet(f"{folder}/counts")
+        model = prepare(counts)
+        encoded(numbered, model).write.parquet(f"{folder}/encoded")
+        coded = spark.read.parquet(f"{folder}/encoded")
+        model = train(coded.where(~F.col("held_out")), model)
+        _scored(coded, model).write.parquet(f"{folder}/scored")
     scored = spark.read.parquet(f"{folder}/scored")
-    table = spark.createDataFrame(
-        [(i, float(model.unseen[i]), float(model.rest_tokens[i])) for i in range(TAILS)], "cls int, unseen double, rest double"
-    )
-    tail = scored.select("_row", F.explode("tail").alias("t")).select("_row", "t.word", "t.cls", "t.times")
+    # From Arrow, since a list of rows would start further Python workers beside those of the tasks.
+    table = spark.createDataFrame(pa.table({"cls": pa.array(range(TAILS), pa.int32()), "unseen": model.unseen, "rest": model.rest_tokens}))
+    tail = coded.select("_row", F.explode("tail").alias("t")).select("_row", "t.word", "t.cls", "t.times")
     tail = tail.join(counts, "word", "left").join(F.broadcast(table), "cls")
     c = F.coalesce("c", F.lit(0))
     rest = F.when(c > 0, F.log10((1 - F.col("unseen")) * c / F.col("rest"))).otherwise(F.log10("unseen"))
@@ -557,7 +575,7 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Data
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("tail_known"),
     )
     zero = F.lit(0)
-    out = scored.drop("tail").join(sums, "_row", "left")
+    out = scored.join(sums, "_row", "left")
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_head") + F.coalesce("tail_known", zero)).cast("long").alias("n_known"),
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import SparkSession
@@ -38,3 +39,15 @@ def unpack(shipped: Broadcast):
     if "model" not in holder:
         holder["model"] = pickle.loads(holder.pop("pickled"), buffers=holder.pop("buffers"))
     return holder["model"]
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs meanwhile sends Python workers at most so many rows at a time; a batch is held by Spark and by the worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -8,11 +8,13 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
 from millpulse.llm import ann, components, html_extract, jaccard, lm, toxicity
+from millpulse.llm.ship import batches_of
 
 
 def vocabulary(seed, n, stem="w"):
@@ -564,6 +566,47 @@ def test_texts_become_ids_and_words_outside_the_head(spark, monkeypatch):
     assert outside == {i: {(w, model.tail(w.encode())): n for w, n in x.items() if w.encode() not in model.ids} for i, x in expected.items()}
 
 
+def test_the_head_is_the_most_frequent_words_ties_by_word(spark, monkeypatch):
+    words = [f"w{i:02d}" for i in range(24)]
+    docs = spark.createDataFrame([(i, " ".join([w] * (1 + i % 5))) for i, w in enumerate(words)], "doc_id long, text string")
+    counts = lm.count_words(docs).cache()
+    table = Counter({w.encode(): 1 + i % 5 for i, w in enumerate(words)}) + Counter({b"": len(words)})
+    ordered = sorted(table.items(), key=lambda x: (-x[1], x[0]))
+    for size in (1, 2, 5, 6, 13, len(table), 100):
+        monkeypatch.setattr(lm, "HEAD_WORDS", size)
+        model = lm.prepare(counts)
+        assert list(model.counts.items()) == ordered[:size] and (model.n_tokens, model.n_words) == (sum(table.values()), len(table))
+        assert list(model.ids.items()) == [(w, i) for i, (w, _) in enumerate(ordered[:size])]
+    counts.unpersist()
+
+
+def test_workers_hold_few_texts_and_the_words_only_where_texts_become_ids(spark, monkeypatch):
+    key, sent, sizes = "spark.sql.execution.arrow.maxRecordsPerBatch", [], set()
+    before = spark.conf.get(key)
+    ship_model = lm.ship
+
+    def ship(session, held):
+        sent.append(b"markedword" in cloudpickle.dumps(held))
+        sizes.add(int(spark.conf.get(key)))
+        return ship_model(session, held)
+
+    monkeypatch.setattr(lm, "ship", ship)
+    docs = spark.createDataFrame([(i, f"markedword a{i % 3} b{i}") for i in range(40)], "doc_id long, text string")
+    scores = lm.score(docs)
+    assert scores.count() == 40
+    assert sent == [True, False, False, False]  # texts become ids; classes, steps and scores need none
+    assert sizes == {lm.BATCH_ROWS} and spark.conf.get(key) == before
+    plan = scores._jdf.queryExecution().toString()
+    assert "ExistingRDD" not in plan  # rows of Python objects, which would take Python workers of their own
+
+    def size(batches):
+        return (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches)
+
+    with batches_of(spark, lm.BATCH_ROWS):
+        got = [r.n for r in spark.range(0, 2_000, 1, 1).mapInArrow(size, "n long").collect()]
+    assert sum(got) == 2_000 and max(got) <= lm.BATCH_ROWS
+
+
 def test_sums_of_runs_equal_plain_sums():
     rng = np.random.default_rng(3)
     rows = rng.normal(size=(3_000, lm.FAN)).astype(np.float32)
