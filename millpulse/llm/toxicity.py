@@ -19,14 +19,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millpulse.llm.ship import Memo, ship, unpack
+from millpulse.llm.ship import ship, unpack
 from millpulse.llm.text import crc_remainder, lower_ascii, words
-from millpulse.session import work_dir
 
 HELD_OUT_MODULUS, HELD_OUT_REMAINDER = 3, 1
 # Bounds of what is learned from and of what is sent to the tasks; they do not depend on the corpus.
@@ -40,7 +40,7 @@ STRETCH = 50
 THRESHOLD = 0.7
 CLASSES = ("ordinary", "toxic")
 EDGE_CHARS = string.punctuation
-CACHED_WORDS = 300_000
+PIECE_BYTES = 2_000_000  # of text that a task scores at a time
 PIECE_PAIRS = 500_000  # pairs that come to the driver at a time
 
 
@@ -57,46 +57,43 @@ class Model:
     pair_keys: np.ndarray
     pair_ratios: np.ndarray
     weights: np.ndarray | None = None
-    memo: Memo | None = None
 
-    def code(self, word: str) -> int:
-        """The place of the longest known expression of a word; that after the last if none is known."""
-        bare = word.strip(EDGE_CHARS)
+    def codes(self, tokens: pa.Array) -> np.ndarray:
+        """The place of the longest known expression of each word; that after the last if none is known, -1 if it is all punctuation."""
+        bare = pc.utf8_trim(tokens, EDGE_CHARS)
+        found = np.where(pc.equal(bare, "").to_numpy(zero_copy_only=False), -1, len(self.keys))
+        rest = np.flatnonzero(found >= 0)
         for level in reversed(range(len(LEVELS))):
-            key = _key(level, bare)
-            at = int(np.searchsorted(self.keys, key))
-            if at < len(self.keys) and self.keys[at] == key:
-                return at
-        return len(self.keys) if bare else -1
+            names = bare.take(pa.array(rest))
+            kinds = (pc.utf8_slice_codeunits(names, 0, LEVELS[level]) if LEVELS[level] else names).dictionary_encode()
+            keys = np.array([_key(level, name) for name in kinds.dictionary.to_pylist()], np.int64)
+            at = _find(self.keys, keys)[kinds.indices.to_numpy()]
+            found[rest[at >= 0]] = at[at >= 0]
+            rest = rest[at < 0]
+        return found
+
+    def ratios_of(self, texts: pa.Array) -> list[np.ndarray]:
+        """By text: the log ratio of each word that is more than punctuation, given the word before it."""
+        tokens, text = _tokens(texts)
+        kinds = tokens.dictionary_encode()
+        codes = self.codes(kinds.dictionary)[kinds.indices.to_numpy()]
+        codes, text = codes[codes >= 0], text[codes >= 0]
+        ratios = self.ratios[codes]
+        # The place after the last also stands for the start of a text; unknown words are in no pair.
+        before = np.concatenate(([len(self.keys)], codes))[:-1]
+        starts = np.diff(text, prepend=-1) > 0
+        before[starts] = len(self.keys)
+        pairs = np.flatnonzero(self.whole[codes] & (starts | self.whole[before]))
+        at = _find(self.pair_keys, _pair_key(before[pairs], codes[pairs]))
+        ratios[pairs[at >= 0]] = self.pair_ratios[at[at >= 0]]
+        return np.split(ratios, np.searchsorted(text, np.arange(1, len(texts))))
 
     def word_ratios(self, text: str | None) -> np.ndarray:
-        """The log ratio of each word that is more than punctuation, given the word before it."""
-        tokens = _split(text)
-        if self.memo is None:
-            self.memo = Memo(self.code, CACHED_WORDS)
-        self.memo.trim()
-        codes = np.fromiter(map(self.memo.__getitem__, tokens), np.int64, len(tokens))
-        codes = codes[codes >= 0]
-        ratios = self.ratios[codes]
-        if len(self.pair_keys):
-            # The place after the last also stands for the start of a text; unknown words are in no pair.
-            pairs = _pair_key(np.concatenate(([len(self.keys)], codes[:-1])), codes) if len(codes) else codes
-            at = np.minimum(np.searchsorted(self.pair_keys, pairs), len(self.pair_keys) - 1)
-            hit = self.pair_keys[at] == pairs
-            hit[1:] &= self.whole[codes[:-1]]
-            hit &= self.whole[codes]
-            ratios[hit] = self.pair_ratios[at[hit]]
-        return ratios
-
-    def features(self, text: str | None) -> tuple[float, float, float]:
-        """Mean ratio per word, the highest mean over a stretch of words, and a term for the shortness of the text."""
-        ratios = self.word_ratios(text)
-        n = len(ratios)
-        if not n:
-            return 0.0, 0.0, 1.0
-        total = np.concatenate(([0.0], np.cumsum(ratios)))
-        width = min(STRETCH, n)
-        return float(total[-1] / n), float((total[width:] - total[:-width]).max() / width), 1.0 / math.sqrt(n)
+        return self.ratios_of(pa.array([text], pa.string()))[0]
+
+    def features(self, texts: pa.Array) -> np.ndarray:
+        """A row for each text, from a few megabytes of texts at a time."""
+        return np.array([_features(r) for piece in _pieces(texts) for r in self.ratios_of(piece)]).reshape(-1, 3)
 
     def score(self, features: np.ndarray) -> np.ndarray:
         if self.weights is None:
@@ -141,11 +138,47 @@ def _pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return (first << 32) | second
 
 
-_GAPS = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"} | {a: a.lower() for a in string.ascii_uppercase})
+def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The place of each wanted key among sorted keys, -1 if it is none of them. Wanted keys go in order, since that is faster."""
+    if not len(keys):
+        return np.full(len(wanted), -1)
+    order = np.argsort(wanted)
+    at = np.empty(len(wanted), np.int64)
+    at[order] = np.minimum(np.searchsorted(keys, wanted[order]), len(keys) - 1)
+    at[keys[at] != wanted] = -1
+    return at
+
+
+def _features(ratios: np.ndarray) -> tuple[float, float, float]:
+    """Mean ratio per word, the highest mean over a stretch of words, and a term for the shortness of the text."""
+    n = len(ratios)
+    if not n:
+        return 0.0, 0.0, 1.0
+    total = np.concatenate(([0.0], np.cumsum(ratios)))
+    width = min(STRETCH, n)
+    return float(total[-1] / n), float((total[width:] - total[:-width]).max() / width), 1.0 / math.sqrt(n)
+
+
+def _pieces(texts: pa.Array) -> Iterator[pa.Array]:
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+    low = 0
+    while low < len(texts):
+        high = np.searchsorted(ends, (ends[low - 1] if low else 0) + PIECE_BYTES, "right")
+        high = max(low + 1, int(high))
+        yield texts.slice(low, high - low)
+        low = high
+
+
+def _tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts and the text that each is in."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    found, text = parts.flatten(), pc.list_parent_indices(parts)
+    filled = pc.not_equal(found, "")
+    return found.filter(filled), text.filter(filled).to_numpy()
 
 
 def _split(text: str | None) -> list[str]:
-    return [w for w in (text or "").translate(_GAPS).split(" ") if w]
+    return _tokens(pa.array([text], pa.string()))[0].to_pylist()
 
 
 def _bare_words(text: str) -> Column:
@@ -200,7 +233,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, max_wor
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = unpack(shipped)
         for batch in batches:
-            found = np.array([held.features(t.as_py()) for t in batch.column(0)]).reshape(-1, 3)
+            found = held.features(batch.column(0))
             yield pa.RecordBatch.from_arrays([*map(pa.array, found.T), batch.column(1)], names=["a", "b", "c", "toxic"])
 
     fitted = sample.where("fold = 0").select("text", "toxic").mapInArrow(run, "a double, b double, c double, toxic int").toArrow()
@@ -249,9 +282,7 @@ def add_pairs(model: Model, known: Words, pairs: DataFrame) -> None:
             found = held.pair_ratios(batch.column("first").to_numpy(), batch.column("second").to_numpy(), counts)
             yield pa.RecordBatch.from_arrays([*map(pa.array, found)], names=["key", "ratio"])
 
-    stored = f"{work_dir(spark, 'toxicity')}/ratios"
-    pairs.mapInArrow(run, "key long, ratio float").write.parquet(stored)
-    found = spark.read.parquet(stored)
+    found = pairs.mapInArrow(run, "key long, ratio float").persist()
     n = found.count()
     model.pair_keys, model.pair_ratios = np.empty(n, np.int64), np.empty(n, np.float32)
     pieces, at = max(1, -(-n // PIECE_PAIRS)), 0
@@ -261,6 +292,7 @@ def add_pairs(model: Model, known: Words, pairs: DataFrame) -> None:
         span = slice(at, at := at + len(piece))
         model.pair_keys[span], model.pair_ratios[span] = piece["key"], piece["ratio"]
     del piece
+    found.unpersist()
     pa.default_memory_pool().release_unused()
     shipped.destroy(blocking=True)  # executors keep a copy on disk until then
 
@@ -375,8 +407,7 @@ def score(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = unpack(model)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            found = held.score(np.array([held.features(t) for t in texts]).reshape(-1, 3))
+            found = held.score(held.features(batch.column(batch.schema.get_field_index("text"))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, "score"])
 
     scored = docs.mapInArrow(run, schema)

@@ -3,11 +3,13 @@
 import math
 import pickle
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql.classic.dataframe import DataFrame
 
 from millpulse.llm import toxicity
@@ -165,3 +167,59 @@ def test_a_shipped_model_keeps_no_second_copy_of_its_arrays(spark):
             yield pa.RecordBatch.from_arrays([pa.array([size])], names=["size"])
 
     assert spark.range(1).mapInArrow(run, "size long").first()["size"] < 8_100_000
+
+
+def test_ratios_of_pairs_stay_in_the_executors_and_are_not_written(spark, corpus, monkeypatch):
+    """Every file that Spark writes starts a process of the executor, which counts as its memory once more."""
+    written = []
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **b: written.append(path))
+    rows = [(i, " ".join(d), c) for c in (0, 1) for i, d in enumerate(corpus[c], 100 * c)]
+    counted = spark.createDataFrame([(t, c) for _, t, c in rows], "text string, toxic int").withColumn("_words", toxicity._bare_words("text"))
+    before = spark._jsc.getPersistentRDDs().size()
+    model = toxicity.counted_model(counted)
+    pairs = {p for d in corpus[0] + corpus[1] for p in zip([""] + d, d)}
+    assert not written and len(model.pair_keys) == len(pairs) and spark._jsc.getPersistentRDDs().size() == before
+
+
+ODD_TEXTS = [
+    None, "", " \t", "!! , ...", "ABC abc, (abcd) xyzzy", "nasty\x0bNASTYWORD\x0c nastyw\r\nnasty!", " q q\u0085q ÄB 日本語", "ab abcdefghijk ab",
+    "zz never seen " * 40, "q", None,
+]
+
+
+def plain_ratios(model, text):
+    """One word after the other, by single look-ups."""
+    places, whole = {k: i for i, k in enumerate(model.keys)}, []
+    for word in re.split(r"[\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")):
+        if bare := word.strip(toxicity.EDGE_CHARS):
+            known = [places[k] for level in range(len(toxicity.LEVELS)) if (k := toxicity._key(level, bare)) in places]
+            whole.append(known[-1] if known else len(model.keys))
+    pairs, out = dict(zip(model.pair_keys, model.pair_ratios)), []
+    for before, at in zip([None, *whole], whole):
+        usable = model.whole[at] and (before is None or model.whole[before])
+        out.append(pairs.get((len(model.keys) if before is None else before) << 32 | at, model.ratios[at]) if usable else model.ratios[at])
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 30, 2_000_000])
+def test_texts_scored_together_get_the_ratios_of_single_words(spark, corpus, monkeypatch, size):
+    rows = [(" ".join(d), c) for c in (0, 1) for d in corpus[c]]
+    counted = spark.createDataFrame(rows, "text string, toxic int").withColumn("_words", toxicity._bare_words("text"))
+    model = toxicity.counted_model(counted)
+    texts = pa.array(ODD_TEXTS + [t for t, _ in rows], pa.string())
+    plain = [plain_ratios(model, t) for t in texts.to_pylist()]
+    monkeypatch.setattr(toxicity, "PIECE_BYTES", size)
+    got = [r for piece in toxicity._pieces(texts) for r in model.ratios_of(piece)]
+    assert [list(r) for r in got] == plain
+    features = model.features(texts)
+    assert features.shape == (len(texts), 3) and model.features(texts[:0]).shape == (0, 3)
+    assert (features == [toxicity._features(np.array(r, float)) for r in plain]).all()
+
+
+def test_a_word_is_looked_up_once_for_all_texts_of_a_piece(spark, corpus, monkeypatch):
+    rows = [(" ".join(d), c) for c in (0, 1) for d in corpus[c]]
+    counted = spark.createDataFrame(rows, "text string, toxic int").withColumn("_words", toxicity._bare_words("text"))
+    model, looked_up, real = toxicity.counted_model(counted), [], toxicity._key
+    monkeypatch.setattr(toxicity, "_key", lambda *a: looked_up.append(a) or real(*a))
+    model.features(pa.array([f"unknown words {i % 5} abc" for i in range(500)]))
+    assert len(looked_up) <= 8 * len(toxicity.LEVELS)
