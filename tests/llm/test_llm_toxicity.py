@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql.classic.dataframe import DataFrame
 
+import corpus_pipeline
 from millpulse.llm import toxicity
 from millpulse.llm.ship import ship, unpack
 
@@ -223,3 +224,12 @@ def test_a_word_is_looked_up_once_for_all_texts_of_a_piece(spark, corpus, monkey
     monkeypatch.setattr(toxicity, "_key", lambda *a: looked_up.append(a) or real(*a))
     model.features(pa.array([f"unknown words {i % 5} abc" for i in range(500)]))
     assert len(looked_up) <= 8 * len(toxicity.LEVELS)
+
+
+def test_the_toxicity_stage_of_the_pipeline_writes_no_files_of_its_own(spark, corpus, tmp_path, monkeypatch):
+    rows = [(i, " ".join(d), c) for c in (0, 1) for i, d in enumerate(corpus[c], 100 * c)]
+    spark.createDataFrame([(i, c) for i, _, c in rows], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    written = []
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **b: written.append(path))
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() <= len(rows) and not written
